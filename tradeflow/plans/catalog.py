@@ -13,17 +13,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import date_text, exact_sum, ts_text
+from ..functions import measures as M
+from ..functions.exprs import date_text, exact_sum, safe_ratio, sentinel_ts, ts_text
 from ..operators import aggregates as A
 from ..operators import joins as J
+from . import mart
 from . import roles as R
-from .invoice import invoice_lines, vehicle_load
+from .invoice import invoice_lines, vehicle_load, workplace_settings
+from .sellout import sell_out
+from .tracking import po_tracking_mtd
 
 # Fixed parameters of the registered queries.
 FLAGSHIP_MONTH = ("1998-10-01", "1998-11-01")
 FLAGSHIP_WORKPLACE_LIKE = "%1%"
 BONUS_SINCE = "1995-06-01"
 LOAD_PERIOD = ("1998-06-01", "1998-11-30")
+TRACKING_WINDOW = ("1997-01-01", "1998-01-01")
+SELL_OUT_WEEK = [("2024-01-08", "2024-01-14")]
+SELL_OUT_TWO_WEEKS = [("2024-01-01", "2024-01-07"), ("2024-01-15", "2024-01-21")]
+SELL_OUT_CHANNELS = ("click", "purchase", "view")
+APPROVAL_LEVEL_BY_EVENT = {"view": 1, "click": 2, "purchase": 3}
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+FAN_OUT_QUARTER = ("1998-01-01", "1998-04-01")
 
 
 def _t(spark, sf, name):
@@ -90,6 +101,224 @@ def q_qty_preaggregated(spark, sf):
     return j.select("o_orderkey", F.coalesce(F.col("qty"), F.lit(0.0)).alias("qty_delivered"))
 
 
+def q_net_measures(spark, sf):
+    """M3-M7/J2 every line with its bonus (A4 over all invoices) and the
+    nett amounts and discounts."""
+    li = _t(spark, sf, "lineitem")
+    items = R.invoice_item(li)
+    bonus = A.invoice_bonus(R.invoice_item_bonus(li), items, pay_types=R.BONUS_PAY_FLAGS)
+    b = bonus.select(*[F.col(c).alias("a_" + c) for c in bonus.columns])
+    keys = [("szFInvoiceId", "szFInvoiceId"), ("szProductId", "szProductId"), ("szFDoId", "szDoId"),
+            ("szParentId", "szParentId"), ("szPaymentType", "szPaymentType"),
+            ("szOrderItemTypeId", "szOrderItemTypeId")]
+    j = items.join(b, [b["a_" + k] == items[l] for k, l in keys], "left")
+    tx, amt, dpp, tax, disc = (F.col(c) for c in ("bTaxable", "decAmount", "decDPP", "decTax", "decDiscount"))
+    bon, bt = F.col("a_sumDecBonusAmount"), F.col("a_sumDecBonusAmountTax")
+    return j.select(
+        F.col("szFInvoiceId").alias("l_orderkey"), F.col("shItemNumber").alias("l_linenumber"),
+        F.col("szProductId").alias("l_partkey"), F.col("szParentId").alias("l_suppkey"),
+        M.tax_total(tax, bt).alias("Tax"), M.nett_amount(tx, amt, dpp, tax, disc, bon).alias("NettAmount"),
+        M.nett_amount_inc_tax(tx, amt, dpp, tax, disc, bon, bt).alias("NettAmountIncTax"),
+        M.discount_total(tx, dpp, tax, disc, bon).alias("Discount"),
+        M.discount_item(tx, dpp, tax, disc).alias("DiscountItem"))
+
+
+def q_po_discount(spark, sf):
+    """M12/M13 purchase-line discount split (base and tax part) and unit
+    price net of tax, for every line."""
+    t = R.line_terms(_t(spark, sf, "lineitem"))
+    price = safe_ratio("l_extendedprice", "l_quantity")
+    return t.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        M.po_discount_dpp("bTaxable", "decDPP", "decTax", "decDiscount").alias("decDisc1DPP"),
+        M.po_discount_tax("bTaxable", "decDPP", "decTax", "decDiscount").alias("decDisc1Tax"),
+        M.unit_price_net(F.col("bTaxable"), F.col("decDPP"), F.col("decTax"), price).alias("decPrice"))
+
+
+def q_settings_const_join(spark, sf):
+    """J11 every customer with the one configuration row picked by constants
+    only (region ASIA), attached as a broadcast of a provably single row."""
+    cust = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    reg = _t(spark, sf, "region").where(F.col("r_name") == "ASIA")
+    return J.attach_single_row(cust, reg)
+
+
+def q_settings_pivot(spark, sf):
+    """J12/T6 per workplace (nation) one row with one setting per item
+    (customer segment); value = the largest balance."""
+    c = _t(spark, sf, "customer")
+    info = c.select(F.lit("T").alias("szConfigTemplateId"), F.lit("WOR").alias("szConfigItemTypeId"),
+                    F.col("c_mktsegment").alias("szConfigItemId"),
+                    F.col("c_nationkey").alias("szConfigItemTypeValue"), F.col("c_acctbal").alias("szValue"))
+    return workplace_settings(info, template="T", item_type="WOR", items=SEGMENTS)
+
+
+def q_approval_levels(spark, sf):
+    """J16/J18/M20/M26 approval levels 1-3 side by side per document (user),
+    with dates defaulted and the current level (highest + 1)."""
+    ev = _t(spark, sf, "events")
+    lvl = F.lit(None).cast("int")
+    for et, n in reversed(list(APPROVAL_LEVEL_BY_EVENT.items())):
+        lvl = F.when(F.col("event_type") == et, F.lit(n)).otherwise(lvl)
+    items = ev.select(F.col("user_id").alias("gdApprovedId"), lvl.alias("btApprovedLevel"),
+                      F.col("ts").alias("dtmApproved"), (F.col("value") > 50).alias("bApproved"))
+    items = items.where(F.col("btApprovedLevel").isNotNull())
+    p = J.pivot_levels(items, "gdApprovedId", "btApprovedLevel", [1, 2, 3],
+                       {"dtmApproved": "dtmApproved", "bApproved": "bApproved"})
+    return p.select(
+        "gdApprovedId",
+        *[ts_text(sentinel_ts(f"dtmApproved{n}")).alias(f"dtmApproved{n}") for n in (1, 2, 3)],
+        *[F.col(f"bApproved{n}") for n in (1, 2, 3)],
+        (F.coalesce(F.col("max_level"), F.lit(0)) + 1).cast("string").alias("currentApprovalLevel"))
+
+
+def q_hierarchy(spark, sf):
+    """J8 climb three levels of the organisation (nation, parent pointer =
+    region key) from each customer's nation."""
+    cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    org = _t(spark, sf, "nation")
+    out = J.climb(cust, "c_nationkey", org, "n_nationkey", "n_regionkey", "n_name", levels=3,
+                  bounded_org=True)
+    return out.drop("c_nationkey")
+
+
+def _sell_out_frame(df):
+    return df.select(*[date_text("date_").alias("date_") if c == "date_" else F.col(c) for c in df.columns])
+
+
+def q_sell_out(spark, sf):
+    """T4 one text-date slice and three channels, cleaned."""
+    docs = R.sell_out_documents(_t(spark, sf, "events"))
+    return _sell_out_frame(sell_out(docs, SELL_OUT_WEEK, SELL_OUT_CHANNELS))
+
+
+def q_sell_out_slices(spark, sf):
+    """S3/U1 two separate slices appended (one scan, OR of ranges)."""
+    docs = R.sell_out_documents(_t(spark, sf, "events"))
+    return _sell_out_frame(sell_out(docs, SELL_OUT_TWO_WEEKS, SELL_OUT_CHANNELS))
+
+
+def q_json_field(spark, sf):
+    """S4 a field of a JSON text column, parsed with a declared schema."""
+    ev = _t(spark, sf, "events")
+    return ev.select("event_id", F.from_json("props", "k INT").getField("k").alias("k"))
+
+
+def _unified(spark, sf):
+    li, orders, ev = _t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "events")
+    sell_in = mart.stage_frame(li, "sell_in", "l_shipdate", "l_suppkey", "l_partkey", "l_quantity",
+                               "l_extendedprice")
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    st = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    sell_through = mart.stage_frame(st, "sell_through", "o_orderdate", "o_custkey", "l_partkey",
+                                    "l_quantity", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    purchases = ev.where(F.col("event_type") == "purchase")
+    sell_out_ = mart.stage_frame(purchases, "sell_out", "ts", "user_id",
+                                 F.get_json_object("props", "$.k").cast("bigint"), F.lit(1.0), "value")
+    return mart.unified_sales([sell_in, sell_through, sell_out_])
+
+
+def q_unified_sales(spark, sf):
+    """T7/U2 Sell-In, Sell-Through and Sell-Out at (stage, date, store, SKU)."""
+    u = _unified(spark, sf)
+    return u.select("stage", date_text("date").alias("date"), "store", "sku", "qty", "value")
+
+
+def q_stage_pivot(spark, sf):
+    """A9 value per stage side by side per day."""
+    p = mart.stage_pivot(_unified(spark, sf))
+    return p.select(date_text("date").alias("date"), *[c for c in p.columns if c != "date"])
+
+
+def q_sales_cube(spark, sf):
+    """T8/A8 cube of order value over (nation, segment) with grouping id."""
+    o = _t(spark, sf, "orders").select("o_custkey", "o_totalprice")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = _t(spark, sf, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner").join(
+        F.broadcast(n), F.col("c_nationkey") == n["n_nationkey"], "inner")
+    return mart.sales_summary(j, ["n_name", "c_mktsegment"], "o_totalprice", how="cube")
+
+
+def q_mtd_trend(spark, sf):
+    """T8/W2/W3 order value per day, month-to-date total, previous day."""
+    t = mart.mtd_trend(_t(spark, sf, "orders"), "o_orderdate", "o_totalprice")
+    return t.select(date_text("day").alias("day"), "day_value", "mtd_value", "prev_day_value", "day_change")
+
+
+def q_top_n(spark, sf):
+    """T8/W4 three best parts per supplier by net revenue."""
+    li = _t(spark, sf, "lineitem").select(
+        "l_suppkey", "l_partkey", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"))
+    return mart.top_n(li, ["l_suppkey"], "l_partkey", "rev", n=3)
+
+
+def q_fallback_chain(spark, sf):
+    """J19/J17(per key)/M23 each order's invoice id and invoiced quantity,
+    taken from the customer's latest order when that is another order."""
+    orders = _t(spark, sf, "orders")
+    li = _t(spark, sf, "lineitem")
+    hist = J.latest_per_key(orders.select("o_custkey", "o_orderdate", "o_orderkey"), "o_custkey",
+                            order_by=["o_orderdate"], tie_break=["o_orderkey"], values=[])
+    hist = hist.select(F.col("o_custkey").alias("h_cust"), F.col("o_orderkey").alias("h_key"))
+    cur = orders.select("o_orderkey", "o_custkey")
+    j = cur.join(hist, cur["o_custkey"] == hist["h_cust"], "left")
+    alt = F.when(F.col("h_key") != F.col("o_orderkey"), F.col("h_key").cast("string"))
+    j = j.select("o_orderkey", J.fallback(F.col("o_orderkey").cast("string"), alt).alias("szFInvoiceId"))
+    qty = A.sum_by(li, ["l_orderkey"], "l_quantity", "qty").select(
+        F.col("l_orderkey").cast("string").alias("q_key"), "qty")
+    out = j.join(qty, j["szFInvoiceId"] == qty["q_key"], "left")
+    return out.select("o_orderkey", "szFInvoiceId", F.coalesce(F.col("qty"), F.lit(0.0)).alias("decQtyInvoice"))
+
+
+def q_fan_out_distinct(spark, sf):
+    """J20/F10/A6 order lines kept when selling (flag N) or when the order has
+    any open line, DISTINCT over the shown columns; no line pairs built."""
+    o = _t(spark, sf, "orders").where((F.col("o_orderdate") >= F.lit(FAN_OUT_QUARTER[0])) &
+                                      (F.col("o_orderdate") < F.lit(FAN_OUT_QUARTER[1]))).select("o_orderkey")
+    li = _t(spark, sf, "lineitem")
+    a = o.join(li.select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag"),
+               o["o_orderkey"] == F.col("l_orderkey"), "left")
+    b = li.select(F.col("l_orderkey").alias("b_orderkey"), F.col("l_linestatus").alias("b_status"))
+    kept = J.either_side_lines(a, b.withColumnRenamed("b_orderkey", "o_orderkey"), "o_orderkey",
+                               F.col("l_returnflag") == "N", F.col("b_status") == "O")
+    return kept.select("o_orderkey", "l_partkey", "l_quantity").distinct()
+
+
+def q_po_tracking(spark, sf):
+    """T2 order tracking with milestone dates over one window."""
+    src = R.tracking_sources(spark, sf, TRACKING_WINDOW[0])
+    out = po_tracking_mtd(src, *TRACKING_WINDOW, channels=tuple(R.CHANNEL_BY_SEGMENT.values()))
+    ts_cols = ["date_created", "po_on_review_date", "po_approve_lv1_date", "send_to_wms_date",
+               "delivered_date_feedback_wms", "received_date", "poDate", "dn_closed_date"]
+    return out.select(*[ts_text(c).alias(c) if c in ts_cols else F.col(c) for c in out.columns])
+
+
+def q_const_on_join(spark, sf):
+    """J3 every customer with its finished orders' count and value: the
+    status constant of the ON clause filters the right side before the
+    left join, so customers without such orders are kept."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    o = _t(spark, sf, "orders")
+    agg = (o.where(F.col("o_orderstatus") == "F").groupBy("o_custkey")
+           .agg(F.count(F.lit(1)).alias("n_finished"), exact_sum("o_totalprice", 2).alias("finished_value")))
+    j = J.filtered_lookup(c, agg, c["c_custkey"] == agg["o_custkey"])
+    return j.select("c_custkey", "c_name", F.coalesce(F.col("n_finished"), F.lit(0)).alias("n_finished"),
+                    F.coalesce(F.col("finished_value"), F.lit(0.0)).alias("finished_value"))
+
+
+def q_computed_key_join(spark, sf):
+    """J10/J13 lines joined to the day's order count on a computed date key
+    (ship day = order day), forced to a sort-merge join."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    days = (_t(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day"))
+            .agg(F.count(F.lit(1)).alias("orders_that_day")))
+    k = li.withColumn("ship_day", F.to_date("l_shipdate"))
+    j = k.join(days.hint("merge"), k["ship_day"] == days["day"], "left")
+    return j.select("l_orderkey", "l_linenumber", date_text("ship_day").alias("ship_day"),
+                    F.coalesce(F.col("orders_that_day"), F.lit(0)).alias("orders_that_day"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "invoice_lines": q_invoice_lines,
@@ -100,4 +329,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top1_global": q_top1_global,
         "vehicle_load": q_vehicle_load,
         "qty_preaggregated": q_qty_preaggregated,
+        "net_measures": q_net_measures,
+        "po_discount": q_po_discount,
+        "settings_const_join": q_settings_const_join,
+        "settings_pivot": q_settings_pivot,
+        "approval_levels": q_approval_levels,
+        "hierarchy": q_hierarchy,
+        "sell_out": q_sell_out,
+        "sell_out_slices": q_sell_out_slices,
+        "json_field": q_json_field,
+        "unified_sales": q_unified_sales,
+        "stage_pivot": q_stage_pivot,
+        "sales_cube": q_sales_cube,
+        "mtd_trend": q_mtd_trend,
+        "top_n": q_top_n,
+        "fallback_chain": q_fallback_chain,
+        "fan_out_distinct": q_fan_out_distinct,
+        "po_tracking": q_po_tracking,
+        "const_on_join": q_const_on_join,
+        "computed_key_join": q_computed_key_join,
     }

@@ -171,6 +171,253 @@ LEFT JOIN (SELECT l_orderkey, SUM(l_quantity) AS qty FROM lineitem GROUP BY l_or
        ON q.l_orderkey = o.o_orderkey"""
 
 
+NET_MEASURES = f"""WITH {LI},
+{_invoice_bonus('')}
+SELECT li.l_orderkey, li.l_linenumber, li.l_partkey, li.l_suppkey,
+       tax + coalesce(bonus_tax, 0) AS Tax, {_NETT} AS NettAmount,
+       ({_NETT}) + tax + coalesce(bonus_tax, 0) AS NettAmountIncTax,
+       ({_DISC_ITEM}) + ({_DISC_BONUS}) AS Discount, {_DISC_ITEM} AS DiscountItem
+FROM li LEFT JOIN a ON a.a_inv = li.l_orderkey AND a.a_prod = li.l_partkey AND a.a_do = li.l_orderkey
+                   AND a.a_parent = li.l_suppkey AND a.a_pay = li.l_returnflag AND a.a_itype = li.l_linestatus"""
+
+_PRICE = "(l_extendedprice / nullif(l_quantity, 0))"
+PO_DISCOUNT = f"""WITH {LI}
+SELECT l_orderkey, l_linenumber, l_partkey,
+       CASE WHEN {_SPLITTABLE} THEN disc * dpp / (dpp + tax) ELSE disc END AS decDisc1DPP,
+       CASE WHEN {_SPLITTABLE} THEN disc * tax / (dpp + tax) ELSE 0 END AS decDisc1Tax,
+       CASE WHEN {_SPLITTABLE} THEN {_PRICE} * dpp / (dpp + tax) ELSE {_PRICE} END AS decPrice
+FROM li"""
+
+SETTINGS_CONST_JOIN = """SELECT c.c_custkey, c.c_name, r.r_regionkey, r.r_name
+FROM customer c LEFT JOIN (SELECT r_regionkey, r_name FROM region WHERE r_name = 'ASIA') r ON TRUE"""
+
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+SETTINGS_PIVOT = ("SELECT c_nationkey AS szConfigItemTypeValue, "
+                  + ", ".join(f"max(CASE WHEN c_mktsegment = '{g}' THEN c_acctbal END) AS setting_{g}"
+                              for g in _SEGMENTS)
+                  + " FROM customer WHERE c_mktsegment IN ("
+                  + ", ".join(f"'{g}'" for g in _SEGMENTS) + ") GROUP BY c_nationkey")
+
+_SENTINEL = "TIMESTAMP '1900-01-01 00:00:00'"
+APPROVAL_LEVELS = f"""WITH items AS (
+  SELECT user_id AS gdApprovedId,
+         CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 END AS lvl,
+         ts, value > 50 AS ok
+  FROM events),
+p AS (
+  SELECT gdApprovedId,
+         max(CASE WHEN lvl = 1 THEN ts END) AS d1, max(CASE WHEN lvl = 2 THEN ts END) AS d2,
+         max(CASE WHEN lvl = 3 THEN ts END) AS d3,
+         max(CASE WHEN lvl = 1 THEN ok END) AS b1, max(CASE WHEN lvl = 2 THEN ok END) AS b2,
+         max(CASE WHEN lvl = 3 THEN ok END) AS b3, max(lvl) AS max_level
+  FROM items WHERE lvl IS NOT NULL GROUP BY gdApprovedId)
+SELECT gdApprovedId,
+       {ts_text(f"coalesce(d1, {_SENTINEL})")} AS dtmApproved1,
+       {ts_text(f"coalesce(d2, {_SENTINEL})")} AS dtmApproved2,
+       {ts_text(f"coalesce(d3, {_SENTINEL})")} AS dtmApproved3,
+       b1 AS bApproved1, b2 AS bApproved2, b3 AS bApproved3,
+       CAST(coalesce(max_level, 0) + 1 AS VARCHAR) AS currentApprovalLevel
+FROM p"""
+
+HIERARCHY = """SELECT c.c_custkey, n1.n_nationkey AS lvl1_id, n1.n_name AS lvl1_name,
+       n2.n_nationkey AS lvl2_id, n2.n_name AS lvl2_name, n3.n_nationkey AS lvl3_id, n3.n_name AS lvl3_name
+FROM customer c
+LEFT JOIN nation n1 ON n1.n_nationkey = c.c_nationkey
+LEFT JOIN nation n2 ON n2.n_nationkey = n1.n_regionkey
+LEFT JOIN nation n3 ON n3.n_nationkey = n2.n_regionkey"""
+
+_DOCS = """d AS (
+  SELECT CAST(event_id AS VARCHAR) AS _id, strftime(ts, '%B') AS month_name, strftime(ts, '%Y-%m-%d') AS date_,
+         event_type AS channel_name, CAST(user_id AS VARCHAR) AS store_code,
+         json_extract_string(props, '$.k') AS product_code,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS qty, value AS price, value AS value
+  FROM events)"""
+_NULLS = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in
+                   ["account_name", "store_name", "employee_nik", "employee_name", "position_name",
+                    "agency_name", "leader", "cluster_name", "product_brand_name", "product_name"])
+
+
+def _sell_out(ranges: list[tuple[str, str]]) -> str:
+    cond = " OR ".join(f"(date_ >= '{a}' AND date_ <= '{b}')" for a, b in ranges)
+    return f"""WITH {_DOCS}
+SELECT _id, month_name, strftime(TRY_CAST(date_ AS DATE), '%Y-%m-%d') AS date_, channel_name, store_code,
+       product_code, qty, price, value, {_NULLS}
+FROM d WHERE ({cond}) AND channel_name IN ('click', 'purchase', 'view')"""
+
+
+SELL_OUT = _sell_out([("2024-01-08", "2024-01-14")])
+SELL_OUT_SLICES = _sell_out([("2024-01-01", "2024-01-07"), ("2024-01-15", "2024-01-21")])
+
+JSON_FIELD = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
+
+_UNIFIED = f"""u AS (
+  SELECT 'sell_in' AS stage, CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey AS BIGINT) AS store,
+         CAST(l_partkey AS BIGINT) AS sku, CAST(l_quantity AS DOUBLE) AS qty, CAST(l_extendedprice AS DOUBLE) AS value
+  FROM lineitem
+  UNION ALL
+  SELECT 'sell_through', CAST(o.o_orderdate AS DATE), CAST(o.o_custkey AS BIGINT), CAST(l.l_partkey AS BIGINT),
+         CAST(l.l_quantity AS DOUBLE), l.l_extendedprice * (1 - l.l_discount)
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  UNION ALL
+  SELECT 'sell_out', CAST(ts AS DATE), CAST(user_id AS BIGINT), CAST(json_extract_string(props, '$.k') AS BIGINT),
+         CAST(1.0 AS DOUBLE), value
+  FROM events WHERE event_type = 'purchase'),
+g AS (
+  SELECT stage, date, store, sku, {fsum('qty', 4)} AS qty, {fsum('value', 4)} AS value
+  FROM u GROUP BY stage, date, store, sku)"""
+
+UNIFIED_SALES = f"""WITH {_UNIFIED}
+SELECT stage, strftime(date, '%Y-%m-%d') AS date, store, sku, qty, value FROM g"""
+
+STAGE_PIVOT = f"""WITH {_UNIFIED}
+SELECT strftime(date, '%Y-%m-%d') AS date,
+       {fsum("CASE WHEN stage = 'sell_in' THEN value END", 4)} AS sell_in_value,
+       {fsum("CASE WHEN stage = 'sell_through' THEN value END", 4)} AS sell_through_value,
+       {fsum("CASE WHEN stage = 'sell_out' THEN value END", 4)} AS sell_out_value
+FROM g GROUP BY date"""
+
+SALES_CUBE = f"""SELECT n.n_name, c.c_mktsegment, {fsum('o.o_totalprice', 2)} AS total_value, COUNT(*) AS n_rows,
+       GROUPING(n.n_name, c.c_mktsegment) AS grouping_id
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY CUBE (n.n_name, c.c_mktsegment)"""
+
+MTD_TREND = """WITH d AS (
+  SELECT CAST(o_orderdate AS DATE) AS day, SUM(CAST(ROUND(o_totalprice * CAST(1e2 AS DOUBLE)) AS BIGINT)) AS units
+  FROM orders GROUP BY 1),
+m AS (
+  SELECT day, units / CAST(1e2 AS DOUBLE) AS day_value,
+         SUM(units) OVER (PARTITION BY date_trunc('month', day) ORDER BY day
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / CAST(1e2 AS DOUBLE) AS mtd_value
+  FROM d)
+SELECT strftime(m.day, '%Y-%m-%d') AS day, m.day_value, m.mtd_value, p.day_value AS prev_day_value,
+       m.day_value - p.day_value AS day_change
+FROM m LEFT JOIN m p ON m.day = p.day + 1"""
+
+TOP_N = f"""WITH a AS (
+  SELECT l_suppkey, l_partkey, {fsum('l_extendedprice * (1 - l_discount)', 4)} AS total_value
+  FROM lineitem GROUP BY l_suppkey, l_partkey)
+SELECT l_suppkey, l_partkey, total_value, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY total_value DESC, l_partkey ASC) AS rank
+      FROM a) t
+WHERE rank <= 3"""
+
+FALLBACK_CHAIN = """WITH h AS (
+  SELECT o_custkey AS h_cust, o_orderkey AS h_key
+  FROM (SELECT o_custkey, o_orderkey,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) AS rn
+        FROM orders) t WHERE rn = 1),
+j AS (
+  SELECT o.o_orderkey,
+         CASE WHEN trim(coalesce(CASE WHEN h.h_key <> o.o_orderkey THEN CAST(h.h_key AS VARCHAR) END, '')) = ''
+              THEN CAST(o.o_orderkey AS VARCHAR)
+              ELSE CASE WHEN h.h_key <> o.o_orderkey THEN CAST(h.h_key AS VARCHAR) END END AS szFInvoiceId
+  FROM orders o LEFT JOIN h ON h.h_cust = o.o_custkey),
+q AS (SELECT CAST(l_orderkey AS VARCHAR) AS q_key, SUM(l_quantity) AS qty FROM lineitem GROUP BY l_orderkey)
+SELECT j.o_orderkey, j.szFInvoiceId, coalesce(q.qty, 0.0) AS decQtyInvoice
+FROM j LEFT JOIN q ON q.q_key = j.szFInvoiceId"""
+
+FAN_OUT_DISTINCT = """SELECT DISTINCT o.o_orderkey, a.l_partkey, a.l_quantity
+FROM orders o
+LEFT JOIN lineitem a ON a.l_orderkey = o.o_orderkey
+LEFT JOIN lineitem b ON b.l_orderkey = o.o_orderkey
+WHERE o.o_orderdate >= TIMESTAMP '1998-01-01' AND o.o_orderdate < TIMESTAMP '1998-04-01'
+  AND (a.l_returnflag = 'N' OR b.l_linestatus = 'O')"""
+
+_TYPE = "CASE WHEN l_returnflag = 'N' THEN 'JUAL' ELSE 'RETUR' END"
+_TS, _TE = "TIMESTAMP '1997-01-01'", "TIMESTAMP '1998-01-01'"
+PO_TRACKING = f"""WITH {LI},
+si AS (
+  SELECT CASE WHEN o_orderstatus = 'P' THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS szFSoId,
+         CASE WHEN o_orderstatus = 'F' THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS szFPoId,
+         CAST(o_orderkey AS VARCHAR) AS szFDoId, CAST(o_orderkey AS VARCHAR) AS szFDnId,
+         CAST(o_custkey AS VARCHAR) AS szCustId
+  FROM orders),
+so AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS szFSoId,
+         CASE WHEN o_orderpriority LIKE '1%' THEN '' ELSE o_orderpriority END AS szCustPoId,
+         o_orderdate AS dtmCreated, o_orderdate AS dtmOrder
+  FROM orders WHERE o_orderstatus <> 'P'),
+po AS (SELECT CAST(o_orderkey AS VARCHAR) AS szFPo_sId, o_orderdate AS dtmCreated, o_orderdate AS dtmPO
+       FROM orders WHERE o_orderstatus <> 'F'),
+soi AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS szFSoId, l_linenumber AS shItemNumber, CAST(l_partkey AS VARCHAR) AS szProductId,
+         CAST(l_suppkey AS VARCHAR) AS szParentId, l_returnflag AS szPaymentType, {_TYPE} AS szOrderItemTypeId,
+         {_KIND} AS kind, taxable, dpp, tax, disc, l_quantity AS decQty, amount AS decAmount
+  FROM li),
+poi AS (SELECT CAST(l_orderkey AS VARCHAR) AS szFPo_sId,
+               CASE WHEN l_linestatus = 'O' THEN 'BELI' ELSE 'LAIN' END AS purchaseItemTypeId FROM lineitem),
+prod AS (SELECT CAST(p_partkey AS VARCHAR) AS szProductId, p_name AS szName FROM part),
+cust AS (SELECT CAST(c_custkey AS VARCHAR) AS szCustId, c_name AS szName, c_mktsegment AS szCategory_2 FROM customer),
+cat AS (SELECT DISTINCT c_mktsegment AS szCategoryId,
+               CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'GT' WHEN 'BUILDING' THEN 'MTI' ELSE 'OTHER' END AS szDescription
+        FROM customer),
+do_ AS (SELECT CAST(o_orderkey AS VARCHAR) AS szDoId FROM orders),
+delv AS (SELECT CAST(l_orderkey AS VARCHAR) AS custOrderNo, CAST(l_orderkey AS VARCHAR) AS szDoBosnetId,
+                max(l_shipdate) AS outTime FROM lineitem GROUP BY l_orderkey),
+k AS (
+  SELECT soi.*,
+         CASE WHEN taxable AND dpp + tax <> 0 THEN dpp / (dpp + tax) ELSE 1.0 END AS wd,
+         CASE WHEN taxable AND dpp + tax <> 0 THEN tax / (dpp + tax) ELSE 1.0 END AS wt1
+  FROM soi WHERE szFSoId IN (SELECT szFSoId FROM so WHERE dtmOrder >= {_TS})),
+w AS (
+  SELECT szFSoId AS w_so, shItemNumber AS w_item,
+         {_w('Invoice Disc.', 'wd')} AS wfd, {_w('Invoice Disc.', 'wt1')} AS wft
+  FROM k GROUP BY 1, 2),
+bonus AS (
+  SELECT b.szFSoId, b.szProductId, b.szParentId, b.szPaymentType, b.szOrderItemTypeId,
+         {fsum('b.disc * w.wfd', 6)} AS decDiscFakturDPP, {fsum('b.disc * w.wft', 6)} AS decDiscFakturTax
+  FROM soi b JOIN w ON b.szFSoId = w.w_so AND b.shItemNumber = w.w_item
+  WHERE b.szProductId IS NOT NULL
+  GROUP BY 1, 2, 3, 4, 5)
+SELECT DISTINCT
+  CASE WHEN coalesce(trim(so.szCustPoId), '') = '' THEN si.szFPoId ELSE coalesce(trim(so.szCustPoId), '') END
+    AS purchase_order_number,
+  {ts_text(f"coalesce(po.dtmCreated, {_SENTINEL})")} AS date_created,
+  {ts_text(f"coalesce(so.dtmCreated, {_SENTINEL})")} AS po_on_review_date,
+  {ts_text(f"coalesce(so.dtmOrder, {_SENTINEL})")} AS po_approve_lv1_date,
+  si.szFSoId AS sales_order_number, CAST(NULL AS BOOLEAN) AS canceled_order,
+  CAST(NULL AS BOOLEAN) AS rejected_order, {ts_text(_SENTINEL)} AS send_to_wms_date,
+  si.szCustId AS customer_id, cust.szName AS customer_name,
+  coalesce(custCat.szDescription, '') AS customer_category_description,
+  {ts_text(f"coalesce(delv.outTime, {_SENTINEL})")} AS delivered_date_feedback_wms,
+  {ts_text(_SENTINEL)} AS received_date,
+  {ts_text("CASE WHEN rtrim(si.szFPoId) = '' THEN so.dtmCreated ELSE po.dtmCreated END")} AS poDate,
+  soi.szProductId AS product_id, prod1.szName AS product_name, soi.decQty AS qty_order,
+  soi.decAmount AS amount_incl_ppn_before_discount,
+  soi.decAmount - coalesce(bonus.decDiscFakturDPP, 0) - coalesce(bonus.decDiscFakturTax, 0) AS nett_amount_incl_ppn,
+  false AS bStatusDN, {ts_text(_SENTINEL)} AS dn_closed_date, si.szFDnId AS szfdnid
+FROM si
+LEFT JOIN so ON si.szFSoId = so.szFSoId
+LEFT JOIN po ON si.szFPoId = po.szFPo_sId
+LEFT JOIN soi ON soi.szFSoId = so.szFSoId
+LEFT JOIN poi ON poi.szFPo_sId = po.szFPo_sId
+LEFT JOIN prod prod1 ON soi.szProductId = prod1.szProductId
+LEFT JOIN cust ON cust.szCustId = si.szCustId
+LEFT JOIN do_ ON do_.szDoId = si.szFDoId
+LEFT JOIN delv ON delv.custOrderNo = si.szFSoId AND rtrim(delv.custOrderNo) <> '' AND do_.szDoId = delv.szDoBosnetId
+LEFT JOIN cat custCat ON custCat.szCategoryId = cust.szCategory_2
+LEFT JOIN bonus ON bonus.szFSoId = soi.szFSoId AND soi.szProductId = bonus.szProductId
+               AND bonus.szParentId = soi.szParentId AND bonus.szPaymentType = soi.szPaymentType
+               AND bonus.szOrderItemTypeId = soi.szOrderItemTypeId
+WHERE (soi.szOrderItemTypeId = 'JUAL' OR poi.purchaseItemTypeId = 'BELI' OR poi.purchaseItemTypeId = 'BELI-BERIKAT')
+  AND ((rtrim(si.szFPoId) <> '' AND po.dtmPO >= {_TS} AND po.dtmPO < {_TE})
+       OR (rtrim(si.szFPoId) = '' AND so.dtmOrder >= {_TS} AND so.dtmOrder < {_TE}))
+  AND so.dtmCreated >= {_TS} AND so.dtmCreated < {_TE}
+  AND delv.outTime >= {_TS} AND delv.outTime < {_TE}
+  AND custCat.szDescription IN ('GT', 'MTI')"""
+
+CONST_ON_JOIN = f"""SELECT c.c_custkey, c.c_name, coalesce(a.n_finished, 0) AS n_finished,
+       coalesce(a.finished_value, 0.0) AS finished_value
+FROM customer c
+LEFT JOIN (SELECT o_custkey, COUNT(*) AS n_finished, {fsum('o_totalprice', 2)} AS finished_value
+           FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) a ON c.c_custkey = a.o_custkey"""
+
+COMPUTED_KEY_JOIN = """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS orders_that_day FROM orders GROUP BY 1)
+SELECT l.l_orderkey, l.l_linenumber, strftime(CAST(l.l_shipdate AS DATE), '%Y-%m-%d') AS ship_day,
+       coalesce(d.orders_that_day, 0) AS orders_that_day
+FROM lineitem l LEFT JOIN d ON d.day = CAST(l.l_shipdate AS DATE)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "invoice_lines": INVOICE_LINES,
@@ -181,4 +428,23 @@ def oracle_sql() -> dict[str, str]:
         "top1_global": TOP1_GLOBAL,
         "vehicle_load": VEHICLE_LOAD,
         "qty_preaggregated": QTY_PREAGGREGATED,
+        "net_measures": NET_MEASURES,
+        "po_discount": PO_DISCOUNT,
+        "settings_const_join": SETTINGS_CONST_JOIN,
+        "settings_pivot": SETTINGS_PIVOT,
+        "approval_levels": APPROVAL_LEVELS,
+        "hierarchy": HIERARCHY,
+        "sell_out": SELL_OUT,
+        "sell_out_slices": SELL_OUT_SLICES,
+        "json_field": JSON_FIELD,
+        "unified_sales": UNIFIED_SALES,
+        "stage_pivot": STAGE_PIVOT,
+        "sales_cube": SALES_CUBE,
+        "mtd_trend": MTD_TREND,
+        "top_n": TOP_N,
+        "fallback_chain": FALLBACK_CHAIN,
+        "fan_out_distinct": FAN_OUT_DISTINCT,
+        "po_tracking": PO_TRACKING,
+        "const_on_join": CONST_ON_JOIN,
+        "computed_key_join": COMPUTED_KEY_JOIN,
     }

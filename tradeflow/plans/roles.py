@@ -162,3 +162,114 @@ def so_item_bonus(li: DataFrame) -> DataFrame:
 def so_header(orders: DataFrame) -> DataFrame:
     return orders.select(F.col("o_orderkey").alias("szFSoId"), F.col("o_orderdate").alias("dtmOrder"),
                          F.col("o_orderdate").alias("dtmCreated"))
+
+
+# ------------------------------------------------------------- order tracking
+
+# Which order status plays which document role, the customer
+# segments standing for the two channels, and the line flags standing for
+# selling and buying item types.
+SO_ONLY_STATUS = "F"        # inquiry without a purchase order id
+PO_ONLY_STATUS = "P"        # inquiry without a sales order id
+CHANNEL_BY_SEGMENT = {"AUTOMOBILE": "GT", "BUILDING": "MTI"}
+
+
+def _s(c):
+    return F.col(c).cast("string")
+
+
+def inquiry(orders: DataFrame) -> DataFrame:
+    st = F.col("o_orderstatus")
+    return orders.select(
+        F.when(st == PO_ONLY_STATUS, F.lit("")).otherwise(_s("o_orderkey")).alias("szFSoId"),
+        F.when(st == SO_ONLY_STATUS, F.lit("")).otherwise(_s("o_orderkey")).alias("szFPoId"),
+        _s("o_orderkey").alias("szFDoId"), _s("o_orderkey").alias("szFDnId"), _s("o_custkey").alias("szCustId"))
+
+
+def sales_order(orders: DataFrame) -> DataFrame:
+    pri = F.col("o_orderpriority")
+    return orders.where(F.col("o_orderstatus") != PO_ONLY_STATUS).select(
+        _s("o_orderkey").alias("szFSoId"), F.when(pri.like("1%"), F.lit("")).otherwise(pri).alias("szCustPoId"),
+        _s("o_custkey").alias("gdApprovedId"), F.col("o_orderdate").alias("dtmCreated"),
+        F.col("o_orderdate").alias("dtmOrder"))
+
+
+def purchase_order(orders: DataFrame) -> DataFrame:
+    return orders.where(F.col("o_orderstatus") != SO_ONLY_STATUS).select(
+        _s("o_orderkey").alias("szFPo_sId"), F.col("o_orderdate").alias("dtmCreated"),
+        F.col("o_orderdate").alias("dtmPO"))
+
+
+def _item_type():
+    return F.when(F.col("l_returnflag") == "N", F.lit("JUAL")).otherwise(F.lit("RETUR"))
+
+
+def tracking_so_item(li: DataFrame) -> DataFrame:
+    t = line_terms(li)
+    return t.select(
+        _s("l_orderkey").alias("szFSoId"), F.col("l_linenumber").alias("shItemNumber"),
+        _s("l_partkey").alias("szProductId"), _s("l_suppkey").alias("szParentId"),
+        F.col("l_returnflag").alias("szPaymentType"), _item_type().alias("szOrderItemTypeId"),
+        disc_kind().alias("szPrincipalDiscRefId"), "bTaxable", F.col("l_quantity").alias("decQty"),
+        "decAmount", "decDPP", "decTax")
+
+
+def tracking_so_item_bonus(li: DataFrame) -> DataFrame:
+    return li.select(
+        _s("l_orderkey").alias("szFSoId"), F.col("l_linenumber").alias("shItemNumber"),
+        _s("l_partkey").alias("szProductId"), _s("l_suppkey").alias("szParentId"),
+        F.col("l_returnflag").alias("szPaymentType"), _item_type().alias("szOrderItemTypeId"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("decBonusAmount"))
+
+
+def purchase_order_item(li: DataFrame) -> DataFrame:
+    return li.select(_s("l_orderkey").alias("szFPo_sId"),
+                     F.when(F.col("l_linestatus") == "O", F.lit("BELI")).otherwise(F.lit("LAIN"))
+                      .alias("purchaseItemTypeId"))
+
+
+def category_dim(customer: DataFrame) -> DataFrame:
+    seg = F.col("szCategoryId")
+    desc = F.lit("OTHER")
+    for s, ch in reversed(list(CHANNEL_BY_SEGMENT.items())):
+        desc = F.when(seg == s, F.lit(ch)).otherwise(desc)
+    cats = customer.select(F.col("c_mktsegment").alias("szCategoryId")).distinct()
+    return cats.select("szCategoryId", desc.alias("szDescription"))
+
+
+def wms_delivery(li: DataFrame) -> DataFrame:
+    """Delivery confirmations: one per order, shipped with its last line."""
+    return li.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("outTime")).select(
+        _s("l_orderkey").alias("custOrderNo"), _s("l_orderkey").alias("orderNo"),
+        _s("l_orderkey").alias("szDoBosnetId"), "outTime")
+
+
+def tracking_sources(spark: SparkSession, sf_dir: str, start):
+    from ..operators.aggregates import order_bonus
+    from .tracking import TrackingSources
+
+    li, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    customer, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    so = sales_order(orders)
+    bonus = order_bonus(tracking_so_item(li), so, tracking_so_item_bonus(li), order_since=start)
+    return TrackingSources(
+        sales_inquiry=inquiry(orders), sales_order=so, sales_order_item=tracking_so_item(li),
+        purchase_order=purchase_order(orders), purchase_order_item=purchase_order_item(li),
+        product=part.select(_s("p_partkey").alias("szProductId"), F.col("p_name").alias("szName")),
+        customer=customer.select(_s("c_custkey").alias("szCustId"), F.col("c_name").alias("szName"),
+                                 F.col("c_mktsegment").alias("szCategory_2")),
+        category=category_dim(customer),
+        delivery_order=orders.select(_s("o_orderkey").alias("szDoId")),
+        wms_delivery=wms_delivery(li), order_bonus=bonus)
+
+
+# ---------------------------------------------------------------- sell-out
+
+def sell_out_documents(events: DataFrame) -> DataFrame:
+    """Events as store sell-out documents with a text date."""
+    k = F.get_json_object("props", "$.k")
+    return events.select(
+        _s("event_id").alias("_id"), F.date_format("ts", "MMMM").alias("month_name"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date_"), F.col("event_type").alias("channel_name"),
+        _s("user_id").alias("store_code"), k.alias("product_code"), k.cast("bigint").alias("qty"),
+        F.col("value").alias("price"), F.col("value").alias("value"))
