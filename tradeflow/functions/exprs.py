@@ -115,8 +115,10 @@ def closed_range(c, start, end) -> Column:
 
 
 def fixed_units(term, scale: int) -> Column:
-    """A money term as a whole number of ``10**-scale`` units."""
-    return F.round(col(term) * F.lit(float(10 ** scale))).cast("long")
+    """A money term as a whole number of ``10**-scale`` units, rounded half
+    up by ``floor(x * 10**scale + 0.5)``: two IEEE operations, the same in any
+    engine, and far cheaper than ``round`` (which goes through BigDecimal)."""
+    return F.floor(col(term) * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
 
 
 def exact_sum(term, scale: int = 2) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 def fsum(expr: str, scale: int) -> str:
     """Fixed-point sum, the SQL twin of ``exprs.exact_sum``."""
     f = f"CAST(1e{scale} AS DOUBLE)"
-    return f"SUM(CAST(ROUND(({expr}) * {f}) AS BIGINT)) / {f}"
+    return f"SUM(CAST(floor(({expr}) * {f} + CAST(0.5 AS DOUBLE)) AS BIGINT)) / {f}"
 
 
 def ts_text(c: str) -> str:
@@ -282,7 +282,7 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_
 GROUP BY CUBE (n.n_name, c.c_mktsegment)"""
 
 MTD_TREND = """WITH d AS (
-  SELECT CAST(o_orderdate AS DATE) AS day, SUM(CAST(ROUND(o_totalprice * CAST(1e2 AS DOUBLE)) AS BIGINT)) AS units
+  SELECT CAST(o_orderdate AS DATE) AS day, SUM(CAST(floor(o_totalprice * CAST(1e2 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT)) AS units
   FROM orders GROUP BY 1),
 m AS (
   SELECT day, units / CAST(1e2 AS DOUBLE) AS day_value,
