@@ -52,6 +52,13 @@ def workplace_is(value: str) -> Callable[[], Column]:
     return lambda: F.col("dow_szWorkplaceId") == F.lit(value)
 
 
+def live_headers(src: InvoiceSources, start, end, closed_end: bool = False) -> DataFrame:
+    """Invoice headers in the period that are not void and are applied."""
+    per = F.col("dtmPeriode")
+    in_period = (per >= F.lit(start)) & ((per <= F.lit(end)) if closed_end else (per < F.lit(end)))
+    return src.invoice.where(in_period & (F.col("bVoid") == F.lit(False)) & (F.col("bApplied") == F.lit(True)))
+
+
 def live_invoice_lines(src: InvoiceSources, start, end, workplace_filter: Callable[[], Column] | None,
                        closed_end: bool = False) -> DataFrame:
     """Invoice lines of live invoices (not void, applied) in the period,
@@ -62,10 +69,7 @@ def live_invoice_lines(src: InvoiceSources, start, end, workplace_filter: Callab
     delivery order as ``do_*``, delivery workplace as ``dow_*``.
     """
     inv_cols = ["szFInvoiceId", "szWorkplaceId", "szCustId", "szSalesId", "dtmPeriode"]
-    per = F.col("dtmPeriode")
-    in_period = (per >= F.lit(start)) & ((per <= F.lit(end)) if closed_end else (per < F.lit(end)))
-    inv = src.invoice.where(in_period & (F.col("bVoid") == F.lit(False)) & (F.col("bApplied") == F.lit(True)))
-    inv = _prefixed(inv, "inv_", inv_cols)
+    inv = _prefixed(live_headers(src, start, end, closed_end), "inv_", inv_cols)
 
     typ = F.col("szInvItemType")
     items = src.invoice_item.where((ne_blank("szProductId") & (typ == "DOR")) | (typ != "DOR"))
@@ -102,8 +106,9 @@ def invoice_lines(src: InvoiceSources, start, end, workplace_filter: Callable[[]
     lines = live_invoice_lines(src, start, end, workplace_filter)
 
     if src.invoice_item_bonus is not None:
-        # bonuses only of the invoices in scope, aggregated before the join
-        scope = lines.select(F.col("szFInvoiceId").alias("_inv")).distinct()
+        # bonuses only of the live invoices of the period, aggregated before
+        # the join (a superset of the invoices shown; the 6-key join picks)
+        scope = live_headers(src, start, end).select(F.col("szFInvoiceId").alias("_inv"))
         b_src = src.invoice_item_bonus.join(scope, src.invoice_item_bonus["szFInvoiceId"] == scope["_inv"],
                                             "left_semi")
         b_items = src.invoice_item.join(scope, src.invoice_item["szFInvoiceId"] == scope["_inv"], "left_semi")

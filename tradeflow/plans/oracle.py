@@ -78,7 +78,7 @@ _DISC_BONUS = ("CASE WHEN NOT taxable THEN coalesce(bonus_amt, 0) "
 
 INVOICE_LINES = f"""WITH {LI},
 {_live_lines('1998-10-01', '1998-11-01', False, "dow.n_name LIKE '%1%'")},
-{_invoice_bonus('AND l_orderkey IN (SELECT l_orderkey FROM lw)')},
+{_invoice_bonus('AND l_orderkey IN (SELECT inv_id FROM inv)')},
 x AS (
   SELECT lw.*, a.bonus_amt, a.bonus_tax, wp.n_name AS wp_name, cust.c_name AS cust_name,
          cust.c_mktsegment AS cust_addr, cdel.c_name AS cdel_name, loc.n_name AS city, p.p_name AS prod_name

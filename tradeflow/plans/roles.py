@@ -34,8 +34,19 @@ BONUS_PAY_FLAGS = ("A", "R")
 DISC_KIND_BY_FLAG = {"A": "Invoice Disc. Item", "N": "Invoice Disc. Item 2", "R": "Invoice Disc."}
 
 
+_SCHEMAS: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a test table. The schema of each file is read once per process
+    and then declared, so later reads skip the footer (file listing stays)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    ddl = _SCHEMAS.get(path)
+    if ddl is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema.simpleString()[len("struct<"):-1].replace(":", " ")
+        return df
+    return spark.read.schema(ddl).parquet(path)
 
 
 def line_terms(li: DataFrame) -> DataFrame:
