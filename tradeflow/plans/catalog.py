@@ -240,6 +240,17 @@ def q_sales_cube(spark, sf):
     return mart.sales_summary(j, ["n_name", "c_mktsegment"], "o_totalprice", how="cube")
 
 
+def q_sales_rollup(spark, sf):
+    """T8/A8 roll-up of order value region > nation with grouping id."""
+    o = _t(spark, sf, "orders").select("o_custkey", "o_totalprice")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = _t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = _t(spark, sf, "region").select("r_regionkey", "r_name")
+    dims = F.broadcast(n.join(r, n["n_regionkey"] == r["r_regionkey"], "inner"))   # 25 rows, fixed
+    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner").join(dims, F.col("c_nationkey") == F.col("n_nationkey"))
+    return mart.sales_summary(j, ["r_name", "n_name"], "o_totalprice", how="rollup")
+
+
 def q_mtd_trend(spark, sf):
     """T8/W2/W3 order value per day, month-to-date total, previous day."""
     t = mart.mtd_trend(_t(spark, sf, "orders"), "o_orderdate", "o_totalprice")
@@ -341,6 +352,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unified_sales": q_unified_sales,
         "stage_pivot": q_stage_pivot,
         "sales_cube": q_sales_cube,
+        "sales_rollup": q_sales_rollup,
         "mtd_trend": q_mtd_trend,
         "top_n": q_top_n,
         "fallback_chain": q_fallback_chain,

@@ -281,6 +281,12 @@ SALES_CUBE = f"""SELECT n.n_name, c.c_mktsegment, {fsum('o.o_totalprice', 2)} AS
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY CUBE (n.n_name, c.c_mktsegment)"""
 
+SALES_ROLLUP = f"""SELECT r.r_name, n.n_name, {fsum('o.o_totalprice', 2)} AS total_value, COUNT(*) AS n_rows,
+       GROUPING(r.r_name, n.n_name) AS grouping_id
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY ROLLUP (r.r_name, n.n_name)"""
+
 MTD_TREND = """WITH d AS (
   SELECT CAST(o_orderdate AS DATE) AS day, SUM(CAST(floor(o_totalprice * CAST(1e2 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT)) AS units
   FROM orders GROUP BY 1),
@@ -440,6 +446,7 @@ def oracle_sql() -> dict[str, str]:
         "unified_sales": UNIFIED_SALES,
         "stage_pivot": STAGE_PIVOT,
         "sales_cube": SALES_CUBE,
+        "sales_rollup": SALES_ROLLUP,
         "mtd_trend": MTD_TREND,
         "top_n": TOP_N,
         "fallback_chain": FALLBACK_CHAIN,

@@ -256,13 +256,11 @@ def wms_delivery(li: DataFrame) -> DataFrame:
 
 
 def tracking_sources(spark: SparkSession, sf_dir: str, start):
-    from ..operators.aggregates import order_bonus
     from .tracking import TrackingSources
 
     li, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     customer, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
     so = sales_order(orders)
-    bonus = order_bonus(tracking_so_item(li), so, tracking_so_item_bonus(li), order_since=start)
     return TrackingSources(
         sales_inquiry=inquiry(orders), sales_order=so, sales_order_item=tracking_so_item(li),
         purchase_order=purchase_order(orders), purchase_order_item=purchase_order_item(li),
@@ -271,7 +269,7 @@ def tracking_sources(spark: SparkSession, sf_dir: str, start):
                                  F.col("c_mktsegment").alias("szCategory_2")),
         category=category_dim(customer),
         delivery_order=orders.select(_s("o_orderkey").alias("szDoId")),
-        wms_delivery=wms_delivery(li), order_bonus=bonus)
+        wms_delivery=wms_delivery(li), sales_order_item_bonus=tracking_so_item_bonus(li))
 
 
 # ---------------------------------------------------------------- sell-out

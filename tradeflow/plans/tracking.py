@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as M
 from ..functions.exprs import eq_blank, is_blank, ne_blank, or_blank, sentinel_ts
+from ..operators.aggregates import order_bonus
 from ..operators.joins import latest_per_key
 
 # Fixed values of the source query.
@@ -46,6 +47,7 @@ class TrackingSources:
     delivery_order: DataFrame
     wms_delivery: DataFrame
     order_bonus: DataFrame | None = None
+    sales_order_item_bonus: DataFrame | None = None
     po_receipt: DataFrame | None = None
     purchase_message: DataFrame | None = None
     cancel_message: DataFrame | None = None
@@ -131,8 +133,15 @@ def po_tracking_mtd(src: TrackingSources, start, end, channels=DEFAULT_CHANNELS)
     prod = _p(src.product, "prod_", ["szProductId", "szName"])
     x = x.join(prod, x["soi_szProductId"] == prod["prod_szProductId"], "left")
 
-    if src.order_bonus is not None:
-        b = _p(src.order_bonus, "bon_", ["szFSoId", "szProductId", "szParentId", "szPaymentType",
+    bonus = src.order_bonus
+    if bonus is None and src.sales_order_item_bonus is not None:
+        # A3 only for the sales orders this window can show (created in it),
+        # aggregated before the join; the source's bonus date bound is the
+        # window start
+        scoped = src.sales_order.where(rng("dtmCreated"))
+        bonus = order_bonus(src.sales_order_item, scoped, src.sales_order_item_bonus, order_since=start)
+    if bonus is not None:
+        b = _p(bonus, "bon_", ["szFSoId", "szProductId", "szParentId", "szPaymentType",
                                          "szOrderItemTypeId", "decDiscFakturDPP", "decDiscFakturTax"])
         keys = ["szFSoId", "szProductId", "szParentId", "szPaymentType", "szOrderItemTypeId"]
         x = x.join(b, [x["soi_" + k] == b["bon_" + k] for k in keys], "left")
