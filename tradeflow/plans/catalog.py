@@ -19,7 +19,7 @@ from ..operators import aggregates as A
 from ..operators import joins as J
 from . import mart
 from . import roles as R
-from .invoice import invoice_lines, vehicle_load, workplace_settings
+from .invoice import invoice_lines, ordered_export, vehicle_load, workplace_settings
 from .sellout import sell_out
 from .tracking import po_tracking_mtd
 
@@ -50,6 +50,11 @@ def q_invoice_lines(spark: SparkSession, sf: str) -> DataFrame:
                          bonus_pay_types=R.BONUS_PAY_FLAGS)
 
 
+def q_ordered_export(spark, sf):
+    """O1 the flagship report in its 22-key export order (nulls first)."""
+    return ordered_export(q_invoice_lines(spark, sf))
+
+
 def q_order_bonus(spark, sf):
     """A3 order bonus split by discount kind into base and tax parts."""
     li, orders = _t(spark, sf, "lineitem"), _t(spark, sf, "orders")
@@ -333,6 +338,7 @@ def q_computed_key_join(spark, sf):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "invoice_lines": q_invoice_lines,
+        "ordered_export": q_ordered_export,
         "order_bonus": q_order_bonus,
         "invoice_bonus": q_invoice_bonus,
         "without_reversed": q_without_reversed,

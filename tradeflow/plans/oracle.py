@@ -103,6 +103,13 @@ SELECT inv_wp AS WorkplaceId, coalesce(wp_name, '') AS WorkplaceName, coalesce(d
        concat_ws('-', coalesce(CAST(inv_id AS VARCHAR), ''), coalesce(CAST(l_partkey AS VARCHAR), '')) AS InvoiceProductID
 FROM x"""
 
+_EXPORT_ORDER = ["WorkplaceId", "WorkplaceName", "SoId", "DoId", "InvoiceId", "OrderDate", "SalesID",
+                 "EmployeeName", "CustomerId", "CustomerName", "Address", "Muncipality", "ProductID",
+                 "ProductName", "Price", "Quantity", "Amount", "Tax", "NettAmount", "NettAmountIncTax",
+                 "Discount", "DiscountItem"]
+ORDERED_EXPORT = (f"SELECT * FROM ({INVOICE_LINES}) t ORDER BY "
+                  + ", ".join(f"{c} ASC NULLS FIRST" for c in _EXPORT_ORDER))
+
 INVOICE_BONUS = f"""WITH {LI},
 {_invoice_bonus('')}
 SELECT a_inv AS szFInvoiceId, a_prod AS szProductId, a_do AS szFDoId, a_parent AS szParentId,
@@ -427,6 +434,7 @@ FROM lineitem l LEFT JOIN d ON d.day = CAST(l.l_shipdate AS DATE)"""
 def oracle_sql() -> dict[str, str]:
     return {
         "invoice_lines": INVOICE_LINES,
+        "ordered_export": ORDERED_EXPORT,
         "order_bonus": ORDER_BONUS,
         "invoice_bonus": INVOICE_BONUS,
         "without_reversed": WITHOUT_REVERSED,
