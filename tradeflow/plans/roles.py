@@ -36,6 +36,18 @@ DISC_KIND_BY_FLAG = {"A": "Invoice Disc. Item", "N": "Invoice Disc. Item 2", "R"
 
 _SCHEMAS: dict[str, str] = {}
 
+# Natural key of each fact table, used to spread a scan that arrives in fewer
+# splits than the session has cores (a small file written as one row group).
+SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+
+
+def _spread(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    key = SPREAD_KEYS.get(name)
+    cores = spark.sparkContext.defaultParallelism
+    if key is None or df.rdd.getNumPartitions() >= cores:
+        return df          # on a cluster every large input has many splits: nothing to do
+    return df.repartition(cores, key)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read a test table. The schema of each file is read once per process
@@ -45,8 +57,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if ddl is None:
         df = spark.read.parquet(path)
         _SCHEMAS[path] = df.schema.simpleString()[len("struct<"):-1].replace(":", " ")
-        return df
-    return spark.read.schema(ddl).parquet(path)
+    else:
+        df = spark.read.schema(ddl).parquet(path)
+    return _spread(spark, df, name)
 
 
 def line_terms(li: DataFrame) -> DataFrame:
