@@ -365,7 +365,7 @@ cat AS (SELECT DISTINCT c_mktsegment AS szCategoryId,
                CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'GT' WHEN 'BUILDING' THEN 'MTI' ELSE 'OTHER' END AS szDescription
         FROM customer),
 do_ AS (SELECT CAST(o_orderkey AS VARCHAR) AS szDoId FROM orders),
-delv AS (SELECT CAST(l_orderkey AS VARCHAR) AS custOrderNo, CAST(l_orderkey AS VARCHAR) AS szDoBosnetId,
+delv AS (SELECT CAST(l_orderkey AS VARCHAR) AS custOrderNo, CAST(l_orderkey AS VARCHAR) AS szDoRefId,
                 max(l_shipdate) AS outTime FROM lineitem GROUP BY l_orderkey),
 k AS (
   SELECT soi.*,
@@ -407,7 +407,7 @@ LEFT JOIN poi ON poi.szFPo_sId = po.szFPo_sId
 LEFT JOIN prod prod1 ON soi.szProductId = prod1.szProductId
 LEFT JOIN cust ON cust.szCustId = si.szCustId
 LEFT JOIN do_ ON do_.szDoId = si.szFDoId
-LEFT JOIN delv ON delv.custOrderNo = si.szFSoId AND rtrim(delv.custOrderNo) <> '' AND do_.szDoId = delv.szDoBosnetId
+LEFT JOIN delv ON delv.custOrderNo = si.szFSoId AND rtrim(delv.custOrderNo) <> '' AND do_.szDoId = delv.szDoRefId
 LEFT JOIN cat custCat ON custCat.szCategoryId = cust.szCategory_2
 LEFT JOIN bonus ON bonus.szFSoId = soi.szFSoId AND soi.szProductId = bonus.szProductId
                AND bonus.szParentId = soi.szParentId AND bonus.szPaymentType = soi.szPaymentType

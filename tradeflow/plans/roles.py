@@ -265,7 +265,7 @@ def wms_delivery(li: DataFrame) -> DataFrame:
     """Delivery confirmations: one per order, shipped with its last line."""
     return li.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("outTime")).select(
         _s("l_orderkey").alias("custOrderNo"), _s("l_orderkey").alias("orderNo"),
-        _s("l_orderkey").alias("szDoBosnetId"), "outTime")
+        _s("l_orderkey").alias("szDoRefId"), "outTime")
 
 
 def tracking_sources(spark: SparkSession, sf_dir: str, start):

@@ -100,8 +100,8 @@ def po_tracking_mtd(src: TrackingSources, start, end, channels=DEFAULT_CHANNELS)
     do = _p(src.delivery_order, "do_", ["szDoId"])
     x = x.join(do, x["si_szFDoId"] == do["do_szDoId"], "left")
     delv = _p(src.wms_delivery.where(ne_blank("custOrderNo") & rng("outTime")), "delv_",
-              ["custOrderNo", "szDoBosnetId", "outTime"])
-    x = x.join(delv, (x["si_szFSoId"] == delv["delv_custOrderNo"]) & (x["do_szDoId"] == delv["delv_szDoBosnetId"]),
+              ["custOrderNo", "szDoRefId", "outTime"])
+    x = x.join(delv, (x["si_szFSoId"] == delv["delv_custOrderNo"]) & (x["do_szDoId"] == delv["delv_szDoRefId"]),
                "inner")
 
     cust = _p(src.customer, "cust_", ["szCustId", "szName", "szCategory_2"])

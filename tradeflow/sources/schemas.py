@@ -35,7 +35,7 @@ _DDL = {
                       "szWorkplaceId string, szFInvoiceId string, szVehicleId string, "
                       "dtmDelivery timestamp_ntz",
     "delivery_reversal": "szFReversalId string, szFDoId string, szReverseDoId string, bApplied boolean",
-    "wms_delivery": "custOrderNo string, orderNo string, szDoBosnetId string, outTime timestamp_ntz",
+    "wms_delivery": "custOrderNo string, orderNo string, szDoRefId string, outTime timestamp_ntz",
     "wms_delivery_item": f"custOrderNo string, orderNo string, code string, qty {DEC}",
     "invoice": "szFInvoiceId string, szWorkplaceId string, szCustId string, szSalesId string, "
                "dtmPeriode timestamp_ntz, dtmCreated timestamp_ntz, bVoid boolean, bApplied boolean",
