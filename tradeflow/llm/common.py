@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeflow.session import ensure_checkpoint_dir
@@ -62,3 +62,22 @@ def one_row(df: DataFrame) -> tuple:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ranked(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFrame:
+    """``df`` with its zero-based place in ``order``, without a global window.
+
+    Rows are range-partitioned and counted in each partition; only one row
+    per partition takes part in the running total. Give an order that splits
+    large ties.
+    """
+    parts = saved(
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn(rank, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "ranked")
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    # One row per partition of the write above.
+    return (parts.join(F.broadcast(starts), "_part")
+            .withColumn(rank, F.col(rank) + F.col("_start")).drop("_part", "_start"))

@@ -74,15 +74,17 @@ def gram_weights(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id",
     return [math.log(g) - math.log(r) + shift for g, r in zip(good, raw)]
 
 
-def base_measures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, and the counts of the base rules."""
-    d = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+def base_measures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                  whole: bool = False) -> DataFrame:
+    """doc_id, doc (the whole row as a struct, if asked for), text, and the counts of the base rules."""
+    doc = F.struct(*(docs[c] for c in docs.columns)) if whole else F.lit(None)
+    d = docs.select(F.col(id_col).alias("doc_id"), doc.alias("doc"), text_of(text_col).alias("text"))
     d = d.withColumn("words", words_of(F.col("text")))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     windows = F.slice(F.transform("words", lambda w, i: F.xxhash64(
         w, F.get("words", i + 1), F.get("words", i + 2))), 1, F.greatest(F.size("words") - 2, F.lit(0)))
     d = d.select(
-        "doc_id", "text", F.size("words").cast("long").alias("n_words"),
+        "doc_id", "doc", "text", F.size("words").cast("long").alias("n_words"),
         F.length(without_spaces(F.col("text"))).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         lines.alias("lines"), windows.alias("windows"))
@@ -98,7 +100,7 @@ def base_measures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         lambda a, i: F.struct((a.n + F.least(F.lit(3), i - a.last)).alias("n"), i.alias("last")),
         lambda a: a.n)
     return d.select(
-        "doc_id", "text", "n_words", "word_chars", "n_symbols",
+        "doc_id", "doc", "text", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
@@ -117,10 +119,16 @@ def llr(text: Column, weights: list[float] | None) -> Column:
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                  buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: its counts, base_failed, kept and llr (the score)."""
+                  buckets: int = BUCKETS, threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
+    """One row per document: its counts, base_failed, kept and llr (the score); doc is its row if ``whole``."""
     weights = gram_weights(docs, trusted, id_col=id_col, text_col=text_col, buckets=buckets)
-    d = base_measures(docs, id_col=id_col, text_col=text_col)
+    d = base_measures(docs, id_col=id_col, text_col=text_col, whole=whole)
     d = d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     d = d.withColumn("llr", F.when(~F.col("base_failed"), llr(F.col("text"), weights))).drop("text")
     return d.withColumn("kept", ~F.col("base_failed") & (F.coalesce("llr", F.lit(0.0)) >= threshold))
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that :func:`quality_rules` rejects, all columns kept."""
+    found = quality_rules(docs, trusted, id_col=id_col, text_col=text_col, whole=True).where("kept")
+    return found.select("doc.*")
