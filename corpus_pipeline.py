@@ -7,11 +7,12 @@ stage's ``docs``. All stages but the last return the columns of documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tradeflow.llm import exact_dedup, quality_llr
-from tradeflow.llm.common import free_name, saved, table
+from tradeflow.llm import bpe_codec, entropy_mix, exact_dedup, quality_llr, simhash_pivots
+from tradeflow.llm.common import saved, table
+from tradeflow.llm.queries import BPE_RANKS
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +25,23 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_first_copies(docs)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash_pivots.one_of_each(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated as the mix of sources asks."""
+    return entropy_mix.mixed_rows(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids and decoded bytes of every row of the mix."""
+    return bpe_codec.encode_decode(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
+
+
+STAGES = [("quality rules", quality), ("exact dedup", exact), ("simhash near-dedup", near),
+          ("mixing sources", mix), ("byte-level bpe", tokens)]
 
 #: Fingerprints, mixing by hash order and token ids cannot be said in DuckDB SQL; tests/llm has a brute-force version.
 ORACLE_SQL = None

@@ -17,8 +17,10 @@ Rates become copies by systematic rounding along each source in the order of
 size, then of an id hash: the k-th document takes
 ``floor(r(k+1) + 1/2) - floor(r k + 1/2)`` copies. Neighbours have nearly
 equal sizes, so a source misses its target by less than its longest document,
-and no document gets more than ``max_repeat`` copies. The place k comes from a
-range sort that splits hot sources and sizes.
+and no document gets more than ``max_repeat`` copies. A few passes then shrink
+what is missed: in each, every source adds or drops one copy of its longest
+document that still fits in the gap. The place k comes from a range sort that
+splits hot sources and sizes.
 
 Cases: null text has size zero, and documents without words keep their rate
 and take zero words. A null source is a source of its own, last in order. A
@@ -41,6 +43,7 @@ SHARE = 1.5
 MAX_REPEAT = 2
 TOLERANCE = 1e-9
 MAX_STEPS = 60
+SETTLING_PASSES = 4
 
 
 def source_targets(sources: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -80,6 +83,20 @@ def balance(histogram: DataFrame, targets: DataFrame, *, tolerance: float = TOLE
     return dual.select("place", F.exp("lam").alias("rate"))
 
 
+def settle(docs: DataFrame, *, max_repeat: int = MAX_REPEAT, passes: int = SETTLING_PASSES) -> DataFrame:
+    """docs: (place, k, size, target, copies, ...). Moves each source's total towards its target."""
+    for _ in range(passes):
+        gaps = docs.groupBy("place").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
+        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("gap")) & F.when(
+            F.col("gap") > 0, F.col("copies") < max_repeat).otherwise(F.col("copies") > 0)
+        best = (docs.select("place", "k", "size", "copies").join(gaps, "place").where(fits).groupBy("place")
+                .agg(F.max(F.struct("size", "k")).alias("pick"), F.max(F.signum("gap")).cast("int").alias("move"))
+                .select("place", F.col("pick.k").alias("k"), "move"))
+        docs = saved(docs.join(best, ["place", "k"], "left").withColumn(
+            "copies", F.col("copies") + F.coalesce("move", F.lit(0))).drop("move"), "settled")
+    return docs
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[float] = WEIGHTS, share: float = SHARE, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, rate, copies, taken, row_id."""
@@ -96,13 +113,15 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     same = histogram.source.eqNullSafe(targets.source)
     rates = balance(saved(histogram.join(targets, same).select("place", "size", "n"), "histogram"), targets)
     plan = targets.join(rates, "place", "left").select(
-        F.col("source").alias("of"), "first", F.col("tokens").alias("source_size"), "target",
+        F.col("source").alias("of"), "place", "first", F.col("tokens").alias("source_size"), "target",
         F.least(F.coalesce("rate", F.lit(0.0)), F.lit(float(max_repeat))).alias("rate"))
     d = placed.join(plan, placed.source.eqNullSafe(plan.of))
     k = F.col("k") - F.col("first")
     copies = F.floor(F.col("rate") * (k + 1) + 0.5) - F.floor(F.col("rate") * k + 0.5)
-    return d.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "rate",
-                    copies.cast("int").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "row_id")
+    d = settle(saved(d.select("id", "row_id", "place", "k", "size", "source_size", "target", "rate",
+                              copies.cast("int").alias("copies")), "copies"), max_repeat=max_repeat)
+    return d.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "rate", "copies",
+                    (F.col("copies") * F.col("size")).cast("long").alias("taken"), "row_id")
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:

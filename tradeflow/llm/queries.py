@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tradeflow.llm import exact_dedup, quality_llr
+from tradeflow.llm import bpe_codec, entropy_mix, exact_dedup, quality_llr, simhash_pivots
 from tradeflow.llm.common import table
 
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def op1_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_pivots.near_copies(table(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digests(bpe_codec.encode_decode(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN))
+
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = quality_llr.trusted_sample(table(spark, sf_dir, "labels"))
@@ -18,6 +30,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "llr")
 
 
+def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entropy_mix.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -25,7 +42,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash_pivots": op1_simhash_pivots,
+        "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_rules": op4_quality_rules,
+        "op7_entropy_mix": op7_entropy_mix,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
