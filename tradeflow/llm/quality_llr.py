@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import text_of, without_spaces, words_of
+from tradeflow.llm.common import text_of, words_of
 
 #: n-gram units: runs of letters, or runs of anything else but white space and letters.
 UNITS = r"\p{L}+|[^\p{L}\s]+"
@@ -35,12 +35,15 @@ THRESHOLD = -0.25
 TRUSTED_LIMIT = 20_000
 
 
-def _grams(units: Column, buckets: int) -> Column:
-    """Bucket pairs (1-gram, 2-gram with the next unit) of every unit."""
-    def pair(a: Column, b: Column) -> Column:
-        return F.array(F.pmod(F.xxhash64(a), F.lit(buckets)).cast("int"),
-                       F.pmod(F.xxhash64(a, F.coalesce(b, F.lit(" "))), F.lit(buckets)).cast("int"))
-    return F.zip_with(units, F.slice(units, 2, F.greatest(F.size(units), F.lit(1))), pair)
+def _buckets(buckets: int):
+    """Buckets of a unit and of it with the next; the last unit stands alone twice."""
+    def pair(a: Column, b: Column) -> tuple[Column, Column]:
+        return F.pmod(F.hash(a), F.lit(buckets)), F.pmod(F.hash(a, b), F.lit(buckets))
+    return pair
+
+
+def _with_next(units: Column, f) -> Column:
+    return F.zip_with(units, F.slice(units, 2, F.greatest(F.size(units), F.lit(1))), f)
 
 
 def _units(text: Column) -> Column:
@@ -58,10 +61,16 @@ def gram_weights(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id",
     """``log(p_trusted / p_corpus)`` of each bucket, add-one smoothed; None without trusted documents."""
     marked = docs.select(F.col(id_col).alias("id"), _units(text_of(text_col)).alias("units")).join(
         F.broadcast(trusted.withColumn("trusted", F.lit(1))), "id", "left")
+    pair = _buckets(buckets)
+
+    def packed(a: Column, b: Column) -> Column:
+        one, two = pair(a, b)
+        return one.cast("long") * buckets + two
     # explode_outer: a plain explode would infer a filter that repeats the whole expression.
-    grams = marked.select("trusted", F.explode_outer(_grams(F.col("units"), buckets)).alias("pair"))
+    grams = marked.select("trusted", F.explode_outer(_with_next(F.col("units"), packed)).alias("p")).where("p IS NOT NULL")
+    both = F.array(F.floor(F.col("p") / buckets).cast("int"), F.pmod("p", F.lit(buckets)).cast("int"))
     counts = (
-        grams.select("trusted", F.explode_outer("pair").alias("bucket")).where("bucket IS NOT NULL")
+        grams.select("trusted", F.explode(both).alias("bucket"))
         .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count("trusted").alias("t"))
     )
     raw, good = [1] * buckets, [1] * buckets
@@ -85,16 +94,16 @@ def base_measures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         w, F.get("words", i + 1), F.get("words", i + 2))), 1, F.greatest(F.size("words") - 2, F.lit(0)))
     d = d.select(
         "doc_id", "doc", "text", F.size("words").cast("long").alias("n_words"),
-        F.length(without_spaces(F.col("text"))).cast("long").alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         lines.alias("lines"), windows.alias("windows"))
     # Windows in the order of their hash, each with its place; equal neighbours are repeats.
     d = d.withColumn("placed", F.when(
         F.size(F.array_distinct("windows")) < F.size("windows"),
-        F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+        F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     again = F.transform("placed", lambda e, k: F.when(
         (e.h == F.get("placed", k - 1).h) | (e.h == F.get("placed", k + 1).h), e.i))
-    d = d.withColumn("again", F.array_sort(F.filter(again, lambda i: i.isNotNull())))
+    d = d.withColumn("again", F.sort_array(F.filter(again, lambda i: i.isNotNull())))
     covered = F.aggregate(
         "again", F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
         lambda a, i: F.struct((a.n + F.least(F.lit(3), i - a.last)).alias("n"), i.alias("last")),
@@ -105,17 +114,18 @@ def base_measures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
-def llr(text: Column, weights: list[float] | None) -> Column:
-    """Mean weight of the n-grams of a text; null if it has none."""
+def llr(units: Column, weights: list[float] | None) -> Column:
+    """Mean weight of the n-grams of a text's units; null if it has none."""
     if weights is None:
         return F.lit(None).cast("double")
     table = F.split(F.lit(",".join(f"{w:.9g}" for w in weights)), ",").cast("array<double>")
-    pairs = _grams(_units(text), len(weights))
-    total = F.aggregate(pairs, F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
-                        lambda a, p: F.struct((a.s + F.get(table, F.get(p, F.lit(0))) + F.get(table, F.get(p, F.lit(1)))).alias("s"),
-                                              (a.n + 2).alias("n")),
-                        lambda a: F.when(a.n > 0, a.s / a.n))
-    return total
+    pair = _buckets(len(weights))
+
+    def weight(a: Column, b: Column) -> Column:
+        one, two = pair(a, b)
+        return F.get(table, one) + F.get(table, two)
+    total = F.aggregate(_with_next(units, weight), F.lit(0.0), lambda s, w: s + w)
+    return F.when(F.size(units) > 0, total / (2 * F.size(units)))
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -124,7 +134,8 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id"
     weights = gram_weights(docs, trusted, id_col=id_col, text_col=text_col, buckets=buckets)
     d = base_measures(docs, id_col=id_col, text_col=text_col, whole=whole)
     d = d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    d = d.withColumn("llr", F.when(~F.col("base_failed"), llr(F.col("text"), weights))).drop("text")
+    d = d.withColumn("units", F.when(~F.col("base_failed"), _units(F.col("text")))).drop("text")
+    d = d.withColumn("llr", llr(F.col("units"), weights)).drop("units")
     return d.withColumn("kept", ~F.col("base_failed") & (F.coalesce("llr", F.lit(0.0)) >= threshold))
 
 
