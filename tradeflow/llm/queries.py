@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeflow.llm import bpe_codec, entropy_mix, exact_dedup, quality_llr, simhash_pivots
+from tradeflow.llm import bpe_codec, entropy_mix, exact_dedup, mph_store, nce_lm, quality_llr, simhash_pivots
 from tradeflow.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def op1_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,15 @@ def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_mph_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = mph_store.write_store(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return mph_store.read_back(spark, store).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op9_nce_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nce_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -46,6 +56,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_rules": op4_quality_rules,
         "op7_entropy_mix": op7_entropy_mix,
+        "op8_mph_store": op8_mph_store,
+        "op9_nce_lm": op9_nce_lm,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
