@@ -19,8 +19,8 @@ Cases: null or empty text has the end id alone. A null id has no key of its
 own and is stored under the largest long, after all others. Documents of
 equal id lie next to each other, in the order of their text's hash; the key
 finds the first and their number. Words are encoded apart and remembered
-within a task, which changes nothing as no token crosses white space. Only
-the id and text columns are read. An empty table makes an empty store.
+within a task, which changes nothing as no token crosses white space, or from
+a letter run to the marks after it. Only the id and text columns are read. An empty table makes an empty store.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +46,13 @@ HEAD = "<8sII"  # magic, bytes of an id, shard
 INDEX_MAGIC = b"IDINDEX1"
 #: Keys of an index file, about; keys of a hash bucket, about; words that a task remembers.
 KEYS_PER_FILE = 50_000
-BUCKET_KEYS = 4
+BUCKET_KEYS = 3
+TRIES = 256
 WORDS = 400_000
+#: Letter runs that are encoded together.
+RUNS = 1_000
+#: ASCII characters that are neither letters, digits nor white space.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 NO_ID = (1 << 63) - 1
 SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n", "<u8"), ("equal", "<u4"), ("pad", "<u4")])
 
@@ -109,6 +115,13 @@ def _hash(key: int, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(struct.pack("<q", key), seed)
 
 
+def _slot(hashes: np.ndarray, move: np.ndarray, n: int) -> np.ndarray:
+    """The slot that a move sends a key's hash to."""
+    x = hashes + (move + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(29))) % np.uint64(n)).astype(np.int64)
+
+
 def file_of(key: int, files: int) -> int:
     """As ``pmod(xxhash64(key), files)`` in Spark."""
     h = xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
@@ -126,38 +139,41 @@ class Index:
         """rows: one SLOT row for each key; its print is filled in here."""
         n = len(keys)
         moves = np.zeros(max(1, -(-n // BUCKET_KEYS)), "<u4")
-        slots, used = np.zeros(n, SLOT), np.zeros(n, bool)
-        buckets: dict[int, list[int]] = {}
-        for i, k in enumerate(keys):
-            buckets.setdefault(_hash(k, 1) % len(moves), []).append(i)
-        free = iter(())
-        for b, own in sorted(buckets.items(), key=lambda x: -len(x[1])):
-            if len(own) == 1:
-                # Single keys need no search: the move names a free slot outright.
-                if not isinstance(free, np.ndarray):
-                    free, at = np.flatnonzero(~used), 0
-                moves[b], places = (1 << 31) | int(free[at]), [int(free[at])]
-                at += 1
-            else:
-                move = 0
-                while True:
-                    places = [_hash(keys[i], 2 + move) % n for i in own]
-                    if len(set(places)) == len(own) and not used[places].any():
-                        break
-                    move += 1
-                moves[b] = move
-            for i, p in zip(own, places):
-                used[p] = True
-                slots[p] = rows[i]
-                slots[p]["print"] = _hash(keys[i], 0) & 0xFFFFFFFF
+        used, place = np.zeros(n, bool), np.zeros(n, np.int64)
+        hashes = np.array([_hash(k, 0) for k in keys], np.uint64)
+        bucket = np.array([_hash(k, 1) % len(moves) for k in keys], np.int64)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.cumsum(np.bincount(bucket, minlength=len(moves))) if n else np.zeros(len(moves), np.int64)
+        sizes = np.diff(ends, prepend=0)
+        for b in np.argsort(-sizes, kind="stable"):
+            own = order[ends[b] - sizes[b]:ends[b]]
+            if len(own) < 2:
+                break
+            for first in range(0, 1 << 31, TRIES):
+                at = _slot(hashes[own][None, :], np.arange(first, first + TRIES, dtype=np.uint64)[:, None], n)
+                line = np.sort(at, axis=1)
+                good = np.flatnonzero(~used[at].any(axis=1) & (line[:, 1:] != line[:, :-1]).all(axis=1))
+                if len(good):
+                    moves[b], place[own] = first + good[0], at[good[0]]
+                    used[at[good[0]]] = True
+                    break
+        # Single keys need no search: the move names a free slot outright.
+        lone = np.flatnonzero(sizes == 1)
+        free = np.flatnonzero(~used)
+        moves[lone] = (1 << 31) | free[:len(lone)]
+        place[order[ends[lone] - 1]] = free[:len(lone)]
+        slots = np.zeros(n, SLOT)
+        slots[place] = rows
+        slots["print"][place] = hashes & np.uint64(0xFFFFFFFF)
         return cls(moves, slots)
 
     def find(self, key: int) -> tuple[int, int, int, int] | None:
         if not len(self.slots):
             return None
         move = int(self.moves[_hash(key, 1) % len(self.moves)])
-        x = self.slots[move & 0x7FFFFFFF if move >> 31 else _hash(key, 2 + move) % len(self.slots)]
-        if int(x["print"]) != _hash(key, 0) & 0xFFFFFFFF:
+        own = _hash(key, 0)
+        x = self.slots[move & 0x7FFFFFFF if move >> 31 else int(_slot(np.array([own], np.uint64), np.array([move], np.uint64), len(self.slots))[0])]
+        if int(x["print"]) != own & 0xFFFFFFFF:
             return None
         return int(x["shard"]), int(x["offset"]), int(x["n"]), int(x["equal"])
 
@@ -181,21 +197,63 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
-    def learn(self, words: set[str]) -> None:
-        if len(self) + len(words) > WORDS:
-            self.clear()
-        new = list(words)
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[w] = np.array(e.ids, f"<u{self.width}").tobytes()
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+
+    def _lone(self, words: list[str]) -> None:
+        """Encode words one by one."""
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            self[w] = array(self.code, e.ids).tobytes()
+
+    def _runs(self, words: list[str]) -> None:
+        """Encode letter runs many at a time; each ends with the one token of its that ends a word."""
+        for i in range(0, len(words), RUNS):
+            own = words[i:i + RUNS]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, f"<u{self.width}")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(own):  # a letter that lower-casing breaks in two
+                self._lone(own)
+                continue
+            data, at = ids.tobytes(), 0
+            for w, end in zip(own, (ends * self.width).tolist()):
+                self[w] = data[at:end]
+                at = end
+
+    def learn(self, words: list[str]) -> None:
+        """Words of letters with marks after them are taken apart as the tokenizer does, so that parts recur."""
+        parts, runs, lone = [], {}, []
+        for w in words:
+            core = w.rstrip(MARKS)
+            if not core.isalpha():
+                lone.append(w)
+                continue
+            mark = w[len(core):]
+            if core.isascii():
+                core = core.lower()
+            if core not in self:
+                runs[core] = None
+            if mark or core != w:
+                parts.append((w, core, mark))
+                if mark and mark not in self:
+                    lone.append(mark)
+        self._runs(list(runs))
+        self._lone(lone)
+        for w, core, mark in parts:
+            self[w] = self[core] + self[mark] if mark else self[core]
 
     def encode(self, text: str, end_id: int) -> bytes:
         """The text's ids and the end id, as bytes."""
         words = text.split()
-        new = set(words).difference(self)
+        new = [w for w in dict.fromkeys(words) if w not in self]
         if new:
-            self.learn(set(words) if len(self) + len(new) > WORDS else new)
+            if len(self) + 2 * len(new) > WORDS:
+                self.clear()
+                new = list(dict.fromkeys(words))
+            self.learn(new)
         return b"".join(map(self.__getitem__, words)) + end_id.to_bytes(self.width, "little")
 
 
