@@ -20,6 +20,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from tradeflow.llm.common import text_of
 
 #: Pieces and token pairs that a task remembers at most.
-PIECES = 300_000
-PAIRS = 300_000
+PIECES = 600_000
+PAIRS = 500_000
 #: Rows and bytes of text in an output batch.
 OUT_ROWS, OUT_BYTES = 1_000, 8 << 20
 
@@ -58,23 +59,26 @@ class _Pieces(dict):
 
 
 class Codec:
-    """Encoder and decoder of one rank table."""
+    """Encoder and decoder of one rank table. A token is its id; ``latin`` has its bytes as Latin-1 characters."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        size = max(ranks.values(), default=-1) + 1
         self.ranks = {t.decode("latin-1"): r for t, r in ranks.items()}
-        self.token = [b""] * (max(ranks.values(), default=-1) + 1)
-        for t, r in ranks.items():
-            self.token[r] = t
+        self.token, self.latin = [b""] * size, [""] * size
         self.machine = ahocorasick.Automaton()
-        for t in self.ranks:
-            self.machine.add_word(t, (len(t), t))
-        self.machine.make_automaton()
+        for t, r in ranks.items():
+            self.token[r], self.latin[r] = t, t.decode("latin-1")
+            if len(t) > 1:
+                self.machine.add_word(self.latin[r], r)
+        if len(self.machine):
+            self.machine.make_automaton()
+        self.length = list(map(len, self.token))
+        self.before = [n - 1 for n in self.length]
         self.split = regex.compile(pattern).findall
         self.pieces = _Pieces(self._piece)
         self.sides: dict[str, tuple | None] = {}
-        self.follow: dict[str, dict[str, bool]] = {}
-        self.pairs = 0
-        self.shorter: dict[str, str | None] = {}
+        self.pairs: dict[int, bool] = {}
+        self.shorter: list[int | None] = [-1] * size  # -1: not looked for yet
 
     # Merge trees -----------------------------------------------------------------
 
@@ -121,22 +125,20 @@ class Codec:
                 j += 1
         return good
 
-    def _remember(self, a: str, b: str) -> bool:
-        if self.pairs >= PAIRS:
-            self.follow.clear()
-            self.pairs = 0
-        self.pairs += 1
-        self.follow.setdefault(a, {})[b] = good = self._apart(a, b)
+    def _remember(self, key: int) -> bool:
+        """Whether the pair of a key may be neighbours; the key's upper part is the first token + 1, 0 for none."""
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        a, b = key >> 24, key & 0xFFFFFF
+        self.pairs[key] = good = self._apart(self.latin[a - 1] if a else "", self.latin[b])
         return good
 
-    def _shorter(self, token: str) -> str | None:
+    def _shorter(self, token: int) -> int | None:
         """The longest token that the token properly starts with."""
-        try:
-            return self.shorter[token]
-        except KeyError:
-            found = next((token[:n] for n in range(len(token) - 1, 0, -1) if token[:n] in self.ranks), None)
-            self.shorter[token] = found
-            return found
+        text = self.latin[token]
+        found = next((self.ranks[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.ranks), None)
+        self.shorter[token] = found
+        return found
 
     # Encoding and decoding -------------------------------------------------------
 
@@ -146,38 +148,40 @@ class Codec:
         if whole is not None:
             return (whole,)
         size = len(text)
-        longest: list[str | None] = [None] * size
-        for end, (n, token) in self.machine.iter(text):
-            longest[end - n + 1] = token  # ends rise, so the last is the longest
-        out: list[str] = []
-        at, dead, token, last = 0, set(), longest[0], ""
+        longest: list[int | None] = [self.ranks.get(c) for c in text]
+        if len(self.machine):
+            before = self.before
+            for end, token in self.machine.iter(text):
+                longest[end - before[token]] = token  # ends rise, so the last is the longest
+        length, shorter, pairs = self.length, self.shorter, self.pairs
+        out: list[int] = []
+        at, dead, token, left = 0, set(), longest[0], 0
         while True:
-            after = self.follow.get(last, {})
             while token is not None:
-                end = at + len(token)
+                end = at + length[token]
                 if end not in dead:
-                    good = after.get(token)
+                    good = pairs.get(left | token)
                     if good is None:
-                        good = self._remember(last, token)
+                        good = self._remember(left | token)
                     if good:
                         break
-                token = self._shorter(token)
+                token = shorter[token] if shorter[token] != -1 else self._shorter(token)
             if token is not None:
                 out.append(token)
-                at, last = end, token
+                at, left = end, token + 1 << 24
                 if at == size:
-                    return tuple([self.ranks[t] for t in out])
+                    return tuple(out)
                 token = longest[at]
             elif out:
                 dead.add(at)
                 token = out.pop()
-                at -= len(token)
-                last = out[-1] if out else ""
+                at -= length[token]
+                left = out[-1] + 1 << 24 if out else 0
             else:
                 raise ValueError("the vocabulary lacks a byte of the text")
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
+    def encode(self, text: str) -> array:
+        return array("i", chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -195,7 +199,7 @@ def _round_trip(path: str, pattern: str):
                 data = codec.decode(own)
                 if data != text.encode("utf-8"):
                     raise ValueError("decoded bytes differ from the text")
-                ids.append(pa.array(own, pa.int32()))
+                ids.append(pa.Array.from_buffers(pa.int32(), len(own), [None, pa.py_buffer(own)]))
                 back.append(data)
                 size += len(data)
                 if i + 1 == b.num_rows or i + 1 - start >= OUT_ROWS or size >= OUT_BYTES:
