@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeflow.llm import bpe_codec, entropy_mix, exact_dedup, mph_store, nce_lm, quality_llr, simhash_pivots
+from tradeflow.llm import bpe_codec, dom_gbt, entropy_mix, exact_dedup, mph_store, nce_lm, quality_llr, simhash_pivots
 from tradeflow.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -31,6 +31,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "llr")
 
 
+def op5_dom_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dom_gbt.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entropy_mix.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash_pivots": op1_simhash_pivots,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_rules": op4_quality_rules,
+        "op5_dom_gbt": op5_dom_gbt,
         "op7_entropy_mix": op7_entropy_mix,
         "op8_mph_store": op8_mph_store,
         "op9_nce_lm": op9_nce_lm,
