@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradeflow.llm import bpe_codec, dom_gbt, entropy_mix, exact_dedup, mph_store, nce_lm, quality_llr, simhash_pivots
+from tradeflow.llm import bpe_codec, dom_gbt, entropy_mix, exact_dedup, lpf_dedup, mph_store, nce_lm, quality_llr, simhash_pivots
 from tradeflow.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -35,6 +36,12 @@ def op5_dom_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dom_gbt.main_text(table(spark, sf_dir, "pages"))
 
 
+def op6_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lpf_dedup.cut_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entropy_mix.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -60,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_rules": op4_quality_rules,
         "op5_dom_gbt": op5_dom_gbt,
+        "op6_lpf_dedup": op6_lpf_dedup,
         "op7_entropy_mix": op7_entropy_mix,
         "op8_mph_store": op8_mph_store,
         "op9_nce_lm": op9_nce_lm,
