@@ -25,6 +25,7 @@ a letter run to the marks after it. Only the id and text columns are read. An em
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -48,7 +49,9 @@ INDEX_MAGIC = b"IDINDEX1"
 KEYS_PER_FILE = 50_000
 BUCKET_KEYS = 3
 TRIES = 256
-WORDS = 400_000
+WORDS = 800_000
+#: Texts that are encoded together.
+TOGETHER = 64
 #: Letter runs that are encoded together.
 RUNS = 1_000
 #: ASCII characters that are neither letters, digits nor white space.
@@ -194,6 +197,7 @@ class WordEncoder(dict):
     """Token ids of words, by the tokenizers library; forgets all when full."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -245,16 +249,18 @@ class WordEncoder(dict):
         for w, core, mark in parts:
             self[w] = self[core] + self[mark] if mark else self[core]
 
-    def encode(self, text: str, end_id: int) -> bytes:
-        """The text's ids and the end id, as bytes."""
-        words = text.split()
-        new = [w for w in dict.fromkeys(words) if w not in self]
+    def encode(self, texts: list[str], end_id: int) -> list[bytes]:
+        """Each text's ids and the end id, as bytes."""
+        words = [t.split() for t in texts]
+        seen = set().union(*words)
+        new = [w for w in seen if w not in self]
         if new:
             if len(self) + 2 * len(new) > WORDS:
                 self.clear()
-                new = list(dict.fromkeys(words))
+                new = list(seen)
             self.learn(new)
-        return b"".join(map(self.__getitem__, words)) + end_id.to_bytes(self.width, "little")
+        end, get = end_id.to_bytes(self.width, "little"), self.__getitem__
+        return [b"".join(map(get, w)) + end for w in words]
 
 
 def _write_shards(root: str, tokenizer_path: str, end_id: int):
@@ -262,14 +268,14 @@ def _write_shards(root: str, tokenizer_path: str, end_id: int):
         encoder, parts, keys, offsets, counts, at, shard = None, [], [], [], [], 0, None
         for b in batches:
             encoder = encoder or WordEncoder(tokenizer_path)
-            for key, part, cell in zip(b.column(0), b.column(1), b.column(2)):
-                shard = part.as_py()
-                data = encoder.encode(cell.as_py(), end_id)
-                parts.append(data)
-                keys.append(key.as_py())
-                offsets.append(at)
-                counts.append(len(data) // encoder.width)
-                at += counts[-1]
+            keys += b.column(0).to_pylist()
+            for i in range(0, b.num_rows, TOGETHER):
+                shard = b.column(1)[i].as_py()
+                for data in encoder.encode(b.column(2).slice(i, TOGETHER).to_pylist(), end_id):
+                    parts.append(data)
+                    offsets.append(at)
+                    counts.append(len(data) // encoder.width)
+                    at += counts[-1]
         if keys:
             _put(f"{root}/shards/{shard:05d}", [struct.pack(HEAD, MAGIC, encoder.width, shard), *parts])
             for i in range(0, len(keys), 10_000):
