@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm import bpe_codec, dom_gbt, entropy_mix, exact_dedup, lpf_dedup, mph_store, nce_lm, quality_llr, simhash_pivots
+from tradeflow.llm import bpe_codec, chain_dedup, dom_gbt, entropy_mix, exact_dedup, lpf_dedup, mph_store, nce_lm, quality_llr, simhash_pivots
 from tradeflow.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +20,10 @@ def op1_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op2_chain_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain_dedup.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.encode_decode(
         table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN))
@@ -64,6 +68,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_pivots": op1_simhash_pivots,
+        "op2_chain_dedup": op2_chain_dedup,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_rules": op4_quality_rules,
         "op5_dom_gbt": op5_dom_gbt,
