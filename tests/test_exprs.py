@@ -57,3 +57,15 @@ def test_sentinel_and_ratio(spark):
     rows = df.select(X.sentinel_ts("ts").alias("ts"), X.safe_ratio("a", "b").alias("r")).collect()
     assert rows[0].ts == dt.datetime(1900, 1, 1) and rows[0].r is None
     assert rows[1].r == 2.0
+
+
+def test_exact_sum_has_no_cap(spark):
+    df = spark.createDataFrame([(1e14,), (1e14,), (0.25,)], "v double")
+    assert df.agg(X.exact_sum("v", 6).alias("s")).first().s == 2e14 + 0.25
+    big = spark.createDataFrame([(9e16,)] * 100, "v double")
+    assert big.agg(X.exact_sum("v", 2).alias("s")).first().s == 9e18
+
+
+def test_bit_to_tiny(spark):
+    df = spark.createDataFrame([(True,), (False,), (None,)], "b boolean")
+    assert [r.t for r in df.select(X.bit_to_tiny("b").alias("t")).collect()] == [1, 0, None]

@@ -75,6 +75,14 @@ def test_invoice_lines_hand_checked(spark):
     assert h.CustomerId == "C1" and h.WorkplaceName == "Head office"  # no DO customer: invoice customer
 
 
+def test_ordered_export_order(spark):
+    from tradeflow.plans import catalog
+    from tradeflow.plans.invoice import INVOICE_EXPORT_ORDER, ordered_export
+    rows = ordered_export(catalog.q_invoice_lines(spark, "/root/testdata/sf0.001")).select(*INVOICE_EXPORT_ORDER).collect()
+    keys = [tuple((v is not None, v if v is not None else 0) for v in r) for r in rows]
+    assert len(keys) > 100 and keys == sorted(keys)
+
+
 def test_vehicle_load(spark):
     src = _invoice_db(spark)
     out = {(r.szVehicleId, r.dtmDate): (r.decVolume, r.decWeight)
@@ -149,7 +157,10 @@ def test_sell_out_slices_and_publish(spark):
          ("4", "2024-11-07T10", "GT", 1), ("5", "", "GT", 1), ("6", None, "GT", 1), ("7", "2024-11-15", "X", 1),
          ('{"$oid": "8"}', "2024-11-22", "OFFICE", 1)],
         "_id string, date_ string, channel_name string, qty bigint")
-    df, obs = sell_out(raw, observe=True)
+    # the last bound is no calendar date and is compared as text
+    slices = [("2024-11-01", "2024-11-07"), ("2024-11-08", "2024-11-14"), ("2024-11-15", "2024-11-21"),
+              ("2024-11-22", "2024-11-31")]
+    df, obs = sell_out(raw, slices, ("GT", "MTI", "OFFICE"), observe=True)
     root = tempfile.mkdtemp(prefix="tradeflow-pub-")
     info = publish_sell_out(df, "sell_out_test", root, staging_json=os.path.join(root, "staging"))
     got = {r._id: r.date_ for r in spark.table("sell_out_test").collect()}
@@ -167,3 +178,6 @@ def test_sliced_scan_overlap_keeps_bag_semantics(spark):
     df = spark.createDataFrame([("a", 1), ("b", 5)], "k string, v int")
     assert sliced_scan(df, "v", [(0, 2), (1, 6)]).count() == 3
     assert sliced_scan(df, "v", [(0, 2), (3, 6)]).count() == 2
+    both, obs = sliced_scan(df, "v", [(0, 5), (1, 6)], observe=True)
+    assert len(both.collect()) == 4 and both.columns == ["k", "v"]
+    assert (obs.get["slice_0"], obs.get["slice_1"], obs.get["rows"]) == (2, 2, 4)

@@ -52,7 +52,8 @@ def test_attach_single_row(spark):
     out2 = J.attach_single_row(left, empty).collect()
     assert len(out2) == 3 and all(r.v is None for r in out2)
     many = spark.createDataFrame([("T", 9), ("T", 7)], "t string, v int")
-    assert J.attach_single_row(left, many, order_by=["v"]).count() == 3   # never multiplies the left side
+    with pytest.raises(Exception, match="several rows"):                 # neither multiplied nor cut
+        J.attach_single_row(left, many).collect()
 
 
 def test_pivot_levels_repeat_and_missing(spark):
@@ -60,6 +61,7 @@ def test_pivot_levels_repeat_and_missing(spark):
         [("G1", 1, T(2024, 1, 1), True), ("G1", 1, T(2024, 1, 5), False), ("G1", 3, T(2024, 1, 9), True),
          ("G2", 2, T(2024, 2, 1), True)], "g string, lvl int, d timestamp_ntz, ok boolean")
     out = {r.g: r for r in J.pivot_levels(items, "g", "lvl", [1, 2, 3], {"d": "d", "ok": "ok"}).collect()}
+    assert (out["G1"].d1, out["G1"].ok1) == (T(2024, 1, 5), False)      # both from the level's latest row
     assert out["G1"].d1 == T(2024, 1, 5) and out["G1"].d2 is None and out["G1"].max_level == 3
     assert out["G2"].d1 is None and out["G2"].d2 == T(2024, 2, 1) and out["G2"].max_level == 2
 
@@ -84,8 +86,7 @@ def test_top_n_per_group_equals_row_number(spark):
     df.createOrReplaceTempView("tn")
     brute = spark.sql("SELECT g, item, val FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY val DESC, item) rn "
                       "FROM tn) WHERE rn <= 4")
-    ours = W.top_n_per_group(df, ["g"], [F.col("val").desc(), F.col("item").asc()], 4, salt_col="item",
-                             salt_buckets=8)
+    ours = W.top_n_per_group(df, ["g"], [F.col("val").desc(), F.col("item").asc()], 4)
     assert sorted(brute.collect()) == sorted(ours.select("g", "item", "val").collect())
 
 
@@ -103,7 +104,7 @@ def test_month_to_date_and_period_change(spark):
 def test_climb_and_settings_pivot(spark):
     org = spark.createDataFrame([("A", "B", "a"), ("B", "C", "b"), ("C", None, "c")], "k string, p string, n string")
     start = spark.createDataFrame([(1, "A"), (2, "C"), (3, "Z")], "id int, org string")
-    out = {r.id: r for r in J.climb(start, "org", org, "k", "p", "n", levels=3, bounded_org=True).collect()}
+    out = {r.id: r for r in J.climb(start, "org", org, "k", "p", "n", levels=3).collect()}
     assert (out[1].lvl1_name, out[1].lvl2_name, out[1].lvl3_name) == ("a", "b", "c")
     assert (out[2].lvl1_name, out[2].lvl2_name) == ("c", None)
     assert out[3].lvl1_name is None
@@ -112,6 +113,9 @@ def test_climb_and_settings_pivot(spark):
     piv = {r.wp: r for r in J.settings_pivot(info, "wp", "item", "val", ["00001", "00002"]).collect()}
     assert (piv["W1"].setting_00001, piv["W1"].setting_00002) == ("x", "y")
     assert (piv["W2"].setting_00001, piv["W2"].setting_00002) == ("z", None)
+    twice = info.union(spark.createDataFrame([("W1", "00001", "x2")], info.schema))
+    with pytest.raises(Exception, match="several rows"):
+        J.settings_pivot(twice, "wp", "item", "val", ["00001", "00002"]).collect()
 
 
 def test_assert_unique(spark):

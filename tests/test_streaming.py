@@ -18,11 +18,11 @@ def test_incremental_sell_out_ingest(spark):
     land("a.json", [{"_id": "1", "date_": "2024-11-02", "channel_name": "GT", "qty": 3},
                     {"_id": "2", "date_": "2024-11-31", "channel_name": "MTI", "qty": 1},
                     {"_id": "3", "date_": "2024-11-02", "channel_name": "NOPE", "qty": 1}])
-    stream = sell_out_stream(spark, landing, date_range=("2024-11-01", "2024-11-31"))
+    stream = sell_out_stream(spark, landing, ("GT", "MTI", "OFFICE"), date_range=("2024-11-01", "2024-11-31"))
     q = start_sell_out_ingest(stream, table, os.path.join(root, "ckpt"))
     q.awaitTermination()
     land("b.json", [{"_id": {"$oid": "4"}, "date_": "2024-11-20", "channel_name": "OFFICE", "qty": 2}])
-    q = start_sell_out_ingest(sell_out_stream(spark, landing, date_range=("2024-11-01", "2024-11-31")),
+    q = start_sell_out_ingest(sell_out_stream(spark, landing, ("GT", "MTI", "OFFICE"), date_range=("2024-11-01", "2024-11-31")),
                               table, os.path.join(root, "ckpt"))
     q.awaitTermination()
     rows = {r["_id"]: (str(r["date_"]), r["qty"]) for r in spark.read.parquet(table).collect()}

@@ -104,29 +104,29 @@ def ts_text(c) -> Column:
     return F.date_format(col(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-def half_open(c, start, end) -> Column:
-    """``c >= start AND c < end``."""
-    return (col(c) >= F.lit(start)) & (col(c) < F.lit(end))
-
-
 def closed_range(c, start, end) -> Column:
     """``c >= start AND c <= end``."""
     return (col(c) >= F.lit(start)) & (col(c) <= F.lit(end))
 
 
 def fixed_units(term, scale: int) -> Column:
-    """A money term as a whole number of ``10**-scale`` units, rounded half
-    up by ``floor(x * 10**scale + 0.5)``: two IEEE operations, the same in any
-    engine, and far cheaper than ``round`` (which goes through BigDecimal)."""
-    return F.floor(col(term) * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
+    """A money term as a whole number of ``10**-scale`` units (ties to even),
+    as ``decimal(38,0)``: no term or sum up to 1e38 units is cut."""
+    return F.rint(col(term) * F.lit(float(10 ** scale))).cast("decimal(38,0)")
+
+
+def units_value(units, scale: int) -> Column:
+    """Whole units back to a double."""
+    return col(units).cast("double") / F.lit(float(10 ** scale))
 
 
 def exact_sum(term, scale: int = 2) -> Column:
-    """Sum a money term in fixed point and return a double.
+    """Sum a money term in whole units and return a double.
 
     A double ``sum`` depends on the order rows arrive in, so two runs with
-    different partitioning (or two engines) disagree in the last digit.
-    Each term is rounded to ``10**-scale`` units and the units are summed
-    as integers: exact, order independent, and still a partial aggregate.
+    different partitioning (or two engines) disagree in the last digit. Each
+    term is rounded to ``10**-scale`` units, and the units are summed as
+    decimals: order independent, and still a partial aggregate. A term over
+    2**53 units keeps a double's 53 bits.
     """
-    return F.sum(fixed_units(term, scale)) / F.lit(float(10 ** scale))
+    return units_value(F.sum(fixed_units(term, scale)), scale)

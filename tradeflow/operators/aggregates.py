@@ -20,10 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
-from ..functions.exprs import exact_sum, or_zero
+from ..functions.exprs import exact_sum
 
-# Fixed-point scales of the sums: money terms to 1e-6, weights and ratios to
-# 1e-12 (both keep sums far below 2**53 units).
+# Scales of the sums: money terms to 1e-6, weights and ratios to 1e-12.
 MONEY_SCALE = 6
 RATIO_SCALE = 12
 
@@ -117,7 +116,3 @@ def invoiced_qty(invoice_items: DataFrame, by_item_type: bool = False) -> DataFr
     """A2 invoiced quantity per invoice and product (and item type)."""
     keys = ["szFInvoiceId", "szProductId"] + (["szOrderItemTypeId"] if by_item_type else [])
     return invoice_items.groupBy(*keys).agg(F.sum("decQty").alias("decQty"))
-
-
-def with_bonus_defaults(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[or_zero(c).alias(c) if c in cols else F.col(c) for c in df.columns])

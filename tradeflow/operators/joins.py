@@ -1,8 +1,7 @@
 """Join-shaped operators of the source queries, written as DataFrame plans.
 
 Broadcast policy: an explicit ``F.broadcast`` is used only for a side whose
-size is bounded by construction (a global aggregate of one row, a pivot of a
-fixed level list, a dimension the caller declares bounded). Every other join
+size is bounded by construction (a global aggregate of one row). Every other join
 is left to Catalyst, whose ``autoBroadcastJoinThreshold`` checks the planned
 size, and to AQE, which re-plans to a broadcast once a shuffle stage shows the
 real size. Beyond the threshold the join is a sort-merge join, which AQE
@@ -46,8 +45,7 @@ def without_reversed(docs: DataFrame, doc_key: str, reversals: DataFrame, *,
     live = reversals.where(F.col(applied_col))
     if reversal_id_col is not None:
         live = live.where(F.col(reversal_id_col).isNotNull())
-    keys = (live.select(F.col(reversed_col).alias("_rev_key"))
-            .unionByName(live.select(F.col(reversing_col).alias("_rev_key")))
+    keys = (live.select(F.explode(F.array(reversed_col, reversing_col)).alias("_rev_key"))
             .where(F.col("_rev_key").isNotNull()))
     cond = docs[doc_key] == keys["_rev_key"]
     if only_if is not None:
@@ -80,15 +78,11 @@ def top1_global(df: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
 
 
 def climb(df: DataFrame, start_col: str, org: DataFrame, org_key: str, parent_col: str,
-          name_col: str, levels: int = 3, prefix: str = "lvl", bounded_org: bool = False) -> DataFrame:
+          name_col: str, levels: int = 3, prefix: str = "lvl") -> DataFrame:
     """J8: follow a parent pointer ``levels`` times (sales organisation, line
     manager), adding ``{prefix}{n}_id`` and ``{prefix}{n}_name`` per level.
-
-    ``bounded_org=True`` broadcasts the organisation table; set it only when
-    its size is fixed (a handful of organisational units)."""
+    Spark broadcasts the organisation table if its size allows."""
     side = org.select(F.col(org_key).alias("_k"), F.col(parent_col).alias("_p"), F.col(name_col).alias("_n"))
-    if bounded_org:
-        side = F.broadcast(side)
     out = df
     current = F.col(start_col)
     for n in range(1, levels + 1):
@@ -100,43 +94,54 @@ def climb(df: DataFrame, start_col: str, org: DataFrame, org_key: str, parent_co
     return out.drop(*[f"_{prefix}{n}_parent" for n in range(1, levels + 1)])
 
 
-def attach_single_row(df: DataFrame, side: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def _only(values: Column, count: Column, what: str) -> Column:
+    """``values`` if ``count`` is at most one, else an error when the row is made."""
+    return F.when(count > 1, F.raise_error(F.concat(F.lit(what + " has several rows: "), count.cast("string")))
+                  ).otherwise(values)
+
+
+def attach_single_row(df: DataFrame, side: DataFrame) -> DataFrame:
     """J11 join whose ON clause holds only constants on the right side.
 
-    The right side is reduced to exactly one row (the least by ``order_by``,
-    or by all its columns) with a global aggregate, so the join is a
-    broadcast of a one-row table and cannot multiply the left side. An empty
-    right side yields nulls, as the left join does.
+    The right side must have at most one row; a global aggregate proves it,
+    so the join is a broadcast of a one-row table and cannot multiply the
+    left side. Several rows are an error, none yields nulls, as the left join
+    does.
     """
     cols = side.columns
-    order = list(order_by) if order_by else cols
-    packed = F.struct(*[F.col(c) for c in order + [c for c in cols if c not in order]])
-    one = side.agg(F.min(packed).alias("_one")).select(*[F.col("_one." + c).alias(c) for c in cols])
+    packed = F.struct(*[F.col(c) for c in cols])
+    one = side.agg(F.min(packed).alias("_one"), F.count(F.lit(1)).alias("_n"))
+    one = one.select(_only(F.col("_one"), F.col("_n"), "the constant join").alias("_one"))
+    one = one.select(*[F.col("_one." + c).alias(c) for c in cols])
     return df.join(F.broadcast(one), F.lit(True), "left")
 
 
 def settings_pivot(info: DataFrame, key_col: str, item_col: str, value_col: str,
-                   items: Sequence, names: Sequence[str] | None = None,
-                   pick=F.max) -> DataFrame:
+                   items: Sequence, names: Sequence[str] | None = None) -> DataFrame:
     """J12: seven chained template/value lookups per workplace become one
-    filtered scan and a pivot with a fixed item list (one row per key)."""
+    filtered scan and one grouped pass with a fixed item list (one row per
+    key). An item given twice for a key is an error: the chained lookups
+    would multiply the key's rows."""
     names = list(names) if names else [f"setting_{i}" for i in items]
-    piv = (info.where(F.col(item_col).isin(list(items)))
-           .groupBy(key_col).pivot(item_col, list(items)).agg(pick(value_col)))
-    return piv.select(key_col, *[F.col(f"`{i}`").alias(n) for i, n in zip(items, names)])
+
+    def one(item) -> Column:
+        here = F.col(item_col) == item
+        return _only(F.max(F.when(here, F.col(value_col))), F.count_if(here), f"setting {item}")
+    return (info.where(F.col(item_col).isin(list(items))).groupBy(key_col)
+            .agg(*[one(i).alias(n) for i, n in zip(items, names)]))
 
 
 def pivot_levels(items: DataFrame, key_col: str, level_col: str, levels: Sequence[int],
                  values: dict[str, str]) -> DataFrame:
-    """J18/M26: the source joins an approval table once per level; a level
-    may repeat, which would multiply rows. One grouped pass with a fixed level
-    list gives one row per key: ``{alias}{level}`` = max of the value."""
-    aggs = []
-    for lv in levels:
-        for src, alias in values.items():
-            aggs.append(F.max(F.when(F.col(level_col) == lv, F.col(src))).alias(f"{alias}{lv}"))
-    aggs.append(F.max(level_col).alias("max_level"))
-    return items.groupBy(key_col).agg(*aggs)
+    """J18/M26: the source joins an approval table once per level. One
+    grouped pass with a fixed level list gives one row per key. All values of
+    a level, ``{alias}{level}``, come from one row: of a repeated level, the
+    one with the greatest values in the order given (nulls lowest)."""
+    best = F.struct(*[F.col(src).alias(alias) for src, alias in values.items()])
+    aggs = [F.max(F.when(F.col(level_col) == lv, best)).alias(f"_{lv}") for lv in levels]
+    picked = items.groupBy(key_col).agg(*aggs, F.max(level_col).alias("max_level"))
+    return picked.select(key_col, *[F.col(f"_{lv}.{alias}").alias(f"{alias}{lv}") for lv in levels
+                                    for alias in values.values()], "max_level")
 
 
 def fallback(current, alternative) -> Column:

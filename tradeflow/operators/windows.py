@@ -27,30 +27,30 @@ def period_change(df: DataFrame, date_col: str, value_col: str, *, keys: Sequenc
                   step: str = "day", prev_alias: str = "prev_value",
                   change_alias: str = "change") -> DataFrame:
     """W3 value of the previous period (the calendar day or month before) and
-    the change against it. Written as an equi join on the shifted date, not a
-    window, so no partition ever has to hold a whole key's history."""
+    the change against it; ``df`` has one row per (keys, date).
+
+    Each row is written under its own date and under the next period's, and
+    the two meet in one grouped pass: the input is read once, and no
+    partition ever holds a whole key's history."""
     shifted = F.date_add(F.col(date_col), 1) if step == "day" else F.add_months(F.col(date_col), 1)
-    prev = df.select(*[F.col(k).alias("_pk_" + k) for k in keys], shifted.alias("_pdate"),
-                     F.col(value_col).alias(prev_alias))
-    cond = [df[date_col] == prev["_pdate"]] + [df[k] == prev["_pk_" + k] for k in keys]
-    out = df.join(prev, cond, "left").drop("_pdate", *["_pk_" + k for k in keys])
+    rest = [c for c in df.columns if c not in (*keys, date_col)]
+    own = F.struct(F.col(date_col).alias("d"), F.struct(*[F.col(c) for c in rest]).alias("own"),
+                   F.lit(None).cast(df.schema[value_col].dataType).alias("prev"))
+    nxt = F.struct(shifted.alias("d"), F.lit(None).alias("own"), F.col(value_col).alias("prev"))
+    both = df.select(*keys, F.explode(F.array(own, nxt)).alias("_r"))
+    met = (both.groupBy(*keys, F.col("_r.d").alias(date_col))
+           .agg(F.max("_r.own").alias("_own"), F.max("_r.prev").alias(prev_alias)).where(F.col("_own").isNotNull()))
+    out = met.select(*keys, date_col, *[F.col("_own." + c).alias(c) for c in rest], prev_alias)
     return out.withColumn(change_alias, F.col(value_col) - F.col(prev_alias))
 
 
 def top_n_per_group(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], n: int, *,
-                    salt_col: str | None = None, salt_buckets: int = 16,
                     rank_alias: str = "rank") -> DataFrame:
     """W4 the ``n`` best rows per group by ``order`` (which must end in a
     unique tie-break so the result is deterministic).
 
-    Stage one ranks inside (group, salt) and keeps ``n`` rows per salt, so a
-    hot group is spread over ``salt_buckets`` tasks; stage two ranks the at
-    most ``n * salt_buckets`` survivors of each group. Every global top-n row
-    is a top-n row of its own salt, so nothing is lost.
+    Spark prunes to ``n`` rows per group in each task before the shuffle
+    (``WindowGroupLimit``), so at most ``n`` rows per group and task meet.
     """
-    salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets)) if salt_col else F.lit(0)
-    staged = df.withColumn("_salt", salt)
-    w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order)
-    stage1 = staged.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n).drop("_r1", "_salt")
-    w2 = Window.partitionBy(*group_cols).orderBy(*order)
-    return stage1.withColumn(rank_alias, F.row_number().over(w2)).where(F.col(rank_alias) <= n)
+    w = Window.partitionBy(*group_cols).orderBy(*order)
+    return df.withColumn(rank_alias, F.row_number().over(w)).where(F.col(rank_alias) <= n)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
-from ..functions.exprs import date_text, exact_sum, safe_ratio, sentinel_ts, ts_text
+from ..functions.exprs import date_text, exact_sum, or_zero, safe_ratio, sentinel_ts, ts_text
 from ..operators import aggregates as A
 from ..operators import joins as J
 from . import mart
@@ -22,19 +22,20 @@ from . import roles as R
 from .invoice import invoice_lines, ordered_export, vehicle_load, workplace_settings
 from .sellout import sell_out
 from .tracking import po_tracking_mtd
+from .tracking_gt import history_rows, po_tracking_gt
 
 # Fixed parameters of the registered queries.
-FLAGSHIP_MONTH = ("1998-10-01", "1998-11-01")
+FLAGSHIP_PERIOD = ("1998-01-01", "1999-01-01")
 FLAGSHIP_WORKPLACE_LIKE = "%1%"
 BONUS_SINCE = "1995-06-01"
 LOAD_PERIOD = ("1998-06-01", "1998-11-30")
-TRACKING_WINDOW = ("1997-01-01", "1998-01-01")
+TRACKING_WINDOW = ("1996-01-01", "1999-01-01")
+WIDE_TRACKING = {"bonus_since": "1996-06-30", "po_from": "1997-01-01", "po_to": "1997-12-31",
+                 "so_from": "1997-03-01", "so_to": "1998-02-28"}
 SELL_OUT_WEEK = [("2024-01-08", "2024-01-14")]
 SELL_OUT_TWO_WEEKS = [("2024-01-01", "2024-01-07"), ("2024-01-15", "2024-01-21")]
 SELL_OUT_CHANNELS = ("click", "purchase", "view")
-APPROVAL_LEVEL_BY_EVENT = {"view": 1, "click": 2, "purchase": 3}
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-FAN_OUT_QUARTER = ("1998-01-01", "1998-04-01")
 
 
 def _t(spark, sf, name):
@@ -42,10 +43,10 @@ def _t(spark, sf, name):
 
 
 def q_invoice_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """T1 flagship: live invoice lines of one month, delivery workplace name
+    """T1 flagship: live invoice lines of one year, delivery workplace name
     like the pattern, with bonus-aware money measures."""
     src = R.invoice_sources(spark, sf)
-    return invoice_lines(src, *FLAGSHIP_MONTH,
+    return invoice_lines(src, *FLAGSHIP_PERIOD,
                          workplace_filter=lambda: F.col("dow_szName").like(FLAGSHIP_WORKPLACE_LIKE),
                          bonus_pay_types=R.BONUS_PAY_FLAGS)
 
@@ -92,9 +93,9 @@ def q_top1_global(spark, sf):
 
 
 def q_vehicle_load(spark, sf):
-    """T5/A5 volume and weight per vehicle (the line's supplier) and day."""
+    """T5/A5 volume and weight per vehicle of the delivery order and day."""
     src = R.invoice_sources(spark, sf)
-    out = vehicle_load(src, *LOAD_PERIOD, workplace_filter=None, vehicle_col="szVehicleId")
+    out = vehicle_load(src, *LOAD_PERIOD, workplace_filter=None)
     return out.select("szVehicleId", date_text("dtmDate").alias("dtmDate"), "decVolume", "decWeight")
 
 
@@ -106,6 +107,16 @@ def q_qty_preaggregated(spark, sf):
     return j.select("o_orderkey", F.coalesce(F.col("qty"), F.lit(0.0)).alias("qty_delivered"))
 
 
+def q_delivered_qty(spark, sf):
+    """A1 delivered quantity per customer order, product and delivery."""
+    return A.delivered_qty(R.wms_delivery_item(_t(spark, sf, "lineitem")))
+
+
+def q_invoiced_qty(spark, sf):
+    """A2 invoiced quantity per invoice, product and item type."""
+    return A.invoiced_qty(R.invoice_item(_t(spark, sf, "lineitem")), by_item_type=True)
+
+
 def q_net_measures(spark, sf):
     """M3-M7/J2 every line with its bonus (A4 over all invoices) and the
     nett amounts and discounts."""
@@ -152,29 +163,30 @@ def q_settings_pivot(spark, sf):
     """J12/T6 per workplace (nation) one row with one setting per item
     (customer segment); value = the largest balance."""
     c = _t(spark, sf, "customer")
-    info = c.select(F.lit("T").alias("szConfigTemplateId"), F.lit("WOR").alias("szConfigItemTypeId"),
-                    F.col("c_mktsegment").alias("szConfigItemId"),
-                    F.col("c_nationkey").alias("szConfigItemTypeValue"), F.col("c_acctbal").alias("szValue"))
+    info = c.groupBy("c_nationkey", "c_mktsegment").agg(F.max("c_acctbal").alias("v")).select(
+        F.lit("T").alias("szConfigTemplateId"), F.lit("WOR").alias("szConfigItemTypeId"),
+        F.col("c_mktsegment").alias("szConfigItemId"), F.col("c_nationkey").alias("szConfigItemTypeValue"),
+        F.col("v").alias("szValue"))
     return workplace_settings(info, template="T", item_type="WOR", items=SEGMENTS)
 
 
 def q_approval_levels(spark, sf):
     """J16/J18/M20/M26 approval levels 1-3 side by side per document (user),
-    with dates defaulted and the current level (highest + 1)."""
+    dates defaulted, and the current level (highest of all types + 1). Levels
+    repeat here: date and flag come from a level's latest event."""
     ev = _t(spark, sf, "events")
     lvl = F.lit(None).cast("int")
-    for et, n in reversed(list(APPROVAL_LEVEL_BY_EVENT.items())):
+    for et, n in R.LEVEL_BY_EVENT.items():
         lvl = F.when(F.col("event_type") == et, F.lit(n)).otherwise(lvl)
     items = ev.select(F.col("user_id").alias("gdApprovedId"), lvl.alias("btApprovedLevel"),
                       F.col("ts").alias("dtmApproved"), (F.col("value") > 50).alias("bApproved"))
-    items = items.where(F.col("btApprovedLevel").isNotNull())
     p = J.pivot_levels(items, "gdApprovedId", "btApprovedLevel", [1, 2, 3],
                        {"dtmApproved": "dtmApproved", "bApproved": "bApproved"})
     return p.select(
         "gdApprovedId",
         *[ts_text(sentinel_ts(f"dtmApproved{n}")).alias(f"dtmApproved{n}") for n in (1, 2, 3)],
         *[F.col(f"bApproved{n}") for n in (1, 2, 3)],
-        (F.coalesce(F.col("max_level"), F.lit(0)) + 1).cast("string").alias("currentApprovalLevel"))
+        (or_zero("max_level") + 1).cast("string").alias("currentApprovalLevel"))
 
 
 def q_hierarchy(spark, sf):
@@ -182,8 +194,7 @@ def q_hierarchy(spark, sf):
     region key) from each customer's nation."""
     cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     org = _t(spark, sf, "nation")
-    out = J.climb(cust, "c_nationkey", org, "n_nationkey", "n_regionkey", "n_name", levels=3,
-                  bounded_org=True)
+    out = J.climb(cust, "c_nationkey", org, "n_nationkey", "n_regionkey", "n_name", levels=3)
     return out.drop("c_nationkey")
 
 
@@ -211,26 +222,26 @@ def q_json_field(spark, sf):
 
 def _unified(spark, sf):
     li, orders, ev = _t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "events")
-    sell_in = mart.stage_frame(li, "sell_in", "l_shipdate", "l_suppkey", "l_partkey", "l_quantity",
-                               "l_extendedprice")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    st = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-    sell_through = mart.stage_frame(st, "sell_through", "o_orderdate", "o_custkey", "l_partkey",
-                                    "l_quantity", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    both = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
+    lines = mart.stage_facts(both, [
+        ("sell_in", "l_shipdate", "l_suppkey", "l_partkey", "l_quantity", F.col("l_extendedprice"), None),
+        ("sell_through", "o_orderdate", "o_custkey", "l_partkey", "l_quantity",
+         F.col("l_extendedprice") * (1 - F.col("l_discount")), F.col("o_orderkey").isNotNull())])
     purchases = ev.where(F.col("event_type") == "purchase")
     sell_out_ = mart.stage_frame(purchases, "sell_out", "ts", "user_id",
                                  F.get_json_object("props", "$.k").cast("bigint"), F.lit(1.0), "value")
-    return mart.unified_sales([sell_in, sell_through, sell_out_])
+    return mart.all_stages([lines, sell_out_])
 
 
 def q_unified_sales(spark, sf):
     """T7/U2 Sell-In, Sell-Through and Sell-Out at (stage, date, store, SKU)."""
-    u = _unified(spark, sf)
+    u = mart.unified_sales(_unified(spark, sf))
     return u.select("stage", date_text("date").alias("date"), "store", "sku", "qty", "value")
 
 
 def q_stage_pivot(spark, sf):
-    """A9 value per stage side by side per day."""
+    """A9 value per stage side by side per day, store and SKU."""
     p = mart.stage_pivot(_unified(spark, sf))
     return p.select(date_text("date").alias("date"), *[c for c in p.columns if c != "date"])
 
@@ -241,7 +252,7 @@ def q_sales_cube(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = _t(spark, sf, "nation").select("n_nationkey", "n_name")
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner").join(
-        F.broadcast(n), F.col("c_nationkey") == n["n_nationkey"], "inner")
+        n, F.col("c_nationkey") == n["n_nationkey"], "inner")
     return mart.sales_summary(j, ["n_name", "c_mktsegment"], "o_totalprice", how="cube")
 
 
@@ -251,7 +262,7 @@ def q_sales_rollup(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     n = _t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _t(spark, sf, "region").select("r_regionkey", "r_name")
-    dims = F.broadcast(n.join(r, n["n_regionkey"] == r["r_regionkey"], "inner"))   # 25 rows, fixed
+    dims = n.join(r, n["n_regionkey"] == r["r_regionkey"], "inner")
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner").join(dims, F.col("c_nationkey") == F.col("n_nationkey"))
     return mart.sales_summary(j, ["r_name", "n_name"], "o_totalprice", how="rollup")
 
@@ -290,8 +301,7 @@ def q_fallback_chain(spark, sf):
 def q_fan_out_distinct(spark, sf):
     """J20/F10/A6 order lines kept when selling (flag N) or when the order has
     any open line, DISTINCT over the shown columns; no line pairs built."""
-    o = _t(spark, sf, "orders").where((F.col("o_orderdate") >= F.lit(FAN_OUT_QUARTER[0])) &
-                                      (F.col("o_orderdate") < F.lit(FAN_OUT_QUARTER[1]))).select("o_orderkey")
+    o = _t(spark, sf, "orders").select("o_orderkey")
     li = _t(spark, sf, "lineitem")
     a = o.join(li.select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag"),
                o["o_orderkey"] == F.col("l_orderkey"), "left")
@@ -301,13 +311,32 @@ def q_fan_out_distinct(spark, sf):
     return kept.select("o_orderkey", "l_partkey", "l_quantity").distinct()
 
 
+def _ts_as_text(df):
+    return df.select(*[ts_text(f.name).alias(f.name) if f.dataType.typeName().startswith("timestamp") else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def q_po_tracking(spark, sf):
     """T2 order tracking with milestone dates over one window."""
-    src = R.tracking_sources(spark, sf, TRACKING_WINDOW[0])
-    out = po_tracking_mtd(src, *TRACKING_WINDOW, channels=tuple(R.CHANNEL_BY_SEGMENT.values()))
-    ts_cols = ["date_created", "po_on_review_date", "po_approve_lv1_date", "send_to_wms_date",
-               "delivered_date_feedback_wms", "received_date", "poDate", "dn_closed_date"]
-    return out.select(*[ts_text(c).alias(c) if c in ts_cols else F.col(c) for c in out.columns])
+    src = R.tracking_sources(spark, sf)
+    return _ts_as_text(po_tracking_mtd(src, *TRACKING_WINDOW, channels=tuple(R.CHANNEL_BY_SEGMENT.values())))
+
+
+def q_po_tracking_gt(spark, sf):
+    """T3 wide tracking of sales and purchase lines with all five bounds."""
+    return _ts_as_text(po_tracking_gt(R.tracking_sources(spark, sf), **WIDE_TRACKING))
+
+
+def q_do_history(spark, sf):
+    """J17 with scope per key: each delivery order's replacement and invoice."""
+    orders = _t(spark, sf, "orders")
+    hist = history_rows(R.do_history(orders), scope="per_key")
+    do = R.delivery_order(orders).select(F.col("szDoId").cast("string").alias("szDoId"),
+                                         F.col("szFInvoiceId").cast("string").alias("szFInvoiceId"))
+    new = do.toDF("new_do", "new_invoice")
+    j = do.join(hist, do["szDoId"] == hist["hist_old"], "left").join(new, hist["hist_new"] == new["new_do"], "left")
+    return j.select("szDoId", F.col("hist_new").alias("szDoIdNew"),
+                    J.fallback("szFInvoiceId", "new_invoice").alias("szFInvoiceId"))
 
 
 def q_const_on_join(spark, sf):
@@ -324,17 +353,24 @@ def q_const_on_join(spark, sf):
 
 
 def q_computed_key_join(spark, sf):
-    """J10/J13 lines joined to the day's order count on a computed date key
-    (ship day = order day), forced to a sort-merge join."""
+    """J10 lines joined to the day's order count on a computed date key
+    (ship day = order day); Spark picks the join."""
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     days = (_t(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day"))
             .agg(F.count(F.lit(1)).alias("orders_that_day")))
     k = li.withColumn("ship_day", F.to_date("l_shipdate"))
-    j = k.join(days.hint("merge"), k["ship_day"] == days["day"], "left")
+    j = k.join(days, k["ship_day"] == days["day"], "left")
     return j.select("l_orderkey", "l_linenumber", date_text("ship_day").alias("ship_day"),
                     F.coalesce(F.col("orders_that_day"), F.lit(0)).alias("orders_that_day"))
 
 
+def q_merge_join(spark, sf):
+    """J13 a forced sort-merge join of two large sides: lines and headers."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return li.join(o.hint("merge"), li["l_orderkey"] == o["o_orderkey"], "left").drop("o_orderkey")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "invoice_lines": q_invoice_lines,
@@ -346,6 +382,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top1_global": q_top1_global,
         "vehicle_load": q_vehicle_load,
         "qty_preaggregated": q_qty_preaggregated,
+        "delivered_qty": q_delivered_qty,
+        "invoiced_qty": q_invoiced_qty,
         "net_measures": q_net_measures,
         "po_discount": q_po_discount,
         "settings_const_join": q_settings_const_join,
@@ -364,6 +402,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fallback_chain": q_fallback_chain,
         "fan_out_distinct": q_fan_out_distinct,
         "po_tracking": q_po_tracking,
+        "po_tracking_gt": q_po_tracking_gt,
+        "do_history": q_do_history,
+        "merge_join": q_merge_join,
         "const_on_join": q_const_on_join,
         "computed_key_join": q_computed_key_join,
     }

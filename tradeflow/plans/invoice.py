@@ -48,10 +48,6 @@ def workplace_like(pattern: str) -> Callable[[], Column]:
     return lambda: F.col("dow_szWorkplaceId").like(pattern)
 
 
-def workplace_is(value: str) -> Callable[[], Column]:
-    return lambda: F.col("dow_szWorkplaceId") == F.lit(value)
-
-
 def live_headers(src: InvoiceSources, start, end, closed_end: bool = False) -> DataFrame:
     """Invoice headers in the period that are not void and are applied."""
     per = F.col("dtmPeriode")
@@ -196,16 +192,9 @@ def vehicle_load(src: InvoiceSources, start, end, workplace_filter: Callable[[],
     return A.vehicle_load(lines, src.product_spec, vehicle_col=vehicle_col, date_col="inv_dtmPeriode")
 
 
-# Configuration items the invoice job reads per workplace.
-SETTINGS_TEMPLATE = "com.kontinum.bos.sd.orDoSoComparison3"
-SETTINGS_ITEM_TYPE = "WOR"
-SETTINGS_ITEMS = ["00001", "00002", "00003", "00004", "00005", "00006", "00011"]
-
-
-def workplace_settings(config_info: DataFrame, template: str = SETTINGS_TEMPLATE,
-                       item_type: str = SETTINGS_ITEM_TYPE, items=SETTINGS_ITEMS,
+def workplace_settings(config_info: DataFrame, *, template: str, item_type: str, items,
                        value_col: str = "szValue") -> DataFrame:
-    """T6: the seven template/value pairs per workplace as one row."""
+    """T6: a workplace's settings, the values of ``items``, as one row."""
     info = config_info.where((F.col("szConfigTemplateId") == template) &
                              (F.col("szConfigItemTypeId") == item_type))
     return settings_pivot(info, "szConfigItemTypeValue", "szConfigItemId", value_col, items)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import exact_sum, fixed_units
+from ..functions.exprs import exact_sum, fixed_units, units_value
 from ..operators.windows import month_to_date, period_change, top_n_per_group
 
 GRAIN = ["stage", "date", "store", "sku"]
@@ -30,12 +30,29 @@ def stage_frame(df: DataFrame, stage: str, date, store, sku, qty, value) -> Data
                      (F.col(value) if isinstance(value, str) else value).cast("double").alias("value"))
 
 
-def unified_sales(frames: Sequence[DataFrame]) -> DataFrame:
-    """T7/U2 union of the stages, summed at the grain."""
+def stage_facts(df: DataFrame, stages: Sequence[tuple]) -> DataFrame:
+    """Several stages of one scan: each row is written once per stage, as
+    (stage, date, store, sku, qty, value, condition) given by ``stages``."""
+    def one(stage, date, store, sku, qty, value, condition):
+        fact = F.struct(F.lit(stage).cast("string").alias("stage"), F.to_date(date).alias("date"),
+                        F.col(store).cast("bigint").alias("store"), F.col(sku).cast("bigint").alias("sku"),
+                        F.col(qty).cast("double").alias("qty"), value.cast("double").alias("value"))
+        return fact if condition is None else F.when(condition, fact)
+    return (df.select(F.explode(F.array(*[one(*s) for s in stages])).alias("f")).where(F.col("f").isNotNull())
+            .select("f.*"))
+
+
+def all_stages(frames: Sequence[DataFrame]) -> DataFrame:
+    """U2 union of the stages' facts."""
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    return out.groupBy(*GRAIN).agg(exact_sum("qty", VALUE_SCALE).alias("qty"),
+    return out
+
+
+def unified_sales(facts: DataFrame) -> DataFrame:
+    """T7 the stages' facts summed at the grain."""
+    return facts.groupBy(*GRAIN).agg(exact_sum("qty", VALUE_SCALE).alias("qty"),
                                    exact_sum("value", VALUE_SCALE).alias("value"))
 
 
@@ -49,25 +66,26 @@ def sales_summary(df: DataFrame, dims: Sequence[str], value: str, how: str = "cu
 
 def mtd_trend(df: DataFrame, date_col: str, value: str, keys: Sequence[str] = (), scale: int = 2) -> DataFrame:
     """W2/W3 per day: the day's value, the month-to-date running total, the
-    previous day's value and the change. Sums run on integer units."""
+    previous day's value and the change. Sums run on whole units."""
     daily = (df.groupBy(*keys, F.to_date(date_col).alias("day"))
              .agg(F.sum(fixed_units(value, scale)).alias("_units")))
-    f = float(10 ** scale)
     mtd = month_to_date(daily, "day", "_units", keys=keys, alias="_mtd_units")
-    mtd = mtd.select(*keys, "day", (F.col("_units") / F.lit(f)).alias("day_value"),
-                     (F.col("_mtd_units") / F.lit(f)).alias("mtd_value"))
+    mtd = mtd.select(*keys, "day", units_value("_units", scale).alias("day_value"),
+                     units_value("_mtd_units", scale).alias("mtd_value"))
     return period_change(mtd, "day", "day_value", keys=keys, step="day",
                          prev_alias="prev_day_value", change_alias="day_change")
 
 
-def stage_pivot(unified: DataFrame, by: Sequence[str] = ("date",), stages: Sequence[str] = STAGES) -> DataFrame:
-    """A9 value per stage side by side, one column per stage."""
-    p = unified.groupBy(*by).pivot("stage", list(stages)).agg(exact_sum("value", VALUE_SCALE))
-    return p.select(*by, *[F.col(s).alias(f"{s}_value") for s in stages])
+def stage_pivot(facts: DataFrame, by: Sequence[str] = ("date", "store", "sku"),
+                stages: Sequence[str] = STAGES) -> DataFrame:
+    """A9 value per stage side by side, one column per stage, straight from
+    the stages' facts (:func:`all_stages`): one shuffle."""
+    return facts.groupBy(*by).agg(*[
+        exact_sum(F.when(F.col("stage") == s, F.col("value")), VALUE_SCALE).alias(f"{s}_value") for s in stages])
 
 
 def top_n(df: DataFrame, group: Sequence[str], item: str, value: str, n: int = 3, scale: int = 4) -> DataFrame:
     """W4 the ``n`` items with the largest summed value per group (ties by the
-    smaller item id), skew-safe two-stage ranking."""
+    smaller item id), pruned in each task before the shuffle."""
     agg = df.groupBy(*group, item).agg(exact_sum(value, scale).alias("total_value"))
-    return top_n_per_group(agg, group, [F.col("total_value").desc(), F.col(item).asc()], n, salt_col=item)
+    return top_n_per_group(agg, group, [F.col("total_value").desc(), F.col(item).asc()], n)

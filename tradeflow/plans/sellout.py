@@ -16,17 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import object_id_text, parse_strict_date
 from ..sources import schemas, sinks
-from ..sources.readers import sliced_scan
-
-# Fixed values of the source job: weekly text-date slices (the last bound is
-# not a calendar date and is kept as text) and the channels loaded.
-DEFAULT_SLICES = [
-    ("2024-11-01", "2024-11-07"),
-    ("2024-11-08", "2024-11-14"),
-    ("2024-11-15", "2024-11-21"),
-    ("2024-11-22", "2024-11-31"),
-]
-DEFAULT_CHANNELS = ("GT", "MTI", "OFFICE")
+from ..sources.readers import read_json_lines, sliced_scan
 
 
 def project_documents(raw: DataFrame) -> DataFrame:
@@ -48,7 +38,7 @@ def clean_documents(docs: DataFrame) -> DataFrame:
         else F.col(f"`{c}`") for c in docs.columns])
 
 
-def sell_out(raw: DataFrame, slices=DEFAULT_SLICES, channels=DEFAULT_CHANNELS, observe: bool = False):
+def sell_out(raw: DataFrame, slices, channels, observe: bool = False):
     """T4 filter on the *text* date (inclusive slices) and the channel list,
     then clean. With ``observe=True`` returns ``(df, Observation)`` carrying
     the per-slice counts once the result is written (K9)."""
@@ -61,11 +51,12 @@ def sell_out(raw: DataFrame, slices=DEFAULT_SLICES, channels=DEFAULT_CHANNELS, o
     return clean_documents(res)
 
 
-def publish_sell_out(df: DataFrame, table: str, root: str, staging_json: str | None = None) -> dict:
-    """K1 + K6-K9: optional NDJSON staging copy, then a versioned, verified
-    publish of the final table (partitioned by month of ``date_``)."""
+def publish_sell_out(df: DataFrame, table: str, root: str, staging_json: str | None = None,
+                     partition_by: list[str] | None = None) -> dict:
+    """K6-K9: optional NDJSON staging copy, then a versioned, verified publish
+    of the final table (partitioned by ``partition_by``, e.g. its month)."""
     spark = df.sparkSession
     if staging_json:
         sinks.write_json_lines(df, staging_json)
-        df = spark.read.schema(schemas.SELL_OUT_DDL).option("mode", "FAILFAST").json(staging_json)
-    return sinks.publish_versioned(df, table, root)
+        df = read_json_lines(spark, staging_json, schemas.SELL_OUT_DDL)
+    return sinks.publish_versioned(df, table, root, partition_by=partition_by)

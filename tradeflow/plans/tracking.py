@@ -85,16 +85,18 @@ def po_tracking_mtd(src: TrackingSources, start, end, channels=DEFAULT_CHANNELS)
     # WHERE so.dtmCreated in range makes the left join inner
     x = si.join(so, si["si_szFSoId"] == so["so_szFSoId"], "inner")
 
-    # purchase order with its buying-line flag (one row per purchase order)
-    poi_flag = (src.purchase_order_item.groupBy(F.col("szFPo_sId").alias("_po"))
+    # purchase orders of the window, with their buying-line flag (one row per purchase order)
+    bought = src.purchase_order.where(rng("dtmPO"))
+    poi = src.purchase_order_item.join(bought.select("szFPo_sId"), "szFPo_sId", "left_semi")
+    poi_flag = (poi.groupBy(F.col("szFPo_sId").alias("_po"))
                 .agg(F.max(F.coalesce(F.col("purchaseItemTypeId").isin(list(BUY_ITEM_TYPES)), F.lit(False)))
                      .alias("po_has_buy_line")))
-    po = _p(src.purchase_order, "po_", ["szFPo_sId", "dtmCreated", "dtmPO"])
+    po = _p(bought, "po_", ["szFPo_sId", "dtmCreated", "dtmPO"])
     po = po.join(poi_flag, po["po_szFPo_sId"] == poi_flag["_po"], "left").drop("_po")
     x = x.join(po, x["si_szFPoId"] == po["po_szFPo_sId"], "left")
 
     # PO date when the inquiry has a PO id, otherwise the SO date
-    x = x.where((ne_blank("si_szFPoId") & rng("po_dtmPO")) | (eq_blank("si_szFPoId") & rng("so_dtmOrder")))
+    x = x.where((ne_blank("si_szFPoId") & F.col("po_szFPo_sId").isNotNull()) | (eq_blank("si_szFPoId") & rng("so_dtmOrder")))
 
     # warehouse delivery confirmation: needs the DO and a non-blank SO id
     do = _p(src.delivery_order, "do_", ["szDoId"])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,7 +24,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(_BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("TRADEFLOW_DRIVER_MEMORY", "16g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -39,20 +37,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets this to shared storage and it is used as
-    is. Only when it is unset (local tests) a private scratch folder is
-    created so that ``DataFrame.checkpoint()`` works.
+    is. Only where it is unset and the master is local (tests), a private
+    scratch folder is created; on a cluster an unset folder is an error, as
+    executors would not see the driver's own disk.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="tradeflow-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
-
-
-def scratch_table_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables: a child of the shared checkpoint dir."""
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/tables"

@@ -48,6 +48,12 @@ def read_table(spark: SparkSession, name: str, spec: SourceSpec) -> DataFrame:
     return read(spark, spec2, [f.name for f in sch.fields])
 
 
+def read_named(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """S5 a table of the warehouse by its name."""
+    df = spark.table(name)
+    return df.select(*columns) if columns else df
+
+
 def read_json_lines(spark: SparkSession, path: str, schema_ddl: str, mode: str = "FAILFAST") -> DataFrame:
     """S4 newline-delimited JSON with a declared schema; a malformed line
     fails the load instead of being dropped silently."""
@@ -83,7 +89,15 @@ def sliced_scan(df: DataFrame, column: str, slices: Sequence[tuple], extra: Colu
         out = df.where(cond if extra is None else cond & extra)
     if not observe:
         return out
+    # Each row counts for the slice whose read it came from: overlapping
+    # slices are separate reads, so they are told apart by a read number.
     obs = Observation("slices")
-    counts = [F.count(F.when((c >= F.lit(lo)) & (c <= F.lit(hi)), F.lit(1))).alias(f"slice_{i}")
-              for i, (lo, hi) in enumerate(slices)]
+    if slices_overlap(slices):
+        tagged = [df.where(p if extra is None else p & extra).withColumn("_slice", F.lit(i)) for i, p in enumerate(preds)]
+        out = tagged[0]
+        for p in tagged[1:]:
+            out = out.unionByName(p)
+        counts = [F.count_if(F.col("_slice") == i).alias(f"slice_{i}") for i in range(len(slices))]
+        return out.observe(obs, F.count(F.lit(1)).alias("rows"), *counts).drop("_slice"), obs
+    counts = [F.count_if(p).alias(f"slice_{i}") for i, p in enumerate(preds)]
     return out.observe(obs, F.count(F.lit(1)).alias("rows"), *counts), obs

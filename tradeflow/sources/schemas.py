@@ -90,7 +90,3 @@ def ddl(name: str) -> str:
 
 def schema(name: str) -> StructType:
     return StructType.fromDDL(ddl(name))
-
-
-def table_names() -> list[str]:
-    return sorted(_DDL)

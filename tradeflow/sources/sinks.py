@@ -3,7 +3,8 @@
 The source jobs clear a warehouse table and then append to it, which leaves
 an empty table while the load runs and hides a failed chunk. Here a load
 writes a new versioned folder, checks its row count against the count
-observed while writing, and only then points the table at it. Readers see
+observed while writing, points the table at it, and counts once more through
+the table's name (a wrong count puts the old version back). Readers see
 the old version or the new one, never a half-written one. Spark's write
 tasks are the "parallel chunks"; a failed task fails the job loudly and
 is retried on another executor.
@@ -37,12 +38,25 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType | str, locat
     spark.sql(sql)
 
 
+def by_table_columns(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with its columns in the order of table ``name``; a missing or
+    extra column is an error. ``insertInto`` goes by position, so a load must
+    pass through here."""
+    want = df.sparkSession.table(name).columns
+    have = {c.lower(): c for c in df.columns}
+    missing, extra = [c for c in want if c.lower() not in have], set(have) - {c.lower() for c in want}
+    if missing or extra or len(have) != len(df.columns):
+        raise ValueError(f"columns of the load do not fit {name}: missing {missing}, extra {sorted(extra)}")
+    return df.select(*[F.col(f"`{have[c.lower()]}`").alias(c) for c in want])
+
+
 def overwrite_table(df: DataFrame, name: str, partitions: int | None = None) -> None:
     """K3/K4 replace the table contents in one write (no delete-then-append
-    window). ``partitions`` sets the number of parallel write tasks (K5)."""
+    window), matching columns by name. ``partitions`` sets the number of
+    parallel write tasks (K5)."""
     out = df.repartition(partitions) if partitions else df
     if df.sparkSession.catalog.tableExists(name):
-        out.write.mode("overwrite").insertInto(name, overwrite=True)
+        by_table_columns(out, name).write.mode("overwrite").insertInto(name, overwrite=True)
     else:
         out.write.mode("overwrite").saveAsTable(name)
 
@@ -80,11 +94,32 @@ def publish_versioned(df: DataFrame, name: str, root: str, fmt: str = "parquet",
     if reread != written or (expected_rows is not None and written != expected_rows):
         raise RuntimeError(f"staged load of {name} has {reread} rows, wrote {written}, "
                            f"expected {expected_rows}; table left unchanged")
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {_ident(name)} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
-    else:
-        spark.sql(f"CREATE TABLE {_ident(name)} USING {fmt} LOCATION '{path}'")
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
+    old = _location(spark, name) if spark.catalog.tableExists(name) else None
+    _point(spark, name, path, fmt, partition_by)
+    served = spark.table(name).count()
+    if served != written:
+        if old is not None:
+            _point(spark, name, old, fmt, partition_by)
+        raise RuntimeError(f"{name} serves {served} rows after the swap, wrote {written}; old version restored")
     return {"table": name, "version": version, "path": path, "rows": written}
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(name)}").where(F.col("col_name") == "Location").collect()
+    return rows[0]["data_type"]
+
+
+def _point(spark: SparkSession, name: str, path: str, fmt: str, partition_by: list[str] | None) -> None:
+    """Make table ``name`` read the folder ``path``. Partitions that a table
+    has registered keep their own folders, so those of the old version are
+    dropped (an external table: no file is) and the new ones registered."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {_ident(name)} USING {fmt} LOCATION '{path}'")
+    else:
+        for row in spark.sql(f"SHOW PARTITIONS {_ident(name)}").collect() if partition_by else []:
+            spec = ", ".join("`{}`='{}'".format(*p.split("=", 1)) for p in row[0].split("/"))
+            spark.sql(f"ALTER TABLE {_ident(name)} DROP IF EXISTS PARTITION ({spec})")
+        spark.sql(f"ALTER TABLE {_ident(name)} SET LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
+    spark.catalog.refreshTable(name)

@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.sellout import DEFAULT_CHANNELS, clean_documents, project_documents
+from ..plans.sellout import clean_documents, project_documents
 from ..session import ensure_checkpoint_dir
 from ..sources import schemas
 
 
-def sell_out_stream(spark: SparkSession, landing_dir: str, channels=DEFAULT_CHANNELS,
+def sell_out_stream(spark: SparkSession, landing_dir: str, channels,
                     date_range: tuple[str, str] | None = None, max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming DataFrame of cleaned sell-out documents from a landing
     folder of NDJSON files (declared schema, malformed lines fail the batch)."""
