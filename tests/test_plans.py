@@ -40,6 +40,7 @@ def test_scans_and_exchanges(spark):
 
 
 def test_filters_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     plan = _plan(E.queries()["invoice_lines"](spark, SF))
     assert "GreaterThanOrEqual(o_orderdate,1998-01-01" in plan          # period filter at the orders scan
     assert "StringContains(n_name,1)" in plan                           # workplace LIKE at the nation scan
