@@ -135,8 +135,11 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id"
     d = base_measures(docs, id_col=id_col, text_col=text_col, whole=whole)
     d = d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     d = d.withColumn("units", F.when(~F.col("base_failed"), _units(F.col("text")))).drop("text")
-    d = d.withColumn("llr", llr(F.col("units"), weights)).drop("units")
-    return d.withColumn("kept", ~F.col("base_failed") & (F.coalesce("llr", F.lit(0.0)) >= threshold))
+    # The row number keeps a later filter on `kept` above these columns: pushed below, it would write the word arrays
+    # into every lambda that refers to them, and the work would grow with the square of a text.
+    d = d.withColumn("llr", llr(F.col("units"), weights)).drop("units").withColumn("row", F.monotonically_increasing_id())
+    good = ~F.col("base_failed") & (F.coalesce("llr", F.lit(0.0)) >= threshold)
+    return d.withColumn("kept", good & (F.col("row") >= 0)).drop("row")
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
