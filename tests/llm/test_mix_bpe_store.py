@@ -145,5 +145,6 @@ def test_index_is_minimal_and_perfect():
         rows = np.zeros(n, mph_store.SLOT)
         rows["offset"] = np.arange(n)
         index = mph_store.Index.load(b"".join(mph_store.Index.build(keys, rows).dump()))
-        assert len(index.slots) == n and [index.find(k)[1] for k in keys] == list(range(n))
-        assert sum(index.find(10 ** 10 + k) is not None for k in range(200)) == 0
+        found, there = index.find(keys)
+        assert len(index.slots) == n and there.all() and list(found["offset"]) == list(range(n))
+        assert not index.find([10 ** 10 + k for k in range(200)])[1].any()

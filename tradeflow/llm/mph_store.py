@@ -85,14 +85,20 @@ class Reader:
             self.files[name] = where.open_input_file(path)
         return self.files[name]
 
-    def find(self, key: int, index_files: int) -> tuple[int, int, int, int] | None:
-        """(shard, offset, ids, equal keys) of a key, or None."""
-        name = f"index/{file_of(key, index_files):05d}"
-        if name not in self.index:
-            if len(self.index) >= 4:
-                self.index.clear()
-            self.index[name] = Index.load(self._open(name).read())
-        return self.index[name].find(key)
+    def find(self, keys: list[int], index_files: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows (shard, offset, ids, equal keys) of the keys, and whether each is stored."""
+        rows, there = np.zeros(len(keys), SLOT), np.zeros(len(keys), bool)
+        by_file: dict[int, list[int]] = {}
+        for i, k in enumerate(keys):
+            by_file.setdefault(file_of(k, index_files), []).append(i)
+        for file, own in by_file.items():
+            name = f"index/{file:05d}"
+            if name not in self.index:
+                if len(self.index) >= 4:
+                    self.index.clear()
+                self.index[name] = Index.load(self._open(name).read())
+            rows[own], there[own] = self.index[name].find([keys[i] for i in own])
+        return rows, there
 
     def ids(self, shard: int, offset: int, n: int) -> np.ndarray:
         f = self._open(f"shards/{shard:05d}")
@@ -170,15 +176,15 @@ class Index:
         slots["print"][place] = hashes & np.uint64(0xFFFFFFFF)
         return cls(moves, slots)
 
-    def find(self, key: int) -> tuple[int, int, int, int] | None:
+    def find(self, keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The slots' rows of the keys, and whether each key is stored (its row means something)."""
         if not len(self.slots):
-            return None
-        move = int(self.moves[_hash(key, 1) % len(self.moves)])
-        own = _hash(key, 0)
-        x = self.slots[move & 0x7FFFFFFF if move >> 31 else int(_slot(np.array([own], np.uint64), np.array([move], np.uint64), len(self.slots))[0])]
-        if int(x["print"]) != own & 0xFFFFFFFF:
-            return None
-        return int(x["shard"]), int(x["offset"]), int(x["n"]), int(x["equal"])
+            return np.zeros(len(keys), SLOT), np.zeros(len(keys), bool)
+        own = np.array([_hash(k, 0) for k in keys], np.uint64)
+        moves = self.moves[[_hash(k, 1) % len(self.moves) for k in keys]]
+        lone = (moves >> 31).astype(bool)
+        rows = self.slots[np.where(lone, moves & 0x7FFFFFFF, _slot(own, moves.astype(np.uint64), len(self.slots)))]
+        return rows, rows["print"] == (own & np.uint64(0xFFFFFFFF))
 
     def dump(self) -> list[bytes]:
         return [INDEX_MAGIC, struct.pack("<QQ", len(self.moves), len(self.slots)), self.moves.tobytes(), self.slots.tobytes()]
@@ -193,12 +199,13 @@ class Index:
 
 # Encoding ------------------------------------------------------------------------
 
-class WordEncoder(dict):
-    """Token ids of words, by the tokenizers library; forgets all when full."""
+class WordEncoder:
+    """Token ids of words, by the tokenizers library; ``known`` forgets all when full."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
         from tokenizers import Tokenizer
+        self.known: dict[str, bytes] = {}  # a plain dict of text and bytes costs the garbage collector nothing
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
@@ -211,7 +218,7 @@ class WordEncoder(dict):
     def _lone(self, words: list[str]) -> None:
         """Encode words one by one."""
         for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self[w] = array(self.code, e.ids).tobytes()
+            self.known[w] = array(self.code, e.ids).tobytes()
 
     def _runs(self, words: list[str]) -> None:
         """Encode letter runs many at a time; each ends with the one token of its that ends a word."""
@@ -224,12 +231,12 @@ class WordEncoder(dict):
                 continue
             data, at = ids.tobytes(), 0
             for w, end in zip(own, (ends * self.width).tolist()):
-                self[w] = data[at:end]
+                self.known[w] = data[at:end]
                 at = end
 
     def learn(self, words: list[str]) -> None:
         """Words of letters with marks after them are taken apart as the tokenizer does, so that parts recur."""
-        parts, runs, lone = [], {}, []
+        known, parts, runs, lone = self.known, [], {}, []
         for w in words:
             core = w.rstrip(MARKS)
             if not core.isalpha():
@@ -238,28 +245,28 @@ class WordEncoder(dict):
             mark = w[len(core):]
             if core.isascii():
                 core = core.lower()
-            if core not in self:
+            if core not in known:
                 runs[core] = None
             if mark or core != w:
                 parts.append((w, core, mark))
-                if mark and mark not in self:
+                if mark and mark not in known:
                     lone.append(mark)
         self._runs(list(runs))
         self._lone(lone)
         for w, core, mark in parts:
-            self[w] = self[core] + self[mark] if mark else self[core]
+            known[w] = known[core] + known[mark] if mark else known[core]
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Each text's ids and the end id, as bytes."""
         words = [t.split() for t in texts]
         seen = set().union(*words)
-        new = [w for w in seen if w not in self]
+        new = seen.difference(self.known)
         if new:
-            if len(self) + 2 * len(new) > WORDS:
-                self.clear()
-                new = list(seen)
-            self.learn(new)
-        end, get = end_id.to_bytes(self.width, "little"), self.__getitem__
+            if len(self.known) + 2 * len(new) > WORDS:
+                self.known.clear()
+                new = seen
+            self.learn(list(new))
+        end, get = end_id.to_bytes(self.width, "little"), self.known.__getitem__
         return [b"".join(map(get, w)) + end for w in words]
 
 
@@ -331,11 +338,11 @@ def _lookup(root: str, files: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(root)
         for b in batches:
-            found = [(k, *(reader.find(k, files) or (None,) * 4)) for k in b.column(0).to_pylist()]
-            columns = list(zip(*found)) or [[]] * 5
+            rows, there = reader.find(b.column(0).to_pylist(), files)
+            kinds = {"shard": pa.int32(), "offset": pa.int64(), "n": pa.int64(), "equal": pa.int32()}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()))],
-                names=["key", "shard", "offset", "n", "equal"])
+                [b.column(0), *(pa.array(rows[c].astype(np.int64), mask=~there).cast(t) for c, t in kinds.items())],
+                names=["key", *kinds])
         reader.close()
     return run
 
