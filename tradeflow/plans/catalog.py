@@ -121,15 +121,9 @@ def q_net_measures(spark, sf):
     """M3-M7/J2 every line with its bonus (A4 over all invoices) and the
     nett amounts and discounts."""
     li = _t(spark, sf, "lineitem")
-    items = R.invoice_item(li)
-    bonus = A.invoice_bonus(R.invoice_item_bonus(li), items, pay_types=R.BONUS_PAY_FLAGS)
-    b = bonus.select(*[F.col(c).alias("a_" + c) for c in bonus.columns])
-    keys = [("szFInvoiceId", "szFInvoiceId"), ("szProductId", "szProductId"), ("szFDoId", "szDoId"),
-            ("szParentId", "szParentId"), ("szPaymentType", "szPaymentType"),
-            ("szOrderItemTypeId", "szOrderItemTypeId")]
-    j = items.join(b, [b["a_" + k] == items[l] for k, l in keys], "left")
+    j = A.attach_invoice_bonus(R.invoice_item(li), R.invoice_item_bonus(li), pay_types=R.BONUS_PAY_FLAGS)
     tx, amt, dpp, tax, disc = (F.col(c) for c in ("bTaxable", "decAmount", "decDPP", "decTax", "decDiscount"))
-    bon, bt = F.col("a_sumDecBonusAmount"), F.col("a_sumDecBonusAmountTax")
+    bon, bt = F.col("sumDecBonusAmount"), F.col("sumDecBonusAmountTax")
     return j.select(
         F.col("szFInvoiceId").alias("l_orderkey"), F.col("shItemNumber").alias("l_linenumber"),
         F.col("szProductId").alias("l_partkey"), F.col("szParentId").alias("l_suppkey"),

@@ -56,20 +56,28 @@ def live_headers(src: InvoiceSources, start, end, closed_end: bool = False) -> D
 
 
 def live_invoice_lines(src: InvoiceSources, start, end, workplace_filter: Callable[[], Column] | None,
-                       closed_end: bool = False) -> DataFrame:
+                       closed_end: bool = False, bonus_pay_types=None) -> DataFrame:
     """Invoice lines of live invoices (not void, applied) in the period,
     without reversed delivery orders, whose delivery workplace passes
     ``workplace_filter``.
 
     Columns: the invoice line's own columns, invoice header as ``inv_*``,
-    delivery order as ``do_*``, delivery workplace as ``dow_*``.
+    delivery order as ``do_*``, delivery workplace as ``dow_*``; with
+    ``bonus_pay_types`` also the two bonus sums of A4 (over all lines of the
+    live invoices, before lines are filtered).
     """
     inv_cols = ["szFInvoiceId", "szWorkplaceId", "szCustId", "szSalesId", "dtmPeriode"]
     inv = _prefixed(live_headers(src, start, end, closed_end), "inv_", inv_cols)
 
-    typ = F.col("szInvItemType")
-    items = src.invoice_item.where((ne_blank("szProductId") & (typ == "DOR")) | (typ != "DOR"))
+    items = src.invoice_item
     lines = items.join(inv, items["szFInvoiceId"] == inv["inv_szFInvoiceId"], "inner")
+    if bonus_pay_types is not None:
+        scope = inv.select(F.col("inv_szFInvoiceId").alias("_inv"))
+        b = src.invoice_item_bonus
+        lines = A.attach_invoice_bonus(lines, b.join(scope, b["szFInvoiceId"] == scope["_inv"], "left_semi"),
+                                       pay_types=bonus_pay_types)
+    typ = F.col("szInvItemType")
+    lines = lines.where((ne_blank("szProductId") & (typ == "DOR")) | (typ != "DOR"))
 
     if src.delivery_order is not None:
         do_cols = ["szDoId", "szFSoId", "szCustPoId", "szCustId", "szWorkplaceId", "szVehicleId"]
@@ -99,25 +107,10 @@ def invoice_lines(src: InvoiceSources, start, end, workplace_filter: Callable[[]
                   bonus_pay_types=("TDB", "DOB"), date_as_text: bool = True) -> DataFrame:
     """T1: one row per live invoice line with customer, product and the
     money measures M1-M8 (bonus and its tax part from A4)."""
-    lines = live_invoice_lines(src, start, end, workplace_filter)
-
-    if src.invoice_item_bonus is not None:
-        # bonuses only of the live invoices of the period, aggregated before
-        # the join (a superset of the invoices shown; the 6-key join picks)
-        scope = live_headers(src, start, end).select(F.col("szFInvoiceId").alias("_inv"))
-        b_src = src.invoice_item_bonus.join(scope, src.invoice_item_bonus["szFInvoiceId"] == scope["_inv"],
-                                            "left_semi")
-        b_items = src.invoice_item.join(scope, src.invoice_item["szFInvoiceId"] == scope["_inv"], "left_semi")
-        bonus = A.invoice_bonus(b_src, b_items, pay_types=bonus_pay_types)
-        bonus = bonus.select(*[F.col(c).alias("a_" + c) for c in bonus.columns])
-        keys = [("szFInvoiceId", "szFInvoiceId"), ("szProductId", "szProductId"), ("szFDoId", "szDoId"),
-                ("szParentId", "szParentId"), ("szPaymentType", "szPaymentType"),
-                ("szOrderItemTypeId", "szOrderItemTypeId")]
-        cond = [bonus["a_" + b] == lines[l] for b, l in keys]
-        lines = lines.join(bonus, cond, "left")
-        bon, bon_tax = F.col("a_sumDecBonusAmount"), F.col("a_sumDecBonusAmountTax")
-    else:
-        bon, bon_tax = F.lit(None).cast("double"), F.lit(None).cast("double")
+    has_bonus = src.invoice_item_bonus is not None
+    lines = live_invoice_lines(src, start, end, workplace_filter, bonus_pay_types=bonus_pay_types if has_bonus else None)
+    bon, bon_tax = ((F.col("sumDecBonusAmount"), F.col("sumDecBonusAmountTax")) if has_bonus
+                    else (F.lit(None).cast("double"), F.lit(None).cast("double")))
 
     wp = _prefixed(src.workplace, "wp_", ["szWorkplaceId", "szName"])
     lines = lines.join(wp, lines["inv_szWorkplaceId"] == wp["wp_szWorkplaceId"], "left")
