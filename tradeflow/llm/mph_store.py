@@ -19,7 +19,7 @@ Cases: null or empty text has the end id alone. A null id has no key of its
 own and is stored under the largest long, after all others. Documents of
 equal id lie next to each other, in the order of their text's hash; the key
 finds the first and their number. Words are encoded apart and remembered
-within a task, which changes nothing as no token crosses white space, or from
+by the worker, which changes nothing as no token crosses white space, or from
 a letter run to the marks after it. Only the id and text columns are read. An empty table makes an empty store.
 """
 
@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
+import types
 import uuid
 import zlib
 from array import array
@@ -45,7 +47,7 @@ END_ID = 1
 MAGIC = b"IDSHARD1"
 HEAD = "<8sII"  # magic, bytes of an id, shard
 INDEX_MAGIC = b"IDINDEX1"
-#: Keys of an index file, about; keys of a hash bucket, about; words that a task remembers.
+#: Keys of an index file, about; keys of a hash bucket, about; words that a worker remembers.
 KEYS_PER_FILE = 50_000
 BUCKET_KEYS = 3
 TRIES = 256
@@ -199,8 +201,21 @@ class Index:
 
 # Encoding ------------------------------------------------------------------------
 
+def _kept_in_worker() -> dict:
+    """A dict that lives as long as the Python worker, which Spark uses for many tasks."""
+    return sys.modules.setdefault("_tradeflow_worker", types.ModuleType("_tradeflow_worker")).__dict__
+
+
 class WordEncoder:
-    """Token ids of words, by the tokenizers library; ``known`` forgets all when full."""
+    """Token ids of words, by the tokenizers library. ``known`` remembers the first ``WORDS`` words (frequent ones come
+    early); beyond them a word is encoded again for each batch of texts that has it."""
+
+    @classmethod
+    def of_worker(cls, path: str) -> "WordEncoder":
+        kept = _kept_in_worker()
+        if ("words", path) not in kept:
+            kept["words", path] = cls(path)
+        return kept["words", path]
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
@@ -234,13 +249,14 @@ class WordEncoder:
                 self.known[w] = data[at:end]
                 at = end
 
-    def learn(self, words: list[str]) -> None:
-        """Words of letters with marks after them are taken apart as the tokenizer does, so that parts recur."""
-        known, parts, runs, lone = self.known, [], {}, []
+    def learn(self, words: list[str]) -> set[str]:
+        """Words of letters with marks after them are taken apart as the tokenizer does, so that parts recur. Returns
+        all words and parts that are new."""
+        known, parts, runs, lone = self.known, [], {}, {}
         for w in words:
             core = w.rstrip(MARKS)
             if not core.isalpha():
-                lone.append(w)
+                lone[w] = None
                 continue
             mark = w[len(core):]
             if core.isascii():
@@ -250,31 +266,34 @@ class WordEncoder:
             if mark or core != w:
                 parts.append((w, core, mark))
                 if mark and mark not in known:
-                    lone.append(mark)
+                    lone[mark] = None
         self._runs(list(runs))
-        self._lone(lone)
+        self._lone(list(lone))
+        added = {*words, *runs, *lone}
         for w, core, mark in parts:
             known[w] = known[core] + known[mark] if mark else known[core]
+        return added
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Each text's ids and the end id, as bytes."""
         words = [t.split() for t in texts]
         seen = set().union(*words)
         new = seen.difference(self.known)
-        if new:
-            if len(self.known) + 2 * len(new) > WORDS:
-                self.known.clear()
-                new = seen
-            self.learn(list(new))
-        end, get = end_id.to_bytes(self.width, "little"), self.known.__getitem__
-        return [b"".join(map(get, w)) + end for w in words]
+        full, known = len(self.known) >= WORDS, self.known
+        added = self.learn(list(new)) if new else []
+        end, get = end_id.to_bytes(self.width, "little"), known.__getitem__
+        out = [b"".join(map(get, w)) + end for w in words]
+        if full:
+            for w in added:
+                del known[w]
+        return out
 
 
 def _write_shards(root: str, tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, parts, keys, offsets, counts, at, shard = None, [], [], [], [], 0, None
         for b in batches:
-            encoder = encoder or WordEncoder(tokenizer_path)
+            encoder = encoder or WordEncoder.of_worker(tokenizer_path)
             keys += b.column(0).to_pylist()
             for i in range(0, b.num_rows, TOGETHER):
                 shard = b.column(1)[i].as_py()
