@@ -117,10 +117,10 @@ def test_chains_match_quadratic_dynamic_programming():
             assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(c, c[1:]))
 
         def score(c):
-            worth = sum((1 + (a[2] - chain_dedup.K > 0)) * chain_dedup.SEED_WORTH for a in c)
-            gaps = sum((q[0] - p[0] - p[2] + chain_dedup.K) + (q[1] - p[1] - p[2] + chain_dedup.K) for p, q in zip(c, c[1:]))
+            worth = sum((1 + (a[2] - chain_dedup.SEED > 0)) * chain_dedup.SEED_WORTH for a in c)
+            gaps = sum((q[0] - p[0] - p[2] + chain_dedup.SEED) + (q[1] - p[1] - p[2] + chain_dedup.SEED) for p, q in zip(c, c[1:]))
             return worth - chain_dedup.GAP_COST * gaps
-        if any(a[2] > chain_dedup.K for a in used):
+        if any(a[2] > chain_dedup.SEED for a in used):
             continue  # merged anchors: their worth counts seeds, not known here
         top = [chain_dedup.SEED_WORTH] * n
         for j in range(n):
