@@ -24,7 +24,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     only = set(filter(None, os.environ.get("BENCH_QUERIES", "").split(",")))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="tradeflow-bench")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="tradeflow-bench",
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     qs = {k: v for k, v in catalog.queries().items() if not only or k in only}
 
     def run(fn):
