@@ -11,8 +11,3 @@ def documents(spark):
         full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", 7, 5, 6, True, "w", 9) for r in rows]
         return spark.createDataFrame(full, f"doc_id long, text string, {EXTRA}").coalesce(parts)
     return make
-
-
-#: Null, empty, white space only, short, repeated rows, ties and one very long text.
-ODD = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "one two"), (6, "One  two"), (6, "One  two"), (None, "null id text"),
-       (7, "a b c " * 30_000), (8, "été \U0001F642 naïve words, here"), (9, "x" * 50_000)]

@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import ODD
+from odd_rows import ODD
 from pyspark.sql import functions as F
 
 from tradeflow.llm import exact_dedup, quality_llr

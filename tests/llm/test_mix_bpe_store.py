@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
-from conftest import ODD
+from odd_rows import ODD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

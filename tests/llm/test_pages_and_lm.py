@@ -9,7 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import ODD
+from odd_rows import ODD
 
 from tradeflow.llm import dom_gbt, nce_lm
 

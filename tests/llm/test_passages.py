@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import ODD
+from odd_rows import ODD
 
 from tradeflow.llm import chain_dedup, lpf_dedup
 

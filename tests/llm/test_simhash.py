@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from conftest import ODD
+from odd_rows import ODD
 
 from tradeflow.llm import simhash_pivots as S
 from tradeflow.llm.components import components
