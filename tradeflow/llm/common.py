@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -47,6 +49,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_ids(df: DataFrame) -> Column:
+    """A number for each row of a stored table, by split and place, that later jobs on the same table repeat.
+
+    Small files are split by the number of cores at the time of planning,
+    which changes when executors come or go; the session is held to the
+    number that it has now.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return F.monotonically_increasing_id()
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use (case-insensitively)."""
     taken = {c.lower() for c in df.columns}
@@ -55,6 +70,11 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def kept_in_worker() -> dict:
+    """A dict that lives as long as the Python worker, which Spark uses for many tasks."""
+    return sys.modules.setdefault("_tradeflow_worker", types.ModuleType("_tradeflow_worker")).__dict__
+
+
 def one_row(df: DataFrame) -> tuple:
     """The single row of a global aggregate."""
     return tuple(df.first())

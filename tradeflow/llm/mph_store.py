@@ -27,8 +27,6 @@ from __future__ import annotations
 
 import os
 import struct
-import sys
-import types
 import uuid
 import zlib
 from array import array
@@ -41,7 +39,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import one_row, saved, shared_path, text_of
+from tradeflow.llm.common import kept_in_worker, one_row, saved, shared_path, text_of
 
 END_ID = 1
 MAGIC = b"IDSHARD1"
@@ -201,18 +199,13 @@ class Index:
 
 # Encoding ------------------------------------------------------------------------
 
-def _kept_in_worker() -> dict:
-    """A dict that lives as long as the Python worker, which Spark uses for many tasks."""
-    return sys.modules.setdefault("_tradeflow_worker", types.ModuleType("_tradeflow_worker")).__dict__
-
-
 class WordEncoder:
     """Token ids of words, by the tokenizers library. ``known`` remembers the first ``WORDS`` words (frequent ones come
     early); beyond them a word is encoded again for each batch of texts that has it."""
 
     @classmethod
     def of_worker(cls, path: str) -> "WordEncoder":
-        kept = _kept_in_worker()
+        kept = kept_in_worker()
         if ("words", path) not in kept:
             kept["words", path] = cls(path)
         return kept["words", path]

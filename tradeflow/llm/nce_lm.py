@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import one_row, saved, text_of
+from tradeflow.llm.common import kept_in_worker, one_row, saved, text_of
 
 END = b"\n"
 ALPHA = 0.1
@@ -82,6 +82,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _symbols(held) -> "Symbols":
+    """The task's symbols, made once in each worker: a broadcast value stays the same object there."""
+    kept = kept_in_worker()
+    if kept.get("symbols", (None, None))[0] is not held.value:
+        kept["symbols"] = (held.value, Symbols(*held.value))
+    return kept["symbols"][1]
+
+
 class Symbols:
     """The frequent words' table: symbol, log10 count; and the classes' sizes."""
 
@@ -117,7 +125,7 @@ class Symbols:
 
 def _trigrams(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = Symbols(*held.value)
+        symbols = _symbols(held)
         codes: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
@@ -247,7 +255,7 @@ _SCORED = ("id long, row_id long, n_tokens long, known long, base double, model
 
 def _score(held, par):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, model = Symbols(*held.value), Model(par.value)
+        symbols, model = _symbols(held), Model(par.value)
         kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for batch in batches:
             n_tokens, known, base, score, rare = [], [], [], [], []
@@ -279,6 +287,21 @@ def _bucket(word, buckets: int):
     return F.pmod(byte(F.greatest(n - 1, F.lit(1))) * 131 + byte(n) * 31 + F.least(n, F.lit(2)), F.lit(buckets))
 
 
+def frequent_words(vocabulary: DataFrame, limit: int) -> list[tuple[bytes, int]]:
+    """At most ``limit`` most frequent words, by count and word: all whose count reaches the lowest step of a
+    logarithmic scale that so many words reach. (A sorted limit would send that many rows from every task.)"""
+    step = F.floor(F.log2("c") * 16).cast("int")
+    sizes = sorted(vocabulary.groupBy(step.alias("s")).agg(F.count(F.lit(1))).collect(), reverse=True)  # a row for each step
+    low, n = None, 0
+    for s, k in sizes:
+        if n + k > limit:
+            break
+        low, n = s, n + k
+    if low is None:
+        return []
+    return sorted(((bytes(w), c) for w, c in vocabulary.where(step >= low).collect()), key=lambda x: (-x[1], x[0]))
+
+
 def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
               buckets: int = BUCKETS, table_words: int = TABLE_WORDS, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
@@ -292,7 +315,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     vocabulary = saved(train_text.mapInArrow(_count_words, "word binary, c long").groupBy("word")
                        .agg(F.sum("c").alias("c")), "vocabulary")
     total, kinds = one_row(vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))))
-    table = [(bytes(w), c) for w, c in vocabulary.orderBy(F.desc("c"), "word").limit(table_words).collect()]
+    table = frequent_words(vocabulary, table_words)
     own = [(w,) for w, _ in table[:words]]
     rest = vocabulary
     if own:
