@@ -36,7 +36,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import free_name, one_row, ranked, saved, text_of, words_of
+from tradeflow.llm.common import free_name, one_row, ranked, row_ids, saved, text_of, words_of
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -101,7 +101,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         weights: Sequence[float] = WEIGHTS, share: float = SHARE, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, rate, copies, taken, row_id."""
     sizes = saved(docs.select(
-        F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row_id"), F.col(source_col).alias("source"),
+        F.col(id_col).alias("id"), row_ids(docs).alias("row_id"), F.col(source_col).alias("source"),
         F.size(words_of(text_of(text_col))).cast("long").alias("size")), "sizes")
     order = [F.col("source").asc_nulls_last(), F.col("size"), F.xxhash64("id"), F.col("id"), F.col("row_id")]
     placed = ranked(sizes, order, "k")
@@ -129,7 +129,7 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     pos = free_name(docs, "row_id")
     times = free_name(docs, "copies")
     taken = mix(docs, **options).where("copies > 0").select(F.col("row_id").alias(pos), F.col("copies").alias(times))
-    joined = docs.withColumn(pos, F.monotonically_increasing_id()).join(taken, pos)
+    joined = docs.withColumn(pos, row_ids(docs)).join(taken, pos)
     again = free_name(joined, "copy")
     return joined.withColumn(again, F.explode_outer(F.array_repeat(F.lit(1), F.col(times)))).select(
         *(joined[c] for c in docs.columns))

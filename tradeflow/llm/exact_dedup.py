@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import free_name, saved, text_of, without_spaces
+from tradeflow.llm.common import free_name, row_ids, saved, text_of, without_spaces
 
 
 def sha256(text: Column) -> Column:
@@ -43,7 +43,7 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     text = text_of(text_col)
     rows = (
         docs.select(F.col(id_col).alias("id"), text.alias("text"),
-                    (F.monotonically_increasing_id() if row is None else row).alias("row_id"))
+                    (row_ids(docs) if row is None else row).alias("row_id"))
         .select("id", "row_id", F.length("text").alias("length"), without_spaces(F.col("text")).alias("norm"))
         .withColumn("digest", digest(F.col("norm")))
     )
@@ -76,4 +76,4 @@ def keep_first_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """``docs`` without the rows that :func:`exact_dedup` drops, all columns kept."""
     pos = free_name(docs, "row_id")
     kept = exact_dedup(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("row_id").alias(pos))
-    return docs.withColumn(pos, F.monotonically_increasing_id()).join(kept, pos, "left_semi").drop(pos)
+    return docs.withColumn(pos, row_ids(docs)).join(kept, pos, "left_semi").drop(pos)

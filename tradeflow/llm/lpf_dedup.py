@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import saved, text_of
+from tradeflow.llm.common import row_ids, saved, text_of
 
 LENGTH = 200
 GRAM = 24
@@ -400,7 +400,7 @@ def cut_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Every byte of a repeated string goes; with ``keep_first``, strings stay where they come first (in row order).
     """
-    d = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("id"),
+    d = docs.select(row_ids(docs).alias("row_id"), F.col(id_col).cast("long").alias("id"),
                     text_of(text_col).alias("text"))
     cells = saved(repeated_cells(saved(scan(d, length), "cells")), "repeated")
     whole = cells.where(~F.col("lead")) if keep_first else cells.where("n > 1")

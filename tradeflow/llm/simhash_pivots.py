@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import free_name, saved, text_of
+from tradeflow.llm.common import free_name, row_ids, saved, text_of
 from tradeflow.llm.components import components
 
 SEED = 42
@@ -172,7 +172,7 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     ``kept`` marks one row of each component: the one with the smallest id.
     """
     fps = saved(
-        docs.select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row_id"),
+        docs.select(F.col(id_col).cast("long").alias("id"), row_ids(docs).alias("row_id"),
                     text_of(text_col).alias("text"))
         .mapInArrow(_fingerprints(shingle), "id long, row_id long, fp long"), "fingerprints")
     nodes = fps.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_id")).alias("first"))
@@ -191,4 +191,4 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with one document of each group of near copies, all columns kept."""
     pos = free_name(docs, "row_id")
     kept = near_copies(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("row_id").alias(pos))
-    return docs.withColumn(pos, F.monotonically_increasing_id()).join(kept, pos, "left_semi").drop(pos)
+    return docs.withColumn(pos, row_ids(docs)).join(kept, pos, "left_semi").drop(pos)
