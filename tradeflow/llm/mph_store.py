@@ -62,15 +62,19 @@ SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n", "<
 
 # Files ---------------------------------------------------------------------------
 
-def _put(uri: str, data: list[bytes]) -> None:
-    """Write a file as a whole: under a name of its own, then moved."""
-    where, path = fs.FileSystem.from_uri(uri)
-    where.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    own = f"{path}.{uuid.uuid4().hex}"
-    with where.open_output_stream(own) as f:
-        for x in data:
-            f.write(x)
-    where.move(own, path)
+class _Whole:
+    """A file that appears as a whole: written under a name of its own, then moved."""
+
+    def __init__(self, uri: str):
+        self.where, self.path = fs.FileSystem.from_uri(uri)
+        self.where.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
+        self.own = f"{self.path}.{uuid.uuid4().hex}"
+        self.out = self.where.open_output_stream(self.own)
+        self.write = self.out.write
+
+    def done(self) -> None:
+        self.out.close()
+        self.where.move(self.own, self.path)
 
 
 class Reader:
@@ -284,25 +288,25 @@ class WordEncoder:
 
 def _write_shards(root: str, tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, parts, keys, offsets, counts, at, shard = None, [], [], [], [], 0, None
+        encoder, file, at = None, None, 0
         for b in batches:
             encoder = encoder or WordEncoder.of_worker(tokenizer_path)
-            keys += b.column(0).to_pylist()
             for i in range(0, b.num_rows, TOGETHER):
-                shard = b.column(1)[i].as_py()
-                for data in encoder.encode(b.column(2).slice(i, TOGETHER).to_pylist(), end_id):
-                    parts.append(data)
-                    offsets.append(at)
-                    counts.append(len(data) // encoder.width)
-                    at += counts[-1]
-        if keys:
-            _put(f"{root}/shards/{shard:05d}", [struct.pack(HEAD, MAGIC, encoder.width, shard), *parts])
-            for i in range(0, len(keys), 10_000):
-                cut = slice(i, i + 10_000)
+                if file is None:  # a task holds one shard
+                    shard = b.column(1)[i].as_py()
+                    file = _Whole(f"{root}/shards/{shard:05d}")
+                    file.write(struct.pack(HEAD, MAGIC, encoder.width, shard))
+                coded = encoder.encode(b.column(2).slice(i, TOGETHER).to_pylist(), end_id)
+                file.write(b"".join(coded))
+                counts = [len(data) // encoder.width for data in coded]
+                offsets = at + np.concatenate([[0], np.cumsum(counts)])
+                at = int(offsets[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[cut], pa.int64()), pa.array([shard] * len(keys[cut]), pa.int32()),
-                     pa.array(offsets[cut], pa.int64()), pa.array(counts[cut], pa.int64())],
+                    [b.column(0).slice(i, TOGETHER), pa.array([shard] * len(coded), pa.int32()),
+                     pa.array(offsets[:-1].astype(np.int64)), pa.array(counts, pa.int64())],
                     names=["key", "shard", "offset", "n"])
+        if file is not None:
+            file.done()
     return run
 
 
@@ -317,7 +321,10 @@ def _write_index(root: str, files: int):
             slots = np.zeros(len(rows), SLOT)
             for name, values in zip(("shard", "offset", "n", "equal"), list(zip(*rows))[1:]):
                 slots[name] = values
-            _put(f"{root}/index/{file:05d}", Index.build([r[0] for r in rows], slots).dump())
+            whole = _Whole(f"{root}/index/{file:05d}")
+            for part in Index.build([r[0] for r in rows], slots).dump():
+                whole.write(part)
+            whole.done()
             done.append((file, len(rows)))
         yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in done], pa.int32()), pa.array([n for _, n in done], pa.int64())],
                                          names=["file", "keys"])
