@@ -374,8 +374,11 @@ class Trees:
 
 def train(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> Trees:
     """Trees from a bounded sample of the pages, taken by hash order."""
-    rows = (pages.where(F.col(html_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
-            .orderBy(F.xxhash64("id"), "id").limit(sample).collect())
+    have = pages.where(F.col(html_col).isNotNull() & F.col(id_col).isNotNull())
+    # The ids first: a sorted limit sends its rows from every task.
+    ids = [r["id"] for r in have.select(F.col(id_col).alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(sample).collect()]
+    rows = (have.where(F.col(id_col).isin(ids)).groupBy(F.col(id_col).alias("id")).agg(F.min(html_col).alias("html"))
+            .orderBy(F.xxhash64("id"), "id").collect() if ids else [])
     return Trees.fit(*training_set([r["html"] for r in rows]))
 
 
