@@ -105,6 +105,14 @@ def test_planted_passages_are_found_and_clean_documents_left_alone(documents):
         assert at - 5 <= r.word_start and r.word_stop <= at + n + 5
 
 
+def test_repeats_inside_one_document_on_request(documents):
+    words = [f"w{i}" for i in range(60)]
+    docs = documents([(1, " ".join([*words, "between", *words])), (2, "other text")])
+    assert chain_dedup.shared_passages(docs).count() == 0
+    found = chain_dedup.shared_passages(docs, inside=True).collect()
+    assert [(r.doc_id, r.ref_doc_id, r.word_start, r.word_stop, r.ref_start) for r in found] == [(1, 1, 61, 121, 0)]
+
+
 def test_chains_match_quadratic_dynamic_programming():
     rng = np.random.default_rng(8)
     for _ in range(60):
