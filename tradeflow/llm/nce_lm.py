@@ -50,7 +50,7 @@ NOISE = 32
 CHUNK = 2_000_000
 RATE = 0.05
 #: Distinct words, and tokens, that a counting task holds before it hands them on.
-FLUSH_WORDS, FLUSH_TOKENS = 200_000, 4_000_000
+FLUSH_WORDS, FLUSH_TOKENS = 500_000, 4_000_000
 #: Sums of parameters are taken in whole units of this size, so that their order does not matter.
 UNIT = 1 << 24
 
@@ -256,9 +256,8 @@ _SCORED = ("id long, row_id long, n_tokens long, known long, base double, model
 def _score(held, par):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, model = _symbols(held), Model(par.value)
-        kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for batch in batches:
-            n_tokens, known, base, score, rare = [], [], [], [], []
+            n_tokens, known, base, score, ends, rare, times = [], [], [], [], [0], [], []
             for cell in batch.column(2):
                 words = tokens_of(cell.as_py())
                 s, at = symbols.of(words)
@@ -271,10 +270,14 @@ def _score(held, par):
                 base.append(float(logs.sum()))
                 score.append(float(model.log10(a, b, s).sum() - symbols.log_share[s].sum() + logs[in_class].sum()))
                 rest = Counter(words[i] for i in np.flatnonzero(~there))
-                rare.append([{"word": w, "n": n} for w, n in rest.items()])
+                rare += rest
+                times += rest.values()
+                ends.append(len(rare))
+            lone = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.array(rare, kind)],
+                 pa.array(base, pa.float64()), pa.array(score, pa.float64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lone)],
                 names=["id", "row_id", "n_tokens", "known", "base", "model", "rare"])
     return run
 
