@@ -169,7 +169,8 @@ def repeated_cells(cells: DataFrame) -> DataFrame:
     some = cells.join(F.broadcast(grams.where(hot).select("gram")), "gram")
     kinds = some.groupBy("gram", "cell").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_id", "first")).alias("head"))
     all_kinds = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"))
-    kinds = kinds.join(all_kinds, "gram")
+    # Written, so that the join has a shuffle of its own on both sides, which Spark can split at a frequent cell.
+    kinds = saved(kinds.join(all_kinds, "gram"), "kinds")
     warm = some.join(kinds, ["gram", "cell"]).select(
         *cells.columns, "n", (F.struct("row_id", "first") == F.col("head")).alias("lead"),
         (F.col("kinds") > 1).alias("mixed"), "kinds")
