@@ -8,9 +8,10 @@ words (by their last two bytes): with context vectors r and word vectors q,
     s(w | a, b) = (r1[a] + r2[b]) . q[w] + bias[w]
 
 for the symbols a, b before w. It is trained in numpy by noise-contrastive
-estimation over the symbol trigram counts of all training documents: each
-partition of the trigram table takes minibatch steps from the shared
-parameters, and the results are averaged by weight, for ``rounds`` rounds.
+estimation over the symbol trigram counts of all training documents, dealt to
+``rounds`` rounds: in each, every partition of the trigram table takes
+minibatch steps from the shared parameters over its trigrams of the round, and
+the results are averaged by weight.
 Probabilities are normalised: exp(s) factors into a term in (a, w) and one in
 (b, w), so one matrix product gives the sum for every context. A word of a
 class has the class's probability times its smoothed share of the class.
@@ -50,7 +51,7 @@ NOISE = 32
 CHUNK = 2_000_000
 RATE = 0.05
 #: Distinct words, and tokens, that a counting task holds before it hands them on.
-FLUSH_WORDS, FLUSH_TOKENS = 500_000, 4_000_000
+FLUSH_WORDS, FLUSH_TOKENS = 200_000, 4_000_000
 #: Sums of parameters are taken in whole units of this size, so that their order does not matter.
 UNIT = 1 << 24
 
@@ -222,11 +223,12 @@ def train(trigrams: DataFrame, counts: np.ndarray, *, rounds: int = ROUNDS) -> d
     par = start_parameters(size, counts)
     for r in range(rounds):
         held = trigrams.sparkSession.sparkContext.broadcast(par)
-        own = trigrams.mapInArrow(_learn(counts, held, 1000 * r), "row int, weight long, v array<long>")
+        share = trigrams.where(F.pmod(F.xxhash64("code"), F.lit(rounds)) == r)  # each trigram has its round
+        own = share.mapInArrow(_learn(counts, held, 1000 * r), "row int, weight long, v array<long>")
         sums = [F.sum(F.get("v", F.lit(d)).cast("decimal(38,0)") * F.col("weight")).alias(f"v{d}") for d in range(DIM)]
         rows = own.groupBy("row").agg(F.sum("weight").alias("weight"), *sums).collect()  # 4 * size rows
         if not rows:
-            break
+            continue
         flat = np.zeros((4 * size, DIM))
         for x in rows:
             flat[x["row"]] = [float(v) / (float(x["weight"]) * UNIT) for v in x[2:]]
