@@ -44,6 +44,7 @@ MAX_REPEAT = 2
 TOLERANCE = 1e-9
 MAX_STEPS = 60
 SETTLING_PASSES = 4
+SALTS = 32
 
 
 def source_targets(sources: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -89,8 +90,12 @@ def settle(docs: DataFrame, *, max_repeat: int = MAX_REPEAT, passes: int = SETTL
         gaps = docs.groupBy("place").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
         fits = (F.col("size") > 0) & (F.col("size") <= F.abs("gap")) & F.when(
             F.col("gap") > 0, F.col("copies") < max_repeat).otherwise(F.col("copies") > 0)
-        best = (docs.select("place", "k", "size", "copies").join(gaps, "place").where(fits).groupBy("place")
-                .agg(F.max(F.struct("size", "k")).alias("pick"), F.max(F.signum("gap")).cast("int").alias("move"))
+        # A hot source is dealt by salt, and only one row of each salt meets the others.
+        spread = gaps.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = docs.select("place", "k", "size", "copies", F.pmod("k", F.lit(SALTS)).cast("int").alias("salt"))
+        pick, move = F.max(F.struct("size", "k")).alias("pick"), F.max(F.signum("gap")).cast("int").alias("move")
+        best = (own.join(spread, ["place", "salt"]).where(fits).groupBy("place", "salt").agg(pick, move)
+                .groupBy("place").agg(F.max("pick").alias("pick"), F.max("move").alias("move"))
                 .select("place", F.col("pick.k").alias("k"), "move"))
         docs = saved(docs.join(best, ["place", "k"], "left").withColumn(
             "copies", F.col("copies") + F.coalesce("move", F.lit(0))).drop("move"), "settled")
