@@ -159,14 +159,15 @@ def repeated_cells(cells: DataFrame) -> DataFrame:
     hot = F.col("times") > max(HOT_GRAM, total // HOT_SHARE)
     kind = Window.partitionBy("gram", "cell")
     gram = Window.partitionBy("gram")
+    hot_grams = F.broadcast(grams.where(hot).select("gram"))  # fewer than HOT_SHARE
     cold = (
-        cells.join(grams.where(~hot).select("gram"), "gram")
+        cells.join(hot_grams, "gram", "left_anti").join(grams.where(~hot).select("gram"), "gram")
         .withColumn("n", F.count(F.lit(1)).over(kind))
         .withColumn("lead", F.row_number().over(kind.orderBy("row_id", "first")) == 1)
         .withColumn("mixed", F.min("cell").over(gram) != F.max("cell").over(gram))
         .withColumn("kinds", F.count_if("lead").over(gram))
     )
-    some = cells.join(F.broadcast(grams.where(hot).select("gram")), "gram")
+    some = cells.join(hot_grams, "gram")
     kinds = some.groupBy("gram", "cell").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_id", "first")).alias("head"))
     all_kinds = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"))
     # Written, so that the join has a shuffle of its own on both sides, which Spark can split at a frequent cell.
