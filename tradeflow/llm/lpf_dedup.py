@@ -46,9 +46,9 @@ from tradeflow.llm.common import row_ids, saved, text_of
 LENGTH = 200
 GRAM = 24
 #: Bytes of text that anchors are chosen for at a time, if no document is longer.
-SCAN = 1 << 20
+SCAN = 1 << 18
 #: Bytes of the groups that share a suffix array; of a group that gets one.
-BUNDLE_BYTES, GROUP_BYTES = 1 << 20, 1 << 20
+BUNDLE_BYTES, GROUP_BYTES = 1 << 19, 1 << 20
 SPANS = "array<struct<start: long, stop: long>>"
 #: Grams that occur more often than this, and in more than one of HOT_SHARE cells, are combined by cell before they
 #: are dealt; there are fewer than HOT_SHARE of them, whatever the corpus.
