@@ -143,3 +143,18 @@ def test_alignment_counts_kept_words():
     b = np.concatenate([b[:40], [900, 901], b[43:]]).astype("<u2")
     start, stop, ra, rz, identity, alike = chain_dedup.align(a, b, [(10, 10, 20), (60, 59, 30)])
     assert (start, stop, ra, rz) == (0, 100, 0, 99) and abs(identity - 97 / 100) < 1e-9 and 0.8 < alike < 1
+
+
+def test_pieces_quoted_earlier_do_not_part_a_passage(documents):
+    rng = random.Random(12)
+    voc = [f"v{i}" for i in range(20000)]
+    for _ in range(3):
+        passage, other = ([rng.choice(voc) for _ in range(93)] for _ in range(2))
+
+        def around(words):
+            return " ".join([*(rng.choice(voc) for _ in range(30)), *words, *(rng.choice(voc) for _ in range(30))])
+        rows = [(1, around(passage[:35])), (2, around(passage[28:65])), (3, around(passage[58:])), (4, around(passage)), (5, around(passage)),
+                (6, around(other[:30])), (7, around(other[30:60])), (8, around(other[:60])), (9, around(other[:60]))]
+        found = chain_dedup.shared_passages(documents(rows, 1)).collect()
+        assert sorted((r.doc_id, r.ref_doc_id, r.word_start, r.word_stop, r.ref_start, r.ref_stop) for r in found) == [
+            (5, 4, 30, 123, 30, 123), (9, 8, 30, 90, 30, 90)]
