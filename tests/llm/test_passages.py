@@ -158,3 +158,44 @@ def test_pieces_quoted_earlier_do_not_part_a_passage(documents):
         found = chain_dedup.shared_passages(documents(rows, 1)).collect()
         assert sorted((r.doc_id, r.ref_doc_id, r.word_start, r.word_stop, r.ref_start, r.ref_stop) for r in found) == [
             (5, 4, 30, 123, 30, 123), (9, 8, 30, 90, 30, 90)]
+
+
+def test_one_changed_word_at_every_place(documents):
+    rng = random.Random(13)
+    rows, truth = [], {}
+    for n in range(51, 66):
+        for place in range(n):
+            words = [f"p{n}x{place}x{i}" for i in range(n)]
+            changed = words[:place] + ["edit"] + words[place + 1:]
+            at = [rng.randint(0, 60) for _ in range(2)]
+            for k, own in enumerate((words, changed)):
+                own[0:0] = [f"u{k}{n}x{place}x{i}" for i in range(at[k])]
+                own += [f"t{k}{n}x{place}x{i}" for i in range(30)]
+                rows.append((len(rows), " ".join(own)))
+            truth[len(rows) - 1] = (n, place, at)
+    found = {r.doc_id: r for r in chain_dedup.shared_passages(documents(rows, 1)).collect()}
+    assert set(found) == set(truth)
+    for i, (n, place, (ref_at, at)) in truth.items():
+        r = found[i]
+        cut = chain_dedup.EDIT_COST  # an edit outweighs fewer words beyond it
+        a, z = r.word_start - at, r.word_stop - at
+        assert (r.ref_doc_id, r.ref_start - ref_at, r.ref_stop - ref_at) == (i - 1, a, z), (n, place)
+        assert (a == 0 or a == place + 1 <= cut) and (z == n or n - cut <= z == place), (n, place, a, z)
+        assert r.identity >= 0.8 and r.similarity >= 0.8
+
+
+def test_ends_of_two_lists_by_trying_all():
+    rng = random.Random(14)
+    for _ in range(300):
+        a, b = ([rng.randint(0, 3) for _ in range(rng.randint(0, 9))] for _ in range(2))
+        if rng.random() < 0.5:
+            b = a[:4] + b
+        edits = {(0, 0): 0}
+        for i in range(len(a) + 1):
+            for j in range(len(b) + 1):
+                if i or j:
+                    before = [edits[at] + 1 for at in ((i - 1, j), (i, j - 1)) if min(at) >= 0]
+                    edits[i, j] = min(before + ([edits[i - 1, j - 1] + (a[i - 1] != b[j - 1])] if i and j else []))
+        best = max((i + j) / 2 - chain_dedup.EDIT_COST * e for (i, j), e in edits.items() if e <= chain_dedup.EDITS)
+        i, j, kept = chain_dedup._end(a, b)
+        assert (i + j) / 2 - chain_dedup.EDIT_COST * edits[i, j] == best and kept <= min(i, j)
