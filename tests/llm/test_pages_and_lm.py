@@ -136,3 +136,19 @@ def test_lm_cases(documents):
     only_held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     r = nce_lm.lm_scores(documents([(only_held, "no training text")])).first()
     assert r.held_out and r.train_tokens == 0 and r.n_known == 0 and abs(r.base_score - 4 * math.log10(0.1 / 0.1)) < 1e-9
+
+
+def test_lm_rounds_learn_from_all_trigrams(spark):
+    rng = np.random.default_rng(10)
+    size = 40
+    symbols = [rng.integers(0, size, 500) for _ in range(3)]
+    code = np.unique((symbols[0] << 20) | (symbols[1] << 10) | symbols[2])
+    n = rng.integers(1, 9, len(code))
+    counts = np.bincount(code & 1023, n, size)
+    table = spark.createDataFrame(list(zip(code.tolist(), n.tolist())), "code long, n int").coalesce(1)
+    par = nce_lm.start_parameters(size, counts)
+    for r in range(2):
+        past = {k: np.full(v.shape, 1e-6) for k, v in par.items()}
+        nce_lm.nce_steps(par, past, code, n.astype(np.float64), counts, 1000 * r + len(code))
+    got = nce_lm.train(table, counts, rounds=2)
+    assert all(np.allclose(got[k], par[k], atol=1e-5) for k in par)
