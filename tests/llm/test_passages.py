@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from odd_rows import ODD
 
-from tradeflow.llm import chain_dedup, lpf_dedup
+from tradeflow.llm import chain_dedup, lpf_dedup, queries
 
 
 def brute_marks(texts, length, first_stays):
@@ -199,3 +199,13 @@ def test_ends_of_two_lists_by_trying_all():
         best = max((i + j) / 2 - chain_dedup.EDIT_COST * e for (i, j), e in edits.items() if e <= chain_dedup.EDITS)
         i, j, kept = chain_dedup._end(a, b)
         assert (i + j) / 2 - chain_dedup.EDIT_COST * edits[i, j] == best and kept <= min(i, j)
+
+
+def test_the_query_reports_repeats_inside_a_document(spark, tmp_path):
+    exact, changed = [f"w{i}" for i in range(60)], [f"c{i}" for i in range(60)]
+    other = changed[:30] + ["edit"] + changed[31:]
+    rows = [(1, " ".join([*exact, "between", *exact])), (2, " ".join([*changed, "between", *other])), (3, "other text"), (4, "a b c " * 200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op2_chain_dedup(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.ref_doc_id, r.word_start, r.word_stop, r.ref_start, r.ref_stop) for r in found) == [
+        (1, 1, 61, 121, 0, 60), (2, 2, 61, 121, 0, 60), (4, 4, 3, 600, 0, 597)]

@@ -21,7 +21,7 @@ def op1_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chain_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chain_dedup.shared_passages(table(spark, sf_dir, "documents"))
+    return chain_dedup.shared_passages(table(spark, sf_dir, "documents"), inside=True)
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
