@@ -152,3 +152,19 @@ def test_lm_rounds_learn_from_all_trigrams(spark):
         nce_lm.nce_steps(par, past, code, n.astype(np.float64), counts, 1000 * r + len(code))
     got = nce_lm.train(table, counts, rounds=2)
     assert all(np.allclose(got[k], par[k], atol=1e-5) for k in par)
+
+
+@pytest.mark.parametrize("page", [
+    "<!doctype html><html><head><meta charset=u><title>t</title><body><p>one</p><p>two</p>",
+    "<head><link rel=x><title>t</title><style>p{}</style><p>one<p>two",
+    "<body><p>one <svg class=i viewBox='0 0 1 1'/></p><svg/><p>two</p>",
+    "<body><svg><title/><path d='M0'/><g><text>no</text></g></svg><p>one</p><div><button>no</div><p>two</p>",
+    "<body><button>no<p>one</p><select><option>no<p>two</p>",
+    "<body><div><button><p>no</p></button><select><option>no</select>one</div><canvas>no<p>two</p>",
+    "<body><button-bar>one</button-bar><object-list><p>two</p></object-list><template><p>no</p></template>",
+    "<body><object data=x><object><p>no</p></object>no</object><p>one</p><script>'<p>no'</script ><p>two",
+    "<head></head><body><p>one</p><header-box></header-box><head><p>two</p><noscript><p>no</p></noscript>",
+])
+def test_dropped_elements_take_no_text_with_them(page):
+    made = dom_gbt.Page(page)
+    assert made.text(np.ones(len(made.tag), bool)).split() == ["one", "two"]

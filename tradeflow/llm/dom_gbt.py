@@ -16,7 +16,9 @@ from density and tokens and not from one template. All pages are then
 extracted whole.
 
 Cases: null, empty or text-free html has an empty text. Broken markup is
-closed as browsers do in the common cases; unknown tags count as boxes. If no
+closed as browsers do in the common cases; a head ends where a body's tag or
+text begins, and a dropped element (button, svg, ...) that lacks its end tag
+ends with the element around it or before the next box; unknown tags count as boxes. If no
 page of the sample names its article, the rewritten layouts of plain
 paragraphs alone are learned from. Repeated rows get equal results. Only the
 id, url and html columns are read. An empty table gives an empty result.
@@ -40,7 +42,9 @@ TREES, DEPTH, SHRINK, BINS = 40, 4, 0.25, 32
 
 # Element names of HTML by what they do.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-RAW = ("script", "style", "textarea", "noscript", "template", "iframe", "svg", "select", "button", "object", "canvas", "head", "title")
+RAW = {"script", "style", "textarea", "title", "noscript", "iframe"}  # no markup inside
+DROPPED = {"head", "svg", "button", "select", "object", "template", "canvas"}  # with all below them
+IN_HEAD = {"base", "link", "meta", "title", "noscript", "style", "script", "template"}  # other tags end a head
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark",
           "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
 KINDS = (("article", "main"), ("p", "blockquote", "pre", "figure", "figcaption"), ("h1", "h2", "h3", "h4", "h5", "h6"),
@@ -63,9 +67,25 @@ WALLS = {"ul", "ol", "dl", "table", "body", "html", "div", "section", "article",
 WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+#: A raw element's start, whose attributes may be in any disorder.
+RAW_TAG = re.compile("<(" + "|".join(sorted(RAW)) + r")(?=[\s/>])([^>]*)>", re.I)
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
+EDGE = {t: re.compile(rf"<(/?){t}(?=[\s/>])[^>]*>", re.I) for t in DROPPED}
+
+
+def closed_starts(text: str, name: str) -> set[int]:
+    """Places of the start tags of a dropped element that have an end tag of their own."""
+    out, waiting = set(), []
+    for m in EDGE[name].finditer(text):
+        if m.group(1):
+            if waiting:
+                out.add(waiting.pop())
+        else:
+            if name in ("button", "select"):  # a second start ends the first
+                waiting.clear()
+            waiting.append(m.start())
+    return out
 
 
 class Page:
@@ -78,15 +98,53 @@ class Page:
 
     def _parse(self, text: str) -> None:
         open_nodes, at = [0], 0
-        for m in TAG.finditer(text):
+        hidden: list[str] = []  # open elements from a dropped one on; they make no nodes
+        closed: dict[str, set[int]] = {}
+        sure = False  # the dropped element has its own end tag
+        while m := TAG.search(text, at):
             if m.start() > at:
-                self._text(open_nodes[-1], text[at:m.start()])
+                if hidden == ["head"] and text[at:m.start()].strip(" \t\n\x0b\f\r"):
+                    hidden = []
+                if not hidden:
+                    self._text(open_nodes[-1], text[at:m.start()])
+            raw = RAW_TAG.match(text, m.start())
+            if raw and not ("svg" in hidden and raw.group(2).endswith("/")):
+                if hidden == ["head"] and raw.group(1).lower() not in IN_HEAD:
+                    hidden = []
+                end = RAW_END[raw.group(1).lower()].search(text, raw.end())
+                at = end.end() if end else len(text)
+                continue
             at = m.end()
-            name = m.group(3)
+            name = m.group(2)
             if name is None:
                 continue
             name = name.lower()
-            if m.group(2):
+            ends_itself = m.group(3).rstrip().endswith("/")
+            if hidden:
+                if m.group(1):
+                    if name in hidden:
+                        del hidden[len(hidden) - 1 - hidden[::-1].index(name):]
+                        continue
+                    # The end of an element around it ends a dropped one that lacks its own end.
+                    if sure or name in INLINE or not (name in ("body", "html") or any(self.tag[i] == name for i in open_nodes[1:])):
+                        continue
+                    hidden = []
+                elif hidden == ["head"] and name not in IN_HEAD or not sure and (
+                        name in KIND_OF or name == hidden[0] and name in ("button", "select")):
+                    hidden = []
+                else:
+                    if name not in VOID and name not in INLINE and not ("svg" in hidden and ends_itself):
+                        hidden.append(name)
+                    continue
+            if name in DROPPED and not m.group(1):
+                if name == "head" and any(t not in ("html", "head") for t in self.tag) or name == "svg" and ends_itself:
+                    continue
+                if name not in closed:
+                    closed[name] = closed_starts(text, name)
+                sure = name != "head" and m.start() in closed[name]
+                hidden = [name]
+                continue
+            if m.group(1):
                 if name in INLINE:
                     if self.tag[open_nodes[-1]] == name:
                         open_nodes.pop()
@@ -119,7 +177,7 @@ class Page:
                 self.pieces.append((open_nodes[-1], None))
             elif name != "a":
                 continue  # inline marks neither part blocks nor make nodes; links count for density
-            attrs = m.group(4)
+            attrs = m.group(3)
             words = ()
             if attrs:
                 words = tuple(w for a in ATTR.finditer(attrs) for w in WORD.findall((a.group(2) or a.group(3) or a.group(4) or "").lower()))
@@ -128,7 +186,7 @@ class Page:
             self.words.append(words)
             if not attrs.rstrip().endswith("/") or name in INLINE:
                 open_nodes.append(len(self.tag) - 1)
-        if at < len(text):
+        if at < len(text) and (not hidden or hidden == ["head"] and text[at:].strip(" \t\n\x0b\f\r")):
             self._text(open_nodes[-1], text[at:])
 
     def _text(self, node: int, raw: str) -> None:
