@@ -118,26 +118,53 @@ def test_backtracking_equals_merging_on_small_vocabularies():
 
 
 def test_store_round_trip(spark, documents, monkeypatch):
-    rows = ODD + [(1000 - i, f"Word number{i}, İstanbul don't THE ẞtrasse " * (i % 4)) for i in range(300)] + [(2000, "<|endoftext|> a")]
+    rows = ODD + [(1000 - i, f"Word number{i}, İstanbul don't THE ẞtrasse " * (i % 4)) for i in range(300)] + [
+        (2000, "<|endoftext|> a"), (2001, "b<|startoftext|>c\x1cd"), (2002, "İ? Σ. x\x85y")]
     docs = documents(rows, 3)
     monkeypatch.setattr(mph_store, "KEYS_PER_FILE", 60)
+    monkeypatch.setattr(mph_store, "SHARD_BYTES", 50_000)
     store = mph_store.write_store(docs, P.path("word_bpe_49k.json"))
     assert store["index_files"] > 3
     got = mph_store.read_back(spark, store).collect()
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     want, start = [], 0
     coded = {x: t.encode(x or "", add_special_tokens=False).ids + [1] for _, x in rows}
     for i, x in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         want.append((i, start, len(coded[x]), zlib.crc32(np.array(coded[x], "<u4").tobytes())))
         start += len(coded[x])
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    again = mph_store.read_back(spark, mph_store.open_store(spark, store["root"])).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(want, key=str) and store["manifest"].count() > 2
     missing = mph_store.lookup(spark.createDataFrame([(77777,), (1000,)], "key long"), store).collect()
     assert {r.key: r.n is None for r in missing} == {77777: True, 1000: False}
     empty = mph_store.write_store(docs.where("false"), P.path("word_bpe_49k.json"))
     assert mph_store.read_back(spark, empty).count() == 0
 
 
+def test_word_encoder_equals_the_plain_library():
+    """Random strings over U+0000 to U+2FFF, letters that change their length in lower case, and both special strings."""
+    rng = np.random.default_rng(11)
+    path = P.path("word_bpe_49k.json")
+    plain, own = Tokenizer.from_file(path), mph_store.WordEncoder(path)
+    marks, odd = list("?!.,'\"-)*<|>"), list("İıſßẞΣςÅΩKǅŉ\x1c\x1f\x85\xa0\u0301\u0307\u0338\u0958\u2028")
+    special, words = ["<|endoftext|>", "<|startoftext|>"], ["don't", "Word", "the", "I'LL", "été", "Straße", "слово", "ΟΔΟΣ"]
+    texts = []
+    for i in range(6000):
+        parts = []
+        for _ in range(int(rng.integers(1, 14))):
+            kind = int(rng.integers(0, 7))
+            parts.append(chr(int(rng.integers(0, 0x3000))) if kind < 2 else str(rng.choice(odd)) if kind == 2 else
+                         str(rng.choice(marks)) if kind == 3 else " " if kind == 4 else
+                         str(rng.choice(words)) if kind == 5 or rng.random() < 0.7 else str(rng.choice(special)))
+        texts.append("".join(parts))
+    texts += [a + b + m for a in odd + words for b in ("", "a", "A") for m in ("", "?", "'", "?\u0301", " ?")]
+    for i in range(0, len(texts), 50):
+        some = texts[i:i + 50]
+        got = [np.frombuffer(x, "<u2").tolist() for x in own.encode(some, 1)]
+        want = [e.ids + [1] for e in plain.encode_batch(some, add_special_tokens=False)]
+        assert got == want, [t for t, g, w in zip(some, got, want) if g != w][:3]
+
+
 def test_index_is_minimal_and_perfect():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 5, 500):

@@ -1,8 +1,11 @@
 """Token ids in binary shards with a minimal perfect hash index.
 
 Documents are dealt into shards by ranges of their id, so shards in order are
-documents in ascending id. A shard file is a short header and the raw ids,
-two bytes each when the vocabulary allows it, else four, little-endian.
+documents in ascending id. A shard file is a short header, the raw ids (two bytes each when
+the vocabulary allows it, else four, little-endian), and a list of its
+documents' keys and lengths. ``manifest`` names the shards with their documents,
+ids and first id's place among all; it and ``index-size`` are written last, and a
+store is opened from its folder alone.
 
 The index maps a document id to the place of its ids in constant time. Keys
 are dealt to index files by hash; in each file a minimal perfect hash (small
@@ -13,19 +16,25 @@ means that the key is not stored.
 
 Executors write the files through pyarrow's file systems under the shared
 folder: to a name of their own first, then moved into place, so a task that
-runs again leaves the same file.
+runs again leaves the same file. Shards are cut by the bytes of their texts.
+
+Ids are those of the library's plain ``encode`` of the whole text: its special
+strings in a text are its special tokens. Words are encoded apart, which is
+the same as no token crosses the tokenizer's white space, and remembered by the
+worker. Of a word of letters below U+0530 that the tokenizer's normaliser
+leaves letters, the ASCII marks at its end are encoded apart too.
 
 Cases: null or empty text has the end id alone. A null id has no key of its
 own and is stored under the largest long, after all others. Documents of
 equal id lie next to each other, in the order of their text's hash; the key
-finds the first and their number. Words are encoded apart and remembered
-by the worker, which changes nothing as no token crosses white space, or from
-a letter run to the marks after it. Only the id and text columns are read. An empty table makes an empty store.
+finds the first and their number. Only the id (cast to a long) and text columns
+are read. An empty table makes an empty store.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -44,7 +53,10 @@ from tradeflow.llm.common import kept_in_worker, one_row, saved, shared_path, te
 END_ID = 1
 MAGIC = b"IDSHARD1"
 HEAD = "<8sII"  # magic, bytes of an id, shard
+TAIL = "<8sQQ"  # magic, documents, ids
 INDEX_MAGIC = b"IDINDEX1"
+#: Bytes of text of a shard; shards are smaller, down to the second figure, where there would be less than one a core.
+SHARD_BYTES, SMALL_SHARD_BYTES = 128 << 20, 4 << 20
 #: Keys of an index file, about; keys of a hash bucket, about; words that a worker remembers.
 KEYS_PER_FILE = 50_000
 BUCKET_KEYS = 3
@@ -56,6 +68,9 @@ TOGETHER = 64
 RUNS = 1_000
 #: ASCII characters that are neither letters, digits nor white space.
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The tokenizer's white space; ``str.split`` also takes U+001C to U+001F.
+SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+NOT_SPACE = re.compile("[\x1c-\x1f]")
 NO_ID = (1 << 63) - 1
 SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n", "<u8"), ("equal", "<u4"), ("pad", "<u4")])
 
@@ -105,7 +120,7 @@ class Reader:
         return rows, there
 
     def ids(self, shard: int, offset: int, n: int) -> np.ndarray:
-        f = self._open(f"shards/{shard:05d}")
+        f = self._open(f"shards/{shard:06d}")
         if not hasattr(self, "width") or self.width[0] != shard:
             f.seek(0)
             magic, width, number = struct.unpack(HEAD, f.read(struct.calcsize(HEAD)))
@@ -219,7 +234,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.known: dict[str, bytes] = {}  # a plain dict of text and bytes costs the garbage collector nothing
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
@@ -252,12 +266,15 @@ class WordEncoder:
         known, parts, runs, lone = self.known, [], {}, {}
         for w in words:
             core = w.rstrip(MARKS)
+            mark = w[len(core):]
             if not core.isalpha():
                 lone[w] = None
                 continue
-            mark = w[len(core):]
             if core.isascii():
                 core = core.lower()
+            elif max(core) >= "\u0530" or not self.tokenizer.normalizer.normalize_str(core).isalpha():
+                lone[w] = None
+                continue
             if core not in known:
                 runs[core] = None
             if mark or core != w:
@@ -273,7 +290,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Each text's ids and the end id, as bytes."""
-        words = [t.split() for t in texts]
+        words = [[w for w in SPACE.split(t) if w] if NOT_SPACE.search(t) else t.split() for t in texts]
         seen = set().union(*words)
         new = seen.difference(self.known)
         full, known = len(self.known) >= WORDS, self.known
@@ -288,25 +305,47 @@ class WordEncoder:
 
 def _write_shards(root: str, tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, file, at = None, None, 0
+        encoder, file, keys, counts = None, None, [], []
         for b in batches:
             encoder = encoder or WordEncoder.of_worker(tokenizer_path)
             for i in range(0, b.num_rows, TOGETHER):
                 if file is None:  # a task holds one shard
                     shard = b.column(1)[i].as_py()
-                    file = _Whole(f"{root}/shards/{shard:05d}")
+                    file = _Whole(f"{root}/shards/{shard:06d}")
                     file.write(struct.pack(HEAD, MAGIC, encoder.width, shard))
                 coded = encoder.encode(b.column(2).slice(i, TOGETHER).to_pylist(), end_id)
                 file.write(b"".join(coded))
-                counts = [len(data) // encoder.width for data in coded]
-                offsets = at + np.concatenate([[0], np.cumsum(counts)])
-                at = int(offsets[-1])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, TOGETHER), pa.array([shard] * len(coded), pa.int32()),
-                     pa.array(offsets[:-1].astype(np.int64)), pa.array(counts, pa.int64())],
-                    names=["key", "shard", "offset", "n"])
+                keys.append(b.column(0).slice(i, TOGETHER).to_numpy())
+                counts.append(np.array([len(data) // encoder.width for data in coded], "<i8"))
         if file is not None:
+            own, sizes = np.concatenate(keys).astype("<i8"), np.concatenate(counts)
+            for part in (own.tobytes(), sizes.tobytes(), struct.pack(TAIL, MAGIC, len(own), int(sizes.sum()))):
+                file.write(part)
             file.done()
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(own)], pa.int64()),
+                                              pa.array([int(sizes.sum())], pa.int64())], names=["shard", "docs", "ids"])
+    return run
+
+
+def _list_shards(root: str):
+    """Each shard's documents, from its own list."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for shard in b.column(0).to_pylist():
+                where, path = fs.FileSystem.from_uri(f"{root}/shards/{shard:06d}")
+                with where.open_input_file(path) as f:
+                    size, tail = f.size(), struct.calcsize(TAIL)
+                    f.seek(size - tail)
+                    magic, docs, ids = struct.unpack(TAIL, f.read(tail))
+                    if magic != MAGIC:
+                        raise ValueError("not a whole shard of this store")
+                    f.seek(size - tail - 16 * docs)
+                    keys, counts = np.frombuffer(f.read(16 * docs), "<i8").reshape(2, docs)
+                if counts.sum() != ids:
+                    raise ValueError("lengths of a shard do not add up")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(np.full(docs, shard, np.int32)), pa.array(np.cumsum(counts) - counts), pa.array(counts)],
+                    names=["key", "shard", "offset", "n"])
     return run
 
 
@@ -338,40 +377,55 @@ def write_store(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id",
     root = root or shared_path(spark, "ids")
     d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), text_of(text_col).alias("text"))
     order = ["key", F.xxhash64("text")]
-    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (size,) = one_row(d.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))))
+    shards = max(1, -(-size // SHARD_BYTES), min(spark.sparkContext.defaultParallelism * 2, size // SMALL_SHARD_BYTES))
     dealt = d.repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    placed = saved(dealt.select("key", F.spark_partition_id().alias("part"), "text").mapInArrow(
-        _write_shards(root, tokenizer_path, end_id), "key long, shard int, offset long, n long"), "placed")
+    written = saved(dealt.select("key", F.spark_partition_id().alias("part"), "text").mapInArrow(
+        _write_shards(root, tokenizer_path, end_id), "shard int, docs long, ids long"), "shards")
     # One entry for each key: its first document, and how many follow with the same key.
     first = F.min(F.struct("shard", "offset", "n")).alias("first")
-    keys = saved(placed.groupBy("key").agg(first, F.count(F.lit(1)).alias("equal")), "keys")
+    keys = saved(entries(written, root).groupBy("key").agg(first, F.count(F.lit(1)).alias("equal")), "keys")
     (n,) = one_row(keys.agg(F.count(F.lit(1))))
     files = max(1, -(-n // KEYS_PER_FILE))
     dealt_keys = keys.select(F.pmod(F.xxhash64("key"), F.lit(files)).cast("int").alias("file"), "key", "first.shard", "first.offset", "first.n", "equal")
-    written = dealt_keys.repartition(files, "file").mapInArrow(_write_index(root, files), "file int, keys long")
-    saved(written, "index-files")
-    return {"root": root, "index_files": files, "keys": keys.select("key"), "placed": placed}
+    saved(dealt_keys.repartition(files, "file").mapInArrow(_write_index(root, files), "file int, keys long"), "index-files")
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
+    written.select("*", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start")).write.parquet(f"{root}/manifest")
+    spark.range(1).select(F.lit(files).alias("index_files")).write.parquet(f"{root}/index-size")
+    return open_store(spark, root)
+
+
+def open_store(spark: SparkSession, root: str) -> dict:
+    """A store from its folder."""
+    (files,) = one_row(spark.read.schema("index_files int").parquet(f"{root}/index-size"))
+    return {"root": root, "index_files": files,
+            "manifest": spark.read.schema("shard int, docs long, ids long, start long").parquet(f"{root}/manifest")}
+
+
+def entries(shards: DataFrame, root: str) -> DataFrame:
+    """shards: (shard, ...). Their documents as the files list them: key, shard, offset, n."""
+    return shards.select("shard").repartition("shard").mapInArrow(_list_shards(root), "key long, shard int, offset long, n long")
 
 
 def _lookup(root: str, files: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(root)
         for b in batches:
-            rows, there = reader.find(b.column(0).to_pylist(), files)
+            rows, there = reader.find(b.column("key").to_pylist(), files)
             kinds = {"shard": pa.int32(), "offset": pa.int64(), "n": pa.int64(), "equal": pa.int32()}
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *(pa.array(rows[c].astype(np.int64), mask=~there).cast(t) for c, t in kinds.items())],
-                names=["key", *kinds])
+                [*b.columns, *(pa.array(rows[c].astype(np.int64), mask=~there).cast(t) for c, t in kinds.items())],
+                names=[*b.schema.names, *kinds])
         reader.close()
     return run
 
 
 def lookup(keys: DataFrame, store: dict) -> DataFrame:
-    """keys: (key long). Adds shard, offset, n and equal from the index; nulls for a key that is not stored."""
+    """keys: (key long, ...). Adds shard, offset, n and equal from the index; nulls for a key that is not stored."""
     files = store["index_files"]
-    dealt = keys.withColumn("file", F.pmod(F.xxhash64("key"), F.lit(files))).repartition("file").sortWithinPartitions("file")
-    return dealt.drop("file").mapInArrow(
-        _lookup(store["root"], files), "key long, shard int, offset long, n long, equal int")
+    dealt = keys.withColumn("_file", F.pmod(F.xxhash64("key"), F.lit(files))).repartition("_file").sortWithinPartitions("_file")
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields)
+    return dealt.drop("_file").mapInArrow(_lookup(store["root"], files), own + ", shard int, offset long, n long, equal int")
 
 
 def _checksums(root: str):
@@ -392,17 +446,15 @@ def _checksums(root: str):
 
 def read_back(spark: SparkSession, store: dict) -> DataFrame:
     """One row per stored document, read from the files through the index: doc_id, start, n_tokens, ids_crc32."""
-    found = lookup(store["keys"], store)
-    placed = store["placed"]
-    # Documents of equal id follow the first, which is all that the index holds; their lengths are in the shards' lists.
-    single = found.where("equal = 1").select("key", "shard", "offset", "n")
-    several = placed.join(found.where("equal > 1").select("key"), "key", "left_semi").select("key", "shard", "offset", "n")
-    rows = single.unionByName(several)
+    listed = entries(store["manifest"], store["root"]).toDF("key", "own_shard", "own_offset", "own_n")
+    found = lookup(listed, store)
+    # The index holds the first of several documents of equal id; the others' places are in their shard's list.
+    lone = F.col("equal") == 1
+    rows = found.select("key", *(F.when(lone, F.col(c)).when(F.col("equal") > 1, F.col(f"own_{c}")).otherwise(
+        F.raise_error(F.lit("a stored document is not in the index")).cast(t)).alias(c)
+        for c, t in (("shard", "int"), ("offset", "long"), ("n", "long"))))
     sums = rows.repartition("shard").sortWithinPartitions("shard", "offset").mapInArrow(
         _checksums(store["root"]), "key long, shard int, offset long, n long, ids_crc32 long")
-    sizes = placed.groupBy("shard").agg(F.sum("n").alias("ids"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("before"))  # one row per shard
-    return sums.join(F.broadcast(starts), "shard").select(
-        F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), (F.col("before") + F.col("offset")).alias("start"),
+    return sums.join(store["manifest"].select("shard", "start"), "shard").select(
+        F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), (F.col("start") + F.col("offset")).alias("start"),
         F.col("n").alias("n_tokens"), "ids_crc32")
