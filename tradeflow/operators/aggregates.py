@@ -17,15 +17,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
-from ..functions.exprs import exact_sum, fixed_units, units_value
+from ..functions.exprs import exact_sum
 
 # Scales of the sums: money terms to 1e-6, weights and ratios to 1e-12.
 MONEY_SCALE = 6
 RATIO_SCALE = 12
+#: Keys over which rows with a null join key are spread.
+NULL_SPREAD = 1024
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], measure: str, alias: str,
@@ -98,33 +100,24 @@ def attach_invoice_bonus(lines: DataFrame, bonus_src: DataFrame, *, pay_types: S
                          do_key: str = "szDoId") -> DataFrame:
     """A4 as columns of the invoice lines: ``lines`` with ``sumDecBonusAmount``
     and ``sumDecBonusAmountTax`` (null where :func:`invoice_bonus` has no row
-    for the line's six keys).
-
-    Lines and bonus rows are put together and dealt once, by invoice. Windows
-    inside an invoice then carry each (invoice, item)'s weights to its bonus
-    rows, and each six keys' sums to their lines, so the lines are read once
-    and nothing is joined. ``lines`` must hold all lines of its invoices.
+    for the line's six keys). ``lines`` must hold all lines of its invoices.
+
+    The lines' weights and the bonus sums are grouped aggregates, combined in
+    each task before their shuffles, so a hot invoice meets as one row per
+    task and (invoice, item), then per six keys. The sums join back as a left
+    join with the lines on its left, the side that AQE can split. Rows with a
+    null among the six keys never match; each is sent under a key of its own
+    spread, so that a null invoice with a third of all rows is no hot key.
     """
     keys = [inv_key, "szProductId", do_key, "szParentId", "szPaymentType", "szOrderItemTypeId"]
-    b = bonus_src.select(*[F.col("szFDoId" if k == do_key else k).alias(k) for k in keys], item_no,
-                         F.col("decBonusAmount").alias("_amt"), F.lit(True).alias("_is_bonus"))
-    u = lines.withColumn("_is_bonus", F.lit(False)).unionByName(b, allowMissingColumns=True).repartition(inv_key)
-
-    own = (~F.col("_is_bonus") & F.col("szPaymentType").isin(list(pay_types))
-           & F.col(inv_key).isNotNull() & F.col(item_no).isNotNull())
-    by_item = Window.partitionBy(inv_key, item_no)
-    ratio = M.bonus_tax_term(F.lit(1.0), F.col("decTax"), F.col("decDiscount"))
-    u = u.select("*", F.count_if(own).over(by_item).alias("_n"),
-                 units_value(F.sum(F.when(own, fixed_units(ratio, RATIO_SCALE))).over(by_item), RATIO_SCALE).alias("_ratio"))
-    paid = F.col("_is_bonus") & (F.col("_n") > 0)
-    by_keys = Window.partitionBy(*keys)
-
-    def total(weight: str):
-        return units_value(F.sum(F.when(paid, fixed_units(F.col("_amt") * F.col(weight), MONEY_SCALE))).over(by_keys), MONEY_SCALE)
-    known = reduce(lambda a, c: a & c, [F.col(k).isNotNull() for k in keys])
-    u = u.select(*lines.columns, "_is_bonus", F.when(known, total("_n")).alias("sumDecBonusAmount"),
-                 F.when(known, total("_ratio")).alias("sumDecBonusAmountTax"))
-    return u.where(~F.col("_is_bonus")).drop("_is_bonus")
+    sums = invoice_bonus(bonus_src, lines, pay_types=pay_types, inv_key=inv_key, item_no=item_no)
+    whole = reduce(lambda a, c: a & c, [F.col(k).isNotNull() for k in keys])
+    spread = F.when(whole, F.lit(0)).otherwise(F.pmod(F.xxhash64(*lines.columns), F.lit(NULL_SPREAD)).cast("int") + 1)
+    right = sums.select(*[F.col("szFDoId" if k == do_key else k).alias("_r_" + k) for k in keys], F.lit(0).alias("_r_spread"),
+                        "sumDecBonusAmount", "sumDecBonusAmountTax")
+    left = lines.withColumn("_spread", spread)
+    on = reduce(lambda a, k: a & (left[k] == right["_r_" + k]), keys, left["_spread"] == right["_r_spread"])
+    return left.join(right, on, "left").select(*lines.columns, "sumDecBonusAmount", "sumDecBonusAmountTax")
 
 
 def vehicle_load(lines: DataFrame, spec: DataFrame, *, vehicle_col: str, date_col: str,

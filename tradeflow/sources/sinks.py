@@ -3,11 +3,13 @@
 The source jobs clear a warehouse table and then append to it, which leaves
 an empty table while the load runs and hides a failed chunk. Here a load
 writes a new versioned folder, checks its row count against the count
-observed while writing, points the table at it, and counts once more through
-the table's name (a wrong count puts the old version back). Readers see
-the old version or the new one, never a half-written one. Spark's write
-tasks are the "parallel chunks"; a failed task fails the job loudly and
-is retried on another executor.
+observed while writing, registers the folder as a table of its own (with its
+partitions) and counts once more through that table. Only then is the
+published name, a view, pointed at the new version, by one statement: a
+reader sees the old version or the new one, and a failure before or after
+the statement leaves one of the two. Spark's write tasks are the "parallel
+chunks"; a failed task fails the job loudly and is retried on another
+executor.
 """
 
 from __future__ import annotations
@@ -78,48 +80,81 @@ def counted_write(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     return int(obs.get["rows"])
 
 
+def store_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, location: str | None = None) -> DataFrame:
+    """K1 a table dealt into ``buckets`` by ``keys`` and sorted by them in each
+    file. Tables of equal buckets join and group on these keys without a
+    shuffle. The rows are dealt once before the write, so there is one file a
+    bucket. Returns the stored table."""
+    writer = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys))
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def publish_versioned(df: DataFrame, name: str, root: str, fmt: str = "parquet",
                       partition_by: list[str] | None = None, expected_rows: int | None = None,
                       version: str | None = None) -> dict:
-    """K7+K8 stage into ``root/v=<version>``, verify, then repoint ``name``.
+    """K7+K8 stage into ``root/v=<version>``, verify, register, then publish as
+    ``name``, a view over the version.
 
     ``root`` must be shared storage (the cluster's checkpoint or warehouse
-    folder), never a machine-local folder. Returns the version and counts.
+    folder), never a machine-local folder. Earlier versions stay until
+    :func:`drop_old_versions`, so a reader that holds one keeps it. Returns
+    the version and counts.
     """
     spark = df.sparkSession
     version = version or time.strftime("%Y%m%dT%H%M%S") + f"{int(time.time() * 1e6) % 1000000:06d}"
     path = f"{root.rstrip('/')}/v={version}"
     written = counted_write(df, path, fmt, partition_by)
-    reread = spark.read.format(fmt).load(path).count()
-    if reread != written or (expected_rows is not None and written != expected_rows):
-        raise RuntimeError(f"staged load of {name} has {reread} rows, wrote {written}, "
+    own = f"{name}__v{version}"
+    _register(spark, own, df.schema, path, fmt, partition_by)
+    served = spark.table(own).count()
+    if served != written or (expected_rows is not None and written != expected_rows):
+        spark.sql(f"DROP TABLE IF EXISTS {_ident(own)}")
+        raise RuntimeError(f"staged load of {name} has {served} rows, wrote {written}, "
                            f"expected {expected_rows}; table left unchanged")
-    old = _location(spark, name) if spark.catalog.tableExists(name) else None
-    _point(spark, name, path, fmt, partition_by)
-    served = spark.table(name).count()
-    if served != written:
-        if old is not None:
-            _point(spark, name, old, fmt, partition_by)
-        raise RuntimeError(f"{name} serves {served} rows after the swap, wrote {written}; old version restored")
+    _publish(spark, name, own, df.columns)
     return {"table": name, "version": version, "path": path, "rows": written}
 
 
-def _location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(name)}").where(F.col("col_name") == "Location").collect()
-    return rows[0]["data_type"]
+def _register(spark: SparkSession, own: str, schema: StructType, path: str, fmt: str, partition_by: list[str] | None) -> None:
+    """The folder ``path`` as an external table ``own``, partitions included. Nothing reads it by name yet."""
+    ensure_table(spark, own, schema, location=path, fmt=fmt, partition_by=partition_by)
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {_ident(own)}")
 
 
-def _point(spark: SparkSession, name: str, path: str, fmt: str, partition_by: list[str] | None) -> None:
-    """Make table ``name`` read the folder ``path``. Partitions that a table
-    has registered keep their own folders, so those of the old version are
-    dropped (an external table: no file is) and the new ones registered."""
+def _publish(spark: SparkSession, name: str, own: str, columns: list[str]) -> None:
+    """Point the view ``name`` at table ``own``. ``ALTER VIEW`` is one change of
+    one catalog entry; ``CREATE OR REPLACE`` would drop the entry first."""
+    query = f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {_ident(own)}"
     if not spark.catalog.tableExists(name):
-        spark.sql(f"CREATE TABLE {_ident(name)} USING {fmt} LOCATION '{path}'")
+        spark.sql(f"CREATE VIEW {_ident(name)} AS {query}")
+    elif spark.catalog.getTable(name).tableType == "VIEW":
+        spark.sql(f"ALTER VIEW {_ident(name)} AS {query}")
     else:
-        for row in spark.sql(f"SHOW PARTITIONS {_ident(name)}").collect() if partition_by else []:
-            spec = ", ".join("`{}`='{}'".format(*p.split("=", 1)) for p in row[0].split("/"))
-            spark.sql(f"ALTER TABLE {_ident(name)} DROP IF EXISTS PARTITION ({spec})")
-        spark.sql(f"ALTER TABLE {_ident(name)} SET LOCATION '{path}'")
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
-    spark.catalog.refreshTable(name)
+        raise ValueError(f"{name} is a table, not a published view; rename it before publishing under its name")
+
+
+def published_version(spark: SparkSession, name: str) -> str:
+    """The version that ``name`` shows now."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(name)}").where(F.col("col_name") == "View Text").collect()
+    return rows[0]["data_type"].split(" FROM ")[-1].strip("` ").rsplit("__v", 1)[1]
+
+
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """Registered versions of ``name``, oldest first."""
+    db, _, short = name.rpartition(".")
+    rows = spark.sql(f"SHOW TABLES {f'IN {_ident(db)} ' if db else ''}LIKE '{short}__v*'").collect()
+    return sorted(r.tableName.rsplit("__v", 1)[1].upper() for r in rows)
+
+
+def drop_old_versions(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
+    """Forget all but the ``keep`` newest versions; the one that is shown always stays. The tables are external: their
+    folders are left for the storage's owner to clear. Returns the versions forgotten."""
+    shown = published_version(spark, name).upper()
+    old = [v for v in versions(spark, name)[:-keep] if v != shown]
+    for v in old:
+        spark.sql(f"DROP TABLE IF EXISTS {_ident(f'{name}__v{v}')}")
+    return old
