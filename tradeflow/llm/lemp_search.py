@@ -261,7 +261,7 @@ def _search_block(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
     long_ = vectors.where(F.size("terms") > 0).mapInArrow(
         _lengths(weights.astype(np.float64), n_docs, n_terms), _VECTORS + ", norm double")
     (entries,) = one_row(vectors.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))))
-    parts = max(1, -(-entries * 8 // PART_BYTES), min(spark.sparkContext.defaultParallelism, -(-n_docs // BUCKET)))
+    parts = max(1, -(-entries * 8 // PART_BYTES), min(4 * spark.sparkContext.defaultParallelism, -(-n_docs // BUCKET)))
     by_length = [F.desc("norm"), F.asc("doc_id")]
     path = saved_by(long_.repartitionByRange(parts, *by_length).sortWithinPartitions(*by_length)
                     .withColumn("part", F.spark_partition_id()), "part", "by-length")
