@@ -46,7 +46,7 @@ BLOCK_BITS = 10
 DENSE = 4_096
 #: Ids that a task packs at once, and rows of a range that go to one task.
 PACKED = 1_000_000
-RANGE_ROWS = 1 << 18
+RANGE_ROWS = 1 << 13
 #: The range of null ids lies below all others.
 NULL_RANGE = -(1 << 47) - 1
 
