@@ -15,7 +15,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tradeflow.plans import catalog  # noqa: E402
+from tradeflow.plans import catalog, chains_and_trends  # noqa: E402
 from tradeflow.session import build_session  # noqa: E402
 
 
@@ -26,7 +26,7 @@ def main() -> None:
     only = set(filter(None, os.environ.get("BENCH_QUERIES", "").split(",")))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="tradeflow-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
-    qs = {k: v for k, v in catalog.queries().items() if not only or k in only}
+    qs = {k: v for k, v in (catalog.queries() | chains_and_trends.queries()).items() if not only or k in only}
 
     def run(fn):
         t0 = time.perf_counter()

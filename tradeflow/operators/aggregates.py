@@ -38,14 +38,16 @@ def sum_by(df: DataFrame, keys: Sequence[str], measure: str, alias: str,
 
 
 def order_bonus(so_items: DataFrame, so_headers: DataFrame, bonus_src: DataFrame, *,
-                order_since, inclusive: bool = True, so_key: str = "szFSoId",
+                order_since, inclusive: bool = True, strict: bool = False, so_key: str = "szFSoId",
                 item_no: str = "shItemNumber") -> DataFrame:
     """A3 with M10/M11: per sales order and bonus (product, parent, payment
     type, item type), the six discount columns split into base and tax part
     by discount kind of the order line.
 
     ``order_since`` bounds the order date (``>=`` or ``>`` by ``inclusive``);
-    the left joins of the source become inner through its WHERE clause.
+    the left joins of the source become inner through its WHERE clause. An
+    untaxed bonus of the second and the invoice kind counts in the source both
+    as base and as tax (M11); with ``strict`` its tax part is 0.
     """
     hdr = so_headers.select(F.col(so_key).alias("_so"), F.col("dtmOrder"))
     since = F.col("dtmOrder") >= F.lit(order_since) if inclusive else F.col("dtmOrder") > F.lit(order_since)
@@ -62,9 +64,9 @@ def order_bonus(so_items: DataFrame, so_headers: DataFrame, bonus_src: DataFrame
              .agg(w(M.DISC_ITEM, w_dpp).alias("w1d"),
                   w(M.DISC_ITEM, M.bonus_tax_weight(tx, dpp, tax, False)).alias("w1t"),
                   w(M.DISC_ITEM_2, w_dpp).alias("w2d"),
-                  w(M.DISC_ITEM_2, M.bonus_tax_weight(tx, dpp, tax, True)).alias("w2t"),
+                  w(M.DISC_ITEM_2, M.bonus_tax_weight(tx, dpp, tax, not strict)).alias("w2t"),
                   w(M.DISC_INVOICE, w_dpp).alias("wfd"),
-                  w(M.DISC_INVOICE, M.bonus_tax_weight(tx, dpp, tax, True)).alias("wft")))
+                  w(M.DISC_INVOICE, M.bonus_tax_weight(tx, dpp, tax, not strict)).alias("wft")))
 
     b = bonus_src.where(F.col("szProductId").isNotNull())
     j = b.join(lines, (b[so_key] == lines["_so"]) & (b[item_no] == lines["_item"]), "inner")

@@ -116,6 +116,22 @@ def attach_single_row(df: DataFrame, side: DataFrame) -> DataFrame:
     return df.join(F.broadcast(one), F.lit(True), "left")
 
 
+def attach_rows(df: DataFrame, side: DataFrame, max_rows: int = 1000) -> DataFrame:
+    """J11 in the source's own form: every row of ``df`` with every row of
+    ``side`` (nulls if there is none), as a left join on constants gives them.
+
+    The right side is packed into one row of at most ``max_rows`` structs (more
+    are an error), so what is broadcast has a proven bound; each left row then
+    unpacks it.
+    """
+    packed = F.struct(*[F.col(c) for c in side.columns])
+    few = side.limit(max_rows + 1).agg(F.collect_list(packed).alias("_rows"))
+    few = few.select(F.when(F.size("_rows") > max_rows, F.raise_error(F.lit(f"the constant join has over {max_rows} rows")))
+                     .otherwise(F.col("_rows")).alias("_rows"))
+    one = df.join(F.broadcast(few), F.lit(True), "left").withColumn("_row", F.explode_outer("_rows"))
+    return one.select(*df.columns, *[F.col(f"_row.{c}").alias(c) for c in side.columns])
+
+
 def settings_pivot(info: DataFrame, key_col: str, item_col: str, value_col: str,
                    items: Sequence, names: Sequence[str] | None = None) -> DataFrame:
     """J12: seven chained template/value lookups per workplace become one
@@ -144,6 +160,18 @@ def pivot_levels(items: DataFrame, key_col: str, level_col: str, levels: Sequenc
                                     for alias in values.values()], "max_level")
 
 
+def join_levels(df: DataFrame, key: Column | str, items: DataFrame, item_key: str, level_col: str,
+                levels: Sequence[int], values: dict[str, str]) -> DataFrame:
+    """J18 in the source's own form: the items are joined once per level, so a
+    level given twice shows every combination."""
+    out = df
+    for lv in levels:
+        one = items.where(F.col(level_col) == lv).select(
+            F.col(item_key).alias(f"_key{lv}"), *[F.col(src).alias(f"{alias}{lv}") for src, alias in values.items()])
+        out = out.join(one, col(key) == one[f"_key{lv}"], "left").drop(f"_key{lv}")
+    return out
+
+
 def fallback(current, alternative) -> Column:
     """J19/M23 prefer ``alternative`` unless it is blank."""
     return F.when(is_blank(alternative), col(current)).otherwise(col(alternative))

@@ -72,7 +72,7 @@ def mtd_trend(df: DataFrame, date_col: str, value: str, keys: Sequence[str] = ()
     mtd = month_to_date(daily, "day", "_units", keys=keys, alias="_mtd_units")
     mtd = mtd.select(*keys, "day", units_value("_units", scale).alias("day_value"),
                      units_value("_mtd_units", scale).alias("mtd_value"))
-    return period_change(mtd, "day", "day_value", keys=keys, step="day",
+    return period_change(mtd, "day", "day_value", keys=keys,
                          prev_alias="prev_day_value", change_alias="day_change")
 
 

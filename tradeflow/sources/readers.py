@@ -8,11 +8,13 @@ JSON. Every read declares its schema, so nothing is inferred at scale.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import schemas
 
@@ -41,11 +43,14 @@ def read(spark: SparkSession, spec: SourceSpec, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
-def read_table(spark: SparkSession, name: str, spec: SourceSpec) -> DataFrame:
-    """Read a canonical table with its declared schema and only its columns."""
+def read_table(spark: SparkSession, name: str, spec: SourceSpec, collated: bool = False) -> DataFrame:
+    """Read a canonical table with its declared schema and only its columns.
+    With ``collated`` its text columns compare as the source's do
+    (:func:`schemas.collated`)."""
     sch = schemas.schema(name)
     spec2 = SourceSpec(spec.format, spec.path, spec.options, spec.schema_ddl or schemas.ddl(name))
-    return read(spark, spec2, [f.name for f in sch.fields])
+    df = read(spark, spec2, [f.name for f in sch.fields])
+    return schemas.collated(df) if collated else df
 
 
 def read_named(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -60,6 +65,56 @@ def read_json_lines(spark: SparkSession, path: str, schema_ddl: str, mode: str =
     return spark.read.schema(schema_ddl).option("mode", mode).json(path)
 
 
+def checked_json_lines(spark: SparkSession, path: str, schema_ddl: str) -> DataFrame:
+    """S4 newline-delimited JSON that may hold bad lines: the declared fields,
+    ``_reject`` (the line's text where it does not fit the schema, else null)
+    and ``_file`` (where it stands). Blank lines are no rows, as for a JSON
+    reader. One pass, parsed by Spark; nothing is dropped."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file")).where(F.trim("value") != "")
+    parsed = F.from_json("value", schema_ddl + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = lines.withColumn("_row", parsed)
+    bad = F.col("_row").isNull() | F.col("_row._corrupt").isNotNull()
+    fields = StructType.fromDDL(schema_ddl).fieldNames()
+    return rows.select(*[F.when(~bad, F.col(f"_row.`{f}`")).alias(f) for f in fields],
+                       F.when(bad, F.col("value")).alias("_reject"), "_file")
+
+
+def load_json_lines(spark: SparkSession, path: str, schema_ddl: str, target: str, rejects: str) -> DataFrame:
+    """S4+K7 load with rejects: rows that fit go to ``target`` (Parquet), lines
+    that do not to ``rejects`` with their file. Returns the counts per file:
+    _file, n_loaded, n_rejected. The text is parsed once: both writes read the
+    parsed rows from ``target``'s staging folder."""
+    parsed = checked_json_lines(spark, path, schema_ddl)
+    staging = target.rstrip("/") + "__parsed"
+    parsed.write.mode("overwrite").parquet(staging)
+    kept = spark.read.schema(parsed.schema).parquet(staging)
+    kept.where("_reject IS NULL").drop("_reject", "_file").write.mode("overwrite").parquet(target)
+    kept.where("_reject IS NOT NULL").select("_file", F.col("_reject").alias("line")).write.mode("overwrite").parquet(rejects)
+    return kept.groupBy("_file").agg(F.count_if(F.col("_reject").isNull()).alias("n_loaded"),
+                                     F.count_if(F.col("_reject").isNotNull()).alias("n_rejected"))
+
+
+#: Quoted text, names and comments of a query, or a marker outside them.
+_MARKERS = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`|--[^\n]*|/\*.*?\*/|(\?)""", re.S)
+
+
+def bound_sql(spark: SparkSession, text: str, args: Sequence, **tables: DataFrame) -> DataFrame:
+    """S6 a query text with positional ``?`` markers, bound by Spark: an
+    argument is a value, never text of the query. ``{name}`` in the text stands
+    for the frame given by that name.
+
+    The markers are numbered and bound by name, as Spark 4.1 mixes up five or
+    more positional arguments. Dates and times are best given as text and cast
+    in the query, so that no machine's time zone has a say.
+    """
+    names = iter(range(len(args) + 1))
+    numbered = _MARKERS.sub(lambda m: f":arg{next(names)}" if m.group(1) else m.group(), text)
+    used = len(re.findall(r":arg\d+", numbered))
+    if used != len(args):
+        raise ValueError(f"the query has {used} markers, {len(args)} arguments were given")
+    return spark.sql(numbered, args={f"arg{i}": v for i, v in enumerate(args)}, **tables)
+
+
 def slices_overlap(slices: Sequence[tuple]) -> bool:
     s = sorted(slices)
     return any(s[i][1] >= s[i + 1][0] for i in range(len(s) - 1))

@@ -8,7 +8,8 @@ jobs use are listed; readers select them, so scans prune the rest.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 DEC = "decimal(18,4)"
 
@@ -80,6 +81,23 @@ SELL_OUT_DDL = ", ".join(
     f"`{f}` {'date' if f == 'date_' else _SELL_OUT_TYPES.get(f, 'string')}" for f in SELL_OUT_FIELDS)
 
 
+#: Compares without regard to case and trailing blanks, as the source database does.
+KEY_COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def collated(df, columns=None):
+    """``df`` with its text columns (or those named) typed by :data:`KEY_COLLATION`: equality, grouping, DISTINCT and joins
+    on them then follow the source's rule (2.9 item 2), with no function around the key."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)] if columns is None else list(columns)
+    return df.select(*[F.collate(F.col(f"`{c}`"), KEY_COLLATION).alias(c) if c in names else F.col(f"`{c}`") for c in df.columns])
+
+
+def plain_text(df):
+    """Text columns back to the default collation, for sinks and other engines."""
+    return df.select(*[F.collate(F.col(f"`{f.name}`"), "UTF8_BINARY").alias(f.name) if isinstance(f.dataType, StringType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def ddl(name: str) -> str:
     if name == "sell_out_raw":
         return SELL_OUT_RAW_DDL
