@@ -75,8 +75,9 @@ def test_odd_rows_and_empty_table(documents):
     got = lpf_dedup.cut_repeats(documents(ODD)).collect()
     assert len(got) == len(ODD) and {bytes(r.kept) for r in got if r.doc_id in (7, 9)} == {b""}
     assert lpf_dedup.cut_repeats(documents(ODD).where("false")).count() == 0
-    assert chain_dedup.shared_passages(documents(ODD)).count() == 0
-    twice = chain_dedup.shared_passages(documents(ODD + [(70, ODD[8][1])], 1)).collect()
+    assert {r.doc_id for r in chain_dedup.shared_passages(documents(ODD)).collect()} == {7}
+    assert chain_dedup.shared_passages(documents(ODD), inside=False).count() == 0
+    twice = chain_dedup.shared_passages(documents(ODD + [(70, ODD[8][1])], 1), inside=False).collect()
     assert [(r.doc_id, r.ref_doc_id, r.word_start, r.word_stop, r.identity) for r in twice] == [(70, 7, 0, 90_000, 1.0)]
     assert chain_dedup.shared_passages(documents(ODD).where("false")).count() == 0
 
@@ -105,14 +106,75 @@ def test_planted_passages_are_found_and_clean_documents_left_alone(documents):
         assert at - 5 <= r.word_start and r.word_stop <= at + n + 5
 
 
-def test_repeats_inside_one_document_on_request(documents):
+def test_repeats_inside_one_document(documents):
     words = [f"w{i}" for i in range(60)]
     docs = documents([(1, " ".join([*words, "between", *words])), (2, "other text")])
-    assert chain_dedup.shared_passages(docs).count() == 0
-    found = chain_dedup.shared_passages(docs, inside=True).collect()
+    assert chain_dedup.shared_passages(docs, inside=False).count() == 0
+    found = chain_dedup.shared_passages(docs).collect()
     assert [(r.doc_id, r.ref_doc_id, r.word_start, r.word_stop, r.ref_start) for r in found] == [(1, 1, 61, 121, 0)]
 
 
+def test_minimizers_are_the_least_of_every_window():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 5, 16, 17, 40, 300):
+        for window in (1, 2, 3, 12, 16, 24):
+            grams = rng.integers(0, 1 << 62, n).astype(np.uint64)
+            got = chain_dedup._minimizers(grams, window).tolist()
+            want = {i + int(grams[i:i + window].argmin()) for i in range(max(n - window, 0) + 1)}
+            assert got == sorted(want), (n, window)
+
+
+@pytest.mark.parametrize("changed", [9, 25, 40, 55, 70])
+def test_four_pieces_quoted_earlier_do_not_hide_a_changed_passage(documents, changed):
+    rng = random.Random(changed)
+    passage = [f"p{rng.randrange(10 ** 6)}" for _ in range(80)]
+    rows = [(i, " ".join(["own", str(i), *passage[a:z], "end"])) for i, (a, z) in enumerate(((0, 24), (20, 44), (38, 62), (56, 80)))]
+    other = list(passage)
+    other[changed] = "changed"
+    rows += [(4, " ".join(passage)), (5, " ".join(["before", *other]))]
+    found = {(r.doc_id, r.ref_doc_id): r for r in chain_dedup.shared_passages(documents(rows, 1)).collect()}
+    assert found[5, 4].word_start <= 1 + 9 and found[5, 4].word_stop >= 81 - 10 and set(found) == {(5, 4)}
+
+
+def edited(words, edits, rng):
+    out = list(words)
+    for _ in range(edits):
+        i, kind = rng.randrange(len(out)), rng.randrange(3)
+        out[i:i + (kind != 1)] = [] if kind == 2 else [f"e{rng.randrange(10 ** 6)}"]
+    return out
+
+
+def test_recall_of_links_against_all_pairs(documents):
+    """Passages of 60 to 140 words, with up to two edits a copy, after earlier documents have quoted pieces of them. Two
+    copies whose 5-word shingles agree to 0.8 must be in one group of linked documents."""
+    rng = random.Random(17)
+    rows, copies = [], []
+    for p in range(40):
+        passage = [f"v{rng.randrange(3000)}" for _ in range(rng.randint(60, 140))]
+        for _ in range(rng.randint(0, 4)):
+            a = rng.randrange(len(passage) - 30)
+            rows.append((len(rows), " ".join(f"x{rng.randrange(3000)}" for _ in range(30)) + " " + " ".join(passage[a:a + rng.randint(20, 38)])))
+        for _ in range(4):
+            own, lead = edited(passage, rng.randint(0, 2), rng), [f"y{rng.randrange(3000)}" for _ in range(rng.randint(0, 60))]
+            copies.append((len(rows), p, {tuple(own[i:i + 5]) for i in range(len(own) - 4)}))
+            rows.append((len(rows), " ".join(lead + own)))
+    found = chain_dedup.shared_passages(documents(rows, 1)).collect()
+    group = {i: i for i, _ in rows}
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+    passage_of = {i: p for i, p, _ in copies}
+    for r in found:
+        assert passage_of.get(r.doc_id, -1) == passage_of.get(r.ref_doc_id, -2), "a link between different passages"
+        group[top(r.doc_id)] = top(r.ref_doc_id)
+    pairs = [(a, b) for n, (a, p, s) in enumerate(copies) for b, q, t in copies[:n] if len(s & t) >= 0.8 * len(s | t)]
+    linked = sum(top(a) == top(b) for a, b in pairs)
+    print(f"links found: {linked} of {len(pairs)}")
+    assert len(pairs) > 100 and linked >= 0.97 * len(pairs)
+
+
 def test_chains_match_quadratic_dynamic_programming():
     rng = np.random.default_rng(8)
     for _ in range(60):
