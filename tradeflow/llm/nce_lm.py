@@ -8,9 +8,14 @@ words (by their last two bytes): with context vectors r and word vectors q,
     s(w | a, b) = (r1[a] + r2[b]) . q[w] + bias[w]
 
 for the symbols a, b before w. It is trained in numpy by noise-contrastive
-estimation over the symbol trigram counts of all training documents: each
-partition of the trigram table takes minibatch steps from the shared
-parameters, and the results are averaged by weight, for ``rounds`` rounds.
+estimation over the symbol trigram counts of all training documents. Equal
+trigrams are added up first; each is dealt by a hash of itself to one of the
+learners, whose number follows from the number of distinct trigrams alone. A
+learner takes minibatch steps from the shared parameters over one of ``PARTS``
+parts of its trigrams, then all are averaged by weight; a round is ``PARTS``
+such steps, and so the whole table, and there are ``rounds`` rounds. Learners,
+their order and their sums do not depend on how the documents lie in files or
+on the number of tasks, and so neither do the scores.
 Probabilities are normalised: exp(s) factors into a term in (a, w) and one in
 (b, w), so one matrix product gives the sum for every context. A word of a
 class has the class's probability times its smoothed share of the class.
@@ -46,11 +51,14 @@ DIM = 16
 ROUNDS = 2
 BATCH = 2048
 NOISE = 32
-#: Trigrams that a learner takes at once.
-CHUNK = 2_000_000
+#: Distinct trigrams of a learner, about; parts of them after which learners are averaged.
+LEARNER = 2_000_000
+PARTS = 2
 RATE = 0.05
 #: Distinct words, and tokens, that a counting task holds before it hands them on.
 FLUSH_WORDS, FLUSH_TOKENS = 200_000, 4_000_000
+#: Tokens that are looked up together.
+TOGETHER = 30_000
 #: Sums of parameters are taken in whole units of this size, so that their order does not matter.
 UNIT = 1 << 24
 
@@ -90,13 +98,33 @@ def _symbols(held) -> "Symbols":
     return kept["symbols"][1]
 
 
+class _Places(dict):
+    """Places of words in the table; -1 for all others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
+def _flat(cells) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """Texts to (first text, tokens of some texts in a row, where each begins), ``TOGETHER`` tokens or one text at a time."""
+    words, starts, first = [], [0], 0
+    for i, cell in enumerate(cells):
+        words += tokens_of(cell.as_py())
+        starts.append(len(words))
+        if len(words) >= TOGETHER:
+            yield first, words, np.array(starts)
+            words, starts, first = [], [0], i + 1
+    if words:
+        yield first, words, np.array(starts)
+
+
 class Symbols:
     """The frequent words' table: symbol, log10 count; and the classes' sizes."""
 
     def __init__(self, table: list[tuple[bytes, int]], mass: np.ndarray, kinds: np.ndarray, words: int, buckets: int):
         self.words, self.buckets = words, buckets
         self.size = words + buckets
-        self.index = {w: i for i, (w, _) in enumerate(table)}
+        self.index = _Places((w, i) for i, (w, _) in enumerate(table))
         self.symbol = np.array([i if i < words else words + bucket_of(w, buckets) for i, (w, _) in enumerate(table)]
                                or [0], np.int64)
         self.log_count = np.log10(np.array([c for _, c in table] or [0], np.float64) + ALPHA)
@@ -109,18 +137,19 @@ class Symbols:
 
     def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of the words, and their places in the table (-1: not in it)."""
-        get = self.index.get
-        at = np.array([get(w, -1) for w in words], np.int64)
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         symbols = self.symbol[at]
-        for i in np.flatnonzero(at < 0):
-            symbols[i] = self.words + bucket_of(words[i], self.buckets)
+        rare = np.flatnonzero(at < 0)
+        if len(rare):
+            symbols[rare] = [self.words + bucket_of(words[i], self.buckets) for i in rare.tolist()]
         return symbols, at
 
-    def before(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The two symbols before each; a text begins after an end."""
-        start = np.array([self.end, self.end])
-        line = np.concatenate([start, symbols])
-        return line[1:-1], line[:-2]
+    def before(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The two symbols before each of some texts' tokens; a text begins after two ends, and its last token is one."""
+        line = np.concatenate([[self.end, self.end], symbols])
+        a, b = line[1:-1], line[:-2].copy()
+        b[starts[:-1]] = self.end
+        return a, b
 
 
 def _trigrams(held):
@@ -131,13 +160,13 @@ def _trigrams(held):
         def out() -> pa.RecordBatch:
             code, n = np.unique(np.concatenate(codes), return_counts=True)
             codes.clear()
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int32))], names=["code", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), pa.array(n)], names=["code", "n"])
         total = 0
         for b in batches:
-            for cell in b.column(0):
-                s, _ = symbols.of(tokens_of(cell.as_py()))
-                a, c = symbols.before(s)
-                codes.append(((a << 10) | c) << 10 | s)
+            for _, words, starts in _flat(b.column(0)):
+                s, _ = symbols.of(words)
+                a, c = symbols.before(s, starts)
+                codes.append((((a << 10) | c) << 10 | s).astype(np.int32))
                 total += len(s)
                 if total > FLUSH_TOKENS:
                     yield out()
@@ -147,6 +176,39 @@ def _trigrams(held):
     return run
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(learner, code, n) rows in order to one row a learner, its codes and counts as arrays."""
+    last, codes, counts = None, [], []
+
+    def row():
+        return pa.RecordBatch.from_arrays(
+            [pa.array([last], pa.int32()), pa.array([np.concatenate(codes).astype("<i4").tobytes()], pa.binary()),
+             pa.array([np.concatenate(counts).astype("<i8").tobytes()], pa.binary())], names=["learner", "codes", "counts"])
+    for b in batches:
+        learner, code, n = (b.column(i).to_numpy() for i in range(3))
+        cut = np.flatnonzero(np.diff(learner)) + 1
+        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(learner)] if len(learner) else []):
+            if learner[i] != last:
+                if codes:
+                    yield row()
+                last, codes, counts = int(learner[i]), [], []
+            codes.append(code[i:j])
+            counts.append(n[i:j])
+    if codes:
+        yield row()
+
+
+def learners(trigrams: DataFrame) -> DataFrame:
+    """(code, n) rows, codes repeated, to one row a learner."""
+    table = saved(trigrams.groupBy("code").agg(F.sum("n").alias("n")), "trigrams")
+    (distinct,) = one_row(table.agg(F.count(F.lit(1))))
+    number = max(1, -(-distinct // LEARNER))
+    mixed = F.xxhash64("code")  # also the order: neighbouring codes share their contexts
+    dealt = table.select(F.pmod(mixed, F.lit(number)).cast("int").alias("learner"), "code", "n", mixed.alias("key"))
+    dealt = dealt.repartition(number, "learner").sortWithinPartitions("learner", "key").drop("key")
+    return saved(dealt.mapInArrow(_pack, "learner int, codes binary, counts binary"), "learners")
+
+
 def start_parameters(size: int, counts: np.ndarray) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(7)
     p = (counts + 1) / (counts.sum() + size)
@@ -186,51 +248,43 @@ def nce_steps(par: dict[str, np.ndarray], past: dict[str, np.ndarray], code: np.
             par[name] += RATE * step / np.sqrt(past[name])
 
 
-def _learn(counts: np.ndarray, held, seed: int):
+def _learn(counts: np.ndarray, held, part: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, weight, seen = {k: v.copy() for k, v in held.value.items()}, 0, 0
-        past = {k: np.full(v.shape, 1e-6) for k, v in own.items()}
-        code, n = [], []
-
-        def learn() -> None:
-            # Many rows at once, in random order: a batch of the table holds neighbouring contexts only.
-            nce_steps(own, past, np.concatenate(code), np.concatenate(n).astype(np.float64), counts, seed + seen)
-            code.clear()
-            n.clear()
         for b in batches:
-            if b.num_rows:
-                code.append(b.column(0).to_numpy())
-                n.append(b.column(1).to_numpy())
-                weight += int(n[-1].sum())
-                seen += b.num_rows
-                if sum(map(len, code)) >= CHUNK:
-                    learn()
-        if code:
-            learn()
-        if weight:
-            flat = np.concatenate([own["r1"], own["r2"], own["q"], np.tile(own["bias"], (1, DIM))])
-            rows = np.rint(flat * UNIT).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(rows)), pa.int32()), pa.array(np.full(len(rows), weight), pa.int64()),
-                 pa.array(list(rows), pa.list_(pa.int64()))], names=["row", "weight", "v"])
+            for learner, codes, ns in zip(*(b.column(i).to_pylist() for i in range(3))):
+                code, n = np.frombuffer(codes, "<i4")[part::PARTS].astype(np.int64), np.frombuffer(ns, "<i8")[part::PARTS]
+                if not len(code):
+                    continue
+                own = {k: v.copy() for k, v in held.value[0].items()}
+                past = {k: v.copy() for k, v in held.value[1].items()}
+                nce_steps(own, past, code, n.astype(np.float64), counts, seed + learner)
+                flat = np.concatenate([x[k] if k != "bias" else np.tile(x[k], (1, DIM)) for x in (own, past)
+                                       for k in ("r1", "r2", "q", "bias")])
+                rows = np.rint(flat * UNIT).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(rows)), pa.int32()), pa.array(np.full(len(rows), int(n.sum())), pa.int64()),
+                     pa.array(list(rows), pa.list_(pa.int64()))], names=["row", "weight", "v"])
     return run
 
 
-def train(trigrams: DataFrame, counts: np.ndarray, *, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Parameter averaging over the partitions of ``trigrams`` (code, n); counts: of each symbol."""
+def train(table: DataFrame, counts: np.ndarray, *, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Parameter averaging over the learners (:func:`learners`); counts: of each symbol."""
     size = len(counts)
     par = start_parameters(size, counts)
-    for r in range(rounds):
-        held = trigrams.sparkSession.sparkContext.broadcast(par)
-        own = trigrams.mapInArrow(_learn(counts, held, 1000 * r), "row int, weight long, v array<long>")
+    past = {k: np.full(v.shape, 1e-6) for k, v in par.items()}
+    for step in range(rounds * PARTS):
+        held = table.sparkSession.sparkContext.broadcast((par, past))
+        own = table.mapInArrow(_learn(counts, held, step % PARTS, 1_000_003 * step), "row int, weight long, v array<long>")
         sums = [F.sum(F.get("v", F.lit(d)).cast("decimal(38,0)") * F.col("weight")).alias(f"v{d}") for d in range(DIM)]
-        rows = own.groupBy("row").agg(F.sum("weight").alias("weight"), *sums).collect()  # 4 * size rows
+        rows = own.groupBy("row").agg(F.sum("weight").alias("weight"), *sums).collect()  # 8 * size rows
         if not rows:
-            break
-        flat = np.zeros((4 * size, DIM))
+            continue
+        flat = np.zeros((8 * size, DIM))
         for x in rows:
             flat[x["row"]] = [float(v) / (float(x["weight"]) * UNIT) for v in x[2:]]
-        par = {"r1": flat[:size], "r2": flat[size:2 * size], "q": flat[2 * size:3 * size], "bias": flat[3 * size:, :1]}
+        parts = [flat[i * size:(i + 1) * size] for i in range(8)]
+        par, past = ({"r1": p[0], "r2": p[1], "q": p[2], "bias": p[3][:, :1]} for p in (parts[:4], parts[4:]))
+        past = {k: np.maximum(v, 1e-6) for k, v in past.items()}
     return par
 
 
@@ -242,11 +296,15 @@ class Model:
         two = par["r2"] @ par["q"].T + par["bias"][:, 0]
         top_one, top_two = one.max(1, keepdims=True), two.max(1, keepdims=True)
         z = np.exp(one - top_one) @ np.exp(two - top_two).T  # [a, b], all contexts at once
-        self.one, self.two = one, two
-        self.log_z = np.log(z) + top_one + top_two.T
+        # Single precision: three tables of all pairs stay near the processor.
+        self.size = len(one)
+        self.one, self.two = one.astype(np.float32).ravel(), two.astype(np.float32).ravel()
+        self.log_z = (np.log(z) + top_one + top_two.T).astype(np.float32).ravel()
 
     def log10(self, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
-        return (self.one[a, w] + self.two[b, w] - self.log_z[a, b]) / np.log(10)
+        n = self.size
+        found = self.one.take(a * n + w).astype(np.float64) + self.two.take(b * n + w) - self.log_z.take(a * n + b)
+        return found / np.log(10)
 
 
 _SCORED = ("id long, row_id long, n_tokens long, known long, base double, model double, "
@@ -257,27 +315,30 @@ def _score(held, par):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, model = _symbols(held), Model(par.value)
         for batch in batches:
-            n_tokens, known, base, score, ends, rare, times = [], [], [], [], [0], [], []
-            for cell in batch.column(2):
-                words = tokens_of(cell.as_py())
+            known, base, score = (np.zeros(batch.num_rows) for _ in range(3))
+            n_tokens, ends, rare, times = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows + 1, np.int32), [], []
+            for first, words, starts in _flat(batch.column(2)):
+                n = np.diff(starts)
+                texts, own = slice(first, first + len(n)), np.repeat(np.arange(len(n)), n)
                 s, at = symbols.of(words)
-                a, b = symbols.before(s)
                 there = at >= 0
-                logs = symbols.log_count[at[there]]
-                in_class = s[there] >= symbols.words
-                n_tokens.append(len(words))
-                known.append(int(there.sum()))
-                base.append(float(logs.sum()))
-                score.append(float(model.log10(a, b, s).sum() - symbols.log_share[s].sum() + logs[in_class].sum()))
-                rest = Counter(words[i] for i in np.flatnonzero(~there))
-                rare += rest
-                times += rest.values()
-                ends.append(len(rare))
+                logs = np.where(there, symbols.log_count[at], 0.0)
+                each = model.log10(*symbols.before(s, starts), s) - symbols.log_share[s] + np.where(s >= symbols.words, logs, 0.0)
+                n_tokens[texts] = n
+                for out, values in ((known, there), (base, logs), (score, each)):
+                    out[texts] = np.bincount(own, values, len(n))
+                away = np.flatnonzero(~there)
+                for i, j, t in zip(np.searchsorted(away, starts[:-1]).tolist(), np.searchsorted(away, starts[1:]).tolist(),
+                                   range(first, first + len(n))):
+                    if i < j:
+                        rest = Counter(words[k] for k in away[i:j].tolist())
+                        rare += rest
+                        times += rest.values()
+                    ends[t + 1] = len(rare)
             lone = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lone)],
+                [batch.column(0), batch.column(1), pa.array(n_tokens), pa.array(known.astype(np.int64)),
+                 pa.array(base), pa.array(score), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lone)],
                 names=["id", "row_id", "n_tokens", "known", "base", "model", "rare"])
     return run
 
@@ -330,8 +391,8 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     symbols = (table, mass, types, words, buckets)
     held = spark.sparkContext.broadcast(symbols)  # at most `table_words` words
 
-    trigrams = saved(train_text.mapInArrow(_trigrams(held), "code long, n int"), "trigrams")
-    par = spark.sparkContext.broadcast(train(trigrams, Symbols(*symbols).counts, rounds=rounds))
+    table = learners(train_text.mapInArrow(_trigrams(held), "code int, n long"))
+    par = spark.sparkContext.broadcast(train(table, Symbols(*symbols).counts, rounds=rounds))
 
     rows = d.select("id", F.monotonically_increasing_id().alias("row_id"), "text")
     scored = saved(rows.mapInArrow(_score(held, par), _SCORED), "scored")
