@@ -33,12 +33,30 @@ def test_scans_and_exchanges(spark):
     assert count("mtd_trend", "Scan parquet") == 1
     assert count("unified_sales", "lineitem.parquet") == 1 and count("stage_pivot", "lineitem.parquet") == 1
     assert count("top_n", "Exchange hashpartitioning") == 2
-    assert count("invoice_lines", "lineitem.parquet") == 3 and count("net_measures", "lineitem.parquet") == 2
+    # One scan more than a window over an invoice would need; in exchange sums are grouped, and no invoice is one task.
+    assert count("invoice_lines", "lineitem.parquet") == 4 and count("net_measures", "lineitem.parquet") == 3
+    for name in ("invoice_lines", "ordered_export", "net_measures"):
+        plan = _plan(E.queries()[name](spark, SF))
+        assert "REPARTITION" not in plan and "Window" not in plan, name
     for name, fn in E.queries().items():
         plan = _plan(fn(spark, SF))
         assert "REPARTITION_BY_NUM" not in plan and "CartesianProduct" not in plan, name
 
 
+def test_wide_tracking_reads_each_role_once(spark, monkeypatch):
+    """Over the written steps and the last plan together, source files only: 23 roles, a scan each."""
+    from tradeflow.plans import tracking_gt
+    plans, write = [], tracking_gt.written
+
+    def written(df, name):
+        plans.append(_plan(df))
+        return write(df, name)
+    monkeypatch.setattr(tracking_gt, "written", written)
+    plans.append(_plan(E.queries()["po_tracking_gt"](spark, SF)))
+    scans = {t: sum(p.count(f"{t}.parquet") for p in plans) for t in ("orders", "lineitem", "customer", "part", "events")}
+    assert sum(scans.values()) == 23, scans
+
+
 def test_filters_reach_the_scan(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     plan = _plan(E.queries()["invoice_lines"](spark, SF))

@@ -15,6 +15,13 @@ received quantity, order bonus) hang on the sales line, as in the source, and
 are zero or null for purchase lines. DISTINCT runs at the end, as in the
 source, for what repeats (receipts, identical lines).
 
+Every source table is read once. The inquiries of the window are resolved
+first and written to the shared folder; all other inputs are cut down to the
+documents that they name before anything is aggregated or shuffled. Inputs
+that are needed in two roles (delivery orders with their invoices, invoice
+lines, lines of sales and purchase orders) are cut down, written once and read
+in both, and so are the documents' joined attributes before lines meet them.
+
 The five bound parameters are the bonus' order date (strictly after) and the
 closed ranges of the purchase order's and the sales order's dates.
 """
@@ -29,6 +36,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as M
 from ..functions.exprs import closed_range, eq_blank, flag, is_blank, ne_blank, or_blank, or_default, or_zero, sentinel_ts
 from ..operators.aggregates import delivered_qty, order_bonus
+from ..operators.chains import written
 from ..operators.joins import fallback, latest_per_key, pivot_levels, top1_global
 from .tracking import BUY_ITEM_TYPES, SELL_ITEM_TYPE, TrackingSources, _p, latest_close_flag
 
@@ -60,37 +68,43 @@ def history_rows(do_history: DataFrame, scope: str = "global") -> DataFrame:
     return top.select(F.col("szDoIdOld").alias("hist_old"), F.col("szDoId").alias("hist_new"))
 
 
-def _sales_lines(x: DataFrame, src: WideTrackingSources, bonus_since) -> DataFrame:
+def _named_in(df: DataFrame, column: str, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is among ``ids``."""
+    keys = ids.select(F.col(id_col).alias("_named"))
+    return df.join(keys, df[column] == keys["_named"], "left_semi")
+
+
+def _sales_lines(x: DataFrame, src: WideTrackingSources, bills: DataFrame, bonus_since) -> DataFrame:
     """Rows with a sales order id: their sales lines and what hangs on the product."""
     item_cols = ["szFSoId", "szProductId", "szParentId", "szPaymentType", "szOrderItemTypeId", "bTaxable", "decQty",
                  "decPrice", "decAmount", "decDPP", "decTax"]
-    scope = x.select(F.col("so_szFSoId").alias("_so")).where(F.col("_so").isNotNull()).distinct()
-    soi_all = src.sales_order_item
+    headers = x.select(F.col("so_szFSoId").alias("szFSoId"), F.col("so_dtmOrder").alias("dtmOrder")).where("szFSoId IS NOT NULL")
+    soi_all = written(_named_in(src.sales_order_item, "szFSoId", headers, "szFSoId"), "so-lines")
     items = _p(soi_all, "soi_", item_cols)
     x = x.join(items, x["so_szFSoId"] == items["soi_szFSoId"], "left")
     x = x.where(F.coalesce(F.col("soi_szOrderItemTypeId") == SELL_ITEM_TYPE, F.lit(False))
                 | F.coalesce(F.col("po_has_buy_line"), F.lit(False)))
-    headers = src.sales_order.join(scope, src.sales_order["szFSoId"] == scope["_so"], "left_semi")
     bonus = order_bonus(soi_all, headers, src.sales_order_item_bonus, order_since=bonus_since, inclusive=False)
     keys = ["szFSoId", "szProductId", "szParentId", "szPaymentType", "szOrderItemTypeId"]
     b = _p(bonus, "bon_", [*keys, *BONUS_COLS])
     x = x.join(b, [x["soi_" + k] == b["bon_" + k] for k in keys], "left")
     product = F.col("soi_szProductId")
 
-    sent = delivered_qty(src.wms_delivery_item).select(
+    sent = delivered_qty(_named_in(src.wms_delivery_item, "custOrderNo", headers, "szFSoId")).select(
         F.col("custOrderNo").alias("_c"), F.col("orderNo").alias("_o"), F.col("code").alias("_p"),
         F.col("qty").alias("qty_delivered"))
     x = x.join(sent, (x["delv_custOrderNo"] == sent["_c"]) & (x["delv_orderNo"] == sent["_o"])
                & (product == sent["_p"]), "left").drop("_c", "_o", "_p")
-    billed = src.invoice_item.select(
+    billed = bills.select(
         F.col("szFInvoiceId").alias("_i"), F.col("szProductId").alias("_p"), F.col("szOrderItemTypeId").alias("_t"),
         F.col("decQty").alias("qty_invoice"))
     x = x.join(billed, (x["inv_szFInvoiceId"] == billed["_i"]) & (product == billed["_p"])
                & (x["soi_szOrderItemTypeId"] == billed["_t"]), "left").drop("_i", "_p", "_t")
-    billed_h = src.invoice_item.select(F.col("szFInvoiceId").alias("_i"), F.col("szProductId").alias("_p"),
+    billed_h = bills.select(F.col("szFInvoiceId").alias("_i"), F.col("szProductId").alias("_p"),
                                        F.col("decQty").alias("qty_invoice_hist"))
     x = x.join(billed_h, (x["invh_szFInvoiceId"] == billed_h["_i"]) & (product == billed_h["_p"]), "left").drop("_i", "_p")
-    noted = src.delivery_note_item.select(F.col("szFDNId").alias("_n"), F.col("szProductId").alias("_p"),
+    notes = x.select("fdn_szFDNId").where("fdn_szFDNId IS NOT NULL")
+    noted = _named_in(src.delivery_note_item, "szFDNId", notes, "fdn_szFDNId").select(F.col("szFDNId").alias("_n"), F.col("szProductId").alias("_p"),
                                           F.col("decQty").alias("qty_note"))
     x = x.join(noted, (x["fdn_szFDNId"] == noted["_n"]) & (product == noted["_p"]), "left").drop("_n", "_p")
     price = M.unit_price_net("soi_bTaxable", "soi_decDPP", "soi_decTax", F.col("soi_decPrice"))
@@ -100,10 +114,10 @@ def _sales_lines(x: DataFrame, src: WideTrackingSources, bonus_since) -> DataFra
     return x.select("*", *[line[c].alias("line_" + c) for c in _LINE])
 
 
-def _purchase_lines(x: DataFrame, src: WideTrackingSources) -> DataFrame:
+def _purchase_lines(x: DataFrame, po_lines: DataFrame) -> DataFrame:
     """Rows without a sales order id: the purchase order's buying lines."""
     cols = ["szFPo_sId", "szProductId", "bTaxable", "decQty", "decPrice", "decAmount", "decDPP", "decPPN", "decDiscount"]
-    items = _p(src.purchase_order_item.where(F.col("purchaseItemTypeId").isin(list(BUY_ITEM_TYPES))), "poi_", cols)
+    items = _p(po_lines.where(F.col("purchaseItemTypeId").isin(list(BUY_ITEM_TYPES))), "poi_", cols)
     x = x.join(items, x["po_szFPo_sId"] == items["poi_szFPo_sId"], "inner")
     tax = ("poi_bTaxable", "poi_decDPP", "poi_decPPN")
     none = F.lit(0.0)
@@ -126,47 +140,53 @@ def po_tracking_gt(src: WideTrackingSources, *, bonus_since, po_from, po_to, so_
                                        "szVehicleNo", "szDriverNm", "dtmETA"])
     so = _p(src.sales_order, "so_", so_cols)
     po = _p(src.purchase_order, "po_", ["szFPo_sId", "szStatus", "dtmCreated", "dtmPO", "bVoid"])
-    # F3, with the bound that each branch puts on its own document before the joins.
-    with_po = (si.where(ne_blank("si_szFPoId")).join(po.where(closed_range("po_dtmPO", po_from, po_to)),
-                                                     F.col("si_szFPoId") == F.col("po_szFPo_sId"), "inner")
-               .join(so, F.col("si_szFSoId") == F.col("so_szFSoId"), "left"))
-    no_po = (si.where(eq_blank("si_szFPoId")).join(so.where(closed_range("so_dtmOrder", so_from, so_to)),
-                                                   F.col("si_szFSoId") == F.col("so_szFSoId"), "inner")
-             .select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in po.schema.fields]))
-    x = with_po.unionByName(no_po)
-    buys = (src.purchase_order_item.groupBy(F.col("szFPo_sId").alias("_po"))
+    # the purchase order's date where the inquiry has one, else the sales order's.
+    x = (si.join(po.where(closed_range("po_dtmPO", po_from, po_to)),
+                 ne_blank("si_szFPoId") & (F.col("si_szFPoId") == F.col("po_szFPo_sId")), "left")
+         .join(so, F.col("si_szFSoId") == F.col("so_szFSoId"), "left")
+         .where(F.col("po_szFPo_sId").isNotNull() | (eq_blank("si_szFPoId") & closed_range("so_dtmOrder", so_from, so_to))))
+    x = written(x, "inquiries")
+    po_lines = written(_named_in(src.purchase_order_item, "szFPo_sId", x, "po_szFPo_sId"), "po-lines")
+    buys = (po_lines.groupBy(F.col("szFPo_sId").alias("_po"))
             .agg(F.max(F.coalesce(F.col("purchaseItemTypeId").isin(list(BUY_ITEM_TYPES)), F.lit(False))).alias("po_has_buy_line")))
-    x = x.join(buys, x["po_szFPo_sId"] == buys["_po"], "left").drop("_po")
 
+    # Delivery orders of the inquiries and those that replaced them, with their invoices; and the invoices' lines.
+    hist = written(history_rows(src.do_history, history_scope), "history")
+    new = _named_in(hist, "hist_old", x, "si_szFDoId").select(F.col("hist_new").alias("_do"))
+    do = _p(src.delivery_order, "do_", ["szDoId", "szFInvoiceId", "dtmDelivery"])
+    do = _named_in(do, "do_szDoId", x.select(F.col("si_szFDoId").alias("_do")).unionByName(new), "_do")
+    inv = _p(src.invoice, "inv_", ["szFInvoiceId", "dtmCreated"])
+    docs = written(do.join(inv, do["do_szFInvoiceId"] == inv["inv_szFInvoiceId"], "left"), "documents")
+    bill_cols = ["szFInvoiceId", "szProductId", "szOrderItemTypeId", "decQty"]
+    bills = written(_named_in(src.invoice_item, "szFInvoiceId", docs, "inv_szFInvoiceId").select(*bill_cols), "bills")
+
+    inquiries = x
+    x = x.join(buys, x["po_szFPo_sId"] == buys["_po"], "left").drop("_po")
     rec = _p(src.po_receipt.where(ne_blank("szPoId")), "rec_", ["szFPoReceipt_sId", "szPoId", "dtmCreated", "dtmReceipt"])
+    rec = _named_in(rec, "rec_szPoId", inquiries, "po_szFPo_sId")
     x = x.join(rec, x["po_szFPo_sId"] == rec["rec_szPoId"], "left")
-    do = _p(src.delivery_order, "do_", ["szDoId", "szFInvoiceId", "dtmDelivery"])
-    x = x.join(do, x["si_szFDoId"] == do["do_szDoId"], "left")
+    x = x.join(docs, x["si_szFDoId"] == docs["do_szDoId"], "left")
     delv = _p(src.wms_delivery.where(ne_blank("custOrderNo")), "delv_", ["custOrderNo", "orderNo", "szDoRefId", "outTime"])
+    delv = _named_in(delv, "delv_custOrderNo", inquiries, "si_szFSoId")
     x = x.join(delv, (x["si_szFSoId"] == delv["delv_custOrderNo"]) & (x["do_szDoId"] == delv["delv_szDoRefId"]), "left")
-    inv = _p(src.invoice, "inv_", ["szFInvoiceId", "dtmCreated"])
-    x = x.join(inv, x["do_szFInvoiceId"] == inv["inv_szFInvoiceId"], "left")
-    hist = history_rows(src.do_history, history_scope)
     x = x.join(hist, x["do_szDoId"] == hist["hist_old"], "left")
-    doh = _p(src.delivery_order, "doh_", ["szDoId", "szFInvoiceId"])
-    x = x.join(doh, x["hist_new"] == doh["doh_szDoId"], "left")
-    invh = _p(src.invoice, "invh_", ["szFInvoiceId"])
-    x = x.join(invh, x["doh_szFInvoiceId"] == invh["invh_szFInvoiceId"], "left")
+    later = docs.select(F.col("do_szDoId").alias("doh_szDoId"), F.col("inv_szFInvoiceId").alias("invh_szFInvoiceId"))
+    x = x.join(later, x["hist_new"] == later["doh_szDoId"], "left")
     for table, prefix, cols in ((src.cancel_message, "cncl_", ["szDocId", "szData"]),
                                 (src.purchase_message, "pm_", ["szDocId", "dtmTransferred"])):
-        m = _p(table.where(F.col("bAlreadyTransferred")), prefix, cols)
+        m = _named_in(_p(table.where(F.col("bAlreadyTransferred")), prefix, cols), prefix + "szDocId", inquiries, "si_szFSoId")
         x = x.join(m, x["si_szFSoId"] == m[prefix + "szDocId"], "left")
-    fdn = _p(src.delivery_note, "fdn_", ["szFDNId", "dtmLastUpdated"])
+    fdn = _named_in(_p(src.delivery_note, "fdn_", ["szFDNId", "dtmLastUpdated"]), "fdn_szFDNId", inquiries, "si_szFDnId")
     x = x.join(fdn, x["si_szFDnId"] == fdn["fdn_szFDNId"], "left")
-    closed = latest_close_flag(src.close_note, src.close_note_item)
+    closed = latest_close_flag(src.close_note, _named_in(src.close_note_item, "szDNId", inquiries, "si_szFDnId"))
     x = x.join(closed, x["si_szFDnId"] == closed["cl_dn"], "left")
-    levels = pivot_levels(src.approved_item, "gdApprovedId", "btApprovedLevel", [1, 2, 3],
-                          {"dtmApproved": "dtmApproved", "bApproved": "bApproved"})
+    levels = pivot_levels(_named_in(src.approved_item, "gdApprovedId", inquiries, "so_gdApprovedId"), "gdApprovedId",
+                          "btApprovedLevel", [1, 2, 3], {"dtmApproved": "dtmApproved", "bApproved": "bApproved"})
     levels = levels.withColumnRenamed("gdApprovedId", "_gd")
-    x = x.join(levels, x["so_gdApprovedId"] == levels["_gd"], "left").drop("_gd")
+    x = written(x.join(levels, x["so_gdApprovedId"] == levels["_gd"], "left").drop("_gd"), "attributes")
 
-    from_sales = _sales_lines(x.where(~is_blank("si_szFSoId")), src, bonus_since)
-    from_purchase = _purchase_lines(x.where(is_blank("si_szFSoId")), src)
+    from_sales = _sales_lines(x.where(~is_blank("si_szFSoId")), src, bills, bonus_since)
+    from_purchase = _purchase_lines(x.where(is_blank("si_szFSoId")), po_lines)
     shared = [c for c in from_sales.columns if c in from_purchase.columns]
     y = from_sales.select(*shared).unionByName(from_purchase.select(*shared))
 
