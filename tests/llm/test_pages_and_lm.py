@@ -145,16 +145,19 @@ def test_lm_rounds_learn_from_all_trigrams(spark):
     code = np.unique((symbols[0] << 20) | (symbols[1] << 10) | symbols[2])
     n = rng.integers(1, 9, len(code))
     counts = np.bincount(code & 1023, n, size)
-    # Counts come in pieces, in several partitions; equal trigrams are added up.
-    halves = [(int(c), int(m)) for c, k in zip(code, n) for m in (k // 2, k - k // 2)]
-    table = nce_lm.learners(spark.createDataFrame(halves, "code int, n long").repartition(3))
-    mixed = {r.code: r.key for r in spark.createDataFrame(halves, "code int, n long").selectExpr("code", "xxhash64(code) key").collect()}
-    order = np.array(sorted(range(len(code)), key=lambda i: mixed[code[i]]))
-    assert table.count() == 1
+    # Counts come in halves, from several tasks; equal trigrams are added up.
+    own = nce_lm.mixed(code)
+    assert (nce_lm.mixed(own, nce_lm.UNMIX) == code).all() and len(np.unique(own)) == len(code)
+    order = np.argsort(own)
+    rows = [r for k in (n // 2, n - n // 2) for r in nce_lm.piece_rows(own[order], k[order]).to_pylist()]
+    pieces = spark.createDataFrame([tuple(r.values()) for r in rows], nce_lm._PIECES).repartition(3)
+    table = nce_lm.learners(pieces, 5)
+    assert table.count() == nce_lm.PARTS
+    parts = [order[(own[order] >> nce_lm.PLACE_BITS) % nce_lm.PARTS == p] for p in range(nce_lm.PARTS)]
     par = nce_lm.start_parameters(size, counts)
     past = {k: np.full(v.shape, 1e-6) for k, v in par.items()}
     for step in range(2 * nce_lm.PARTS):
-        part = order[step % nce_lm.PARTS::nce_lm.PARTS]
+        part = parts[step % nce_lm.PARTS]
         nce_lm.nce_steps(par, past, code[part], n[part].astype(np.float64), counts, 1_000_003 * step)
     got = nce_lm.train(table, counts, rounds=2)
     assert all(np.allclose(got[k], par[k], atol=1e-3) for k in par)

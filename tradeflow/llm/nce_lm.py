@@ -8,12 +8,13 @@ words (by their last two bytes): with context vectors r and word vectors q,
     s(w | a, b) = (r1[a] + r2[b]) . q[w] + bias[w]
 
 for the symbols a, b before w. It is trained in numpy by noise-contrastive
-estimation over the symbol trigram counts of all training documents. Equal
-trigrams are added up first; each is dealt by a hash of itself to one of the
-learners, whose number follows from the number of distinct trigrams alone. A
-learner takes minibatch steps from the shared parameters over one of ``PARTS``
-parts of its trigrams, then all are averaged by weight; a round is ``PARTS``
-such steps, and so the whole table, and there are ``rounds`` rounds. Learners,
+estimation over the symbol trigram counts of all training documents. A mixed
+trigram's first bits name its piece; tasks count the trigrams they read and
+hand on one row a piece, and equal trigrams are added up piece by piece. Pieces
+are dealt to learners, whose number follows from the number of training tokens
+alone. A learner takes minibatch steps from the shared parameters over one of
+``PARTS`` parts of its pieces, then all are averaged by weight; a round is
+``PARTS`` such steps, and so the whole table, and there are ``rounds`` rounds. Learners,
 their order and their sums do not depend on how the documents lie in files or
 on the number of tasks, and so neither do the scores.
 Probabilities are normalised: exp(s) factors into a term in (a, w) and one in
@@ -51,9 +52,13 @@ DIM = 16
 ROUNDS = 2
 BATCH = 2048
 NOISE = 32
-#: Distinct trigrams of a learner, about; parts of them after which learners are averaged.
-LEARNER = 2_000_000
+#: Training tokens of a learner, about; the most learners there are; parts of a learner after which all are averaged.
+LEARNER, MOST_LEARNERS = 6_000_000, 1024
 PARTS = 2
+#: Bits of a trigram's code, of its place in a piece; and what codes are multiplied by, modulo all of them, and back.
+CODE_BITS, PLACE_BITS = 30, 20
+MIX = 0x2545F491
+UNMIX = pow(MIX, -1, 1 << CODE_BITS)
 RATE = 0.05
 #: Distinct words, and tokens, that a counting task holds before it hands them on.
 FLUSH_WORDS, FLUSH_TOKENS = 200_000, 4_000_000
@@ -152,21 +157,40 @@ class Symbols:
         return a, b
 
 
+def mixed(code: np.ndarray, by: int = MIX) -> np.ndarray:
+    """Codes mixed, or with ``UNMIX`` back: one to one, and neighbouring contexts part."""
+    return (code.astype(np.uint64) * np.uint64(by) & np.uint64((1 << CODE_BITS) - 1)).astype(np.uint32)
+
+
+_PIECES = "piece int, codes binary, counts binary"
+
+
+def piece_rows(codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Mixed codes in order, and their counts, to one row a piece."""
+    piece = codes >> np.uint32(PLACE_BITS)
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(piece)) + 1, [len(codes)]])
+    runs = [slice(i, j) for i, j in zip(cut.tolist(), cut[1:].tolist()) if i < j]
+    codes, counts = codes.astype("<u4"), counts.astype("<i8")
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(piece[r.start]) for r in runs], pa.int32()), pa.array([codes[r].tobytes() for r in runs], pa.binary()),
+         pa.array([counts[r].tobytes() for r in runs], pa.binary())], names=["piece", "codes", "counts"])
+
+
 def _trigrams(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = _symbols(held)
         codes: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
-            code, n = np.unique(np.concatenate(codes), return_counts=True)
+            found = piece_rows(*np.unique(np.concatenate(codes), return_counts=True))
             codes.clear()
-            return pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), pa.array(n)], names=["code", "n"])
+            return found
         total = 0
         for b in batches:
             for _, words, starts in _flat(b.column(0)):
                 s, _ = symbols.of(words)
                 a, c = symbols.before(s, starts)
-                codes.append((((a << 10) | c) << 10 | s).astype(np.int32))
+                codes.append(mixed(((a << 10) | c) << 10 | s))
                 total += len(s)
                 if total > FLUSH_TOKENS:
                     yield out()
@@ -176,37 +200,62 @@ def _trigrams(held):
     return run
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(learner, code, n) rows in order to one row a learner, its codes and counts as arrays."""
-    last, codes, counts = None, [], []
+class _Sum:
+    """Counts of codes, added up whenever as much is waiting as is there."""
+
+    def __init__(self):
+        self.codes, self.counts, self.waiting, self.n = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], 0
+
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((codes, counts))
+        self.n += len(codes)
+        if self.n > max(len(self.codes), 100_000):
+            self.settle()
+
+    def settle(self) -> None:
+        codes, place = np.unique(np.concatenate([self.codes] + [c for c, _ in self.waiting]), return_inverse=True)
+        counts = np.zeros(len(codes), np.int64)
+        np.add.at(counts, place, np.concatenate([self.counts] + [n for _, n in self.waiting]))
+        self.codes, self.counts, self.waiting, self.n = codes, counts, [], 0
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(learner, part, piece, codes, counts) rows in order to one row a learner and part."""
+    key, piece, sums, done = None, None, None, []
 
     def row():
         return pa.RecordBatch.from_arrays(
-            [pa.array([last], pa.int32()), pa.array([np.concatenate(codes).astype("<i4").tobytes()], pa.binary()),
-             pa.array([np.concatenate(counts).astype("<i8").tobytes()], pa.binary())], names=["learner", "codes", "counts"])
+            [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()),
+             pa.array([np.concatenate([c for c, _ in done]).astype("<u4").tobytes()], pa.binary()),
+             pa.array([np.concatenate([n for _, n in done]).astype("<i8").tobytes()], pa.binary())],
+            names=["learner", "part", "codes", "counts"])
     for b in batches:
-        learner, code, n = (b.column(i).to_numpy() for i in range(3))
-        cut = np.flatnonzero(np.diff(learner)) + 1
-        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(learner)] if len(learner) else []):
-            if learner[i] != last:
-                if codes:
+        for learner, part, p, codes, counts in zip(*(b.column(i) for i in range(5))):
+            at = (learner.as_py(), part.as_py())
+            if piece is not None and (at, p.as_py()) != (key, piece):
+                sums.settle()
+                done.append((sums.codes, sums.counts))
+                piece = None
+            if at != key:
+                if done:
                     yield row()
-                last, codes, counts = int(learner[i]), [], []
-            codes.append(code[i:j])
-            counts.append(n[i:j])
-    if codes:
+                key, done = at, []
+            if piece is None:
+                piece, sums = p.as_py(), _Sum()
+            sums.add(np.frombuffer(codes.as_buffer(), "<u4"), np.frombuffer(counts.as_buffer(), "<i8"))
+    if piece is not None:
+        sums.settle()
+        done.append((sums.codes, sums.counts))
         yield row()
 
 
-def learners(trigrams: DataFrame) -> DataFrame:
-    """(code, n) rows, codes repeated, to one row a learner."""
-    table = saved(trigrams.groupBy("code").agg(F.sum("n").alias("n")), "trigrams")
-    (distinct,) = one_row(table.agg(F.count(F.lit(1))))
-    number = max(1, -(-distinct // LEARNER))
-    mixed = F.xxhash64("code")  # also the order: neighbouring codes share their contexts
-    dealt = table.select(F.pmod(mixed, F.lit(number)).cast("int").alias("learner"), "code", "n", mixed.alias("key"))
-    dealt = dealt.repartition(number, "learner").sortWithinPartitions("learner", "key").drop("key")
-    return saved(dealt.mapInArrow(_pack, "learner int, codes binary, counts binary"), "learners")
+def learners(pieces: DataFrame, tokens: int) -> DataFrame:
+    """pieces: as :func:`piece_rows` gives them, any number a piece. One row a learner and part: mixed codes, counts."""
+    number = min(MOST_LEARNERS, max(1, -(-tokens // LEARNER)))
+    learner, part = F.pmod("piece", F.lit(number)).cast("int"), F.pmod(F.floor(F.col("piece") / number), F.lit(PARTS)).cast("int")
+    dealt = pieces.select(learner.alias("learner"), part.alias("part"), "piece", "codes", "counts")
+    dealt = dealt.repartition(number * PARTS, "learner", "part").sortWithinPartitions("learner", "part", "piece")
+    return saved(dealt.mapInArrow(_merge, "learner int, part int, codes binary, counts binary"), "learners")
 
 
 def start_parameters(size: int, counts: np.ndarray) -> dict[str, np.ndarray]:
@@ -248,13 +297,13 @@ def nce_steps(par: dict[str, np.ndarray], past: dict[str, np.ndarray], code: np.
             par[name] += RATE * step / np.sqrt(past[name])
 
 
-def _learn(counts: np.ndarray, held, part: int, seed: int):
+def _learn(counts: np.ndarray, held, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for learner, codes, ns in zip(*(b.column(i).to_pylist() for i in range(3))):
-                code, n = np.frombuffer(codes, "<i4")[part::PARTS].astype(np.int64), np.frombuffer(ns, "<i8")[part::PARTS]
-                if not len(code):
-                    continue
+            for learner, codes, ns in zip(*(b.column(i) for i in range(3))):
+                learner = learner.as_py()
+                code = mixed(np.frombuffer(codes.as_buffer(), "<u4"), UNMIX).astype(np.int64)
+                n = np.frombuffer(ns.as_buffer(), "<i8")
                 own = {k: v.copy() for k, v in held.value[0].items()}
                 past = {k: v.copy() for k, v in held.value[1].items()}
                 nce_steps(own, past, code, n.astype(np.float64), counts, seed + learner)
@@ -274,7 +323,8 @@ def train(table: DataFrame, counts: np.ndarray, *, rounds: int = ROUNDS) -> dict
     past = {k: np.full(v.shape, 1e-6) for k, v in par.items()}
     for step in range(rounds * PARTS):
         held = table.sparkSession.sparkContext.broadcast((par, past))
-        own = table.mapInArrow(_learn(counts, held, step % PARTS, 1_000_003 * step), "row int, weight long, v array<long>")
+        own = table.where(F.col("part") == step % PARTS).select("learner", "codes", "counts").mapInArrow(
+            _learn(counts, held, 1_000_003 * step), "row int, weight long, v array<long>")
         sums = [F.sum(F.get("v", F.lit(d)).cast("decimal(38,0)") * F.col("weight")).alias(f"v{d}") for d in range(DIM)]
         rows = own.groupBy("row").agg(F.sum("weight").alias("weight"), *sums).collect()  # 8 * size rows
         if not rows:
@@ -391,7 +441,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     symbols = (table, mass, types, words, buckets)
     held = spark.sparkContext.broadcast(symbols)  # at most `table_words` words
 
-    table = learners(train_text.mapInArrow(_trigrams(held), "code int, n long"))
+    table = learners(train_text.mapInArrow(_trigrams(held), _PIECES), total)
     par = spark.sparkContext.broadcast(train(table, Symbols(*symbols).counts, rounds=rounds))
 
     rows = d.select("id", F.monotonically_increasing_id().alias("row_id"), "text")
