@@ -175,6 +175,32 @@ def test_recall_of_links_against_all_pairs(documents):
     assert len(pairs) > 100 and linked >= 0.97 * len(pairs)
 
 
+def test_thinned_cycles_cover_the_same_words(documents, monkeypatch):
+    """Texts that repeat cycles of 3 to 60 words, alone, between other words and with changed words: the words that rows
+    cover are the same as when no match of a cycle is left out."""
+    rng = random.Random(23)
+    rows = []
+    for n in (3, 5, 8, 13, 25, 60):
+        cycle = [f"c{n}x{i}" for i in range(n)]
+        for k in range(3):
+            own = (cycle * (300 // n))[rng.randrange(n):]
+            own = [f"l{n}{k}{i}" for i in range(rng.randint(0, 20))] + own + [f"t{n}{k}{i}" for i in range(rng.randint(0, 20))]
+            for _ in range(k):
+                own[rng.randrange(len(own))] = "changed"
+            rows.append((len(rows), " ".join(own)))
+
+    def covered(inside):
+        out = {}
+        for r in chain_dedup.shared_passages(documents(rows, 1), inside=inside).collect():
+            out.setdefault(r.doc_id, set()).update(range(r.word_start, r.word_stop))
+        return out
+    thinned = covered(False)
+    monkeypatch.setattr(chain_dedup, "_without_cycles", lambda x, y, spans: chain_dedup._by_place(x, y, spans))
+    whole = covered(False)
+    assert set(thinned) == set(whole) and len(whole) >= 12
+    assert all(len(whole[i] - thinned[i]) <= 2 * chain_dedup.EDIT_COST for i in whole), {i: len(whole[i] - thinned[i]) for i in whole}
+
+
 def test_chains_match_quadratic_dynamic_programming():
     rng = np.random.default_rng(8)
     for _ in range(60):
