@@ -1,6 +1,8 @@
 """Main text of HTML pages by gradient-boosted trees over DOM nodes.
 
-A page becomes a tree of element nodes. Each node gets features: its kind of
+A page becomes a tree of element nodes; text that stands loose between boxes
+is a leaf of its own in each block, so that a notice in the body and a line in
+the article are told apart. Each node gets features: its kind of
 tag, tokens of its class, id and role, depth, place among its siblings, text
 and link density of its subtree, its share of the page, and the tokens of its
 ancestors. Boosted trees, trained here in numpy, give each node the odds of
@@ -10,8 +12,9 @@ one down the tree, so choices never contradict each other.
 
 Training takes a bounded, deterministic sample of the pages (``SAMPLE``) whose
 markup names its article. Their nodes are labelled by that element, and each
-page is also rewritten into other layouts (other tags, class names, and
-boilerplate placed around and inside the article), so that the trees learn
+page is also rewritten into other layouts (other tags and class names; lists,
+tables, sections, headers, details, figures and loose lines in the article;
+boilerplate, boxed and loose, around and inside it), so that the trees learn
 from density and tokens and not from one template. All pages are then
 extracted whole.
 
@@ -29,6 +32,7 @@ from __future__ import annotations
 import html as html_lib
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 
 #: Pages that the trees are trained on, at most.
 SAMPLE = 200
-TREES, DEPTH, SHRINK, BINS = 40, 4, 0.25, 32
+TREES, DEPTH, SHRINK, BINS = 60, 5, 0.25, 32
 
 # Element names of HTML by what they do.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -50,6 +54,8 @@ INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del",
 KINDS = (("article", "main"), ("p", "blockquote", "pre", "figure", "figcaption"), ("h1", "h2", "h3", "h4", "h5", "h6"),
          ("ul", "ol", "dl", "menu"), ("li", "dt", "dd"), ("nav",), ("aside",), ("footer",), ("header",), ("form", "fieldset"),
          ("table", "tbody", "tr", "td", "th"), ("section",), ("div", "center"), ("body", "html"), ("dialog", "details"))
+#: The name of a leaf of loose text.
+LEAF = "#text"
 # Words that authors name boxes by.
 GOOD_WORDS = ("article", "content", "post", "entry", "story", "main", "body", "text", "page")
 BAD_WORDS = (
@@ -94,7 +100,30 @@ class Page:
     def __init__(self, text: str):
         self.tag, self.parent, self.words = ["html"], [-1], [()]
         self.pieces: list[tuple[int, str]] = []  # node, text ("\n" text None: a block edge)
+        self.open: Counter = Counter()  # open elements by name
         self._parse(text)
+        self._leaves()
+
+    def _leaves(self) -> None:
+        """Loose text of a node that also holds boxes becomes a leaf, one a block."""
+        holds = {self.parent[i] for i in range(1, len(self.tag)) if self.tag[i] not in INLINE}
+        leaf: dict[int, int] = {}
+        for i, (node, t) in enumerate(self.pieces):
+            if t is None:
+                leaf.clear()
+            elif node in holds and t.strip(" \t\n\x0b\f\r"):
+                if node not in leaf:
+                    leaf[node] = len(self.tag)
+                    self.tag.append(LEAF)
+                    self.parent.append(node)
+                    self.words.append(())
+                self.pieces[i] = (leaf[node], t)
+
+    def _shut(self, open_nodes: list[int], first: int) -> None:
+        """End the open elements from a place on."""
+        for i in open_nodes[first:]:
+            self.open[self.tag[i]] -= 1
+        del open_nodes[first:]
 
     def _parse(self, text: str) -> None:
         open_nodes, at = [0], 0
@@ -126,7 +155,7 @@ class Page:
                         del hidden[len(hidden) - 1 - hidden[::-1].index(name):]
                         continue
                     # The end of an element around it ends a dropped one that lacks its own end.
-                    if sure or name in INLINE or not (name in ("body", "html") or any(self.tag[i] == name for i in open_nodes[1:])):
+                    if sure or name in INLINE or not (name in ("body", "html") or self.open[name]):
                         continue
                     hidden = []
                 elif hidden == ["head"] and name not in IN_HEAD or not sure and (
@@ -146,12 +175,12 @@ class Page:
                 continue
             if m.group(1):
                 if name in INLINE:
-                    if self.tag[open_nodes[-1]] == name:
-                        open_nodes.pop()
+                    if self.tag[open_nodes[-1]] == name and len(open_nodes) > 1:
+                        self._shut(open_nodes, len(open_nodes) - 1)
                     continue
-                for i in range(len(open_nodes) - 1, 0, -1):
+                for i in range(len(open_nodes) - 1, 0, -1) if self.open[name] else ():
                     if self.tag[open_nodes[i]] == name:
-                        del open_nodes[i:]
+                        self._shut(open_nodes, i)
                         self.pieces.append((open_nodes[-1], None))
                         break
                 continue
@@ -165,15 +194,15 @@ class Page:
             if name not in INLINE:
                 # A box ends open inline elements and paragraphs; list items and cells end their like.
                 ends = CLOSES.get(name, ()) or {"p"}
-                for i in range(len(open_nodes) - 1, 0, -1):
+                for i in range(len(open_nodes) - 1, 0, -1) if any(self.open[t] for t in (*ends, "p")) else ():
                     tag = self.tag[open_nodes[i]]
                     if tag in ends or tag == "p":
-                        del open_nodes[i:]
+                        self._shut(open_nodes, i)
                         break
                     if tag in WALLS:
                         break
                 while len(open_nodes) > 1 and self.tag[open_nodes[-1]] in INLINE:
-                    open_nodes.pop()
+                    self._shut(open_nodes, len(open_nodes) - 1)
                 self.pieces.append((open_nodes[-1], None))
             elif name != "a":
                 continue  # inline marks neither part blocks nor make nodes; links count for density
@@ -186,6 +215,7 @@ class Page:
             self.words.append(words)
             if not attrs.rstrip().endswith("/") or name in INLINE:
                 open_nodes.append(len(self.tag) - 1)
+                self.open[name] += 1
         if at < len(text) and (not hidden or hidden == ["head"] and text[at:].strip(" \t\n\x0b\f\r")):
             self._text(open_nodes[-1], text[at:])
 
@@ -205,7 +235,7 @@ class Page:
                 stops[node] += t.count(".") + t.count(",")
                 if self.tag[node] == "a":
                     link[node] += size
-        kinds = np.array([KIND_OF.get(t, len(KINDS)) for t in self.tag])
+        kinds = np.array([len(KINDS) + 1 if t == LEAF else KIND_OF.get(t, len(KINDS)) for t in self.tag])
         marks = np.zeros((n, len(BAD_WORDS) + 1))
         for i, words in enumerate(self.words):
             for w in words:
@@ -235,7 +265,7 @@ class Page:
             seen[p] += 1
         siblings = seen[np.maximum(parent, 0)]
         total = max(tree[0], 1.0)
-        one_hot = (kinds[:, None] == np.arange(len(KINDS) + 1)[None, :]).astype(float)
+        one_hot = (kinds[:, None] == np.arange(len(KINDS) + 2)[None, :]).astype(float)
         numbers = np.stack([
             depth, place, siblings, place / np.maximum(siblings, 1), np.log1p(own), np.log1p(tree), tree / total,
             links / np.maximum(tree, 1), np.log1p(tree / nodes), np.log1p(nodes), np.log1p(paras), commas / np.maximum(tree, 1) * 100,
@@ -250,7 +280,7 @@ class Page:
             if best[i] > 0:
                 best[self.parent[i]] += best[i]
         keep = np.zeros(n, bool)
-        keep[0] = True
+        keep[0] = best[0] > 0
         for i in range(1, n):
             keep[i] = keep[self.parent[i]] and best[i] > 0
         return keep
@@ -282,7 +312,7 @@ def labels(page: Page) -> np.ndarray | None:
     mark = np.zeros(n, bool)
     tags = page.tag
     name = "article" if "article" in tags else "main"
-    good = [i for i in range(n) if tags[i] == name or "goldarticle" in page.words[i]]
+    good = {i for i in range(n) if tags[i] == name or "goldarticle" in page.words[i]}
     if not good:
         return None
     bad = {5, 6, 7, 9}
@@ -300,6 +330,11 @@ def labels(page: Page) -> np.ndarray | None:
     return mark.astype(np.float64)
 
 
+#: Lines that sites put anywhere, beside those that the sample's pages hold.
+NOTICES = ("This site uses cookies.", "We use cookies to improve your visit. Accept", "\u00a9 2024 All rights reserved", "\u00a9 2019 Example",
+           "Share this page", "Read more", "Advertisement", "Subscribe to our newsletter", "Skip to content", "Log in", "Privacy policy")
+
+
 def layouts(blocks: list[str], junk: list[str], rng: random.Random) -> str:
     """A page with the blocks as its article, in some other layout, with junk around and inside."""
     def name(words) -> str:
@@ -307,10 +342,12 @@ def layouts(blocks: list[str], junk: list[str], rng: random.Random) -> str:
         return rng.choice((f'class="{w}"', f'id="{w}"', f'class="{w} {rng.choice("abc")}{rng.randint(1, 9)}"', f'class="site-{w}"', f'class="{w}-box"'))
 
     def filler() -> str:
-        return html_lib.escape(rng.choice(junk)) if junk else "lorem"
+        return html_lib.escape(rng.choice(junk)) if junk and rng.random() < 0.7 else rng.choice(NOTICES)
 
     def box(kind: int, gold: bool) -> str:
         tag = rng.choice(({1: "nav", 2: "footer", 3: "header", 4: "aside"}.get(kind, "div"), "div", "section", "div"))
+        if gold and tag == "header":
+            tag = "div"
         attr = name(BAD_WORDS[kind - 1]) if tag in ("div", "section") or rng.random() < 0.5 else ""
         if gold:
             attr = re.sub(r'="', '="goldjunk ', attr) if attr else 'class="goldjunk"'
@@ -323,26 +360,68 @@ def layouts(blocks: list[str], junk: list[str], rng: random.Random) -> str:
         else:
             inner = "".join(rng.choice(("<p>{}</p>", "<div>{}</div>", "{}")).format(filler()) for _ in range(rng.randint(1, 3)))
         return f"<{tag} {attr}>{inner}</{tag}>"
+
+    def loose() -> str:
+        return rng.choice(("{}", "{}", "<br>{}<br>", "{}<hr>", '{} <a href="#">OK</a>')).format(filler()[:80])
+
+    def some(b: str) -> list[str]:
+        """A block as a few short entries."""
+        words, out = b.split()[:40], []
+        while words:
+            n = rng.randint(1, 5)
+            out.append(html_lib.escape(" ".join(words[:n])))
+            words = words[n:]
+        return out or ["x"]
+
+    def part(b: str, first: bool) -> str:
+        body, kind = html_lib.escape(b), rng.random()
+        if first and kind < 0.7:
+            return rng.choice(("<h1>{}</h1>", "<h1>{}</h1>", "<header><h1>{}</h1></header>", '<header class="entry-header"><h1>{}</h1></header>',
+                               "<div><h1>{}</h1></div>")).format(body)
+        if kind < 0.55:
+            return f"<p>{body}</p>"
+        few = some(b)
+        if kind < 0.65:
+            tag = rng.choice(("ul", "ol"))
+            return f"<{tag}>" + "".join(f"<li>{x}</li>" for x in rng.choice((few, [body]))) + f"</{tag}>"
+        if kind < 0.72:
+            rows = [few[i:i + 3] for i in range(0, len(few), 3)]
+            cell = rng.choice(("td", "td", "th"))
+            return "<table>" + "".join("<tr>" + "".join(f"<{cell}>{x}</{cell}>" for x in r) + "</tr>" for r in rows) + "</table>"
+        if kind < 0.77:
+            return "<dl>" + "".join(f"<dt>{x}</dt><dd>{y}</dd>" for x, y in zip(few[::2], few[1::2] or few)) + "</dl>"
+        if kind < 0.84:
+            return f"<section><h2>{few[0]}</h2><p>{rng.choice((body, few[-1]))}</p></section>"
+        if kind < 0.87:
+            return f"<details><summary>{few[0]}</summary><p>{body}</p></details>"
+        if kind < 0.91:
+            return f"<div>{rng.choice((few[0], ' '.join(few[:3]), body))}</div>"
+        if kind < 0.94:
+            return f'<figure><img src="x"><figcaption>{few[0]}</figcaption></figure>'
+        if kind < 0.97:
+            return rng.choice((body, f"{few[0]}<br>{few[-1]}<br>"))
+        return rng.choice(("<h2>{}</h2>", "<h3>{}</h3>", "<blockquote>{}</blockquote>", "<pre>{}</pre>")).format(rng.choice((body, few[0])))
     parts = []
     for i, b in enumerate(blocks):
-        tag = "h1" if i == 0 and rng.random() < 0.7 else rng.choice(("p",) * 8 + ("h2", "li", "blockquote"))
-        body = html_lib.escape(b)
-        parts.append(f"<ul><li>{body}</li></ul>" if tag == "li" else f"<{tag}>{body}</{tag}>")
+        parts.append(part(b, i == 0))
         if rng.random() < 0.06:
-            parts.append(box(rng.choice((4, 5, 7, 8)), True))
+            parts.append(box(rng.choice((4, 4, 5, 7, 8)), True))
     if rng.random() < 0.3:
         parts.append(box(6, True))
-    tag = rng.choice(("article", "main", "div", "section", "div", "div"))
+    tag = rng.choice(("article", "article", "main", "div", "section", "div"))
     attr = f'class="goldarticle {rng.choice(GOOD_WORDS + ("x", "c1"))}"' if rng.random() < 0.85 else 'class="goldarticle"'
     article = f"<{tag} {attr}>{''.join(parts)}</{tag}>"
     for _ in range(rng.randint(0, 2)):
         article = f"<div {name(GOOD_WORDS + ('wrap', 'container', 'row'))}>{article}</div>"
-    first = [box(k, False) for k in rng.sample((1, 3, 5, 7, 8, 4), rng.randint(1, 4))]
-    last = [box(k, False) for k in rng.sample((2, 4, 5, 6, 7, 1), rng.randint(1, 4))]
+    first = [box(k, False) for k in rng.sample((1, 3, 5, 7, 8, 4), rng.randint(0, 4))]
+    last = [box(k, False) for k in rng.sample((2, 4, 5, 6, 7, 1), rng.randint(0, 4))]
+    for around in (first, last):
+        if rng.random() < 0.4:
+            around.insert(rng.randint(0, len(around)), loose())
     return f"<html><head><title>t</title></head><body>{''.join(first)}{article}{''.join(last)}</body></html>"
 
 
-def training_set(pages: list[str], copies: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def training_set(pages: list[str], copies: int = 4) -> tuple[np.ndarray, np.ndarray]:
     rng = random.Random(5)
     x, y, texts, junk = [], [], [], []
     for h in pages:
