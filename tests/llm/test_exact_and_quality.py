@@ -79,11 +79,31 @@ def test_quality_verdict_and_cases(spark, documents):
 
 
 def test_quality_score_is_the_mean_log_ratio(spark, documents):
+    """Scores and verdicts from counts made by hand; only the hash of a unit is Spark's."""
     import math
-    docs = documents([(1, "aa bb"), (2, "aa cc"), (3, "aa!! bb")], 1)
-    weights = quality_llr.gram_weights(docs, spark.createDataFrame([(1,)], "id long"), buckets=64)
-    assert len(weights) == 64
-    # every bucket's probabilities are those of the add-one smoothed counts, so both sum to one
-    raw_total = 64 + 2 * (2 + 2 + 3)
-    good = [math.exp(w) for w in weights]
-    assert abs(math.log(raw_total) - math.log(64 + 4) - max(weights)) < 2.0 and all(g > 0 for g in good)
+    import random
+    rng = random.Random(8)
+    good, bad = [f"word{i}" for i in range(30)], [f"junk{i}" for i in range(30)]
+    texts = [" ".join(rng.choices(good if i % 3 else bad, k=rng.randint(55, 90))) + ("!!" if i % 4 == 0 else "") for i in range(40)]
+    rows = list(enumerate(texts)) + [(100, "too short"), (101, None)]
+    buckets, trusted = 256, [1, 2, 4]
+    units = {i: re.findall(r"[A-Za-z]+|[^A-Za-z\s]+", t or "") for i, t in rows}  # ASCII texts
+    pairs = sorted({(a, b) for u in units.values() for a, b in zip(u, [*u[1:], None])}, key=str)
+    hashed = {(r.a, r.b): (r.one % buckets, r.two % buckets) for r in spark.createDataFrame(pairs, "a string, b string").selectExpr(
+        "a", "b", "hash(a) AS one", "hash(a, b) AS two").collect()}
+    grams = {i: [x for p in zip(u, [*u[1:], None]) for x in hashed[p]] for i, u in units.items()}
+    raw, own = [1] * buckets, [1] * buckets
+    for i, g in grams.items():
+        for x in g:
+            raw[x] += 1
+            own[x] += i in trusted
+    weights = [math.log(o / sum(own)) - math.log(r / sum(raw)) for o, r in zip(own, raw)]
+    ids = spark.createDataFrame([(i,) for i in trusted], "id long")
+    got = {r.doc_id: r for r in quality_llr.quality_rules(documents(rows), ids, buckets=buckets).collect()}
+    for i, g in grams.items():
+        if got[i].base_failed:
+            assert i >= 100 and got[i].llr is None and not got[i].kept
+            continue
+        want = sum(weights[x] for x in g) / len(g)
+        assert abs(got[i].llr - want) < 1e-6 and got[i].kept == (want >= quality_llr.THRESHOLD), i
+    assert {got[i].kept for i in range(40)} == {True, False}
