@@ -4,8 +4,8 @@ The source writes one SQL text of 62 left joins, repeats most of it inside a
 merge-joined vehicle-load block and adds 14 configuration joins; only a dozen
 joins reach the output. Here the live part is one plan,
 ``live_invoice_lines``, that both jobs build on. The unused dimension joins
-are left out; they are row-preserving only when their keys are unique, which
-``operators.joins.assert_unique`` checks on the dimensions.
+are left out; they are row-preserving only when their keys are unique. A load
+can check that with ``operators.joins.assert_unique``; no job here calls it.
 """
 
 from __future__ import annotations
