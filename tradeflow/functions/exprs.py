@@ -120,13 +120,24 @@ def units_value(units, scale: int) -> Column:
     return col(units).cast("double") / F.lit(float(10 ** scale))
 
 
+#: A whole number is summed as two longs, in units of this and what is left.
+LIMB = float(1 << 20)
+
+
 def exact_sum(term, scale: int = 2) -> Column:
     """Sum a money term in whole units and return a double.
 
     A double ``sum`` depends on the order rows arrive in, so two runs with
     different partitioning (or two engines) disagree in the last digit. Each
-    term is rounded to ``10**-scale`` units, and the units are summed as
-    decimals: order independent, and still a partial aggregate. A term over
-    2**53 units keeps a double's 53 bits.
+    term is rounded to ``10**-scale`` units, and the units are summed as whole
+    numbers: order independent, and still a partial aggregate. A number is
+    split into two longs, whose sums Spark keeps in a hash table without making
+    an object a row; they become one decimal when the group is done. A term
+    over 2**53 units keeps a double's 53 bits; sums over 2**83 units (1e25) are an
+    error and not cut. The low parts of 1e13 rows fit a long.
     """
-    return units_value(F.sum(fixed_units(term, scale)), scale)
+    units = F.rint(col(term) * F.lit(float(10 ** scale)))
+    high = F.rint(units / F.lit(LIMB))
+    low = (units - high * F.lit(LIMB)).cast("long")
+    whole = F.sum(high.cast("long")).cast("decimal(20,0)") * F.lit(1 << 20).cast("decimal(10,0)") + F.sum(low).cast("decimal(20,0)")
+    return units_value(whole, scale)

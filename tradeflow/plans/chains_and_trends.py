@@ -309,6 +309,30 @@ BUCKETED_JOIN = """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, o_cus
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey"""
 
 
+def q_loaded_tables(spark, sf):
+    """K1-K5 a table with a declared schema, loaded, cleared and loaded again by eight tasks with its columns in another order;
+    and one created from a frame's schema, partitioned. Both are read by name and counted per order."""
+    root, tag = _folder(spark, "loads"), uuid.uuid4().hex[:12]
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    declared, framed = f"declared_{tag}", f"framed_{tag}"
+    sinks.ensure_table(spark, declared, "l_quantity double, l_partkey bigint, l_orderkey bigint, l_linenumber int", f"{root}/declared")
+    sinks.overwrite_table(li.where("l_linenumber = 1"), declared)
+    sinks.overwrite_table(li, declared, partitions=8)
+    sinks.ensure_table(spark, framed, li.schema, f"{root}/framed", partition_by=["l_linenumber"])
+    sinks.overwrite_table(li, framed)
+    out = None
+    for name, label in ((declared, "declared"), (framed, "framed")):
+        one = readers.read_named(spark, name, ["l_orderkey", "l_linenumber", "l_quantity"]).groupBy("l_orderkey").agg(
+            F.count(F.lit(1)).alias("n_lines"), F.max("l_linenumber").alias("last_line"), exact_sum("l_quantity", 2).alias("qty"))
+        one = one.select(F.lit(label).alias("loaded_as"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+LOADED_TABLES = f"""SELECT loaded_as, l_orderkey, count(*) AS n_lines, max(l_linenumber) AS last_line, {fsum('l_quantity', 2)} AS qty
+FROM lineitem, (VALUES ('declared'), ('framed')) t(loaded_as) GROUP BY 1, 2"""
+
+
 def q_published_sell_out(spark, sf):
     """K6-K9/S5 sell-out staged as NDJSON, published twice as a partitioned version and read through its name."""
     root, name = _folder(spark, "sell-out"), f"sell_out_{uuid.uuid4().hex[:12]}"
@@ -380,6 +404,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bound_query": q_bound_query,
         "json_rejects": q_json_rejects,
         "bucketed_join": q_bucketed_join,
+        "loaded_tables": q_loaded_tables,
         "published_sell_out": q_published_sell_out,
         "order_bonus_strict": q_order_bonus_strict,
         "const_join_rows": q_const_join_rows,
@@ -399,6 +424,7 @@ def oracle_sql() -> dict[str, str]:
         "bound_query": BOUND_QUERY,
         "json_rejects": JSON_REJECTS,
         "bucketed_join": BUCKETED_JOIN,
+        "loaded_tables": LOADED_TABLES,
         "published_sell_out": SELL_OUT_SLICES,
         "order_bonus_strict": ORDER_BONUS_STRICT,
         "const_join_rows": CONST_JOIN_ROWS,
