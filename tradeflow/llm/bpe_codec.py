@@ -13,7 +13,7 @@ Pieces recur, so each task keeps a bounded table of encoded pieces.
 
 Cases: null or empty text has no ids and decodes to no bytes. Whole texts are
 encoded, however long. Decoded bytes equal the UTF-8 text; a difference is an
-error. Repeated rows get equal results. Only the id and text columns are read.
+error. Repeated rows get equal results. Only the id (cast to a long) and text columns are read.
 An empty table gives an empty result.
 """
 

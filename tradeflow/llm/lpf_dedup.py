@@ -25,7 +25,7 @@ Positions are bytes of UTF-8. Matches never cross documents; a string may
 repeat inside one document, also overlapping itself.
 
 Cases: null or empty text has no bytes, and texts shorter than ``length``
-have nothing to remove. Repeated rows are copies of each other. Only the id
+have nothing to remove. Repeated rows are copies of each other. Only the id (cast to a long)
 and text columns are read. An empty table gives an empty result. Rows are
 told apart by their position, so the input must be a stored table or another
 repeatable frame.

@@ -27,7 +27,7 @@ count. The join has no hot key, as frequent words never reach it.
 
 Cases: null or empty text is the end alone. No training documents: all counts
 are zero, and both scores follow from the smoothing. Repeated rows count each
-time. A null id is never held out. Only the id and text columns are read. An
+time. A null id is never held out. Only the id (cast to a long) and text columns are read. An
 empty table gives an empty result.
 """
 

@@ -25,7 +25,7 @@ Cases: null or empty text has fingerprint zero and links like any other;
 fewer words than a shingle make one shingle of all. Equal fingerprints are
 one node, so copies are never paired. component_id is the smallest id
 reachable (nulls last; null only if all are). Repeated rows get equal
-results. Only the id and text columns are read. An empty table gives an
+results. Only the id (cast to a long) and text columns are read. An empty table gives an
 empty result. Rows are told apart by their position, so the input must be a
 stored table or another repeatable frame.
 """
