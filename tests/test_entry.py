@@ -16,8 +16,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    from tradeflow.plans import catalog
-    assert set(catalog.queries()) <= set(E.oracle_sql()) <= set(E.queries())
+    from tradeflow.plans import catalog, chains_and_trends
+    assert set(catalog.queries() | chains_and_trends.queries()) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def _norm(v):
@@ -36,8 +36,8 @@ def test_queries_match_oracle_small(spark):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     sqls = E.oracle_sql()
-    from tradeflow.plans import catalog
-    for name, fn in catalog.queries().items():
+    from tradeflow.plans import catalog, chains_and_trends
+    for name, fn in (catalog.queries() | chains_and_trends.queries()).items():
         df = fn(spark, SF)
         cols = df.columns
         got = sorted(tuple(_norm(r[c]) for c in sorted(cols)) for r in df.collect())
