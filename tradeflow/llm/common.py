@@ -14,6 +14,8 @@ from tradeflow.session import ensure_checkpoint_dir
 #: The white space of the word rule ``[^\x20\x09-\x0D]+``, as characters and as a pattern.
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+#: Spark's setting by which a query's shuffle files are removed at its end.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def text_of(col: Column | str) -> Column:
@@ -39,14 +41,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, *, free_shuffles: bool = False, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a reread, not a recompute.
+    With ``free_shuffles`` the write's own shuffle files go when it is done,
+    and not when the driver happens to collect garbage.
     """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    writer = df.write.option("compression", compression) if compression else df.write
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    if free_shuffles:
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        if free_shuffles:
+            spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def row_ids(df: DataFrame) -> Column:

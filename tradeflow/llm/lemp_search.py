@@ -294,11 +294,15 @@ def search(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_co
     found = None
     for block in range(blocks):
         own = [(r.item, r.text) for r in named.where(block_of == block).select("item", "text").collect()]
+        if not own:
+            continue
         numbers = spark.createDataFrame([(i, item) for i, (item, _) in enumerate(own)], "number int, item long")
         part = _search_block(d, [(i, text) for i, (_, text) in enumerate(own)])
         part = part.withColumnRenamed("item", "number").join(F.broadcast(numbers), "number").drop("number")
         part = saved(part, "found") if blocks > 1 else part
         found = part if found is None else found.unionByName(part)
+    if found is None:  # no items
+        found = spark.createDataFrame([], "item long, rank int, doc_id long, score long")
     return found.join(named.select("item", "item_id"), "item").select(
         "item_id", F.col("rank").cast("int").alias("rank"),
         F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "score")
