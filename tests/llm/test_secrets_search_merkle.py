@@ -219,7 +219,7 @@ def test_manifest_equals_building_the_trees(spark, tmp_path, monkeypatch, block_
     monkeypatch.setattr(merkle_ranks, "DENSE", dense)
     monkeypatch.setattr(merkle_ranks, "PACKED", 40)
     rng = random.Random(4)
-    ids = rng.sample(range(400), 90) + rng.sample(range(-2 ** 62, 2 ** 62), 25) + [70_000 + i for i in range(30)] + [None, None, 5, 5, 5, 2 ** 63 - 1, -2 ** 63]
+    ids = rng.sample(range(400), 90) + [rng.randrange(-2 ** 62, 2 ** 62) for _ in range(25)] + [70_000 + i for i in range(30)] + [None, None, 5, 5, 5, 2 ** 63 - 1, -2 ** 63]
     rows = [(i, rng.choice(["s", None]), rng.choice([None, "en", "en", "en", "", "-", "é", "z"]), rng.choice([None, 0, 9, 99]),
              rng.choice([None, "", "text é", "x" * 3000])) for i in ids]
     rows += rows[3:6] + [(1_000_000 + i, "s", "lone", 9, "t") for i in range(1)]
