@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_names():
     ours = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in ours) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in ours) == list(range(1, 14)) and "pipeline" in E.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "simhash near-dedup", "mixing sources", "byte-level bpe"]
 
 
