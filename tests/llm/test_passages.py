@@ -136,6 +136,35 @@ def test_four_pieces_quoted_earlier_do_not_hide_a_changed_passage(documents, cha
     assert found[5, 4].word_start <= 1 + 9 and found[5, 4].word_stop >= 81 - 10 and set(found) == {(5, 4)}
 
 
+@pytest.mark.parametrize("n, changed", [(45, None), (48, None), (61, 30), (64, 31)])
+def test_quotes_that_are_too_short_do_not_hide_a_passage(documents, n, changed):
+    """Every seed of the passage is first in a document that quotes under 40 words of it; copies of one text stay one class."""
+    rng = random.Random(n)
+    passage = [f"p{rng.randrange(10 ** 6)}" for _ in range(n)]
+    rows = [(i, " ".join(["own", str(i), *passage[a:a + 30], "end", str(i)])) for i, a in enumerate(range(0, n - 25, 5))]
+    last = len(rows)
+    other = list(passage)
+    if changed:
+        other[changed] = "changed"
+    lead = [f"y{rng.randrange(10 ** 6)}" for _ in range(20)]
+    tail = [f"z{rng.randrange(10 ** 6)}" for _ in range(90)]
+    rows += [(last, " ".join(["before", *passage, *tail])), (last + 1, " ".join([*lead, *other]))]
+    rows += [(last + 2, " ".join(["before", *passage, *tail]))]
+    found = {(r.doc_id, r.ref_doc_id): r for r in chain_dedup.shared_passages(documents(rows, 1)).collect()}
+    assert {(last + 1, last), (last + 2, last)} == set(found)
+    r = found[last + 1, last]
+    assert r.word_start <= 20 + 3 and r.word_stop >= 20 + n - 3 and r.similarity >= 0.8
+
+
+def test_repeats_inside_one_document_hidden_by_a_quote(documents):
+    passage = [f"w{i}" for i in range(45)]
+    rows = [(i, " ".join(["own", str(i), *passage[a:a + 30], "end", str(i)])) for i, a in enumerate((0, 5, 10, 15))]
+    rows.append((9, " ".join([*passage, "between", *passage])))
+    found = chain_dedup.shared_passages(documents(rows, 1)).collect()
+    assert [(r.doc_id, r.ref_doc_id, r.word_start, r.word_stop, r.ref_start) for r in found] == [(9, 9, 46, 91, 0)]
+    assert chain_dedup.shared_passages(documents(rows, 1), inside=False).count() == 0
+
+
 def edited(words, edits, rng):
     out = list(words)
     for _ in range(edits):

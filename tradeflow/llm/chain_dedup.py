@@ -38,6 +38,17 @@ A gram's first occurrence is a grouped minimum, combined map-side; matches of
 a frequent gram are split by the join. Reference passages are fetched once for
 each range, not for each match.
 
+A reference may not reach the similarity where another document would: earlier documents quote pieces that are too
+short, or have more words changed. Places whose seeds led to no passage with their reference are therefore matched
+again, with every other document that has a seed's reference at the same place. Two such documents are a match if they
+share a run of ``RUN`` (23) words there, which every passage of ``min_words`` at a ``similarity`` of 0.8 has. Places
+with equal words around them are one class: classes are paired by their first document, and the other documents of a class are
+matched with it. A run in more than ``HOT_RUN`` places says little: of these, all that share ``MIN_WORDS`` words are matched
+with their first, and all that have ``BESIDE`` more words in common, on the other side of up to ``SKIP`` changed ones, with
+theirs. So documents that share ``MIN_WORDS`` equal words are linked, directly or over the documents that their passages are
+linked to. A changed passage may still be missed if no run of it is in ``HOT_RUN`` places or fewer and the first of
+those places is not near enough.
+
 Equal texts also share one seed of the whole text, so that copies are found
 whatever they consist of. Where a text repeats a short cycle of words, the
 matches of a gram overlap; a few of them, spaced over the cycle, are enough.
@@ -67,10 +78,17 @@ from pyspark.sql import functions as F
 
 from tradeflow.llm.common import row_ids, saved, text_of
 
-#: Words of a shingle, of a seed; grams of a minimizer's window.
+#: Words of a shingle, of a seed; grams of a minimizer's window; words of a window, all of which share a seed.
 K = 5
 SEED = 8
 WINDOW = 16
+RUN = SEED + WINDOW - 1
+#: Words of a reference that are looked at together when its seeds led to no passage.
+TILE = 32
+#: Runs of more places than this are matched by what is beside them: a passage has MIN_WORDS equal words, or a run of RUN words
+#: and BESIDE words on the other side of up to SKIP changed ones, as its runs of under MIN_WORDS words have 48 words in all.
+HOT_RUN = 16
+BESIDE, SKIP = 9, 4
 MIN_WORDS = 40
 #: Words of the shortest long seed; a window of 3 starts in 10 words, so runs of 51 words share one.
 LONG = 40
@@ -493,30 +511,138 @@ def passages(own: np.ndarray, ref: np.ndarray, anchors: list[tuple[int, int, int
                         yield a + s, a + e, ra + s, ra + e, 1.0, 1.0
 
 
+ALIGNED = ("row_id long, ref long, a int, z int, ref_a int, ref_z int, identity double, alike double, "
+           "chain_a int, chain_z int")
+
+
 def _align(min_words: int, similarity: float):
+    """Passages of every chain; and, without an identity, its anchors that are in none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for row, ref, first, words, ref_first, ref_words, anchors in zip(*(c.to_pylist() for c in b.columns)):
+            for row, ref, first, words, ref_first, ref_words, anchors, ca, cz in zip(*(c.to_pylist() for c in b.columns)):
                 own, other = np.frombuffer(words, "<u4"), np.frombuffer(ref_words, "<u4")
                 chain = [(p["x"] - first, p["y"] - ref_first, p["n"]) for p in anchors]
-                for a, z, ra, rz, identity, alike in passages(own, other, chain, min_words, similarity):
-                    out.append((row, ref, a + first, z + first, ra + ref_first, rz + ref_first, identity, alike))
-            columns = list(zip(*out)) or [()] * 8
-            kinds = (pa.int64(), pa.int64(), *(pa.int32(),) * 4, pa.float64(), pa.float64())
+                found = list(passages(own, other, chain, min_words, similarity))
+                for a, z, ra, rz, identity, alike in found:
+                    out.append((row, ref, a + first, z + first, ra + ref_first, rz + ref_first, identity, alike, ca, cz))
+                for x, y, n in chain:
+                    if not any(a <= x and x + n <= z for a, z, *_ in found):
+                        out.append((row, ref, x + first, x + n + first, y + ref_first, y + n + ref_first, None, None, ca, cz))
+            columns = list(zip(*out)) or [()] * 10
+            kinds = (pa.int64(), pa.int64(), *(pa.int32(),) * 4, pa.float64(), pa.float64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                             names=["row_id", "ref", "a", "z", "ref_a", "ref_z", "identity", "alike"])
+                                             names=["row_id", "ref", "a", "z", "ref_a", "ref_z", "identity", "alike", "chain_a", "chain_z"])
     return run
 
 
-def shared_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                    similarity: float = SIMILARITY, inside: bool = True) -> DataFrame:
-    """One row per passage (``inside``: also those that one document repeats): doc_id, word_start, word_stop, ref_doc_id, ref_start, ref_stop, identity, similarity."""
-    d = docs.select(row_ids(docs).alias("row_id"), F.col(id_col).cast("long").alias("id"),
-                    text_of(text_col).alias("text"))
-    found = saved(d.select("row_id", "text").mapInArrow(_seeds, "row_id long, place int, gram long, span int, new boolean"), "seeds",
-                  compression="zstd")
-    dealt = matches(found, inside).repartition("row_id").sortWithinPartitions("row_id", "ref", "place")
+def _hash_runs(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of ``n`` words."""
+    out = np.zeros(max(len(words) - n + 1, 0), np.uint64)
+    for i in range(n):
+        out = (out ^ words[i:i + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, row_id, a, size, at, words, loose): the runs of ``RUN`` words that a run of up to ``MIN_WORDS`` words may have,
+    which shares ``SEED`` words with the ``size`` words from place ``at`` of a slice; that is place ``a`` of the row."""
+    more = MIN_WORDS - SEED
+    for b in batches:
+        out = []
+        for part, row, a, size, at, words, free in zip(*(c.to_pylist() for c in b.columns)):
+            low = max(0, at - more)
+            key = _hash_runs(np.frombuffer(words, "<u4")[low:at + size + more].astype(np.uint64), RUN)
+            n = len(key)
+            out.append((key.view(np.int64), np.full(n, row), np.arange(n, dtype=np.int32) + np.int32(a - at + low), np.full(n, free, bool),
+                        np.full(n, part)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["run", "row_id", "place", "loose", "part"])
+
+
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row_id, shift, words, found: [place, loose]) of frequent runs: keys that documents with a passage share. A run of
+    ``MIN_WORDS`` words; or a run with ``BESIDE`` words next to it, on either side of up to ``SKIP`` words."""
+    for b in batches:
+        out = []
+        for row, shift, words, found in zip(*(c.to_pylist() for c in b.columns)):
+            own = np.frombuffer(words, "<u4").astype(np.uint64)
+            at = np.array([f["place"] for f in found], np.int64)
+            free = np.array([f["loose"] for f in found], bool)
+            in_slice = at - shift
+
+            def add(key, there):
+                out.append((key.view(np.int64), np.full(len(key), row), at[there].astype(np.int32), free[there]))
+            run, whole, near = _hash_runs(own, RUN), _hash_runs(own, MIN_WORDS), _hash_runs(own, BESIDE)
+            there = in_slice < len(whole)
+            add(whole[in_slice[there]], there)
+            for skip in range(SKIP + 1):
+                for side, start in ((1, in_slice + RUN + skip), (2, in_slice - skip - BESIDE)):
+                    there = (start >= 0) & (start < len(near))
+                    key = (run[in_slice[there]] * np.uint64(0xD6E8FEB86659FD93 + 2 * side)) ^ near[start[there]]
+                    add(key * np.uint64(0x9E3779B97F4A7C15), there)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["key", "row_id", "place", "loose"])
+
+
+def _met(rows: DataFrame, inside: bool) -> DataFrame:
+    """Matches of every two places of a run, one of them loose. A pair of two loose places is met from the later one."""
+    p, q = rows.where("loose").alias("p"), rows.alias("q")
+    later = F.struct("p.row_id", "p.place") > F.struct("q.row_id", "q.place")
+    other = (F.col("p.row_id") != F.col("q.row_id")) | F.lit(inside) & (F.col("p.place") != F.col("q.place"))
+    met = p.join(q, "run").where((later | ~F.col("q.loose")) & other)
+    x, y = (F.struct(F.col(f"{s}.row_id").alias("row_id"), F.col(f"{s}.place").alias("place")) for s in "pq")
+    return met.select(F.greatest(x, y).alias("x"), F.least(x, y).alias("y")).select(
+        F.col("x.row_id").alias("row_id"), F.col("y.row_id").alias("ref"), F.col("x.place").alias("place"),
+        F.col("y.place").alias("ref_place"), F.lit(RUN).alias("span"))
+
+
+def loose_matches(aligned: DataFrame, slices: DataFrame, inside: bool = False) -> DataFrame:
+    """aligned: passages and loose anchors of chains. Matches of places whose anchors are in no passage with other places that
+    have the same reference, as :func:`matches` gives them."""
+    last = F.greatest(F.col("ref_z") - 1, F.col("ref_a"))
+    tile = F.explode(F.sequence((F.col("ref_a") / TILE).cast("int"), (last / TILE).cast("int"))).alias("tile")
+    tiles = aligned.select("row_id", "a", "z", "chain_a", "chain_z", F.isnull("identity").alias("loose"), "ref", tile)
+    live = tiles.groupBy("ref", "tile").agg(F.max("loose").alias("loose"), F.count(F.lit(1)).alias("n")).where("loose AND n > 1")
+    live = saved(live.select("ref", "tile"), "tiles", free_shuffles=True)
+    places = ["row_id", "a", "z", "chain_a", "chain_z"]
+    there = tiles.join(live, ["ref", "tile"], "left_semi").groupBy(*places).agg(F.max("loose").alias("loose"))
+    own = slices.toDF("row_id", "chain_a", "chain_z", "first", "words")
+    # Equal slices are one class; their words are in equal places of it.
+    of = ["slice", "at", "size"]
+    there = saved(there.join(own, ["row_id", "chain_a", "chain_z"]).select(
+        F.xxhash64("words").alias("slice"), (F.col("a") - F.col("first")).alias("at"), (F.col("z") - F.col("a")).alias("size"),
+        "row_id", "a", "loose", "words"), "loose", free_shuffles=True)
+    classes = saved(there.groupBy(*of).agg(F.min(F.struct("row_id", "a")).alias("head"), F.max("loose").alias("loose"),
+                                           F.first("words").alias("words")), "classes", free_shuffles=True)
+    heads = classes.where("loose").select(*of, F.col("head.row_id").alias("ref"), F.col("head.a").alias("ref_place"))
+    other = (F.col("row_id") != F.col("ref")) | (F.lit(inside) & (F.col("a") != F.col("ref_place")))
+    members = there.drop("loose", "words").join(heads, of).where(other).select(
+        "row_id", "ref", F.col("a").alias("place"), "ref_place", F.col("size").alias("span"))
+    parts = classes.select(row_ids(classes).alias("part"), "head.row_id", "head.a", "size", "at", "words", "loose")
+    runs = saved(parts.mapInArrow(_runs, "run long, row_id long, place int, loose boolean, part long").groupBy(
+        "run", "row_id", "place").agg(F.max("loose").alias("loose"), F.min("part").alias("part")), "runs", free_shuffles=True)
+    often = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.max("loose").alias("_any")).where("_any AND n > 1").select("run", "n")
+    runs = saved(runs.join(often, "run"), "often", free_shuffles=True)
+    # Of a frequent run, only places are matched that share more than the run.
+    hot = runs.where(F.col("n") > HOT_RUN).groupBy("part").agg(F.collect_list(F.struct("place", "loose")).alias("found"))
+    keys = saved(parts.select("part", "row_id", (F.col("a") - F.col("at")).alias("shift"), "words").join(hot, "part").select(
+        "row_id", "shift", "words", "found").mapInArrow(_beside, "key long, row_id long, place int, loose boolean"), "beside",
+        free_shuffles=True)
+    # Pairs would be the square of a template's documents: all are matched with the first.
+    first = keys.groupBy("key").agg(F.max("loose").alias("_any"), F.min(F.struct("row_id", "place")).alias("first"),
+                                    F.count(F.lit(1)).alias("_n")).where("_any AND _n > 1").select("key", "first")
+    first = saved(first, "first", free_shuffles=True)
+    other = (F.col("row_id") != F.col("first.row_id")) | (F.lit(inside) & (F.col("place") != F.col("first.place")))
+    warm = keys.join(first, "key").where(other).select(
+        "row_id", F.col("first.row_id").alias("ref"), "place", F.col("first.place").alias("ref_place"), F.lit(RUN).alias("span"))
+    return members.union(_met(runs.where(F.col("n") <= HOT_RUN), inside)).union(warm).distinct()
+
+
+def _aligned(d: DataFrame, found: DataFrame, min_words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Passages and loose anchors of the chains of matches, and the chains' words. d: (row_id, id, text)."""
+    dealt = found.repartition("row_id").sortWithinPartitions("row_id", "ref", "place")
     linked = saved(dealt.mapInArrow(_chains(min_words), CHAIN), "chains", free_shuffles=True)
     ranges = linked.select("row_id", "a", "z").union(
         linked.select("ref", "ref_a", "ref_z").distinct().toDF("row_id", "a", "z"))
@@ -529,9 +655,27 @@ def shared_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         _slices, "row_id long, a int, z int, first int, words binary"), "slices", free_shuffles=True)
     refs = slices.toDF("ref", "ref_a", "ref_z", "ref_first", "ref_words")
     pairs = linked.join(slices, ["row_id", "a", "z"]).join(refs, ["ref", "ref_a", "ref_z"]).select(
-        "row_id", "ref", "first", "words", "ref_first", "ref_words", "anchors")
-    kept = pairs.mapInArrow(_align(min_words, similarity),
-                            "row_id long, ref long, a int, z int, ref_a int, ref_z int, identity double, alike double")
+        "row_id", "ref", "first", "words", "ref_first", "ref_words", "anchors", "a", "z")
+    return saved(pairs.mapInArrow(_align(min_words, similarity), ALIGNED), "aligned", free_shuffles=True), slices
+
+
+def shared_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                    similarity: float = SIMILARITY, inside: bool = True) -> DataFrame:
+    """One row per passage (``inside``: also those that one document repeats): doc_id, word_start, word_stop, ref_doc_id, ref_start, ref_stop, identity, similarity."""
+    d = docs.select(row_ids(docs).alias("row_id"), F.col(id_col).cast("long").alias("id"),
+                    text_of(text_col).alias("text"))
+    found = saved(d.select("row_id", "text").mapInArrow(_seeds, "row_id long, place int, gram long, span int, new boolean"), "seeds",
+                  compression="zstd")
+    aligned, slices = _aligned(d, matches(found, inside), min_words, similarity)
+    kept = aligned.where("identity IS NOT NULL").drop("chain_a", "chain_z")
+    again = saved(loose_matches(aligned, slices, inside), "again", free_shuffles=True)
+    if not again.isEmpty():
+        more = _aligned(d, again, min_words, similarity)[0].where("identity IS NOT NULL").drop("chain_a", "chain_z")
+        known = kept.select("row_id", "ref", *[F.col(c).alias("_" + c) for c in ("a", "z", "ref_a", "ref_z")])
+        within = (F.col("a") >= F.col("_a")) & (F.col("z") <= F.col("_z")) & (F.col("ref_a") >= F.col("_ref_a")) & (
+            F.col("ref_z") <= F.col("_ref_z"))
+        held = [more["row_id"] == known["row_id"], more["ref"] == known["ref"], within]
+        kept = kept.union(more.join(known, held, "left_anti"))
     ids = d.select("row_id", "id")
     return (kept.join(ids.select("row_id", F.col("id").alias("doc_id")), "row_id")
             .join(ids.select(F.col("row_id").alias("ref"), F.col("id").alias("ref_doc_id")), "ref")
