@@ -88,6 +88,18 @@ def test_lattice_equals_grouping_the_facts_and_reads_them_once(spark):
         L.Lattice(facts, dims, [("d_day", "d_month")], {"v": 2})
 
 
+def test_lattice_does_not_group_the_facts_by_a_level_nobody_asked_for(spark):
+    """Only levels that are asked for are shuffled; groups of a base that is asked for are made once."""
+    facts = spark.createDataFrame(FACTS + FACTS, "stage string, d date, store int, sku int, v double")
+    dims = [L.plain("stage"), L.calendar("d", F.col("d")), L.plain("store"), L.plain("sku")]
+    made = L.Lattice(facts, dims, [("stage", "d_month", "store"), ("d_year", "sku"), ()], {"v": 2})
+    assert made.made[made.base][1] == facts.count() and set(made.made[made.base][0].columns) == {"stage", "d_month", "store", "sku", "v"}
+    assert made.level(()).select("n_facts").first()[0] == facts.count()
+    whole = L.Lattice(facts, dims, [("stage", "d_day", "store", "sku"), ("d_year",)], {"v": 2})
+    assert whole.made[whole.base][1] == facts.select("stage", "d", "store", "sku").distinct().count()
+    assert L.Lattice(facts.where("false"), dims, [()], {"v": 2}).all_levels().select("n_facts").collect()[0][0] == 0
+
+
 def test_calendar_change_shows_gaps_and_month_ends(spark):
     rows = [("k", D(2024, 1, 31), 1.0), ("k", D(2024, 1, 1), 2.0), ("k", D(2024, 3, 31), 5.0), ("k", D(2024, 4, 30), 4.0), ("k", None, 9.0),
             (None, D(2024, 2, 29), 7.0)]

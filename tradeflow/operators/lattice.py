@@ -1,12 +1,14 @@
-"""Roll-ups over a lattice of levels: the finest level is aggregated from the
-facts once, every coarser level from its smallest finished parent.
+"""Roll-ups over a lattice of levels: every level is aggregated from its
+smallest finished parent, the finest from the facts.
 
 A dimension is a chain of columns from fine to coarse (``day``, ``month``,
 ``year``), of which a level shows one or none. Measures are kept as states
 that merge: sums in whole units, counts, least and greatest values. A level's
 states are written to the shared folder with their number of rows, so the next
-level reads the smallest table that still tells its groups apart, and the
-facts are shuffled once, however many levels there are.
+level reads the smallest table that still tells its groups apart. If the
+finest level is not asked for, the facts themselves, written once with the
+columns that are needed, stand for it: it may have as many groups as facts, and
+to group them would shuffle all of them to no end.
 """
 
 from __future__ import annotations
@@ -74,14 +76,17 @@ class Lattice:
                 rows = rows.withColumn(c, e)
                 if c in base:
                     break
-        states = [F.sum(fixed_units(m, s)).alias(f"{m}_units") for m, s in self.sums.items()]
-        states += [F.min(m).alias(f"{m}_min") for m in self.sums] + [F.max(m).alias(f"{m}_max") for m in self.sums]
-        self.base = base
-        self._keep(base, rows.groupBy(*base).agg(F.count(F.lit(1)).alias("n_facts"), *states))
+        self.base, self.raw = base, base not in self.levels
+        self._keep(base, rows.select(*dict.fromkeys([*base, *self.sums])) if self.raw else rows.groupBy(*base).agg(*self._states()))
         for level in sorted(set(self.levels), key=lambda lv: sum(d.depth(_of(d, lv)) for d in self.dims)):
             if level != base:
                 self._keep(level, self._from_parent(level))
 
+    def _states(self) -> list[Column]:
+        """States of groups of facts."""
+        states = [F.count(F.lit(1)).alias("n_facts")] + [F.sum(fixed_units(m, s)).alias(f"{m}_units") for m, s in self.sums.items()]
+        return states + [F.min(m).alias(f"{m}_min") for m in self.sums] + [F.max(m).alias(f"{m}_max") for m in self.sums]
+
     def _keep(self, level: tuple, states: DataFrame) -> None:
         kept = written(states, "lattice")
         self.made[level] = (kept, kept.count())  # from the files' footers
@@ -101,8 +106,8 @@ class Lattice:
                     rows = rows.withColumn(c, d.steps[c])
         merge = [F.sum("n_facts").alias("n_facts")] + [F.sum(f"{m}_units").alias(f"{m}_units") for m in self.sums]
         merge += [F.min(f"{m}_min").alias(f"{m}_min") for m in self.sums] + [F.max(f"{m}_max").alias(f"{m}_max") for m in self.sums]
-        states = rows.groupBy(*level).agg(*merge)
-        return states if level else states.where("n_facts IS NOT NULL")  # no facts: no total, as GROUP BY has it
+        states = rows.groupBy(*level).agg(*(self._states() if self.raw and parent == self.base else merge))
+        return states if level else states.where("n_facts > 0")  # no facts: no total, as GROUP BY has it
 
     def level(self, level: Sequence[str]) -> DataFrame:
         """One level: its columns (null where rolled up), measures, and its name."""
