@@ -106,3 +106,48 @@ def test_history_scope(spark):
     assert per_key["SO1/PO1/P1/R1"].szFInvoiceId == "INV1" and float(per_key["SO1/PO1/P1/R1"].decQtyInvoice) == 2
     hist = {(r.hist_old, r.hist_new) for r in history_rows(_db(spark).do_history, "per_key").collect()}
     assert hist == {("DO2", "DO7"), ("DO1", "DO6")}
+
+
+def test_an_inquiry_given_twice_shows_its_lines_once(spark):
+    src = _db(spark)
+    once = _rows(spark)
+    src.sales_inquiry = src.sales_inquiry.unionByName(src.sales_inquiry)
+    twice = po_tracking_gt(src, **BOUNDS).collect()
+    assert len(twice) == len(once) and set(twice) == set(once.values())
+
+
+def test_distinct_shuffles_nothing_after_the_last_join(spark):
+    """Where no side is broadcast, rows meet for DISTINCT where the join of lines and documents dealt them."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = po_tracking_gt(_db(spark), **BOUNDS)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    top = plan[:plan.index("SortMergeJoin")]
+    assert "HashAggregate" in top or "SortAggregate" in top
+    assert "Exchange" not in top, top
+
+
+def test_lines_of_other_documents_are_filtered_before_they_are_shuffled(spark, tmp_path, monkeypatch):
+    from tradeflow.plans import tracking_gt
+
+    spark.range(1000).selectExpr("string(id) szFSoId").write.parquet(str(tmp_path / "lines"))
+    spark.range(5).selectExpr("string(id) id").union(spark.sql("SELECT string(null)")).write.parquet(str(tmp_path / "ids"))
+    lines, ids = spark.read.parquet(str(tmp_path / "lines")), spark.read.parquet(str(tmp_path / "ids"))
+    size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    monkeypatch.setitem(tracking_gt.RUNTIME_FILTER, size, "1")
+    plans, write = [], tracking_gt.written
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+    monkeypatch.setattr(tracking_gt, "written", noted)
+    before, own = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get(size)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut = tracking_gt._cut(lines, "szFSoId", ids, "id", "lines")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(r.szFSoId for r in cut.collect()) == ["0", "1", "2", "3", "4"]
+    assert "might_contain" in plans[0] and spark.conf.get(size) == own
