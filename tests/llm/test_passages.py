@@ -2,12 +2,14 @@
 
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from odd_rows import ODD
 
 from tradeflow.llm import chain_dedup, lpf_dedup, queries
+from tradeflow.session import ensure_checkpoint_dir
 
 
 def brute_marks(texts, length, first_stays):
@@ -326,3 +328,17 @@ def test_the_query_reports_repeats_inside_a_document(spark, tmp_path):
     found = queries.op2_chain_dedup(spark, str(tmp_path)).collect()
     assert sorted((r.doc_id, r.ref_doc_id, r.word_start, r.word_stop, r.ref_start, r.ref_stop) for r in found) == [
         (1, 1, 61, 121, 0, 60), (2, 2, 61, 121, 0, 60), (4, 4, 3, 600, 0, 597)]
+
+
+def test_tables_of_finished_steps_are_removed(spark, documents):
+    """Seeds, slices and runs are the greatest; of all that is written only what the result reads stays, and small tables."""
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "llm"
+    rng = random.Random(5)
+    passage = [f"p{rng.randrange(10 ** 6)}" for _ in range(45)]
+    rows = [(i, " ".join(["own", str(i), *passage[a:a + 30], "end", str(i)])) for i, a in enumerate(range(0, 20, 5))]
+    rows += [(8, " ".join(["before", *passage])), (9, " ".join(["other", *passage]))]
+    old = set(folder.iterdir()) if folder.exists() else set()
+    found = chain_dedup.shared_passages(documents(rows, 1))
+    left = {p.name.rpartition("-")[0] for p in set(folder.iterdir()) - old if any(p.iterdir())}
+    assert "aligned" in left and left <= {"aligned", "heads", "again"}
+    assert [(r.doc_id, r.ref_doc_id) for r in found.collect()] == [(9, 8)]

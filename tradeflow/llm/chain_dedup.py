@@ -76,7 +76,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import row_ids, saved, text_of
+from tradeflow.llm.common import dropped, row_ids, saved, text_of
 
 #: Words of a shingle, of a seed; grams of a minimizer's window; words of a window, all of which share a seed.
 K = 5
@@ -600,7 +600,7 @@ def _met(rows: DataFrame, inside: bool) -> DataFrame:
 
 def loose_matches(aligned: DataFrame, slices: DataFrame, inside: bool = False) -> DataFrame:
     """aligned: passages and loose anchors of chains. Matches of places whose anchors are in no passage with other places that
-    have the same reference, as :func:`matches` gives them."""
+    have the same reference, as :func:`matches` gives them, saved. The slices are dropped."""
     last = F.greatest(F.col("ref_z") - 1, F.col("ref_a"))
     tile = F.explode(F.sequence((F.col("ref_a") / TILE).cast("int"), (last / TILE).cast("int"))).alias("tile")
     tiles = aligned.select("row_id", "a", "z", "chain_a", "chain_z", F.isnull("identity").alias("loose"), "ref", tile)
@@ -614,6 +614,7 @@ def loose_matches(aligned: DataFrame, slices: DataFrame, inside: bool = False) -
     there = saved(there.join(own, ["row_id", "chain_a", "chain_z"]).select(
         F.xxhash64("words").alias("slice"), (F.col("a") - F.col("first")).alias("at"), (F.col("z") - F.col("a")).alias("size"),
         "row_id", "a", "loose", "words"), "loose", free_shuffles=True)
+    dropped(live, slices)
     classes = saved(there.groupBy(*of).agg(F.min(F.struct("row_id", "a")).alias("head"), F.max("loose").alias("loose"),
                                            F.first("words").alias("words")), "classes", free_shuffles=True)
     heads = classes.where("loose").select(*of, F.col("head.row_id").alias("ref"), F.col("head.a").alias("ref_place"))
@@ -624,7 +625,8 @@ def loose_matches(aligned: DataFrame, slices: DataFrame, inside: bool = False) -
     runs = saved(parts.mapInArrow(_runs, "run long, row_id long, place int, loose boolean, part long").groupBy(
         "run", "row_id", "place").agg(F.max("loose").alias("loose"), F.min("part").alias("part")), "runs", free_shuffles=True)
     often = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.max("loose").alias("_any")).where("_any AND n > 1").select("run", "n")
-    runs = saved(runs.join(often, "run"), "often", free_shuffles=True)
+    every, runs = runs, saved(runs.join(often, "run"), "often", free_shuffles=True)
+    dropped(every)
     # Of a frequent run, only places are matched that share more than the run.
     hot = runs.where(F.col("n") > HOT_RUN).groupBy("part").agg(F.collect_list(F.struct("place", "loose")).alias("found"))
     keys = saved(parts.select("part", "row_id", (F.col("a") - F.col("at")).alias("shift"), "words").join(hot, "part").select(
@@ -637,7 +639,10 @@ def loose_matches(aligned: DataFrame, slices: DataFrame, inside: bool = False) -
     other = (F.col("row_id") != F.col("first.row_id")) | (F.lit(inside) & (F.col("place") != F.col("first.place")))
     warm = keys.join(first, "key").where(other).select(
         "row_id", F.col("first.row_id").alias("ref"), "place", F.col("first.place").alias("ref_place"), F.lit(RUN).alias("span"))
-    return members.union(_met(runs.where(F.col("n") <= HOT_RUN), inside)).union(warm).distinct()
+    met = _met(runs.where(F.col("n") <= HOT_RUN), inside)
+    found = saved(members.union(met).union(warm).distinct(), "again", free_shuffles=True)
+    dropped(there, classes, runs, keys, first)
+    return found
 
 
 def _aligned(d: DataFrame, found: DataFrame, min_words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -656,7 +661,9 @@ def _aligned(d: DataFrame, found: DataFrame, min_words: int, similarity: float)
     refs = slices.toDF("ref", "ref_a", "ref_z", "ref_first", "ref_words")
     pairs = linked.join(slices, ["row_id", "a", "z"]).join(refs, ["ref", "ref_a", "ref_z"]).select(
         "row_id", "ref", "first", "words", "ref_first", "ref_words", "anchors", "a", "z")
-    return saved(pairs.mapInArrow(_align(min_words, similarity), ALIGNED), "aligned", free_shuffles=True), slices
+    aligned = saved(pairs.mapInArrow(_align(min_words, similarity), ALIGNED), "aligned", free_shuffles=True)
+    dropped(linked, once)
+    return aligned, slices
 
 
 def shared_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -667,10 +674,13 @@ def shared_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     found = saved(d.select("row_id", "text").mapInArrow(_seeds, "row_id long, place int, gram long, span int, new boolean"), "seeds",
                   compression="zstd")
     aligned, slices = _aligned(d, matches(found, inside), min_words, similarity)
+    dropped(found)
     kept = aligned.where("identity IS NOT NULL").drop("chain_a", "chain_z")
-    again = saved(loose_matches(aligned, slices, inside), "again", free_shuffles=True)
+    again = loose_matches(aligned, slices, inside)
     if not again.isEmpty():
-        more = _aligned(d, again, min_words, similarity)[0].where("identity IS NOT NULL").drop("chain_a", "chain_z")
+        more, slices = _aligned(d, again, min_words, similarity)
+        dropped(slices)
+        more = more.where("identity IS NOT NULL").drop("chain_a", "chain_z")
         known = kept.select("row_id", "ref", *[F.col(c).alias("_" + c) for c in ("a", "z", "ref_a", "ref_z")])
         within = (F.col("a") >= F.col("_a")) & (F.col("z") <= F.col("_z")) & (F.col("ref_a") >= F.col("_ref_a")) & (
             F.col("ref_z") <= F.col("_ref_z"))

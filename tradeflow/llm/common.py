@@ -58,7 +58,16 @@ def saved(df: DataFrame, name: str, *, free_shuffles: bool = False, compression:
     finally:
         if free_shuffles:
             spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove the files of :func:`saved` tables once no later step reads them, not even to recompute."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.saved_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_ids(df: DataFrame) -> Column:
