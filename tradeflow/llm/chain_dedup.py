@@ -69,6 +69,7 @@ input must be a stored table or another repeatable frame.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +100,8 @@ SIMILARITY = 0.8
 SEED_WORTH, GAP_COST = 8.0, 0.05
 #: Words around a chain that alignment may extend it by: from one seed of a passage of 65 words to both its ends.
 MARGIN = 64
+#: Words of texts whose seeds are found together, and rows that are packed together, about.
+JOINED_WORDS, PACKED = 60_000, 500_000
 #: Ranges of a document that are fetched together, about.
 RANGES = 500
 #: Edits in one end of a passage, at most; and the cost of each, in words.
@@ -137,77 +140,250 @@ def _minimizers(grams: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero(_sliding(least, window, np.maximum) == grams)
 
 
-def seeds(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, gram hashes) of the minimizers of a text's grams."""
-    at = _minimizers(grams, WINDOW)
-    return at, grams[at]
+def _mixed(a: np.ndarray, b: np.ndarray, skip: int, factor: int, shift: int) -> np.ndarray:
+    """Hashes of each of ``a`` with the one of ``b`` that is ``skip`` places on; zero where there is none."""
+    out = np.zeros(len(a), np.uint64)
+    n = max(len(a) - skip, 0)
+    mixed = (a[:n] * np.uint64(0x9E3779B97F4A7C15)) ^ b[skip:]
+    mixed *= np.uint64(factor)
+    out[:n] = mixed ^ (mixed >> np.uint64(shift))
+    return out
 
 
-def pair_seeds(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of pairs of minimizers of ``PAIR_WINDOW`` grams: each with the next that starts ``LONG`` words or
-    more after it, if that is within ``LONG + PAIR_WINDOW``. The words between do not count."""
-    at = _minimizers(grams, PAIR_WINDOW)
+class _Joined:
+    """Texts' words end to end, and the grams that begin at each word; a gram that its text is too short for is not used."""
+
+    def __init__(self, words: list[np.ndarray]):
+        self.size = np.array([len(w) for w in words], np.int64)
+        self.text = np.arange(len(words))
+        self._lay()
+        joined = np.concatenate(words)
+        self.grams = np.zeros(len(joined), np.uint64)
+        n = max(len(joined) - SEED + 1, 0)
+        self.grams[:n] = _grams(joined)
+
+    def _lay(self) -> None:
+        self.start = np.concatenate([[0], self.size.cumsum()])[:-1]
+        self.of = np.repeat(np.arange(len(self.size)), self.size)
+        self.place = np.arange(len(self.of)) - self.start[self.of]
+        self.left = self.size[self.of] - self.place
+
+    def keep(self, size: int) -> None:
+        """Only texts of ``size`` words or more, once they have less than half of all words."""
+        long = self.size >= size
+        if 2 * self.size[long].sum() < len(self.of):
+            self.grams = self.grams[long[self.of]]
+            self.size, self.text = self.size[long], self.text[long]
+            self._lay()
+
+    def minimizers(self, span: int, window: int) -> np.ndarray:
+        """Places of all texts' :func:`_minimizers` of grams of ``span`` words."""
+        inner = np.zeros(0, np.int64)
+        if len(self.grams) > window:
+            least = _sliding(self.grams, window, np.minimum)
+            least[self.left[:len(least)] < span + window - 1] = 0  # a window of two texts
+            none = np.zeros(window - 1, np.uint64)
+            most = _sliding(np.concatenate([none, least, none]), window, np.maximum)
+            inner = np.flatnonzero((most == self.grams) & (self.left >= span) & (self.size[self.of] >= span + window))
+        few = np.flatnonzero((self.size >= span) & (self.size < span + window))  # texts of one window or less
+        first = [a + int(self.grams[a:a + n].argmin()) for a, n in zip(self.start[few].tolist(), (self.size[few] - span + 1).tolist())]
+        return np.sort(np.concatenate([inner, np.array(first, np.int64)])) if first else inner
+
+
+def _all_seeds(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, gram, words of the gram) of all seeds of several texts: minimizers; pairs of minimizers of
+    ``PAIR_WINDOW`` grams, each with the next that starts ``LONG`` words or more after it, if that is within ``LONG +
+    PAIR_WINDOW`` (the words between do not count); minimizers among grams of LONG, 2 LONG, 4 LONG... words; whole texts."""
+    j, found = _Joined(words), []
+
+    def add(at: np.ndarray, grams: np.ndarray, span: int) -> None:
+        found.append((j.text[j.of[at]], j.place[at], grams, np.full(len(at), span)))
+    at = j.minimizers(SEED, WINDOW)
+    add(at, j.grams[at], SEED)
+    at = j.minimizers(SEED, PAIR_WINDOW)
     to = np.searchsorted(at, at + LONG)
     there = to < len(at)
-    there[there] = at[to[there]] - at[there] <= LONG + PAIR_WINDOW
-    pair = (grams[at[there]] * np.uint64(0x9E3779B97F4A7C15)) ^ grams[at[to[there]]]
+    there[there] = (at[to[there]] - at[there] <= LONG + PAIR_WINDOW) & (j.of[at[to[there]]] == j.of[at[there]])
+    pair = (j.grams[at[there]] * np.uint64(0x9E3779B97F4A7C15)) ^ j.grams[at[to[there]]]
     pair *= np.uint64(0xD6E8FEB86659FD93)
-    return at[there], pair ^ (pair >> np.uint64(32))
+    add(at[there], pair ^ (pair >> np.uint64(32)), SEED)
+    first, size = j.grams, SEED
+    while size < LONG:
+        j.grams, size = _mixed(j.grams, first, size, 0xC2B2AE3D27D4EB4F, 31), size + SEED
+    while len(j.size) and j.size.max() >= size:
+        at = j.minimizers(size, size * 3 // 10 if size == LONG else size // 2)
+        add(at, j.grams[at], size)
+        j.grams, size = _mixed(j.grams, j.grams, size, 0xC2B2AE3D27D4EB4F, 31), size * 2
+        j.keep(size)
+    # One more seed, of the whole text; its place tells the length.
+    whole = [(i, -len(w), xxhash.xxh64_intdigest(w.tobytes(), 1), len(w)) for i, w in enumerate(words) if len(w) >= SEED]
+    found.append(tuple(np.array(c, np.uint64 if k == 2 else np.int64) for k, c in enumerate(zip(*whole or [()] * 4))) if whole
+                 else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def long_seeds(grams: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(words of a gram, places, gram hashes) of the minimizers among grams of LONG, 2 LONG, 4 LONG... words."""
-    def joined(a: np.ndarray, b: np.ndarray, skip: int) -> np.ndarray:
-        b = b[skip:]
-        out = (a[:len(b)] * np.uint64(0x9E3779B97F4A7C15)) ^ b
-        out *= np.uint64(0xC2B2AE3D27D4EB4F)
-        return out ^ (out >> np.uint64(31))
-    first, size = grams, SEED
-    while size < LONG:
-        grams, size = joined(grams, first, size), size + SEED
-    while len(grams):
-        at = _minimizers(grams, size * 3 // 10 if size == LONG else size // 2)
-        yield size, at, grams[at]
-        grams, size = joined(grams, grams, size), size * 2
+def _bucketed(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row for each bucket: its number and, packed into a binary cell, its values of each column. Rows come by bucket."""
+    start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+    cells = [pa.array(bucket[start].astype(np.int32))]
+    for values in columns.values():
+        values = np.ascontiguousarray(values)
+        ends = (np.append(start, len(values)) * values.itemsize).astype(np.int32)
+        cells.append(pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(values)]))
+    return pa.RecordBatch.from_arrays(cells, names=["bucket", *columns])
+
+
+def _values(cell: pa.BinaryScalar, kind: str) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer() or b"", kind)
+
+
+def _by_gram(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each gram: as many equal ranges of the unsigned hash."""
+    return ((grams.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+
+
+def _dealt(buckets: int, key: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Values packed by the hash of a number that goes with them."""
+    bucket = _by_gram(key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15), buckets)
+    order = np.argsort(bucket, kind="stable")
+    return _bucketed(bucket[order], {name: c[order] for name, c in columns.items()})
+
+
+SEEDS = "bucket int, row_id binary, place binary, gram binary, span binary"
 
 
-def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _seeds(buckets: int):
+    """Seeds packed by ranges of their grams: of each batch and range a row, ordered by gram, row and place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(found):
+            row, place, gram, span = (np.concatenate(c) for c in zip(*found))
+            order = np.argsort(gram, kind="stable")  # seeds of a kind come by row and place
+            gram = gram[order]
+            return _bucketed(_by_gram(gram, buckets), {"row_id": row[order], "place": place[order].astype(np.int32),
+                                                       "gram": gram, "span": span[order].astype(np.int32)})
+        for b in batches:
+            rows, words, held, found, seeds = [], [], 0, [], 0
+            for i, (row, cell) in enumerate(zip(b.column(0).to_pylist(), b.column(1))):
+                rows.append(row)
+                words.append(word_hashes(cell.as_py()))
+                held += len(words[-1])
+                if held > JOINED_WORDS or i + 1 == b.num_rows:
+                    text, *rest = _all_seeds(words)
+                    found.append((np.array(rows, np.int64)[text], *rest))
+                    seeds += len(text)
+                    rows, words, held = [], [], 0
+                if seeds > PACKED or i + 1 == b.num_rows:
+                    yield packed(found)
+                    found, seeds = [], 0
+    return run
+
+
+HEADS = "bucket int, gram binary, ref binary, ref_place binary, n binary"
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where a new combination of keys begins, of rows ordered by them."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = False
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each packed row, every gram once: its first row and place there, and how often it occurs."""
     for b in batches:
-        rows, places, grams, spans, firsts, held = [], [], [], [], [], 0
-        for i, (row, cell) in enumerate(zip(b.column(0).to_pylist(), b.column(1))):
-            words = word_hashes(cell.as_py())
-            own = _grams(words)
-            found = [(SEED, *seeds(own)), (SEED, *pair_seeds(own)), *long_seeds(own)]
-            if len(words) >= SEED:  # one more seed, of the whole text; its place tells the length
-                found.append((len(words), np.array([-len(words)]), np.array([xxhash.xxh64_intdigest(words.tobytes(), 1)], np.uint64)))
-            at, g = np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
-            span = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
-            new = np.zeros(len(g), bool)  # the gram's first place in the text: places of a kind of seed ascend
-            new[np.unique(g, return_index=True)[1]] = True
-            rows.append(np.full(len(at), row, np.int64))
-            firsts.append(new)
-            places.append(at)
-            grams.append(g)
-            spans.append(span)
-            held += len(at)
-            if held > 200_000 or i + 1 == b.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(rows)), pa.array(np.concatenate(places).astype(np.int32)),
-                     pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(spans).astype(np.int32)),
-                     pa.array(np.concatenate(firsts))], names=["row_id", "place", "gram", "span", "new"])
-                rows, places, grams, spans, firsts, held = [], [], [], [], [], 0
+        for bucket, *cells in zip(b.column(0).to_pylist(), *b.columns[1:]):
+            row, place, gram = (_values(c, k) for c, k in zip(cells, ("<i8", "<i4", "<u8")))
+            at = _starts(gram)
+            yield _bucketed(np.full(len(at), bucket), {"gram": gram[at], "ref": row[at], "ref_place": place[at],
+                                                       "n": np.diff(np.append(at, len(gram)))})
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Rows come by bucket: the values of each bucket."""
+    last, held = None, []
+    for b in batches:
+        for bucket, *cells in zip(b.column(0).to_pylist(), *b.columns[1:]):
+            if bucket != last and held:
+                yield last, [np.concatenate(c) for c in zip(*held)]
+                held = []
+            last = bucket
+            held.append([_values(c, k) for c, k in zip(cells, kinds)])
+    if held:
+        yield last, [np.concatenate(c) for c in zip(*held)]
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of every gram that occurs twice or more the first row, and its first place there."""
+    for bucket, (gram, ref, ref_place, n) in _buckets(batches, ("<u8", "<i8", "<i4", "<i8")):
+        order = np.lexsort((ref_place, ref, gram))
+        gram = gram[order]
+        at = _starts(gram)
+        often = np.add.reduceat(n[order], at) > 1 if len(at) else np.zeros(0, bool)
+        at, first = at[often], order[at[often]]
+        yield _bucketed(np.full(len(at), bucket), {"gram": gram[at], "ref": ref[first], "ref_place": ref_place[first]})
+
+
+MATCHES = "bucket int, row_id binary, ref binary, place binary, ref_place binary, span binary"
+
+
+def _packed_matches(buckets: int, row, ref, place, ref_place, span) -> pa.RecordBatch:
+    """Matches packed by their row."""
+    return _dealt(buckets, row, {"row_id": row, "ref": ref, "place": place, "ref_place": ref_place, "span": span})
+
+
+def _matched(buckets: int, inside: bool, same: int = 0):
+    """Rows come by bucket, the bucket's heads before its seeds: every seed but its gram's first, with that. The span is a
+    column, or the ``same`` for all."""
+    kinds = ("<u8", "<i8", "<i4")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, heads, held, waiting = None, None, 0, []
+        for b in batches:
+            for bucket, head, *cells in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), *b.columns[2:]):
+                if head:
+                    last, heads = bucket, [_values(c, k) for c, k in zip(cells, kinds)]
+                    continue
+                if bucket != last or not len(heads[0]):
+                    continue
+                gram, row, place = (_values(c, k) for c, k in zip(cells, kinds))
+                span = np.full(len(gram), same, np.int32) if same else _values(cells[3], "<i4")
+                known, ref, ref_place = heads
+                at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
+                other = (row != ref[at]) | (place != ref_place[at]) if inside else row != ref[at]
+                hit = (known[at] == gram) & other
+                at = at[hit]
+                waiting.append((row[hit], ref[at], place[hit], ref_place[at], span[hit]))
+                held += len(at)
+                if held > PACKED:
+                    yield _packed_matches(buckets, *(np.concatenate(c) for c in zip(*waiting)))
+                    held, waiting = 0, []
+        if held:
+            yield _packed_matches(buckets, *(np.concatenate(c) for c in zip(*waiting)))
+    return run
+
+
+def _pack(buckets: int):
+    """Matches as rows to packed ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _packed_matches(buckets, *(c.to_numpy(zero_copy_only=False) for c in b.columns))
+    return run
+
+
+def _bucket_count(df: DataFrame) -> int:
+    """Buckets for packed rows: a few for each shuffle partition."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def matches(found: DataFrame, inside: bool = False) -> DataFrame:
-    """found: (row_id, place, gram, span, new). Every occurrence but a gram's first: row_id, ref, place, ref_place, span."""
-    # The first place in the first row: of a row, only the gram's first place takes part. Plain longs, so that Spark groups by
-    # hashing. Written, so that the join has a shuffle of its own on both sides, which Spark can split at a frequent gram.
-    first = F.when(F.col("new"), F.col("row_id"))
-    heads = saved(found.groupBy("gram").agg(F.min("row_id").alias("ref"), F.min_by("place", first).alias("ref_place"),
-                                            F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", "ref", "ref_place"), "heads",
-                  free_shuffles=True)
-    other = (F.col("row_id") != F.col("ref")) | (F.col("place") != F.col("ref_place") if inside else F.lit(False))
-    return found.drop("new").join(heads, "gram").where(other).select("row_id", "ref", "place", "ref_place", "span")
+    """found: packed seeds. Every occurrence but a gram's first, packed by row: row_id, ref, place, ref_place, span."""
+    # A frequent gram is sent once for each packed row to find its first place; its occurrences then pass the bucket's heads one packed
+    # row after the other.
+    once = found.mapInArrow(_once, HEADS).repartition("bucket").sortWithinPartitions("bucket")
+    heads = saved(once.mapInArrow(_heads, "bucket int, gram binary, ref binary, ref_place binary"), "heads", free_shuffles=True)
+    return _headed(heads, found.select("bucket", "gram", "row_id", "place", "span")).mapInArrow(_matched(_bucket_count(found), inside), MATCHES)
 
 
 class _Best:
@@ -303,15 +479,15 @@ def _without_cycles(x: np.ndarray, y: np.ndarray, spans: np.ndarray) -> tuple[np
 
 def _chains(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come in the order of (row_id, ref)."""
+        """Packed matches come by bucket."""
         def out(key, x, y, spans, rows):
-            x, y = np.concatenate(x).astype(np.int64), np.concatenate(y).astype(np.int64)
+            x, y = x.astype(np.int64), y.astype(np.int64)
             if x[0] < 0:  # the seeds of equal whole texts: no chain adds to that
                 n = int(-x[0])
                 if n >= min_words:
                     rows.append((*key, 0, n, 0, n, [{"x": 0, "y": 0, "n": n}]))
                 return
-            spans = np.concatenate(spans).astype(np.int64)
+            spans = spans.astype(np.int64)
             x, y, spans = _inside(x, y, spans) if key[0] == key[1] else _without_cycles(x, y, spans)
             more = spans - SEED  # a long seed is a match at both its ends
             far = more > 0
@@ -328,26 +504,16 @@ def _chains(min_words: int):
             columns = list(zip(*rows)) or [()] * 7
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
                                               names=["row_id", "ref", "a", "z", "ref_a", "ref_z", "anchors"])
-        last, x, y, spans, rows = None, [], [], [], []
-        for b in batches:
-            if not b.num_rows:
-                continue
-            row, ref, place, ref_place, span = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            cut = np.flatnonzero((np.diff(row) != 0) | (np.diff(ref) != 0)) + 1
-            for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(row)]):
-                key = (int(row[s]), int(ref[s]))
-                if key != last:
-                    if x:
-                        out(last, x, y, spans, rows)
-                    last, x, y, spans = key, [], [], []
-                x.append(place[s:e])
-                y.append(ref_place[s:e])
-                spans.append(span[s:e])
-            if len(rows) > 5_000:
-                yield batch(rows)
-                rows = []
-        if x:
-            out(last, x, y, spans, rows)
+        rows = []
+        for _, (row, ref, place, ref_place, span) in _buckets(batches, ("<i8", "<i8", "<i4", "<i4", "<i4")):
+            order = np.lexsort((place, ref, row))
+            row, ref, place, ref_place, span = (c[order] for c in (row, ref, place, ref_place, span))
+            cut = _starts(row, ref).tolist()
+            for s, e in zip(cut, [*cut[1:], len(row)]):
+                out((int(row[s]), int(ref[s])), place[s:e], ref_place[s:e], span[s:e], rows)
+                if len(rows) > 5_000:
+                    yield batch(rows)
+                    rows = []
         yield batch(rows)
     return run
 
@@ -367,54 +533,69 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["row_id", "a", "z", "first", "words"])
 
 
-def _gap(a: np.ndarray, b: np.ndarray) -> int:
+def _gap(a: list[int], b: list[int]) -> int:
     """Words kept in a least-edits alignment of two gaps."""
     n = min(len(a), len(b))
-    if not n:
-        return 0
-    off = np.flatnonzero(a[:n] != b[:n])
-    if not len(off):
-        return n
-    head = int(off[0])  # equal words at both ends belong to some best alignment
-    a, b = a[head:], b[head:]
-    off = np.flatnonzero(a[::-1][:n - head] != b[::-1][:n - head])
-    tail = int(off[0]) if len(off) else n - head
-    a, b = a[:len(a) - tail], b[:len(b) - tail]
-    if not len(a) or not len(b):
+    head = tail = 0  # equal words at both ends belong to some best alignment
+    while head < n and a[head] == b[head]:
+        head += 1
+    while tail < n - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b = a[head:len(a) - tail], b[head:len(b) - tail]
+    if not a or not b:
         return head + tail
-    row = np.zeros(len(b) + 1, np.int64)  # longest common subsequence
-    for x in a:
-        hit = row[:-1] + (b == x)
-        row[1:] = np.maximum.accumulate(np.maximum(row[1:], hit))
-    return head + int(row[-1]) + tail
-
-
-def _shingles(words: np.ndarray) -> list[int]:
+    places: dict[int, int] = {}
+    for i, w in enumerate(b):
+        places[w] = places.get(w, 0) | 1 << i
+    every = row = (1 << len(b)) - 1  # longest common subsequence: a bit that is off for each step of its row
+    for w in a:
+        hit = row & places.get(w, 0)
+        if hit:
+            row = ((row + hit) | (row - hit)) & every
+    return head + len(b) - row.bit_count() + tail
+
+
+def _shingles(words: np.ndarray) -> np.ndarray:
     """A hash for each place where a shingle of ``K`` words begins."""
-    words = words.astype(np.uint64)
-    out = np.zeros(max(len(words) - K + 1, 0), np.uint64)
-    for i in range(K):
-        out = (out ^ words[i:i + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out.tolist()
+    return _hash_runs(words.astype(np.uint64), K)
 
 
-def _alike(own: list[int], ref: list[int]) -> float:
-    p, q = set(own), set(ref)
+def _alike(own: np.ndarray, ref: np.ndarray) -> float:
+    p, q = set(own.tolist()), set(ref.tolist())
     both = len(p & q)
     return both / max(1, len(p) + len(q) - both)
 
 
+def _most_kept(a: list[int], b: list[int]) -> list[int]:
+    """For each number of edits, words of ``a`` that a common beginning may keep at most: a word is kept on a diagonal
+    within reach, and each that has no equal there costs an edit."""
+    kept, most = 0, []
+    for i, w in enumerate(a):
+        if w in b[max(0, i - EDITS):i + EDITS + 1]:
+            kept += 1
+        else:
+            most.append(kept)
+            if len(most) > EDITS:
+                return most
+    return most + [kept] * (EDITS + 1 - len(most))
+
+
 def _end(a: list[int], b: list[int]) -> tuple[int, int, int]:
     """The best common beginning of two word lists: words of a, words of b, words kept. For each number of edits, the
     furthest place on every diagonal; a place is worth the mean of both lengths, less the edits' cost."""
     top, best = 0.0, (0, 0, 0)
     most_a, most_b = len(a), len(b)
-    there = set(b)
-    known = sum(w in there for w in a)  # at most so many are kept, and an edit takes 2 words' worth or more
+    # An edit takes 2 words' worth or more: what ends with so many edits, or more, are worth at most.
+    cost = [(EDIT_COST - 1) * e for e in range(EDITS + 1)]
+    most = _most_kept(a, b)
+    if all(m <= c for m, c in zip(most, cost)):
+        return best
+    limit = [min(m, n) - c for m, n, c in zip(most, _most_kept(b, a), cost)]
+    for e in range(EDITS - 1, -1, -1):
+        limit[e] = max(limit[e], limit[e + 1])
     reach = {0: (0, 0)}  # diagonal (place in b less place in a): place in a, words kept
     for edits in range(min(EDITS, max(most_a, most_b)) + 1):
-        if known - 2 * edits <= top:
+        if limit[edits] <= top:
             break
         if edits:
             step: dict[int, tuple[int, int]] = {}
@@ -442,20 +623,20 @@ def align(own: np.ndarray, ref: np.ndarray, anchors: list[tuple[int, int, int]],
           min_words: int = 0) -> tuple[int, int, int, int, float, float] | None:
     """Aligns two word slices along a chain: (a, z, ref_a, ref_z, identity, shingle similarity) within the slices; None
     if it spans under ``min_words`` on a side."""
-    found = _core(own, ref, anchors)
+    found = _core(own.tolist(), ref.tolist(), anchors)
     if min(found[1] - found[0], found[3] - found[2]) < min_words:
         return None
     return _measured(_shingles(own), _shingles(ref), *found)
 
 
-def _measured(own: list[int], ref: list[int], a: int, z: int, ra: int, rz: int, same: int):
+def _measured(own: np.ndarray, ref: np.ndarray, a: int, z: int, ra: int, rz: int, same: int):
     """own, ref: shingles of the slices. Equal runs are alike without a look."""
     if same == z - a == rz - ra:
         return a, z, ra, rz, 1.0, 1.0
     return a, z, ra, rz, same / max(z - a, rz - ra, 1), _alike(own[a:max(a, z - K + 1)], ref[ra:max(ra, rz - K + 1)])
 
 
-def _core(own: np.ndarray, ref: np.ndarray, anchors: list[tuple[int, int, int]]) -> tuple[int, int, int, int, int]:
+def _core(own: list[int], ref: list[int], anchors: list[tuple[int, int, int]]) -> tuple[int, int, int, int, int]:
     """A chain and the equal words around it: (a, z, ref_a, ref_z, words kept)."""
     x, y, _ = anchors[0]
     while x and y and own[x - 1] == ref[y - 1]:
@@ -467,23 +648,24 @@ def _core(own: np.ndarray, ref: np.ndarray, anchors: list[tuple[int, int, int]])
         p, q, n = p + skip, q + skip, n - skip
         if n <= 0:
             continue
-        same += _gap(own[x:p], ref[y:q]) + int((own[p:p + n] == ref[q:q + n]).sum())
+        left, right = own[p:p + n], ref[q:q + n]
+        same += _gap(own[x:p], ref[y:q]) + (n if left == right else sum(map(eq, left, right)))
         x, y = p + n, q + n
     while x < len(own) and y < len(ref) and own[x] == ref[y]:
         x, y, same = x + 1, y + 1, same + 1
     return a, x, ra, y, same
 
 
-def passages(own: np.ndarray, ref: np.ndarray, anchors: list[tuple[int, int, int]], min_words: int, similarity: float):
+def passages(own: list[int], ref: list[int], anchors: list[tuple[int, int, int]], min_words: int, similarity: float,
+             shingles: tuple[np.ndarray, np.ndarray]):
     """Alignments of a chain that reach the similarity, with both ends, one end or none; one that does not is parted at
     its widest gap, in the end into exact runs."""
-    shingles = None
     todo = [(anchors, (0, 0), (len(own), len(ref)))]  # and the places that its ends may reach
     while todo:
         part, low, high = todo.pop()
         a, z, ra, rz, same = _core(own, ref, part)
-        head = _end(own[low[0]:a][::-1][:MARGIN].tolist(), ref[low[1]:ra][::-1][:MARGIN].tolist())
-        tail = _end(own[z:high[0]][:MARGIN].tolist(), ref[rz:high[1]][:MARGIN].tolist())
+        head = _end(own[max(low[0], a - MARGIN):a][::-1], ref[max(low[1], ra - MARGIN):ra][::-1])
+        tail = _end(own[z:min(high[0], z + MARGIN)], ref[rz:min(high[1], rz + MARGIN)])
         if min(z - a + head[0] + tail[0], rz - ra + head[1] + tail[1]) < min_words:
             continue
         none = (0, 0, 0)
@@ -491,7 +673,6 @@ def passages(own: np.ndarray, ref: np.ndarray, anchors: list[tuple[int, int, int
         for (i, j, m), (k, l, n) in tries:
             if min(z + k - a + i, rz + l - ra + j) < min_words or same + m + n < similarity * max(z + k - a + i, rz + l - ra + j):
                 continue
-            shingles = shingles or (_shingles(own), _shingles(ref))
             found = _measured(*shingles, a - i, z + k, ra - j, rz + l, same + m + n)
             if found[5] >= similarity:
                 yield found
@@ -504,7 +685,9 @@ def passages(own: np.ndarray, ref: np.ndarray, anchors: list[tuple[int, int, int
                 todo += [(part[cut:], (p + n, q + n), high), (part[:cut], low, (x, y))]
             else:
                 n = min(z - a, rz - ra)
-                same = np.concatenate([[0], own[a:a + n] == ref[ra:ra + n], [0]]).astype(np.int8)
+                if n < min_words:
+                    continue
+                same = np.concatenate([[0], np.equal(own[a:a + n], ref[ra:ra + n]), [0]]).astype(np.int8)
                 edge = np.flatnonzero(np.diff(same))
                 for s, e in zip(edge[::2].tolist(), edge[1::2].tolist()):
                     if e - s >= min_words:
@@ -515,15 +698,29 @@ ALIGNED = ("row_id long, ref long, a int, z int, ref_a int, ref_z int, identity
            "chain_a int, chain_z int")
 
 
+def _texts(cells: pa.Array) -> tuple[np.ndarray, list[int]]:
+    """The 32-bit words of all cells of a binary column, and where each cell begins and the last one ends."""
+    lengths = np.array([len(c.as_buffer()) for c in cells], np.int64) // 4
+    words = np.frombuffer(b"".join(c.as_buffer() for c in cells), "<u4")
+    return words, np.concatenate([[0], lengths.cumsum()]).tolist()
+
+
 def _align(min_words: int, similarity: float):
     """Passages of every chain; and, without an identity, its anchors that are in none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
             out = []
-            for row, ref, first, words, ref_first, ref_words, anchors, ca, cz in zip(*(c.to_pylist() for c in b.columns)):
-                own, other = np.frombuffer(words, "<u4"), np.frombuffer(ref_words, "<u4")
-                chain = [(p["x"] - first, p["y"] - ref_first, p["n"]) for p in anchors]
-                found = list(passages(own, other, chain, min_words, similarity))
+            (own, at), (other, ref_at) = (_texts(b.column(name)) for name in ("words", "ref_words"))
+            own_shingles, ref_shingles = _shingles(own), _shingles(other)  # of all rows at once; those over an end are not used
+            places = [b.column("anchors").flatten().field(k).to_pylist() for k in range(3)]
+            stop = b.column("anchors").value_lengths().to_numpy().cumsum().tolist()
+            for k, (row, ref, first, ref_first, ca, cz) in enumerate(zip(*(b.column(c).to_pylist() for c in (
+                    "row_id", "ref", "first", "ref_first", "a", "z")))):
+                s, e, i, j = at[k], at[k + 1], ref_at[k], ref_at[k + 1]
+                part = slice(stop[k - 1] if k else 0, stop[k])
+                chain = [(p - first, q - ref_first, m) for p, q, m in zip(*(v[part] for v in places))]
+                found = list(passages(own[s:e].tolist(), other[i:j].tolist(), chain, min_words, similarity,
+                                      (own_shingles[s:e], ref_shingles[i:j])))
                 for a, z, ra, rz, identity, alike in found:
                     out.append((row, ref, a + first, z + first, ra + ref_first, rz + ref_first, identity, alike, ca, cz))
                 for x, y, n in chain:
@@ -545,57 +742,203 @@ def _hash_runs(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, row_id, a, size, at, words, loose): the runs of ``RUN`` words that a run of up to ``MIN_WORDS`` words may have,
-    which shares ``SEED`` words with the ``size`` words from place ``at`` of a slice; that is place ``a`` of the row."""
+RUNS = "bucket int, run binary, row_id binary, place binary, loose binary, part binary"
+
+
+def _runs(buckets: int):
+    """(part, row_id, a, size, at, words, loose), by row_id: the runs of ``RUN`` words that a run of up to ``MIN_WORDS`` words
+    may have, which shares ``SEED`` words with the ``size`` words from place ``at`` of a slice; that is place ``a`` of the row.
+    Each place of a row once, packed by ranges of the run's hash and ordered by it."""
     more = MIN_WORDS - SEED
-    for b in batches:
-        out = []
-        for part, row, a, size, at, words, free in zip(*(c.to_pylist() for c in b.columns)):
-            low = max(0, at - more)
-            key = _hash_runs(np.frombuffer(words, "<u4")[low:at + size + more].astype(np.uint64), RUN)
-            n = len(key)
-            out.append((key.view(np.int64), np.full(n, row), np.arange(n, dtype=np.int32) + np.int32(a - at + low), np.full(n, free, bool),
-                        np.full(n, part)))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["run", "row_id", "place", "loose", "part"])
 
+    def packed(found):
+        run, row, place, loose, part = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((part, place, row, run))
+        run, row, place, loose, part = (c[order] for c in (run, row, place, loose, part))
+        at = _starts(run, row, place)
+        loose = np.logical_or.reduceat(loose, at) if len(at) else loose
+        return _bucketed(_by_gram(run[at], buckets), {"run": run[at], "row_id": row[at], "place": place[at], "loose": loose, "part": part[at]})
 
-def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row_id, shift, words, found: [place, loose]) of frequent runs: keys that documents with a passage share. A run of
-    ``MIN_WORDS`` words; or a run with ``BESIDE`` words next to it, on either side of up to ``SKIP`` words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held, last = [], 0, None
+        for b in batches:
+            for part, row, a, size, at, words, free in zip(*(c.to_pylist() for c in b.columns)):
+                if held > PACKED and row != last:
+                    yield packed(found)
+                    found, held = [], 0
+                low, last = max(0, at - more), row
+                key = _hash_runs(np.frombuffer(words, "<u4")[low:at + size + more].astype(np.uint64), RUN)
+                n = len(key)
+                found.append((key, np.full(n, row), np.arange(n, dtype=np.int32) + np.int32(a - at + low), np.full(n, free, bool),
+                              np.full(n, part)))
+                held += n
+        if found:
+            yield packed(found)
+    return run
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each packed row, every run once: how many places it has there, and if one is loose."""
     for b in batches:
-        out = []
-        for row, shift, words, found in zip(*(c.to_pylist() for c in b.columns)):
-            own = np.frombuffer(words, "<u4").astype(np.uint64)
-            at = np.array([f["place"] for f in found], np.int64)
-            free = np.array([f["loose"] for f in found], bool)
-            in_slice = at - shift
-
-            def add(key, there):
-                out.append((key.view(np.int64), np.full(len(key), row), at[there].astype(np.int32), free[there]))
-            run, whole, near = _hash_runs(own, RUN), _hash_runs(own, MIN_WORDS), _hash_runs(own, BESIDE)
-            there = in_slice < len(whole)
-            add(whole[in_slice[there]], there)
-            for skip in range(SKIP + 1):
-                for side, start in ((1, in_slice + RUN + skip), (2, in_slice - skip - BESIDE)):
-                    there = (start >= 0) & (start < len(near))
-                    key = (run[in_slice[there]] * np.uint64(0xD6E8FEB86659FD93 + 2 * side)) ^ near[start[there]]
-                    add(key * np.uint64(0x9E3779B97F4A7C15), there)
+        for bucket, *cells in zip(b.column("bucket").to_pylist(), b.column("run"), b.column("loose")):
+            run, loose = (_values(c, k) for c, k in zip(cells, ("<u8", "?")))
+            at = _starts(run)
+            if len(at):
+                yield _bucketed(np.full(len(at), bucket), {"run": run[at], "n": np.diff(np.append(at, len(run))),
+                                                           "loose": np.logical_or.reduceat(loose, at)})
+
+
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of two places or more, one of them loose, and their number of places."""
+    for bucket, (run, n, loose) in _buckets(batches, ("<u8", "<i8", "?")):
+        order = np.argsort(run, kind="stable")
+        run = run[order]
+        at = _starts(run)
+        if len(at):
+            n = np.add.reduceat(n[order], at)
+            keep = (n > 1) & np.logical_or.reduceat(loose[order], at)
+            yield _bucketed(np.full(keep.sum(), bucket), {"run": run[at[keep]], "n": n[keep]})
+
+
+MET = "kind int, bucket int, a binary, b binary, c binary, d binary, e binary"
+
+
+def _met(buckets: int, inside: bool):
+    """Rows come by bucket, the bucket's often runs before their places. Kind 0: matches of every two places of a run, one of them
+    loose (a pair of two loose places is met once, from the later one), packed by row. Kind 1: part, place and loose of
+    runs in more than ``HOT_RUN`` places, packed by part."""
+    def cells(kind, batch):
+        columns = batch.columns[1:]
+        columns += [pa.nulls(batch.num_rows, pa.binary())] * (5 - len(columns))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, kind, np.int32)), batch.column(0), *columns],
+                                          names=["kind", "bucket", *"abcde"])
+
+    def hot(found):
+        part, place, loose = (np.concatenate(c) for c in zip(*found))
+        return cells(1, _dealt(buckets, part, {"part": part, "place": place, "loose": loose}))
+
+    def pairs(found):
+        run, row, place, loose = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((place, row, run))
+        run, row, place, loose = (c[order] for c in (run, row, place, loose))
+        of, out = np.repeat(at := _starts(run), np.diff(np.append(at, len(run)))), []
+        for gap in range(1, HOT_RUN):  # place by row and place: the later of two stands further on
+            x = np.flatnonzero(of[gap:] == of[:-gap]) + gap
+            y = x - gap
+            there = (loose[x] | loose[y]) & ((row[x] != row[y]) | inside)
+            out.append((row[x[there]], row[y[there]], place[x[there]], place[y[there]]))
+        own, ref, place, ref_place = (np.concatenate(c) for c in zip(*out))
+        return cells(0, _packed_matches(buckets, own, ref, place, ref_place, np.full(len(own), RUN, np.int32)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, often, warm, held, many, sent = None, None, [], 0, [], 0
+        for b in batches:
+            for bucket, head, *packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), *b.columns[2:]):
+                if head:
+                    if held > PACKED:  # a bucket's runs are whole
+                        yield pairs(warm)
+                        warm, held = [], 0
+                    last, often = bucket, [_values(c, k) for c, k in zip(packed, ("<u8", "<i8"))]
+                    continue
+                if bucket != last or not len(often[0]):
+                    continue
+                run, row, place, loose, part = (_values(c, k) for c, k in zip(packed, ("<u8", "<i8", "<i4", "?", "<i8")))
+                at = np.minimum(np.searchsorted(often[0], run), len(often[0]) - 1)
+                known, n = often[0][at] == run, often[1][at]
+                few, many_places = known & (n <= HOT_RUN), known & (n > HOT_RUN)
+                warm.append((run[few], row[few], place[few], loose[few]))
+                many.append((part[many_places], place[many_places], loose[many_places]))
+                held, sent = held + int(few.sum()), sent + int(many_places.sum())
+                if sent > PACKED:
+                    yield hot(many)
+                    many, sent = [], 0
+        if held:
+            yield pairs(warm)
+        if sent:
+            yield hot(many)
+    return run
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, places, loose) of frequent runs."""
+    for _, (part, place, loose) in _buckets(batches, ("<i8", "<i4", "?")):
+        order = np.lexsort((place, part))
+        part = part[order]
+        b = _bucketed(part, {"place": place[order], "loose": loose[order]})
+        yield pa.RecordBatch.from_arrays([pa.array(part[_starts(part)]), b.column(1), b.column(2)], names=["part", "places", "free"])
+
+
+KEYS = "bucket int, key binary, row_id binary, place binary, loose binary"
+
+
+def _beside(buckets: int):
+    """(row_id, shift, words, places, loose) of frequent runs: keys that documents with a passage share. A run of ``MIN_WORDS``
+    words; or a run with ``BESIDE`` words next to it, on either side of up to ``SKIP`` words. Packed by key."""
+    def packed(found):
+        key, row, place, loose = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((place, row, key))
+        key = key[order]
+        return _bucketed(_by_gram(key, buckets), {"key": key, "row_id": row[order], "place": place[order], "loose": loose[order]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        for b in batches:
+            for row, shift, words, places, free in zip(*(c.to_pylist() for c in b.columns)):
+                own = np.frombuffer(words, "<u4").astype(np.uint64)
+                at, free = np.frombuffer(places, "<i4").astype(np.int64), np.frombuffer(free, "?")
+                in_slice = at - shift
+
+                def add(key, there):
+                    out.append((key, np.full(len(key), row), at[there].astype(np.int32), free[there]))
+                runs, whole, near = _hash_runs(own, RUN), _hash_runs(own, MIN_WORDS), _hash_runs(own, BESIDE)
+                there = in_slice < len(whole)
+                add(whole[in_slice[there]], there)
+                for skip in range(SKIP + 1):
+                    for side, start in ((1, in_slice + RUN + skip), (2, in_slice - skip - BESIDE)):
+                        there = (start >= 0) & (start < len(near))
+                        key = (runs[in_slice[there]] * np.uint64(0xD6E8FEB86659FD93 + 2 * side)) ^ near[start[there]]
+                        add(key * np.uint64(0x9E3779B97F4A7C15), there)
+                held += 11 * len(at)
+                if held > PACKED:
+                    yield packed(out)
+                    out, held = [], 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["key", "row_id", "place", "loose"])
+            yield packed(out)
+    return run
+
 
+FIRST = "bucket int, key binary, row_id binary, place binary"
 
-def _met(rows: DataFrame, inside: bool) -> DataFrame:
-    """Matches of every two places of a run, one of them loose. A pair of two loose places is met from the later one."""
-    p, q = rows.where("loose").alias("p"), rows.alias("q")
-    later = F.struct("p.row_id", "p.place") > F.struct("q.row_id", "q.place")
-    other = (F.col("p.row_id") != F.col("q.row_id")) | F.lit(inside) & (F.col("p.place") != F.col("q.place"))
-    met = p.join(q, "run").where((later | ~F.col("q.loose")) & other)
-    x, y = (F.struct(F.col(f"{s}.row_id").alias("row_id"), F.col(f"{s}.place").alias("place")) for s in "pq")
-    return met.select(F.greatest(x, y).alias("x"), F.least(x, y).alias("y")).select(
-        F.col("x.row_id").alias("row_id"), F.col("y.row_id").alias("ref"), F.col("x.place").alias("place"),
-        F.col("y.place").alias("ref_place"), F.lit(RUN).alias("span"))
+
+def _first_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each packed row, every key once: its first place, how many it has there, and if one is loose."""
+    for b in batches:
+        for bucket, *cells in zip(b.column(0).to_pylist(), *b.columns[1:]):
+            key, row, place, loose = (_values(c, k) for c, k in zip(cells, ("<u8", "<i8", "<i4", "?")))
+            at = _starts(key)
+            if len(at):
+                yield _bucketed(np.full(len(at), bucket), {"key": key[at], "row_id": row[at], "place": place[at], "n": np.diff(
+                    np.append(at, len(key))), "loose": np.logical_or.reduceat(loose, at)})
+
+
+def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first place of keys of two places or more, one of them loose."""
+    for bucket, (key, row, place, n, loose) in _buckets(batches, ("<u8", "<i8", "<i4", "<i8", "?")):
+        order = np.lexsort((place, row, key))
+        key = key[order]
+        at = _starts(key)
+        if len(at):
+            at = at[(np.add.reduceat(n[order], at) > 1) & np.logical_or.reduceat(loose[order], at)]
+            yield _bucketed(np.full(len(at), bucket), {"key": key[at], "row_id": row[order[at]], "place": place[order[at]]})
+
+
+def _headed(heads: DataFrame, rows: DataFrame) -> DataFrame:
+    """Packed rows by bucket, those of ``heads`` first. ``heads`` has the first columns of ``rows``, by type."""
+    names = rows.columns[1:]
+    head = [F.col(c).alias(n) for c, n in zip(heads.columns[1:], names)]
+    head += [F.lit(None).cast("binary").alias(n) for n in names[len(head):]]
+    both = heads.select("bucket", F.lit(True).alias("head"), *head).union(rows.select("bucket", F.lit(False).alias("head"), *names))
+    return both.repartition("bucket").sortWithinPartitions("bucket", F.desc("head"))
 
 
 def loose_matches(aligned: DataFrame, slices: DataFrame, inside: bool = False) -> DataFrame:
@@ -622,32 +965,30 @@ def loose_matches(aligned: DataFrame, slices: DataFrame, inside: bool = False) -
     members = there.drop("loose", "words").join(heads, of).where(other).select(
         "row_id", "ref", F.col("a").alias("place"), "ref_place", F.col("size").alias("span"))
     parts = classes.select(row_ids(classes).alias("part"), "head.row_id", "head.a", "size", "at", "words", "loose")
-    runs = saved(parts.mapInArrow(_runs, "run long, row_id long, place int, loose boolean, part long").groupBy(
-        "run", "row_id", "place").agg(F.max("loose").alias("loose"), F.min("part").alias("part")), "runs", free_shuffles=True)
-    often = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.max("loose").alias("_any")).where("_any AND n > 1").select("run", "n")
-    every, runs = runs, saved(runs.join(often, "run"), "often", free_shuffles=True)
-    dropped(every)
+    buckets = _bucket_count(parts)
+    runs = saved(parts.repartition("row_id").sortWithinPartitions("row_id").mapInArrow(_runs(buckets), RUNS), "runs", free_shuffles=True)
+    often = runs.mapInArrow(_counted, "bucket int, run binary, n binary, loose binary").repartition("bucket").sortWithinPartitions("bucket")
+    often = saved(often.mapInArrow(_often, "bucket int, run binary, n binary"), "often", free_shuffles=True)
+    both = saved(_headed(often, runs).mapInArrow(_met(buckets, inside), MET), "met", free_shuffles=True)
+    dropped(runs, often)
     # Of a frequent run, only places are matched that share more than the run.
-    hot = runs.where(F.col("n") > HOT_RUN).groupBy("part").agg(F.collect_list(F.struct("place", "loose")).alias("found"))
+    hot = both.where("kind = 1").select("bucket", "a", "b", "c").repartition("bucket").sortWithinPartitions("bucket")
+    hot = hot.mapInArrow(_by_part, "part long, places binary, free binary")
     keys = saved(parts.select("part", "row_id", (F.col("a") - F.col("at")).alias("shift"), "words").join(hot, "part").select(
-        "row_id", "shift", "words", "found").mapInArrow(_beside, "key long, row_id long, place int, loose boolean"), "beside",
-        free_shuffles=True)
+        "row_id", "shift", "words", "places", "free").mapInArrow(_beside(buckets), KEYS), "beside", free_shuffles=True)
     # Pairs would be the square of a template's documents: all are matched with the first.
-    first = keys.groupBy("key").agg(F.max("loose").alias("_any"), F.min(F.struct("row_id", "place")).alias("first"),
-                                    F.count(F.lit(1)).alias("_n")).where("_any AND _n > 1").select("key", "first")
-    first = saved(first, "first", free_shuffles=True)
-    other = (F.col("row_id") != F.col("first.row_id")) | (F.lit(inside) & (F.col("place") != F.col("first.place")))
-    warm = keys.join(first, "key").where(other).select(
-        "row_id", F.col("first.row_id").alias("ref"), "place", F.col("first.place").alias("ref_place"), F.lit(RUN).alias("span"))
-    met = _met(runs.where(F.col("n") <= HOT_RUN), inside)
-    found = saved(members.union(met).union(warm).distinct(), "again", free_shuffles=True)
-    dropped(there, classes, runs, keys, first)
+    first = keys.mapInArrow(_first_here, "bucket int, key binary, row_id binary, place binary, n binary, loose binary")
+    first = saved(first.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_first, FIRST), "first", free_shuffles=True)
+    warm = _headed(first, keys.drop("loose")).mapInArrow(_matched(buckets, inside, RUN), MATCHES)
+    met = both.where("kind = 0").select("bucket", *[F.col(c).alias(n) for c, n in zip("abcde", ("row_id", "ref", "place", "ref_place", "span"))])
+    found = saved(members.mapInArrow(_pack(buckets), MATCHES).union(met).union(warm), "again", free_shuffles=True)
+    dropped(there, classes, keys, first, both)
     return found
 
 
 def _aligned(d: DataFrame, found: DataFrame, min_words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Passages and loose anchors of the chains of matches, and the chains' words. d: (row_id, id, text)."""
-    dealt = found.repartition("row_id").sortWithinPartitions("row_id", "ref", "place")
+    dealt = found.repartition("bucket").sortWithinPartitions("bucket")
     linked = saved(dealt.mapInArrow(_chains(min_words), CHAIN), "chains", free_shuffles=True)
     ranges = linked.select("row_id", "a", "z").union(
         linked.select("ref", "ref_a", "ref_z").distinct().toDF("row_id", "a", "z"))
@@ -671,8 +1012,7 @@ def shared_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """One row per passage (``inside``: also those that one document repeats): doc_id, word_start, word_stop, ref_doc_id, ref_start, ref_stop, identity, similarity."""
     d = docs.select(row_ids(docs).alias("row_id"), F.col(id_col).cast("long").alias("id"),
                     text_of(text_col).alias("text"))
-    found = saved(d.select("row_id", "text").mapInArrow(_seeds, "row_id long, place int, gram long, span int, new boolean"), "seeds",
-                  compression="zstd")
+    found = saved(d.select("row_id", "text").mapInArrow(_seeds(_bucket_count(d)), SEEDS), "seeds", compression="zstd")
     aligned, slices = _aligned(d, matches(found, inside), min_words, similarity)
     dropped(found)
     kept = aligned.where("identity IS NOT NULL").drop("chain_a", "chain_z")
