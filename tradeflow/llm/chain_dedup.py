@@ -290,6 +290,13 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _least(at: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first row, and its first place, of each group of rows that begins at ``at``."""
+    first = np.minimum.reduceat(row, at)
+    own = row == np.repeat(first, np.diff(np.append(at, len(row))))
+    return first, np.minimum.reduceat(np.where(own, place, np.iinfo(np.int32).max), at).astype(np.int32)
+
+
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each packed row, every gram once: its first row and place there, and how often it occurs."""
     for b in batches:
@@ -317,12 +324,13 @@ def _buckets(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> Itera
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of every gram that occurs twice or more the first row, and its first place there."""
     for bucket, (gram, ref, ref_place, n) in _buckets(batches, ("<u8", "<i8", "<i4", "<i8")):
-        order = np.lexsort((ref_place, ref, gram))
+        order = np.argsort(gram, kind="stable")
         gram = gram[order]
         at = _starts(gram)
-        often = np.add.reduceat(n[order], at) > 1 if len(at) else np.zeros(0, bool)
-        at, first = at[often], order[at[often]]
-        yield _bucketed(np.full(len(at), bucket), {"gram": gram[at], "ref": ref[first], "ref_place": ref_place[first]})
+        if len(at):
+            often = np.add.reduceat(n[order], at) > 1
+            first, place = _least(at, ref[order], ref_place[order])
+            yield _bucketed(np.full(often.sum(), bucket), {"gram": gram[at[often]], "ref": first[often], "ref_place": place[often]})
 
 
 MATCHES = "bucket int, row_id binary, ref binary, place binary, ref_place binary, span binary"
@@ -409,13 +417,18 @@ class _Best:
         return value, who
 
 
-def chains(x: np.ndarray, y: np.ndarray) -> list[list[tuple[int, int, int]]]:
+def chains(x: np.ndarray, y: np.ndarray, ordered: bool = False) -> list[list[tuple[int, int, int]]]:
     """Chains of matches (x, y): anchors (x, y, span) in order on both sides, best first."""
-    order = np.lexsort((y, x))
-    x, y = x[order], y[order]
+    if not ordered:
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
     # Neighbouring matches on one diagonal are one anchor.
-    edge = np.flatnonzero(np.concatenate([[True], (np.diff(x - y) != 0) | (np.diff(x) > 2 * WINDOW)]))
+    edge = np.ones(len(x), bool)
+    edge[1:] = (x[1:] - x[:-1] != y[1:] - y[:-1]) | (x[1:] - x[:-1] > 2 * WINDOW)
+    edge = np.flatnonzero(edge)
     last = np.append(edge[1:], len(x)) - 1
+    if len(edge) == 1:
+        return [[(int(x[0]), int(y[0]), int(x[-1] - x[0]) + SEED)]]
     ax, ay, bx, by = x[edge].tolist(), y[edge].tolist(), x[last].tolist(), y[last].tolist()
     worth = ((last - edge + 1) * SEED_WORTH).tolist()
     places = np.unique(np.concatenate([y[edge], y[last]]))
@@ -478,43 +491,62 @@ def _without_cycles(x: np.ndarray, y: np.ndarray, spans: np.ndarray) -> tuple[np
 
 
 def _chains(min_words: int):
+    def prepared(row, ref, x, y, spans):
+        """Matches of all documents of a bucket: groups' (row, ref), where each begins, and places in order, each once; and the
+        words of equal whole texts, whose seeds say all."""
+        order = np.lexsort((x, spans, y, ref, row))
+        row, ref, x, y, spans = (c[order] for c in (row, ref, x, y, spans))
+        at = _starts(row, ref, y, spans, x)
+        row, ref, x, y, spans = (c[at] for c in (row, ref, x.astype(np.int64), y.astype(np.int64), spans.astype(np.int64)))
+        at = _starts(row, ref)
+        of = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(row))))
+        rows, refs = row[at], ref[at]
+        whole = np.minimum.reduceat(x, at)
+        again = np.concatenate([[False], (of[1:] == of[:-1]) & (y[1:] == y[:-1]) & (spans[1:] == spans[:-1]) & (
+            (np.diff(x) < spans[1:]) | (row == ref)[1:])])
+        odd = (np.logical_or.reduceat(again, at)) & (whole >= 0)
+        plain = ~odd[of] & (whole >= 0)[of]
+        parts = [(of[plain], x[plain], y[plain], spans[plain])]
+        for g, s, e in zip(np.flatnonzero(odd).tolist(), at[odd].tolist(), np.append(at, len(row))[1:][odd].tolist()):
+            part = (_inside if rows[g] == refs[g] else _without_cycles)(x[s:e], y[s:e], spans[s:e])
+            parts.append((np.full(len(part[0]), g), *part))
+        of, x, y, spans = (np.concatenate(c) for c in zip(*parts))
+        more = spans - SEED  # a long seed is a match at both its ends
+        far = more > 0
+        of, x, y = np.append(of, of[far]), np.append(x, (x + more)[far]), np.append(y, (y + more)[far])
+        order = np.lexsort((y, x, of))
+        of, x, y = of[order], x[order], y[order]
+        at = _starts(of, x, y)
+        return rows, refs, whole, of[at], x[at], y[at]
+
+    def batch(rows):
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), _ANCHORS)
+        columns = list(zip(*rows)) or [()] * 7
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
+                                          names=["row_id", "ref", "a", "z", "ref_a", "ref_z", "anchors"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Packed matches come by bucket."""
-        def out(key, x, y, spans, rows):
-            x, y = x.astype(np.int64), y.astype(np.int64)
-            if x[0] < 0:  # the seeds of equal whole texts: no chain adds to that
-                n = int(-x[0])
+        out = []
+        for _, packed in _buckets(batches, ("<i8", "<i8", "<i4", "<i4", "<i4")):
+            if not len(packed[0]):
+                continue
+            rows, refs, whole, of, x, y = prepared(*packed)
+            for g in np.flatnonzero(whole < 0).tolist():
+                n = -int(whole[g])
                 if n >= min_words:
-                    rows.append((*key, 0, n, 0, n, [{"x": 0, "y": 0, "n": n}]))
-                return
-            spans = spans.astype(np.int64)
-            x, y, spans = _inside(x, y, spans) if key[0] == key[1] else _without_cycles(x, y, spans)
-            more = spans - SEED  # a long seed is a match at both its ends
-            far = more > 0
-            if far.any():
-                x, y = np.append(x, (x + more)[far]), np.append(y, (y + more)[far])
-                x, y = np.unique(np.stack([x, y]), axis=1)
-            for c in chains(x, y):
-                a, z, ra, rz = c[0][0], c[-1][0] + c[-1][2], c[0][1], c[-1][1] + c[-1][2]
-                if min(z - a, rz - ra) + 2 * MARGIN >= min_words:
-                    rows.append((*key, a, z, ra, rz, [{"x": p, "y": q, "n": n} for p, q, n in c]))
-
-        def batch(rows):
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), _ANCHORS)
-            columns = list(zip(*rows)) or [()] * 7
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                              names=["row_id", "ref", "a", "z", "ref_a", "ref_z", "anchors"])
-        rows = []
-        for _, (row, ref, place, ref_place, span) in _buckets(batches, ("<i8", "<i8", "<i4", "<i4", "<i4")):
-            order = np.lexsort((place, ref, row))
-            row, ref, place, ref_place, span = (c[order] for c in (row, ref, place, ref_place, span))
-            cut = _starts(row, ref).tolist()
-            for s, e in zip(cut, [*cut[1:], len(row)]):
-                out((int(row[s]), int(ref[s])), place[s:e], ref_place[s:e], span[s:e], rows)
-                if len(rows) > 5_000:
-                    yield batch(rows)
-                    rows = []
-        yield batch(rows)
+                    out.append((int(rows[g]), int(refs[g]), 0, n, 0, n, [{"x": 0, "y": 0, "n": n}]))
+            cut = _starts(of).tolist()
+            for s, e in zip(cut, [*cut[1:], len(of)]):
+                key = int(rows[of[s]]), int(refs[of[s]])
+                for c in chains(x[s:e], y[s:e], True):
+                    a, z, ra, rz = c[0][0], c[-1][0] + c[-1][2], c[0][1], c[-1][1] + c[-1][2]
+                    if min(z - a, rz - ra) + 2 * MARGIN >= min_words:
+                        out.append((*key, a, z, ra, rz, [{"x": p, "y": q, "n": n} for p, q, n in c]))
+                if len(out) > 5_000:
+                    yield batch(out)
+                    out = []
+        yield batch(out)
     return run
 
 
@@ -753,11 +785,19 @@ def _runs(buckets: int):
 
     def packed(found):
         run, row, place, loose, part = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((part, place, row, run))
-        run, row, place, loose, part = (c[order] for c in (run, row, place, loose, part))
-        at = _starts(run, row, place)
-        loose = np.logical_or.reduceat(loose, at) if len(at) else loose
-        return _bucketed(_by_gram(run[at], buckets), {"run": run[at], "row_id": row[at], "place": place[at], "loose": loose, "part": part[at]})
+        if not len(run):
+            return _bucketed(np.zeros(0, np.int32), {"run": run, "row_id": row, "place": place, "loose": loose, "part": part})
+        of = np.zeros(len(row), np.int64)  # rows come one after the other; a place has the same run in all parts of its row
+        of[1:] = (row[1:] != row[:-1]).cumsum()
+        key = of << 32 | place
+        order = np.argsort(key, kind="stable")
+        at = _starts(key[order])
+        loose, part = np.logical_or.reduceat(loose[order], at), np.minimum.reduceat(part[order], at)
+        at = order[at]
+        run, row, place = run[at], row[at], place[at]
+        order = np.argsort(run, kind="stable")
+        return _bucketed(_by_gram(run[order], buckets), {name: c[order] for name, c in (
+            ("run", run), ("row_id", row), ("place", place), ("loose", loose), ("part", part))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held, last = [], 0, None
@@ -876,7 +916,7 @@ def _beside(buckets: int):
     words; or a run with ``BESIDE`` words next to it, on either side of up to ``SKIP`` words. Packed by key."""
     def packed(found):
         key, row, place, loose = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((place, row, key))
+        order = np.argsort(key, kind="stable")
         key = key[order]
         return _bucketed(_by_gram(key, buckets), {"key": key, "row_id": row[order], "place": place[order], "loose": loose[order]})
 
@@ -917,19 +957,21 @@ def _first_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, row, place, loose = (_values(c, k) for c, k in zip(cells, ("<u8", "<i8", "<i4", "?")))
             at = _starts(key)
             if len(at):
-                yield _bucketed(np.full(len(at), bucket), {"key": key[at], "row_id": row[at], "place": place[at], "n": np.diff(
+                row, place = _least(at, row, place)
+                yield _bucketed(np.full(len(at), bucket), {"key": key[at], "row_id": row, "place": place, "n": np.diff(
                     np.append(at, len(key))), "loose": np.logical_or.reduceat(loose, at)})
 
 
 def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first place of keys of two places or more, one of them loose."""
     for bucket, (key, row, place, n, loose) in _buckets(batches, ("<u8", "<i8", "<i4", "<i8", "?")):
-        order = np.lexsort((place, row, key))
+        order = np.argsort(key, kind="stable")
         key = key[order]
         at = _starts(key)
         if len(at):
-            at = at[(np.add.reduceat(n[order], at) > 1) & np.logical_or.reduceat(loose[order], at)]
-            yield _bucketed(np.full(len(at), bucket), {"key": key[at], "row_id": row[order[at]], "place": place[order[at]]})
+            keep = (np.add.reduceat(n[order], at) > 1) & np.logical_or.reduceat(loose[order], at)
+            row, place = _least(at, row[order], place[order])
+            yield _bucketed(np.full(keep.sum(), bucket), {"key": key[at[keep]], "row_id": row[keep], "place": place[keep]})
 
 
 def _headed(heads: DataFrame, rows: DataFrame) -> DataFrame:
