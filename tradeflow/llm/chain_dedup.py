@@ -801,15 +801,17 @@ def _runs(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held, last = [], 0, None
-        for b in batches:
-            for part, row, a, size, at, words, free in zip(*(c.to_pylist() for c in b.columns)):
+        for b in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
+            words, start = _texts(b.column("words"))
+            runs = _hash_runs(words.astype(np.uint64), RUN)  # of all slices at once; those over an end are not used
+            columns = (b.column(c).to_pylist() for c in ("part", "row_id", "a", "size", "at", "loose"))
+            for part, row, a, size, at, free, begin, end in zip(*columns, start, start[1:]):
                 if held > PACKED and row != last:
                     yield packed(found)
                     found, held = [], 0
                 low, last = max(0, at - more), row
-                key = _hash_runs(np.frombuffer(words, "<u4")[low:at + size + more].astype(np.uint64), RUN)
-                n = len(key)
-                found.append((key, np.full(n, row), np.arange(n, dtype=np.int32) + np.int32(a - at + low), np.full(n, free, bool),
+                n = max(0, min(end, begin + at + size + more) - RUN + 1 - begin - low)
+                found.append((runs[begin + low:begin + low + n], np.full(n, row), np.arange(n, dtype=np.int32) + np.int32(a - at + low), np.full(n, free, bool),
                               np.full(n, part)))
                 held += n
         if found:
@@ -922,26 +924,28 @@ def _beside(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held = [], 0
-        for b in batches:
-            for row, shift, words, places, free in zip(*(c.to_pylist() for c in b.columns)):
-                own = np.frombuffer(words, "<u4").astype(np.uint64)
-                at, free = np.frombuffer(places, "<i4").astype(np.int64), np.frombuffer(free, "?")
-                in_slice = at - shift
-
-                def add(key, there):
-                    out.append((key, np.full(len(key), row), at[there].astype(np.int32), free[there]))
-                runs, whole, near = _hash_runs(own, RUN), _hash_runs(own, MIN_WORDS), _hash_runs(own, BESIDE)
-                there = in_slice < len(whole)
-                add(whole[in_slice[there]], there)
-                for skip in range(SKIP + 1):
-                    for side, start in ((1, in_slice + RUN + skip), (2, in_slice - skip - BESIDE)):
-                        there = (start >= 0) & (start < len(near))
-                        key = (runs[in_slice[there]] * np.uint64(0xD6E8FEB86659FD93 + 2 * side)) ^ near[start[there]]
-                        add(key * np.uint64(0x9E3779B97F4A7C15), there)
-                held += 11 * len(at)
-                if held > PACKED:
-                    yield packed(out)
-                    out, held = [], 0
+        for b in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
+            own, begin = _texts(b.column("words"))
+            own, begin = own.astype(np.uint64), np.array(begin)
+            place, free = (np.frombuffer(b"".join(c.as_buffer() for c in b.column(n)), k) for n, k in (("places", "<i4"), ("free", "?")))
+            of = np.repeat(np.arange(b.num_rows), [len(c.as_buffer()) for c in b.column("free")])
+            row, shift = (b.column(n).to_numpy(zero_copy_only=False).astype(np.int64)[of] for n in ("row_id", "shift"))
+            at, low, high = place - shift + begin[of], begin[of], begin[of + 1]
+
+            def add(key, there):
+                out.append((key, row[there], place[there], free[there]))
+            runs, whole, near = _hash_runs(own, RUN), _hash_runs(own, MIN_WORDS), _hash_runs(own, BESIDE)
+            there = at + MIN_WORDS <= high
+            add(whole[at[there]], there)
+            for skip in range(SKIP + 1):
+                for side, start in ((1, at + RUN + skip), (2, at - skip - BESIDE)):
+                    there = (start >= low) & (start + BESIDE <= high)
+                    key = (runs[at[there]] * np.uint64(0xD6E8FEB86659FD93 + 2 * side)) ^ near[start[there]]
+                    add(key * np.uint64(0x9E3779B97F4A7C15), there)
+            held += 11 * len(at)
+            if held > PACKED:
+                yield packed(out)
+                out, held = [], 0
         if out:
             yield packed(out)
     return run
