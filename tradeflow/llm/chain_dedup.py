@@ -34,9 +34,11 @@ reported when it has ``min_words`` on both sides, and the share of aligned
 words and the similarity of 5-word shingles are both ``similarity`` or more; a
 chain that falls short is parted at its widest gap and its parts are tried.
 
-A gram's first occurrence is a grouped minimum, combined map-side; matches of
-a frequent gram are split by the join. Reference passages are fetched once for
-each range, not for each match.
+Seeds, matches and runs go from step to step as columns packed for each bucket
+of hashes, or of documents. A gram's first occurrence is a minimum, combined for
+each packed row before it is sent; seeds then pass their bucket's first
+occurrences one packed row after the other, so that a frequent gram is not held.
+Reference passages are fetched once for each range, not for each match.
 
 A reference may not reach the similarity where another document would: earlier documents quote pieces that are too
 short, or have more words changed. Places whose seeds led to no passage with their reference are therefore matched
